@@ -316,6 +316,102 @@ def _oracles_scoring() -> dict[str, str]:
     }
 
 
+# ---------------------------------------------------------------------------
+# Explanation
+# ---------------------------------------------------------------------------
+
+
+def _phi_long(df: DataFrame, key: str, names: list[str]) -> DataFrame:
+    """(key, class_idx, feature name, phi rounded to 6 places) from phi K x F."""
+    fnames = F.array(*[F.lit(n) for n in names])
+    per_class = df.select(key, F.posexplode("phi").alias("class_idx", "row"))
+    return per_class.select(
+        key,
+        F.col("class_idx").cast("int").alias("class_idx"),
+        F.posexplode("row").alias("fi", "v"),
+    ).select(key, "class_idx", F.element_at(fnames, F.col("fi") + 1).alias("feature"), (F.round("v", 6) + 0.0).alias("phi"))
+
+
+def q_explain_contributions(spark, sf):
+    m = catalog.model(spark, "m1")
+    return _phi_long(m.explain(orders_rows(spark, sf)), "o_orderkey", M1_FLOATS)
+
+
+def q_explain_relational(spark, sf):
+    m = catalog.model(spark, "m4")
+    out = m.explain(part_rows(spark, sf), plan="relational", keys=["p_partkey"])
+    return _phi_long(out, "p_partkey", PART_FLOATS)
+
+
+def q_explain_ranked(spark, sf):
+    m = catalog.model(spark, "m1")
+    ex = m.explain(orders_rows(spark, sf))
+    fnames = F.array(*[F.lit(n) for n in M1_FLOATS])
+
+    def ranked(row):
+        pairs = F.transform(row, lambda v, i: F.struct(F.abs(F.round(v, 6)).alias("a"), i.alias("fi")))
+        return F.array_sort(
+            pairs,
+            lambda x, y: F.when(x["a"] > y["a"], -1).when(x["a"] < y["a"], 1).otherwise(x["fi"] - y["fi"]),
+        )
+
+    per_class = ex.select("o_orderkey", F.posexplode("phi").alias("class_idx", "row"))
+    return per_class.select(
+        "o_orderkey",
+        F.col("class_idx").cast("int").alias("class_idx"),
+        F.posexplode(ranked(F.col("row"))).alias("rank", "e"),
+    ).select(
+        "o_orderkey", "class_idx", (F.col("rank") + 1).cast("int").alias("rank"),
+        F.element_at(fnames, F.col("e.fi") + 1).alias("feature"),
+    )
+
+
+def q_shap_additivity(spark, sf):
+    m = catalog.model(spark, "m1")
+    scored = m.raw(orders_rows(spark, sf))
+    ex = m.explain(scored)
+    per_class = ex.select("o_orderkey", "raw", F.posexplode("explanation").alias("class_idx", "e"))
+    return per_class.select(
+        "o_orderkey",
+        F.col("class_idx").cast("int").alias("class_idx"),
+        F.element_at("raw", F.col("class_idx") + 1).alias("raw"),
+        (F.abs(F.col("e.raw") - F.element_at("raw", F.col("class_idx") + 1)) <= 1e-9).alias("additive"),
+    )
+
+
+def _explain_base(model_id, rows_sql, floats):
+    return O.with_clause(O.scoring_ctes(model_id, rows_sql, floats) + O.shap_ctes(model_id, include_model=False) + [
+        "contrib AS (SELECT l.row_key, s.class_idx, s.feature, SUM(s.phi) AS phi FROM leafidx l "
+        "JOIN shap s ON s.tree = l.tree AND s.leaf = l.leaf GROUP BY l.row_key, s.class_idx, s.feature)"
+    ])
+
+
+def _names_sql(names):
+    return "[" + ", ".join("'" + n + "'" for n in names) + "]"
+
+
+def _oracles_explain() -> dict[str, str]:
+    m1 = _explain_base("m1", ORDERS_ROWS_SQL, F4)
+    m4 = _explain_base("m4", PART_ROWS_SQL, ["f0", "f1"])
+    return {
+        "explain_contributions": m1
+        + f"SELECT row_key AS o_orderkey, CAST(class_idx AS INTEGER) AS class_idx, {_names_sql(M1_FLOATS)}[feature + 1] AS feature, "
+        "ROUND(phi, 6) + 0.0 AS phi FROM contrib",
+        "explain_relational": m4
+        + f"SELECT row_key AS p_partkey, CAST(class_idx AS INTEGER) AS class_idx, {_names_sql(PART_FLOATS)}[feature + 1] AS feature, "
+        "ROUND(phi, 6) + 0.0 AS phi FROM contrib",
+        "explain_ranked": m1
+        + "SELECT row_key AS o_orderkey, CAST(class_idx AS INTEGER) AS class_idx, "
+        "CAST(ROW_NUMBER() OVER (PARTITION BY row_key, class_idx ORDER BY ABS(ROUND(phi, 6)) DESC, feature) AS INTEGER) AS rank, "
+        f"{_names_sql(M1_FLOATS)}[feature + 1] AS feature FROM contrib",
+        "shap_additivity": m1
+        + "SELECT r.row_key AS o_orderkey, CAST(r.class_idx AS INTEGER) AS class_idx, r.raw AS raw, "
+        "ABS(x.s + b.bias - r.raw) <= 1e-9 AS additive FROM raw r "
+        "JOIN (SELECT row_key, class_idx, SUM(phi) AS s FROM contrib GROUP BY row_key, class_idx) x "
+        "ON x.row_key = r.row_key AND x.class_idx = r.class_idx JOIN bias_row b ON b.class_idx = r.class_idx",
+    }
+
+
 # ---------------------------------------------------------------------------
 # Contract
 # ---------------------------------------------------------------------------
@@ -348,10 +444,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "expand_binary": q_expand_binary,
         "threshold_labels": q_threshold_labels,
         "top_class_label": q_top_class_label,
+        "explain_contributions": q_explain_contributions,
+        "explain_relational": q_explain_relational,
+        "explain_ranked": q_explain_ranked,
+        "shap_additivity": q_shap_additivity,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     out = {}
     out.update(_oracles_scoring())
+    out.update(_oracles_explain())
     return out

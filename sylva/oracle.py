@@ -174,7 +174,7 @@ def with_clause(ctes: list[str]) -> str:
 # ---------------------------------------------------------------------------
 
 
-def shap_ctes(model_id: str, prefix: str = "m") -> list[str]:
+def shap_ctes(model_id: str, prefix: str = "m", include_model: bool = True) -> list[str]:
     """CTEs giving ``shap(tree, leaf, feature, class_idx, phi)`` and ``expected``.
 
     phi_i(leaf h) = sum over S not containing i of |S|!(F-|S|-1)!/F! *
@@ -185,12 +185,14 @@ def shap_ctes(model_id: str, prefix: str = "m") -> list[str]:
     d = doc(model_id)
     n_f = len(d["features_info"]["float_features"])
     scale = d["scale_and_bias"][0]
-    return [
+    model = [
         splits_cte(model_id, f"{prefix}_splits"),
         leaves_cte(model_id, f"{prefix}_leaves"),
+        bias_cte(model_id, f"{prefix}_bias"),
+    ] if include_model else []
+    return model + [
         weights_cte(model_id, f"{prefix}_weights"),
         depth_cte(model_id, f"{prefix}_depth"),
-        bias_cte(model_id, f"{prefix}_bias"),
         f"w AS (SELECT tree, leaf, CASE WHEN weight = 0 THEN 1e-6 ELSE weight END AS w FROM {prefix}_weights)",
         # cover of the node at level lv on leaf l's path: sum of w over leaves sharing l's low lv bits
         f"cov AS (SELECT a.tree, a.leaf, s.level AS lv, SUM(b.w) AS c FROM w a JOIN w b ON a.tree = b.tree "

@@ -45,6 +45,7 @@ class Model:
         self.tables = tables
         self.model_id = model_id
         self._compiled: CompiledModel | None = None
+        self._explainers: dict = {}
 
     # ---- loading (A1, A2) ----
     @classmethod
@@ -142,6 +143,65 @@ class Model:
         _reject_type("predict_multi_proba", "multi_probability", kw)
         return self.predict(df, "multi_probability", **kw)
 
+    # ---- explanation (E) ----
+    def explainer(self, quantize: str | None = None):
+        """The SHAP table and bias row for this model.
+
+        ``quantize='float16'`` rounds the table as the compact sidecar stores
+        it (and the bias row through float32).
+        """
+        from ..operators.explain import Explainer
+        from ..operators.treeshap import bias_row, quantize_float16, shap_table
+
+        key = quantize or "exact"
+        if key not in self._explainers:
+            if quantize not in (None, "float16"):
+                raise ValueError("quantize must be None or 'float16'")
+            cm = self.compiled
+            if cm.n_cat:
+                raise ValueError(
+                    f"explanations do not support models with categorical features (model has {cm.n_cat} cat features)"
+                )
+            one = self.tables.only(self.model_id)
+            shap = shap_table(one)
+            if quantize == "float16":
+                shap = quantize_float16(shap)
+            shap = shap.cache()
+            rows = sorted(bias_row(one).collect(), key=lambda r: r["class_idx"])
+            bias = [r["bias"] for r in rows]
+            if quantize == "float16":
+                bias = [float(np.float32(b)) for b in bias]
+            self._explainers[key] = Explainer(cm, shap, bias)
+        return self._explainers[key]
+
+    def explain(
+        self,
+        df: DataFrame,
+        *,
+        plan: str = "dense",
+        keys: list[str] | None = None,
+        quantize: str | None = None,
+        out_col: str = "phi",
+        **inputs,
+    ) -> DataFrame:
+        """Append ``phi`` (K x F) and the nested, ranked ``explanation``."""
+        from ..operators import explain as X
+
+        ex = self.explainer(quantize)
+        if plan == "dense":
+            out = X.phi_dense(df, ex, out_col, **inputs)
+        elif plan == "relational":
+            if not keys:
+                raise ValueError("the relational plan needs unique key columns (keys=[...])")
+            out = X.phi_relational(df, ex, self.tables.splits, keys, out_col, **inputs)
+        else:
+            raise ValueError("plan must be 'dense' or 'relational'")
+        return out.withColumn("explanation", X.explanation(F.col(out_col), ex))
+
+    def has_explainer(self) -> bool:
+        """A SHAP table can be built (float-only model)."""
+        return self.compiled.n_cat == 0
+
     # ---- SQL surface (D14) ----
     def register_udf(self, spark: SparkSession, name: str | None = None, prediction_type: str = "raw_formula_val") -> str:
         """Register ``name(f1, .., fN[, c1, .., cM])`` returning ARRAY<DOUBLE>.
