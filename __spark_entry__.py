@@ -412,6 +412,188 @@ def _oracles_explain() -> dict[str, str]:
     }
 
 
+# ---------------------------------------------------------------------------
+# Sidecars, quantisation and checks
+# ---------------------------------------------------------------------------
+
+
+def _sidecar_model(spark, model_id: str):
+    """Pack the model's SHAP table, write it under the checkpoint folder, read it back."""
+    import uuid
+
+    from sylva.operators.treeshap import bias_row, shap_table
+    from sylva.session import checkpoint_dir
+    from sylva.sources import sidecar as SC
+
+    tables = catalog.tables(spark)
+    one = tables.only(model_id)
+    out = checkpoint_dir(spark).rstrip("/") + f"/sylva-sidecars-{uuid.uuid4().hex}"
+    SC.write_sidecar_files(SC.pack_sidecars(one, shap_table(one), bias_row(one)), out).collect()
+    return SC.read_sidecars(spark, out)
+
+
+def q_sidecar_explain(spark, sf):
+    from sylva.operators import explain as X
+
+    m = catalog.model(spark, "m1")
+    ex = X.sidecar_explainer(_sidecar_model(spark, "m1"), catalog.tables(spark), "m1")
+    out = X.phi_dense(orders_rows(spark, sf), ex)
+    return _phi_long(out, "o_orderkey", M1_FLOATS)
+
+
+def q_quantized_drift(spark, sf):
+    from sylva.operators.checks import max_abs_difference
+
+    m = catalog.model(spark, "m1")
+    rows = orders_rows(spark, sf)
+    exact = m.explain(rows).select("o_orderkey", F.flatten("phi").alias("pe"))
+    quant = m.explain(rows, quantize="float16").select("o_orderkey", F.flatten("phi").alias("pq"))
+    j = exact.join(quant, "o_orderkey")
+    return j.select("o_orderkey", (max_abs_difference(F.col("pe"), F.col("pq")) <= 5e-3).alias("within_tolerance"))
+
+
+def q_parity_report(spark, sf):
+    from sylva.operators.checks import parity_report
+
+    dense = q_score_raw(spark, sf)
+    rel = q_score_raw_relational(spark, sf)
+    return parity_report(dense, rel, ["o_orderkey", "class_idx"], "raw")
+
+
+def q_probability_checks(spark, sf):
+    from sylva.operators.checks import probabilities_valid
+
+    m1 = catalog.model(spark, "m1").predict_proba(orders_rows(spark, sf))
+    m3 = catalog.model(spark, "m3").predict_multi_proba(emb_rows(spark, sf), features="x")
+    a = m1.agg(F.lit("m1").alias("model_id"), F.count("*").alias("n_rows"),
+               F.count_if(probabilities_valid(F.col("prediction"), True)).alias("n_valid"))
+    b = m3.agg(F.lit("m3").alias("model_id"), F.count("*").alias("n_rows"),
+               F.count_if(probabilities_valid(F.col("prediction"), False)).alias("n_valid"))
+    return a.unionByName(b)
+
+
+def q_type_difference(spark, sf):
+    from sylva.operators.checks import max_abs_difference
+
+    m = catalog.model(spark, "m3")
+    soft = m.predict(emb_rows(spark, sf), "probability", features="x", out_col="soft")
+    both = m.predict(soft, "multi_probability", features="x", out_col="sig")
+    return both.select("vec_id", F.round(max_abs_difference(F.col("soft"), F.col("sig")), 6).alias("max_diff"))
+
+
+def q_contribution_checks(spark, sf):
+    from sylva.operators.checks import contributions_well_formed
+
+    m = catalog.model(spark, "m1")
+    ex = m.explain(orders_rows(spark, sf)).select(F.explode("explanation").alias("e"))
+    return ex.agg(
+        F.count("*").alias("n_rows"),
+        F.count_if(contributions_well_formed(F.col("e.contributions"), len(M1_FLOATS))).alias("n_well_formed"),
+    )
+
+
+# ---------------------------------------------------------------------------
+# Data preparation (F1-F8) and streaming
+# ---------------------------------------------------------------------------
+
+
+def _label_counts(spark, sf):
+    from sylva.functions.links import threshold_labels
+    from sylva.operators.sampling import label_count
+
+    m = catalog.model(spark, "m3")
+    p = m.predict_multi_proba(emb_rows(spark, sf), features="x")
+    return p.select("vec_id", label_count(threshold_labels(F.col("prediction"), 0.5)).alias("label_count"))
+
+
+def q_label_count(spark, sf):
+    return _label_counts(spark, sf)
+
+
+def q_probe_per_bucket(spark, sf):
+    from sylva.operators.sampling import first_n_per_bucket
+
+    return first_n_per_bucket(_label_counts(spark, sf), "label_count", "vec_id", 3)
+
+
+def q_label_coverage(spark, sf):
+    from sylva.operators.checks import label_count_coverage
+
+    return label_count_coverage(_label_counts(spark, sf), "label_count")
+
+
+def q_stride_sample(spark, sf):
+    from sylva.operators.sampling import probe_rows
+
+    rows = probe_rows(orders_rows(spark, sf), "o_orderkey", stride=10, ranges=[(1, 40), (1000, 1010)])
+    return _long(catalog.model(spark, "m1").raw(rows), "o_orderkey", "raw", "raw")
+
+
+def q_synthetic_rows(spark, sf):
+    from sylva.operators.sampling import synthetic_churn
+
+    return synthetic_churn(spark.read.parquet(f"{sf}/orders.parquet"), "o_orderkey")
+
+
+def q_streaming_score(spark, sf):
+    from sylva.streaming.score_stream import run_available_now, score_stream
+
+    schema = spark.read.parquet(f"{sf}/orders.parquet").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "orders.parquet").parquet(sf)
+    c = spark.read.parquet(f"{sf}/customer.parquet")
+    rows = stream.join(c, stream.o_custkey == c.c_custkey).select(
+        "o_orderkey", "o_totalprice", "c_acctbal", "c_nationkey", F.month("o_orderdate").alias("o_month")
+    )
+    out = run_available_now(score_stream(rows, catalog.model(spark, "m1")).select("o_orderkey", "prediction"), spark, "score")
+    return _long(spark.read.parquet(out), "o_orderkey", "prediction", "raw")
+
+
+def _hash_sql(draw: int, seed: int = 1337) -> str:
+    from sylva.operators.sampling import _MULTIPLIERS
+
+    m = _MULTIPLIERS[draw % len(_MULTIPLIERS)]
+    c = seed * 7919 + draw * 104729
+    return f"(CAST(((o_orderkey % 2147483648) * {m} + {c}) % 4294967296 AS DOUBLE) / 4294967296.0)"
+
+
+def _oracles_more() -> dict[str, str]:
+    m1 = O.with_clause(O.scoring_ctes("m1", ORDERS_ROWS_SQL, F4))
+    m3 = O.with_clause(O.scoring_ctes("m3", EMB_ROWS_SQL, [f"f{i}" for i in range(6)]))
+    label_counts = (
+        "lc AS (SELECT row_key AS vec_id, CAST(SUM(CAST(1.0 / (1.0 + EXP(-raw)) >= 0.5 AS INTEGER)) AS INTEGER) AS label_count "
+        "FROM raw GROUP BY row_key) "
+    )
+    tier = f"['free', 'pro', 'premium'][CAST(FLOOR({_hash_sql(0)} * 3) AS INTEGER) + 1]"
+    region = f"['US', 'EU', 'APAC'][CAST(FLOOR({_hash_sql(1)} * 3) AS INTEGER) + 1]"
+    tenure = f"({_hash_sql(2)} * 60.0)"
+    spend = f"({_hash_sql(3)} * 200.0)"
+    noise = f"(({_hash_sql(4)} + {_hash_sql(5)} + {_hash_sql(6)} - 1.5) * 0.2)"
+    score = (
+        f"(CASE WHEN {tier} = 'free' THEN 0.4 ELSE 0.0 END + CASE WHEN {region} = 'APAC' THEN 0.2 ELSE 0.0 END "
+        f"+ CASE WHEN {spend} < 20 THEN 0.3 ELSE 0.0 END - CASE WHEN {tenure} > 24 THEN 0.25 ELSE 0.0 END + {noise})"
+    )
+    label = f"CAST({score} > 0.35 AS INTEGER)"
+    return {
+        "quantized_drift": "SELECT o.o_orderkey, TRUE AS within_tolerance FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey",
+        "parity_report": "SELECT COUNT(*) * 3 AS n_rows, CAST(0 AS BIGINT) AS only_left, CAST(0 AS BIGINT) AS only_right, "
+        "CAST(0 AS BIGINT) AS over_tolerance, CAST(0.0 AS DOUBLE) AS max_abs_diff FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey",
+        "probability_checks": "SELECT 'm1' AS model_id, COUNT(*) AS n_rows, COUNT(*) AS n_valid FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey "
+        "UNION ALL SELECT 'm3', COUNT(*), COUNT(*) FROM embeddings",
+        "type_difference": m3.rstrip("\n") + ",\n" + SOFTMAX_SQL
+        + "SELECT row_key AS vec_id, ROUND(MAX(ABS(e / tot - 1.0 / (1.0 + EXP(-raw)))), 6) AS max_diff FROM se GROUP BY row_key",
+        "contribution_checks": "SELECT COUNT(*) * 3 AS n_rows, COUNT(*) * 3 AS n_well_formed FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey",
+        "label_count": m3.rstrip("\n") + ",\n" + label_counts + "SELECT vec_id, label_count FROM lc",
+        "probe_per_bucket": m3.rstrip("\n") + ",\n" + label_counts
+        + "SELECT vec_id, label_count FROM (SELECT vec_id, label_count, ROW_NUMBER() OVER (PARTITION BY label_count ORDER BY vec_id) AS rn FROM lc) WHERE rn <= 3",
+        "label_coverage": m3.rstrip("\n") + ",\n" + label_counts + "SELECT COUNT(DISTINCT label_count) AS distinct_label_counts FROM lc",
+        "stride_sample": O.with_clause(O.scoring_ctes("m1", ORDERS_ROWS_SQL + " WHERE o.o_orderkey % 10 = 0 OR o.o_orderkey BETWEEN 1 AND 40 OR o.o_orderkey BETWEEN 1000 AND 1010", F4))
+        + "SELECT row_key AS o_orderkey, class_idx, raw FROM raw",
+        "synthetic_rows": f"SELECT o_orderkey, ROUND({tenure}, 6) AS tenure_months, ROUND({spend}, 6) AS monthly_spend, "
+        f"{tier} AS tier, {region} AS region, {label} AS label, ['stay', 'churn'][{label} + 1] AS label_name FROM orders",
+        "streaming_score": _raw_oracle("m1", ORDERS_ROWS_SQL, F4),
+    }
+
+
 # ---------------------------------------------------------------------------
 # Contract
 # ---------------------------------------------------------------------------
@@ -448,6 +630,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "explain_relational": q_explain_relational,
         "explain_ranked": q_explain_ranked,
         "shap_additivity": q_shap_additivity,
+        "sidecar_explain": q_sidecar_explain,
+        "quantized_drift": q_quantized_drift,
+        "parity_report": q_parity_report,
+        "probability_checks": q_probability_checks,
+        "type_difference": q_type_difference,
+        "contribution_checks": q_contribution_checks,
+        "label_count": q_label_count,
+        "probe_per_bucket": q_probe_per_bucket,
+        "label_coverage": q_label_coverage,
+        "stride_sample": q_stride_sample,
+        "synthetic_rows": q_synthetic_rows,
+        "streaming_score": q_streaming_score,
     }
 
 
@@ -455,4 +649,5 @@ def oracle_sql() -> dict[str, str]:
     out = {}
     out.update(_oracles_scoring())
     out.update(_oracles_explain())
+    out.update(_oracles_more())
     return out

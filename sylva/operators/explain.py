@@ -183,3 +183,40 @@ def explanation(phi: Column, explainer: Explainer) -> Column:
         )
 
     return F.transform(F.sequence(F.lit(0), F.lit(explainer.model.dims - 1)), per_class)
+
+
+def sidecar_explainer(sidecars, tables, model_id: str) -> Explainer:
+    """An explainer whose leaf walk and table come from a decoded sidecar.
+
+    The sidecar's own splits and borders decide the leaf (as its readers do);
+    names and class labels come from the paired model. A sidecar can be shared
+    by several models: pass the model id to pair it with.
+    """
+    from ..plans.compiled import compile_model
+    from ..sources.sidecar import compatibility
+
+    bad = compatibility(sidecars, tables).filter((F.col("model_id") == model_id) & ~F.col("compatible")).collect()
+    if bad:
+        raise ValueError(f"sidecar does not match model {model_id!r}: {bad[0]['reason']}")
+    model = compile_model(tables, model_id)
+    head = sidecars.headers.filter(F.col("model_id") == model_id).collect()
+    if not head:
+        raise KeyError(f"no sidecar for model {model_id!r}")
+    h = head[0]
+    splits = sidecars.splits.filter(F.col("model_id") == model_id).select("tree", "level", "feature", "border").collect()
+    feat = np.zeros((h["n_trees"], h["depth"]), dtype=np.int32)
+    border = np.full((h["n_trees"], h["depth"]), np.inf, dtype=np.float32)
+    for r in splits:
+        feat[r["tree"], r["level"]] = r["feature"]
+        border[r["tree"], r["level"]] = r["border"]
+    from dataclasses import replace
+
+    walk = replace(
+        model,
+        feat=feat,
+        border=border,
+        depth=np.full(h["n_trees"], h["depth"], dtype=np.int32),
+        leaf_values=np.zeros((h["n_trees"], 1 << h["depth"], h["n_classes"])),
+        virtual=[("float", i) for i in range(model.n_float)],
+    )
+    return Explainer(walk, sidecars.shap, list(h["bias"]), shap_id=model_id)
