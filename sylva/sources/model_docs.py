@@ -119,7 +119,7 @@ class ModelTables:
 
 def read_model_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """A1: read model documents from files; ``model_id`` defaults to the file stem."""
-    schema = MODEL_SCHEMA.add(T.StructField(CORRUPT, T.StringType()))
+    schema = T.StructType(MODEL_SCHEMA.fields + [T.StructField(CORRUPT, T.StringType())])
     raw = (
         spark.read.schema(schema)
         .option("multiLine", True)
