@@ -120,21 +120,24 @@ def phi_relational(
     from ..functions.features import _float_input, source_columns
 
     m = explainer.model
-    fsrc, _, labels = source_columns(df, m, **{k: v for k, v in inputs.items() if k in ("features", "row_map", "strict")})
+    rows = S.partition_by_keys(df, keys)
+    fsrc, _, labels = source_columns(rows, m, **{k: v for k, v in inputs.items() if k in ("features", "row_map", "strict")})
     null_mode = inputs.get("null_mode", "zero")
     nan_mode = inputs.get("nan_mode", "min")
     fl = [_float_input(c, labels[i], null_mode, nan_mode) for i, c in enumerate(fsrc)]
-    rows = df.repartition(*keys)
-    long = S.unpivot_inputs(rows, keys, {m.model_id: (fl, [])})
+    long = S.unpivot_inputs(rows, keys, [(fl, [], [])])
     n_split_rows = m.n_trees * m.max_depth
     sp = splits.filter(F.col("model_id") == m.model_id)
     sp = F.broadcast(sp) if n_split_rows <= MAX_DENSE_VALUES else sp
-    leaf_rows = S.leaf_index_relational(long, keys, sp, None)
-    shap = explainer.shap.filter(F.col("model_id") == explainer.shap_id).withColumn("model_id", F.lit(m.model_id))
+    leaf_rows = S.leaf_index_relational(long, keys, sp, [m.model_id])
+    shap = explainer.shap.filter(F.col("model_id") == explainer.shap_id).select(
+        S.leaf_key(F.lit(0), F.col("tree"), F.col("leaf")).alias("lkey"), "feature", "phi"
+    )
     n_shap = m.n_trees * (1 << m.max_depth) * max(1, m.max_depth)
     shap = F.broadcast(shap) if n_shap <= MAX_DENSE_VALUES else shap
     per = (
-        leaf_rows.join(shap, ["model_id", "tree", "leaf"])
+        leaf_rows.select(*keys, S.leaf_key(F.col("model_idx"), F.col("tree"), F.col("leaf")).alias("lkey"))
+        .join(shap, "lkey")
         .select(*keys, "feature", F.posexplode("phi").alias("class_idx", "v"))
         .groupBy(*keys, "class_idx", "feature")
         .agg(F.sum("v").alias("v"))

@@ -116,109 +116,114 @@ def leaf_index_dense(df: DataFrame, model: CompiledModel, vcols: list[str], out_
 # ----------------------------------------------------------------------------
 
 
-def _long_inputs(model_id: str, floats: list[Column], cats: list[Column]) -> list[Column]:
-    """One struct per model input: (model_id, kind, idx, x, s)."""
-    out = []
-    for i, c in enumerate(floats):
-        out.append(
-            F.struct(
-                F.lit(model_id).alias("model_id"),
-                F.lit("float").alias("kind"),
-                F.lit(i).alias("idx"),
-                c.cast("float").alias("x"),
-                F.lit(None).cast("string").alias("s"),
-            )
-        )
-    for j, c in enumerate(cats):
-        out.append(
-            F.struct(
-                F.lit(model_id).alias("model_id"),
-                F.lit("cat").alias("kind"),
-                F.lit(j).alias("idx"),
-                F.lit(None).cast("float").alias("x"),
-                c.cast("string").alias("s"),
-            )
+# Input kinds in the long form: float feature, category, target statistic.
+KIND_FLOAT, KIND_CAT, KIND_STAT = 0, 1, 2
+
+
+def slot_key(model_idx: Column, kind: Column, idx: Column) -> Column:
+    """One BIGINT join key for (model, input kind, index): Spark's fast single-long hash join."""
+    return model_idx.cast("long") * F.lit(1 << 32) + kind.cast("long") * F.lit(1 << 24) + idx.cast("long")
+
+
+def leaf_key(model_idx: Column, tree: Column, leaf: Column) -> Column:
+    """One BIGINT key for (model, tree, leaf)."""
+    return model_idx.cast("long") * F.lit(1 << 40) + tree.cast("long") * F.lit(1 << 20) + leaf.cast("long")
+
+
+def model_index(ids: list[str]) -> Column:
+    """model_id -> its position in ``ids`` (a literal map; one entry per model)."""
+    return F.element_at(F.create_map(*[x for i, m in enumerate(ids) for x in (F.lit(m), F.lit(i))]), F.col("model_id"))
+
+
+def _long_inputs(
+    model_idx: int, floats: list[Column], cats: list[Column], stats: list[tuple[int, Column]] | None = None
+) -> list[Column]:
+    """One struct per model input: (slot, model_idx, x, s)."""
+
+    def entry(kind: int, idx: int, x: Column | None, s: Column | None) -> Column:
+        return F.struct(
+            F.lit((model_idx << 32) + (kind << 24) + idx).cast("long").alias("slot"),
+            F.lit(model_idx).alias("model_idx"),
+            (x if x is not None else F.lit(None)).cast("float").alias("x"),
+            (s if s is not None else F.lit(None)).cast("string").alias("s"),
         )
+
+    out = [entry(KIND_FLOAT, i, c, None) for i, c in enumerate(floats)]
+    out += [entry(KIND_CAT, j, None, c) for j, c in enumerate(cats)]
+    out += [entry(KIND_STAT, sid, c, None) for sid, c in stats or []]
     return out
 
 
-def unpivot_inputs(df: DataFrame, keys: list[str], inputs: dict[str, tuple[list[Column], list[Column]]]) -> DataFrame:
-    """Rows -> (model_id, keys..., kind, idx, x, s), one row per model input.
+def partition_by_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Hash-partition rows on their key once, before the in-partition expansion.
 
-    ``inputs`` maps model id -> (float columns, cat columns), already cast and
-    null-handled. One generator for all models keeps the row partitioning.
+    The partition count is explicit (at least ``spark.sql.shuffle.partitions``
+    and at least the input's), so adaptive execution does not fold the
+    shuffle into a few partitions: each input row expands to trees x depth
+    rows afterwards, so size before the expansion says nothing.
     """
-    structs = [s for mid, (fl, cl) in inputs.items() for s in _long_inputs(mid, fl, cl)]
-    return df.select(*keys, F.explode(F.array(*structs)).alias("__i")).select(*keys, "__i.*")
+    spark = df.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions())
+    return df.repartition(n, *keys)
 
 
-def leaf_index_relational(
-    long: DataFrame, keys: list[str], splits: DataFrame, target_stats: DataFrame | None = None
+def unpivot_inputs(
+    df: DataFrame, keys: list[str], inputs: list[tuple[list[Column], list[Column], list[tuple[int, Column]]]]
 ) -> DataFrame:
-    """D1, relational: (model_id, keys..., tree, leaf).
+    """Rows -> (keys..., slot, model_idx, x, s), one row per model input.
 
-    ``splits`` and ``target_stats`` are model tables; the caller hints them
-    for broadcast after checking their size. ``target_stats`` may be None when
-    no model in the set has target-statistic splits.
+    ``inputs[i]`` holds model i's (float columns, cat columns, [(stat id,
+    statistic column)]), already cast and null-handled. One generator for all
+    models keeps the row partitioning.
     """
-    s = splits.select(
-        "model_id",
-        F.when(F.col("split_type") == "float", F.lit("float")).otherwise(F.lit("cat")).alias("kind"),
-        F.col("feature").alias("idx"),
+    structs = [s for i, parts in enumerate(inputs) for s in _long_inputs(i, *parts)]
+    return df.select(*keys, F.explode(F.array(*structs)).alias("__i")).select(*keys, "__i.*")
+
+
+def leaf_index_relational(long: DataFrame, keys: list[str], splits: DataFrame, ids: list[str]) -> DataFrame:
+    """D1, relational: (model_idx, keys..., tree, leaf).
+
+    ``splits`` is the model table, broadcast-hinted by the caller after its
+    size is checked. Target statistics arrive already looked up per row, so
+    every test is a compare on the joined row.
+    """
+    kind = (
+        F.when(F.col("split_type") == "float", F.lit(KIND_FLOAT))
+        .when(F.col("split_type") == "onehot", F.lit(KIND_CAT))
+        .otherwise(F.lit(KIND_STAT))
+    )
+    idx = F.when(F.col("split_type") == "target_stat", F.col("stat_id")).otherwise(F.col("feature"))
+    s = splits.filter(F.col("model_id").isin(ids)).select(
+        slot_key(model_index(ids), kind, idx).alias("slot"),
+        (kind == KIND_CAT).alias("is_cat"),
         "tree",
         "level",
-        "split_type",
         "border",
         "value",
-        "stat_id",
-    )
-    j = long.join(s, ["model_id", "kind", "idx"])
-    float_bit = ~F.isnan("x") & (F.col("x") > F.col("border"))
-    onehot_bit = F.col("s") == F.col("value")
-    if target_stats is not None:
-        ts = target_stats.select(
-            F.col("model_id").alias("__tmid"),
-            F.col("stat_id").alias("__sid"),
-            F.col("key").alias("__key"),
-            F.col("value").alias("__tsv"),
-            F.col("prior_value").alias("__prior"),
-        )
-        priors = ts.groupBy("__tmid", "__sid").agg(F.first("__prior").alias("__p"))
-        j = j.join(
-            ts.drop("__prior"),
-            (j["model_id"] == ts["__tmid"]) & (j["stat_id"] == ts["__sid"]) & (j["s"] == ts["__key"]),
-            "left",
-        ).drop("__tmid", "__sid", "__key")
-        j = j.join(
-            F.broadcast(priors.withColumnsRenamed({"__tmid": "__pmid", "__sid": "__psid"})),
-            (F.col("model_id") == F.col("__pmid")) & (F.col("stat_id") == F.col("__psid")),
-            "left",
-        )
-        stat_x = F.coalesce(F.col("__tsv"), F.col("__p")).cast("float")
-        stat_bit = ~F.isnan(stat_x) & (stat_x > F.col("border"))
-    else:
-        stat_bit = F.lit(False)
-    bit = (
-        F.when(F.col("split_type") == "float", float_bit)
-        .when(F.col("split_type") == "onehot", onehot_bit)
-        .otherwise(stat_bit)
     )
-    return j.groupBy("model_id", *keys, "tree").agg(
+    j = long.join(s, "slot")
+    bit = F.when(F.col("is_cat"), F.col("s") == F.col("value")).otherwise(~F.isnan("x") & (F.col("x") > F.col("border")))
+    return j.groupBy("model_idx", *keys, "tree").agg(
         F.sum(F.when(bit, pow2(F.col("level"))).otherwise(0)).cast("int").alias("leaf")
     )
 
 
-def raw_relational(leaf_rows: DataFrame, keys: list[str], leaves: DataFrame, models: DataFrame) -> DataFrame:
+def raw_relational(leaf_rows: DataFrame, keys: list[str], leaves: DataFrame, models: DataFrame, ids: list[str]) -> DataFrame:
     """D2, relational: (model_id, keys..., class_idx, raw) in long form."""
-    lv = leaves.select("model_id", "tree", "leaf", "values")
+    lv = leaves.filter(F.col("model_id").isin(ids)).select(
+        leaf_key(model_index(ids), F.col("tree"), F.col("leaf")).alias("lkey"), "values"
+    )
     per_class = (
-        leaf_rows.join(lv, ["model_id", "tree", "leaf"])
-        .select("model_id", *keys, F.posexplode("values").alias("class_idx", "v"))
-        .groupBy("model_id", *keys, "class_idx")
+        leaf_rows.select("model_idx", *keys, leaf_key(F.col("model_idx"), F.col("tree"), F.col("leaf")).alias("lkey"))
+        .join(lv, "lkey")
+        .select("model_idx", *keys, F.posexplode("values").alias("class_idx", "v"))
+        .groupBy("model_idx", *keys, "class_idx")
         .agg(F.sum("v").alias("s"))
     )
-    m = F.broadcast(models.select("model_id", "scale", "bias"))
-    return per_class.join(m, "model_id").select(
+    m = F.broadcast(
+        models.filter(F.col("model_id").isin(ids)).select(model_index(ids).alias("model_idx"), "model_id", "scale", "bias")
+    )
+    return per_class.join(m, "model_idx").select(
         "model_id",
         *keys,
         F.col("class_idx").cast("int").alias("class_idx"),

@@ -32,12 +32,12 @@ def checked_broadcast(df: DataFrame, bound_rows: int, max_rows: int = MAX_DENSE_
 def model_size_bound(tables: ModelTables, model_ids: list[str] | None = None) -> int:
     """Upper bound on rows of splits/leaves (and leaf values) for a set of models."""
     m = tables.models if model_ids is None else tables.models.filter(F.col("model_id").isin(model_ids))
-    row = m.agg(
-        F.sum(F.col("n_trees") * F.pow(F.lit(2), F.col("max_depth")) * F.col("dims")).alias("values")
-    ).collect()[0]
     stats = tables.target_stats if model_ids is None else tables.target_stats.filter(F.col("model_id").isin(model_ids))
-    n_stats = stats.count()
-    return int(max(row["values"] or 0, n_stats))
+    sizes = m.select(
+        F.lit("values").alias("what"), (F.col("n_trees") * F.pow(F.lit(2), F.col("max_depth")) * F.col("dims")).alias("n")
+    ).unionByName(stats.select(F.lit("stats").alias("what"), F.lit(1.0).alias("n")))
+    got = {r["what"]: r["n"] for r in sizes.groupBy("what").agg(F.sum("n").alias("n")).collect()}
+    return int(max(got.get("values", 0), got.get("stats", 0)))
 
 
 class Model:
@@ -303,40 +303,63 @@ def score_many(
     dense bound; otherwise Spark picks the join.
     """
     bound = model_size_bound(tables, model_ids)
-    inputs = {}
-    has_stats = False
+    rows = S.partition_by_keys(df, keys)
+    inputs = []
+    metas = _light_metas(tables, model_ids)
     for mid in model_ids:
-        meta = _light_meta(tables, mid)
+        meta = metas[mid]
         fsrc, csrc, labels = source_columns(
-            df, meta, features=features, cat_features=cat_features, row_map=row_map, strict=strict
+            rows, meta, features=features, cat_features=cat_features, row_map=row_map, strict=strict
         )
         fl = [_float_input(c, labels[i], null_mode, nan_mode) for i, c in enumerate(fsrc)]
         cl = [_cat_input(c, null_mode, labels[len(fsrc) + j]) for j, c in enumerate(csrc)]
-        inputs[mid] = (fl, cl)
-        has_stats = has_stats or bool(meta.n_cat)
-    rows = df.repartition(*keys)
+        stat_cols = []
+        for sid, cat_index, prior in meta.stats:
+            # One broadcast lookup per input row and statistic (not per split).
+            key_col, val_col = f"__k_{mid}_{sid}", f"__s_{mid}_{sid}"
+            table = tables.target_stats.filter((F.col("model_id") == mid) & (F.col("stat_id") == sid)).select(
+                F.col("key").alias(key_col), F.col("value").alias(val_col)
+            )
+            cat_col = f"__c_{mid}_{sid}"
+            rows = rows.withColumn(cat_col, cl[cat_index])
+            rows = rows.join(checked_broadcast(table, bound), F.col(cat_col) == F.col(key_col), "left").drop(key_col, cat_col)
+            stat_cols.append((sid, F.coalesce(F.col(val_col), F.lit(prior))))
+        inputs.append((fl, cl, stat_cols))
     long = S.unpivot_inputs(rows, keys, inputs)
     sel = F.col("model_id").isin(model_ids)
     splits = checked_broadcast(tables.splits.filter(sel), bound)
-    stats = checked_broadcast(tables.target_stats.filter(sel), bound) if has_stats else None
-    leaf_rows = S.leaf_index_relational(long, keys, splits, stats)
+    leaf_rows = S.leaf_index_relational(long, keys, splits, model_ids)
     leaves = checked_broadcast(tables.leaves.filter(sel), bound)
-    return S.raw_relational(leaf_rows, keys, leaves, tables.models.filter(sel))
+    return S.raw_relational(leaf_rows, keys, leaves, tables.models, model_ids)
 
 
 class _Meta:
     """Feature names of a model without collecting its trees."""
 
-    def __init__(self, model_id: str, float_names: list[str], cat_names: list[str]):
+    def __init__(self, model_id: str, float_names: list[str], cat_names: list[str], stats: list[tuple[int, int, float]]):
         self.model_id = model_id
+        self.stats = stats
         self.float_names = float_names
         self.cat_names = cat_names
         self.n_float = len(float_names)
         self.n_cat = len(cat_names)
 
 
-def _light_meta(tables: ModelTables, model_id: str) -> _Meta:
-    rows = tables.features.filter(F.col("model_id") == model_id).select("name", "kind", "kind_index").collect()
-    fl = [r["name"] for r in sorted((r for r in rows if r["kind"] == "float"), key=lambda r: r["kind_index"])]
-    cl = [r["name"] for r in sorted((r for r in rows if r["kind"] == "cat"), key=lambda r: r["kind_index"])]
-    return _Meta(model_id, fl, cl)
+def _light_metas(tables: ModelTables, model_ids: list[str]) -> dict[str, _Meta]:
+    """Feature names and target statistics of several models, in two small jobs."""
+    sel = F.col("model_id").isin(model_ids)
+    feats = tables.features.filter(sel).select("model_id", "name", "kind", "kind_index").collect()
+    stats = (
+        tables.target_stats.filter(sel)
+        .groupBy("model_id", "stat_id", "cat_index")
+        .agg(F.first("prior_value").alias("prior"))
+        .collect()
+    )
+    out = {}
+    for mid in model_ids:
+        rows = [r for r in feats if r["model_id"] == mid]
+        fl = [r["name"] for r in sorted((r for r in rows if r["kind"] == "float"), key=lambda r: r["kind_index"])]
+        cl = [r["name"] for r in sorted((r for r in rows if r["kind"] == "cat"), key=lambda r: r["kind_index"])]
+        st = sorted((r["stat_id"], r["cat_index"], r["prior"]) for r in stats if r["model_id"] == mid)
+        out[mid] = _Meta(mid, fl, cl, st)
+    return out
