@@ -109,6 +109,33 @@ def source_columns(
     return [F.col(n) for n in model.float_names], [F.col(n) for n in model.cat_names], model.float_names + model.cat_names
 
 
+def prune(
+    df: DataFrame,
+    model,
+    keep: list[str] | None,
+    *,
+    features: str | None = None,
+    cat_features: str | None = None,
+    row_map: str | None = None,
+    **_: object,
+) -> DataFrame:
+    """Keep only ``keep`` plus the model's inputs, before the Arrow step.
+
+    Columns cannot be pruned through a Python step, so selecting here is what
+    lets the Parquet scan read only what the model needs.
+    """
+    if keep is None:
+        return df
+    if features is not None:
+        need = [features] + ([cat_features] if cat_features else [])
+    elif row_map is not None:
+        need = [row_map]
+    else:
+        need = list(model.float_names) + list(model.cat_names)
+    cols = list(dict.fromkeys(list(keep) + [c for c in need if c in df.columns]))
+    return df.select(*cols)
+
+
 def map_row_checks(row_map: str, model: CompiledModel) -> Column:
     """C2-C4 for map rows: a failing expression for unknown or missing keys."""
     names = F.array(*[F.lit(n) for n in model.float_names + model.cat_names])

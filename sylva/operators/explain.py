@@ -158,34 +158,41 @@ def phi_relational(
 
 
 def explanation(phi: Column, explainer: Explainer) -> Column:
-    """ARRAY<STRUCT<class, raw, bias, contributions ARRAY<STRUCT<name, feature, phi>>>>.
+    """ARRAY<STRUCT<class, raw, bias, contributions ARRAY<STRUCT<order_key, feature, name, phi>>>>.
 
-    Contributions are ranked by |phi| descending, ties by feature index.
+    Contributions are ranked by |phi| descending, ties by feature index: each
+    entry leads with ``order_key = -|phi|`` so the built-in ``sort_array``
+    orders them. K and F are fixed by the model, so the structure is unrolled
+    into per-element expressions (compiled by whole-stage codegen).
     """
-    names = F.array(*[F.lit(n) for n in explainer.feature_names])
-    classes = F.array(*[F.lit(c) for c in explainer.class_names])
-    bias = F.array(*[F.lit(b) for b in explainer.bias])
-
-    def per_class(k: Column) -> Column:
-        row = F.element_at(phi, k + 1)
-        pairs = F.transform(
-            row, lambda v, i: F.struct(F.element_at(names, i + 1).alias("name"), i.alias("feature"), v.alias("phi"))
+    n_f = len(explainer.feature_names)
+
+    def per_class(k: int) -> Column:
+        row = phi[k]
+        items = [row[i] for i in range(n_f)]
+        pairs = F.array(
+            *[
+                F.struct(
+                    (-F.abs(v)).alias("order_key"),
+                    F.lit(i).alias("feature"),
+                    F.lit(explainer.feature_names[i]).alias("name"),
+                    v.alias("phi"),
+                )
+                for i, v in enumerate(items)
+            ]
         )
-        ranked = F.array_sort(
-            pairs,
-            lambda a, b: F.when(F.abs(a["phi"]) > F.abs(b["phi"]), -1)
-            .when(F.abs(a["phi"]) < F.abs(b["phi"]), 1)
-            .otherwise(a["feature"] - b["feature"]),
-        )
-        b = F.element_at(bias, k + 1)
+        total = items[0]
+        for v in items[1:]:
+            total = total + v
+        b = F.lit(explainer.bias[k])
         return F.struct(
-            F.element_at(classes, k + 1).alias("class"),
-            (F.aggregate(row, F.lit(0.0), lambda acc, v: acc + v) + b).alias("raw"),
+            F.lit(explainer.class_names[k]).alias("class"),
+            (total + b).alias("raw"),
             b.alias("bias"),
-            ranked.alias("contributions"),
+            F.sort_array(pairs).alias("contributions"),
         )
 
-    return F.transform(F.sequence(F.lit(0), F.lit(explainer.model.dims - 1)), per_class)
+    return F.array(*[per_class(k) for k in range(explainer.model.dims)])
 
 
 def sidecar_explainer(sidecars, tables, model_id: str) -> Explainer:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import links
-from ..functions.features import _cat_input, _float_input, assemble, source_columns
+from ..functions.features import _cat_input, _float_input, assemble, prune, source_columns
 from ..operators import score as S
 from ..sources.model_docs import ModelTables, load_model_texts, load_models
 from .compiled import MAX_DENSE_VALUES, CompiledModel, ModelTooLarge, compile_model
@@ -87,9 +87,23 @@ class Model:
         except ModelTooLarge:
             return "relational"
 
-    def raw(self, df: DataFrame, *, plan: str = "auto", keys: list[str] | None = None, out_col: str = "raw", **inputs) -> DataFrame:
-        """Append the K raw scores as ``out_col ARRAY<DOUBLE>``."""
+    def raw(
+        self,
+        df: DataFrame,
+        *,
+        plan: str = "auto",
+        keys: list[str] | None = None,
+        out_col: str = "raw",
+        keep: list[str] | None = None,
+        **inputs,
+    ) -> DataFrame:
+        """Append the K raw scores as ``out_col ARRAY<DOUBLE>``.
+
+        ``keep`` limits the carried columns (plus the model's inputs), which
+        prunes the scan; by default every column of ``df`` is carried.
+        """
         if self._plan(plan) == "dense":
+            df = prune(df, self.compiled, keep, **inputs)
             assembled, vcols = assemble(df, self.compiled, self.tables.target_stats, **inputs)
             return S.score_dense(assembled, self.compiled, vcols, out_col)
         if not keys:
@@ -117,6 +131,7 @@ class Model:
         out_col: str = "prediction",
         plan: str = "auto",
         keys: list[str] | None = None,
+        keep: list[str] | None = None,
         **inputs,
     ) -> DataFrame:
         """One of the seven prediction types as ``out_col ARRAY<DOUBLE>``."""
@@ -124,7 +139,7 @@ class Model:
         cm = self.compiled if self._plan(plan) == "dense" else None
         dims, loss = self._dims_loss(cm)
         link = links.apply_link(F.col("__raw"), ptype, dims, loss)  # plan-time type check
-        scored = self.raw(df, plan=plan, keys=keys, out_col="__raw", **inputs)
+        scored = self.raw(df, plan=plan, keys=keys, out_col="__raw", keep=keep, **inputs)
         return scored.withColumn(out_col, link).drop("__raw")
 
     def _dims_loss(self, cm: CompiledModel | None) -> tuple[int, str | None]:
@@ -182,12 +197,14 @@ class Model:
         keys: list[str] | None = None,
         quantize: str | None = None,
         out_col: str = "phi",
+        keep: list[str] | None = None,
         **inputs,
     ) -> DataFrame:
         """Append ``phi`` (K x F) and the nested, ranked ``explanation``."""
         from ..operators import explain as X
 
         ex = self.explainer(quantize)
+        df = prune(df, self.compiled, keep, **inputs)
         if plan == "dense":
             out = X.phi_dense(df, ex, out_col, **inputs)
         elif plan == "relational":

@@ -347,3 +347,30 @@ def compatibility(sidecars: SidecarTables, tables: ModelTables) -> DataFrame:
 def write_shap_parquet(shap: DataFrame, out_dir: str) -> None:
     """Primary sink: the long SHAP table as Parquet, one folder per model."""
     shap.write.mode("overwrite").partitionBy("model_id").parquet(out_dir)
+
+
+def export_sidecars(spark: SparkSession, model_path: str, output_dir: str | None = None) -> DataFrame:
+    """A10: model documents under ``model_path`` -> one sidecar file per float-only model.
+
+    The default output folder is the models' own folder; files are named
+    ``<model_id>.shap.cbshap``. Returns (model_id, path, n_bytes).
+    """
+    from ..operators.treeshap import bias_row, shap_table
+    from .model_docs import load_models
+
+    tables = load_models(spark, model_path, on_error="raise")
+    out = output_dir or (model_path if not model_path.endswith(".json") else os.path.dirname(model_path))
+    packed = pack_sidecars(tables, shap_table(tables), bias_row(tables))
+
+    def write(it):
+        for pdf in it:
+            paths = []
+            for mid, data in zip(pdf["model_id"], pdf["sidecar"]):
+                os.makedirs(out, exist_ok=True)
+                p = os.path.join(out, f"{mid}.shap.cbshap")
+                with open(p, "wb") as fh:
+                    fh.write(bytes(data))
+                paths.append(p)
+            yield pd.DataFrame({"model_id": pdf["model_id"], "path": paths, "n_bytes": pdf["n_bytes"]})
+
+    return packed.mapInPandas(write, "model_id string, path string, n_bytes long")

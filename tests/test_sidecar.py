@@ -63,3 +63,19 @@ def test_roundtrip_and_explain(spark, tables, orders):
     wrong = SC.SidecarTables(st.headers.withColumn("model_id", F.lit("m5")), st.splits, st.shap, st.rejected)
     with pytest.raises(ValueError, match="does not match"):
         X.sidecar_explainer(wrong, tables, "m5")
+
+
+def test_export_from_model_documents(spark):
+    import shutil
+
+    from sylva.fixtures import model_path
+
+    folder = tempfile.mkdtemp(prefix="sylva-export-")
+    for mid in ("m4", "m5"):
+        shutil.copy(model_path(mid), folder)
+    written = {r["model_id"]: r for r in SC.export_sidecars(spark, folder).collect()}
+    assert set(written) == {"m4", "m5"}
+    assert written["m4"]["path"].endswith("m4.shap.cbshap")
+    st = SC.read_sidecars(spark, folder)
+    h = {r["model_id"]: r for r in st.headers.collect()}
+    assert h["m5"]["n_classes"] == 2 and h["m5"]["n_trees"] == 20 and h["m5"]["depth"] == 3
