@@ -114,6 +114,14 @@ def q_score_many_models(spark, sf):
     )
 
 
+def q_score_many_models_dense(spark, sf):
+    from sylva.plans.model import score_many_dense
+
+    return score_many_dense(orders_rows(spark, sf), catalog.tables(spark), ["m1", "m2"], ["o_orderkey"]).select(
+        "model_id", "o_orderkey", "class_idx", "raw"
+    )
+
+
 def q_null_and_nan_features(spark, sf):
     m = catalog.model(spark, "m1")
     k = F.col("o_orderkey")
@@ -613,6 +621,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "leaf_index": q_leaf_index,
         "score_categorical": q_score_categorical,
         "score_many_models": q_score_many_models,
+        "score_many_models_dense": q_score_many_models_dense,
         "null_and_nan_features": q_null_and_nan_features,
         "named_map_rows": q_named_map_rows,
         "positional_rows": q_positional_rows,
@@ -650,6 +659,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     out = {}
     out.update(_oracles_scoring())
+    out["score_many_models_dense"] = out["score_many_models"]
     out.update(_oracles_explain())
     out.update(_oracles_more())
     return out

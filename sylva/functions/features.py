@@ -136,15 +136,20 @@ def prune(
     return df.select(*cols)
 
 
-def map_row_checks(row_map: str, model: CompiledModel) -> Column:
-    """C2-C4 for map rows: a failing expression for unknown or missing keys."""
+def map_row_checks(row_map: str, model: CompiledModel, unknown_keys: str = "error") -> Column:
+    """C2-C4 for map rows: a failing expression for unknown (first) or missing keys.
+
+    ``unknown_keys='ignore'`` skips the unknown check (the explain path's rule).
+    """
     names = F.array(*[F.lit(n) for n in model.float_names + model.cat_names])
     m = F.col(row_map)
     unknown = F.array_except(F.map_keys(m), names)
     missing = F.array_except(names, F.map_keys(m))
-    return (
-        F.when(F.size(unknown) > 0, F.raise_error(F.concat(F.lit("unknown feature "), unknown[0])))
-        .when(F.size(missing) > 0, F.raise_error(F.concat(F.lit("missing feature "), missing[0])))
+    missing_check = F.when(F.size(missing) > 0, F.raise_error(F.concat(F.lit("missing feature "), missing[0])))
+    if unknown_keys == "ignore":
+        return missing_check
+    return F.when(F.size(unknown) > 0, F.raise_error(F.concat(F.lit("unknown feature "), unknown[0]))).otherwise(
+        missing_check
     )
 
 
@@ -168,6 +173,7 @@ def assemble(
     strict: bool = False,
     null_mode: str = "zero",
     nan_mode: str = "min",
+    unknown_keys: str = "error",
 ) -> tuple[DataFrame, list[str]]:
     """Add the model's virtual feature columns to ``df``.
 
@@ -185,7 +191,7 @@ def assemble(
         if model.n_cat:
             checks.append(arity_check(cat_features, model.n_cat, "cat"))
     if row_map is not None:
-        checks.append(map_row_checks(row_map, model))
+        checks.append(map_row_checks(row_map, model, unknown_keys))
     floats = [_float_input(c, labels[i], null_mode, nan_mode) for i, c in enumerate(fsrc)]
     cats = [_cat_input(c, null_mode, labels[model.n_float + j]) for j, c in enumerate(csrc)]
     if checks:

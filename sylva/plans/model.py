@@ -108,11 +108,23 @@ class Model:
             return S.score_dense(assembled, self.compiled, vcols, out_col)
         if not keys:
             raise ValueError("the relational plan needs unique key columns (keys=[...])")
-        long = self.raw_long(df, keys=keys, **inputs)
+        # Partition once; the scores come back grouped on the same keys, so the
+        # join below is co-partitioned and needs no further exchange.
+        rows = S.partition_by_keys(df if keep is None else df.select(*dict.fromkeys(keep + keys + [
+            c for c in df.columns if c in set(self._input_names(inputs))])), keys)
+        long = score_many(rows, self.tables, [self.model_id], keys, partitioned=True, **inputs)
         nested = long.groupBy(*keys).agg(
             F.transform(F.array_sort(F.collect_list(F.struct("class_idx", "raw"))), lambda s: s["raw"]).alias(out_col)
         )
-        return df.join(nested, keys)
+        return rows.join(nested, keys)
+
+    def _input_names(self, inputs: dict) -> list[str]:
+        if inputs.get("features") is not None:
+            return [inputs["features"]] + ([inputs["cat_features"]] if inputs.get("cat_features") else [])
+        if inputs.get("row_map") is not None:
+            return [inputs["row_map"]]
+        names = self.tables.features.filter(F.col("model_id") == self.model_id).select("name").collect()
+        return [r["name"] for r in names]
 
     def raw_long(self, df: DataFrame, *, keys: list[str], null_mode: str = "zero", nan_mode: str = "min", **inputs) -> DataFrame:
         """D2 through the relational plan P4: (model_id, keys..., class_idx, raw)."""
@@ -205,6 +217,8 @@ class Model:
 
         ex = self.explainer(quantize)
         df = prune(df, self.compiled, keep, **inputs)
+        if inputs.get("row_map") is not None:
+            inputs.setdefault("unknown_keys", "ignore")  # explain ignores names it does not know
         if plan == "dense":
             out = X.phi_dense(df, ex, out_col, **inputs)
         elif plan == "relational":
@@ -298,6 +312,24 @@ def numpy_link(raw: np.ndarray, ptype: str, loss: str | None = None) -> np.ndarr
     raise ValueError(ptype)
 
 
+def score_many_dense(df: DataFrame, tables: ModelTables, model_ids: list[str], keys: list[str], **inputs) -> DataFrame:
+    """D13, dense: one Arrow scorer per model, chained over the same rows.
+
+    Output ``(model_id, keys..., class_idx, raw)`` like ``score_many``, with no
+    shuffle at all; each model's broadcast is checked at compile time.
+    """
+    out = df.select(*dict.fromkeys(keys + [c for c in df.columns if c not in keys]))
+    cols = []
+    for i, mid in enumerate(model_ids):
+        m = Model(tables, mid)
+        out = m.raw(out, out_col=f"__raw{i}", **inputs)
+        cols.append(F.struct(F.lit(mid).alias("model_id"), F.col(f"__raw{i}").alias("raw")))
+    per_model = out.select(*keys, F.explode(F.array(*cols)).alias("__m"))
+    return per_model.select(
+        F.col("__m.model_id").alias("model_id"), *keys, F.posexplode("__m.raw").alias("class_idx", "raw")
+    ).withColumn("class_idx", F.col("class_idx").cast("int"))
+
+
 def score_many(
     df: DataFrame,
     tables: ModelTables,
@@ -310,6 +342,7 @@ def score_many(
     cat_features: str | None = None,
     row_map: str | None = None,
     strict: bool = False,
+    partitioned: bool = False,
 ) -> DataFrame:
     """D13 + P4: several models over the same rows, in long form.
 
@@ -320,7 +353,7 @@ def score_many(
     dense bound; otherwise Spark picks the join.
     """
     bound = model_size_bound(tables, model_ids)
-    rows = S.partition_by_keys(df, keys)
+    rows = df if partitioned else S.partition_by_keys(df, keys)
     inputs = []
     metas = _light_metas(tables, model_ids)
     for mid in model_ids:

@@ -178,3 +178,27 @@ def test_sql_function(spark, orders):
     want = _rows(m.predict_proba(orders), "o_orderkey", "prediction")
     assert got.keys() == want.keys()
     assert all(np.allclose(got[k], want[k], atol=1e-12) for k in got)
+
+
+def test_many_models_dense_equals_relational(spark, orders, tables):
+    from sylva.plans.model import score_many_dense
+
+    a = score_many_dense(orders, tables, ["m1", "m2"], ["o_orderkey"])
+    b = score_many(orders, tables, ["m1", "m2"], ["o_orderkey"]).withColumnRenamed("raw", "r2")
+    j = a.join(b, ["model_id", "o_orderkey", "class_idx"], "full_outer")
+    assert j.count() == orders.count() * 4
+    assert j.filter(F.col("raw").isNull() | F.col("r2").isNull() | (F.col("raw") != F.col("r2"))).count() == 0
+
+
+def test_explain_map_ignores_unknown_keys(spark):
+    m = catalog.model(spark, "m4")
+    part = spark.read.parquet(f"{SF}/part.parquet")
+    mapped = part.select(
+        "p_partkey",
+        F.create_map(F.lit("p_size"), F.col("p_size").cast("double"), F.lit("p_retailprice"), "p_retailprice", F.lit("extra"), F.lit(1.0)).alias("r"),
+    )
+    a = _rows(m.explain(mapped, row_map="r"), "p_partkey", "phi")
+    b = _rows(m.explain(part), "p_partkey", "phi")
+    assert a == b
+    with pytest.raises(Exception, match="unknown feature extra"):
+        m.raw(mapped, row_map="r").collect()
