@@ -151,6 +151,19 @@ def q_positional_rows(spark, sf):
     return _long(m.raw(emb_rows(spark, sf), features="x"), "vec_id", "raw", "raw")
 
 
+def q_arity_quarantine(spark, sf):
+    from sylva.functions.features import arity_quarantine
+
+    # Rows whose positional array is one element too long are set aside, not scored.
+    e = spark.read.parquet(f"{sf}/embeddings.parquet")
+    rows = e.select("vec_id", F.slice("embedding", 1, F.when(F.col("vec_id") % 3 == 0, 7).otherwise(6)).alias("x"))
+    good, bad = arity_quarantine(rows, "x", catalog.model(spark, "m3").compiled.n_float, ["vec_id"])
+    scored = _long(catalog.model(spark, "m3").raw(good, features="x"), "vec_id", "raw", "raw")
+    return scored.select("vec_id", "class_idx", "raw", F.lit(None).cast("int").alias("got")).unionByName(
+        bad.select("vec_id", F.lit(None).cast("int").alias("class_idx"), F.lit(None).cast("double").alias("raw"), "got")
+    )
+
+
 def q_score_sql_function(spark, sf):
     m = catalog.model(spark, "m1")
     name = m.register_udf(spark, "score_m1")
@@ -284,6 +297,11 @@ def _oracles_scoring() -> dict[str, str]:
         "named_map_rows": _raw_oracle("m4", PART_ROWS_SQL, ["f0", "f1"], key="p_partkey"),
         "positional_rows": _raw_oracle("m3", EMB_ROWS_SQL, [f"f{i}" for i in range(6)], key="vec_id"),
         "score_sql_function": _raw_oracle("m1", ORDERS_ROWS_SQL, F4),
+        "arity_quarantine": O.with_clause(
+            O.scoring_ctes("m3", EMB_ROWS_SQL + " WHERE vec_id % 3 <> 0", [f"f{i}" for i in range(6)])
+        )
+        + "SELECT row_key AS vec_id, class_idx, raw, CAST(NULL AS INTEGER) AS got FROM raw "
+        "UNION ALL SELECT vec_id, CAST(NULL AS INTEGER), CAST(NULL AS DOUBLE), 7 FROM embeddings WHERE vec_id % 3 = 0",
         "link_probability_binary": _link_oracle(
             "m2", ORDERS_ROWS_SQL, ["f0", "f1"],
             "SELECT row_key AS o_orderkey, ROUND(1.0 / (1.0 + EXP(-raw)), 6) AS p FROM raw", orders_cats,
@@ -626,6 +644,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "named_map_rows": q_named_map_rows,
         "positional_rows": q_positional_rows,
         "score_sql_function": q_score_sql_function,
+        "arity_quarantine": q_arity_quarantine,
         "link_probability_binary": q_link_probability_binary,
         "link_probability_multiclass": q_link_probability_multiclass,
         "link_multi_probability": q_link_multi_probability,

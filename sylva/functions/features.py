@@ -162,6 +162,13 @@ def arity_check(features: str, n: int, kind: str = "float") -> Column:
     )
 
 
+def arity_quarantine(df: DataFrame, features: str, n: int, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """C8 without failing: (rows of the right length, quarantined (keys..., expected, got))."""
+    got = F.coalesce(F.size(F.col(features)), F.lit(-1))
+    bad = df.filter(got != n).select(*keys, F.lit(n).alias("expected"), got.alias("got"))
+    return df.filter(got == n), bad
+
+
 def assemble(
     df: DataFrame,
     model: CompiledModel,

@@ -78,7 +78,11 @@ class Explainer:
 
 
 def phi_batch(x: np.ndarray, score_payload: dict, shap_payload: dict) -> np.ndarray:
-    """E10 on a batch: (N, K, F) contributions."""
+    """E10 on a batch: (N, K, F) contributions (rows in bounded chunks)."""
+    t = score_payload["feat"].shape[0]
+    step = max(1, S._INDEX_BUDGET // max(1, t))
+    if x.shape[0] > step:
+        return np.concatenate([phi_batch(x[i : i + step], score_payload, shap_payload) for i in range(0, x.shape[0], step)])
     idx = S.leaf_indices(x, score_payload["feat"], score_payload["border"])
     n, t = idx.shape
     slots, table = shap_payload["slots"], shap_payload["table"]

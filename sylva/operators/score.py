@@ -26,6 +26,8 @@ from ..sources.model_docs import pow2
 
 # Rows x trees x K doubles gathered at once inside one Arrow batch.
 _GATHER_BUDGET = 1 << 21
+# Rows x trees leaf indices held at once (int32): 4M = 16 MB.
+_INDEX_BUDGET = 1 << 22
 
 
 def leaf_indices(x: np.ndarray, feat: np.ndarray, border: np.ndarray) -> np.ndarray:
@@ -35,20 +37,28 @@ def leaf_indices(x: np.ndarray, feat: np.ndarray, border: np.ndarray) -> np.ndar
     """
     n = x.shape[0]
     t, d_max = feat.shape
-    idx = np.zeros((n, t), dtype=np.int64)
+    idx = np.zeros((n, t), dtype=np.int32)
     with np.errstate(invalid="ignore"):
         for d in range(d_max):
-            idx |= (x[:, feat[:, d]] > border[:, d]).astype(np.int64) << d
+            idx |= (x[:, feat[:, d]] > border[:, d]).astype(np.int32) << d
     return idx
 
 
 def raw_scores(x: np.ndarray, payload: dict) -> np.ndarray:
-    """D2 on a batch: scale * sum over trees of the reached leaf values + bias."""
+    """D2 on a batch: scale * sum over trees of the reached leaf values + bias.
+
+    Rows are taken in chunks so that rows x trees stays bounded whatever the
+    Arrow batch size and the number of trees.
+    """
+    t = payload["feat"].shape[0]
+    step = max(1, _INDEX_BUDGET // max(1, t))
+    if x.shape[0] > step:
+        return np.vstack([raw_scores(x[i : i + step], payload) for i in range(0, x.shape[0], step)])
     idx = leaf_indices(x, payload["feat"], payload["border"])
     n, t = idx.shape
     leaf_flat = payload["leaf_flat"]
     k = leaf_flat.shape[1]
-    flat = idx + (np.arange(t, dtype=np.int64) * payload["n_leaves"])[None, :]
+    flat = idx.astype(np.int64) + (np.arange(t, dtype=np.int64) * payload["n_leaves"])[None, :]
     total = np.zeros((n, k), dtype=np.float64)
     step = max(1, _GATHER_BUDGET // max(1, n * k))
     for s in range(0, t, step):

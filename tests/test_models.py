@@ -89,3 +89,8 @@ def test_metadata_lookup(tables, spark):
     bad = spark.createDataFrame([({"class_params": "{not json"},)], "metadata map<string,string>")
     with pytest.raises(Exception, match="malformed class_params"):
         bad.select(MD.class_names(F.col("metadata"))).collect()
+
+
+def test_missing_path_fails(spark):
+    with pytest.raises(Exception, match="(?i)path does not exist|PATH_NOT_FOUND"):
+        Model.load(spark, "/nonexistent/model.json")

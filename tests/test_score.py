@@ -202,3 +202,16 @@ def test_explain_map_ignores_unknown_keys(spark):
     assert a == b
     with pytest.raises(Exception, match="unknown feature extra"):
         m.raw(mapped, row_map="r").collect()
+
+
+def test_batches_are_chunked(spark):
+    """Row chunking inside a batch gives the same scores as one pass."""
+    from sylva.operators import score as S
+
+    cm = catalog.model(spark, "m1").compiled
+    payload = cm.payload()
+    rng = np.random.default_rng(0)
+    x = rng.uniform(-1000, 500000, size=(300000, len(cm.virtual))).astype(np.float32)
+    whole = S.raw_scores(x[:1000], payload)
+    chunked = S.raw_scores(x, payload)[:1000]
+    assert np.array_equal(whole, chunked)
