@@ -78,18 +78,18 @@ def source_columns(
     if features is not None and row_map is not None:
         raise ValueError("give either positional features or a row map, not both")
     if features is not None:  # C5: positional arrays
-        fl = [F.element_at(F.col(features), i + 1) for i in range(model.n_float)]
+        fl = [F.try_element_at(F.col(features), F.lit(i + 1)) for i in range(model.n_float)]
         if model.n_cat:
             if cat_features is None:
                 raise ValueError(f"model has {model.n_cat} cat features; cat_features must be provided")
-            cl = [F.element_at(F.col(cat_features), i + 1) for i in range(model.n_cat)]
+            cl = [F.try_element_at(F.col(cat_features), F.lit(i + 1)) for i in range(model.n_cat)]
         else:
             cl = []
         return fl, cl, model.float_names + model.cat_names
     if row_map is not None:  # C2: a map from feature name to value
         m = F.col(row_map)
-        fl = [F.element_at(m, F.lit(n)) for n in model.float_names]
-        cl = [F.element_at(m, F.lit(n)) for n in model.cat_names]
+        fl = [F.try_element_at(m, F.lit(n)) for n in model.float_names]
+        cl = [F.try_element_at(m, F.lit(n)) for n in model.cat_names]
         return fl, cl, model.float_names + model.cat_names
     # Named columns; C3/C4 are checked here, at plan time.
     cols = set(df.columns)
