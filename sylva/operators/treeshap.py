@@ -177,6 +177,12 @@ def shap_table(tables: ModelTables) -> DataFrame:
         .join(feats, ["model_id", "tree"])
         .select("model_id", "tree", "leaf", "values", "weight", "feats", "scale")
     )
+    # Work per tree is large next to its bytes, so the partition count is set
+    # explicitly: adaptive execution would otherwise fold the small shuffle
+    # into one task. The group-by then reuses this partitioning.
+    spark = rows.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    rows = rows.repartition(n, "model_id", "tree")
     return rows.groupBy("model_id", "tree").applyInPandas(_tree_group, SHAP_SCHEMA)
 
 

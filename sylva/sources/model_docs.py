@@ -209,7 +209,9 @@ def explode_models(doc: DataFrame, on_error: str = "reject") -> ModelTables:
     """
     if CORRUPT not in doc.columns:
         doc = doc.withColumn(CORRUPT, F.lit(None).cast("string"))
-    checked = doc.withColumn("__reason", _reject_reason(doc))
+    # Parse and validate once: every table below reads this cached result, so
+    # the document text is not re-parsed per table or per referenced field.
+    checked = doc.withColumn("__reason", _reject_reason(doc)).cache()
     if on_error == "raise":
         checked = checked.withColumn(
             "__reason",
