@@ -30,6 +30,7 @@ MAGIC = b"CBSHAP\x01\x00"
 VERSION = 1
 HEADER_FIXED = 36  # magic (8) + five uint32 (20) + reserved uint64 (8)
 MAX_SIDECAR_BYTES = 256 * 1024 * 1024
+SUFFIX = ".sidecar"  # our file naming; any name can be read with ``glob``
 
 
 def header_size(n_classes: int) -> int:
@@ -179,7 +180,7 @@ def pack_sidecars(tables: ModelTables, shap: DataFrame, bias: DataFrame) -> Data
 
 
 def write_sidecar_files(packed: DataFrame, out_dir: str) -> DataFrame:
-    """Write each packed model to ``out_dir/<model_id>.cbshap`` (a shared folder).
+    """Write each packed model to ``out_dir/<model_id>.sidecar`` (a shared folder).
 
     Runs inside the tasks; returns (model_id, path, n_bytes).
     """
@@ -189,7 +190,7 @@ def write_sidecar_files(packed: DataFrame, out_dir: str) -> DataFrame:
             paths = []
             for mid, data in zip(pdf["model_id"], pdf["sidecar"]):
                 os.makedirs(out_dir, exist_ok=True)
-                path = os.path.join(out_dir, f"{mid}.cbshap")
+                path = os.path.join(out_dir, f"{mid}{SUFFIX}")
                 with open(path, "wb") as fh:
                     fh.write(bytes(data))
                 paths.append(path)
@@ -275,9 +276,9 @@ class SidecarTables:
     rejected: DataFrame  # model_id, path, reason
 
 
-def read_sidecars(spark: SparkSession, path: str) -> SidecarTables:
-    """Decode every sidecar under ``path``; ``model_id`` is the file stem."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.cbshap").load(path).select("path", "content")
+def read_sidecars(spark: SparkSession, path: str, glob: str = "*" + SUFFIX) -> SidecarTables:
+    """Decode every sidecar under ``path`` matching ``glob``; ``model_id`` is the file stem."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path", "content")
     decoded = files.mapInPandas(_decode, DECODED_SCHEMA).cache()
     good = decoded.filter(F.col("reason").isNull())
     headers = good.select("model_id", "path", "version", "n_trees", "depth", "n_features", "n_classes", "bias")
@@ -353,7 +354,7 @@ def export_sidecars(spark: SparkSession, model_path: str, output_dir: str | None
     """A10: model documents under ``model_path`` -> one sidecar file per float-only model.
 
     The default output folder is the models' own folder; files are named
-    ``<model_id>.shap.cbshap``. Returns (model_id, path, n_bytes).
+    ``<model_id>.shap.sidecar``. Returns (model_id, path, n_bytes).
     """
     from ..operators.treeshap import bias_row, shap_table
     from .model_docs import load_models
@@ -367,7 +368,7 @@ def export_sidecars(spark: SparkSession, model_path: str, output_dir: str | None
             paths = []
             for mid, data in zip(pdf["model_id"], pdf["sidecar"]):
                 os.makedirs(out, exist_ok=True)
-                p = os.path.join(out, f"{mid}.shap.cbshap")
+                p = os.path.join(out, f"{mid}.shap{SUFFIX}")
                 with open(p, "wb") as fh:
                     fh.write(bytes(data))
                 paths.append(p)

@@ -37,7 +37,7 @@ def test_pack_guards():
     with pytest.raises(SC.FormatError, match="truncated body"):
         SC.unpack(data[:-3])
     with pytest.raises(SC.FormatError, match="too small"):
-        SC.unpack(b"CBSHAP")
+        SC.unpack(SC.MAGIC[:6])
 
 
 def test_roundtrip_and_explain(spark, tables, orders):
@@ -45,7 +45,7 @@ def test_roundtrip_and_explain(spark, tables, orders):
     out = tempfile.mkdtemp(prefix="sylva-sc-")
     written = SC.write_sidecar_files(SC.pack_sidecars(one, shap_table(one), bias_row(one)), out).collect()
     assert sorted(r["model_id"] for r in written) == ["m1", "m4"]
-    with open(os.path.join(out, "junk.cbshap"), "wb") as fh:
+    with open(os.path.join(out, "junk.sidecar"), "wb") as fh:
         fh.write(b"not a sidecar file at all, but long enough for a header")
     st = SC.read_sidecars(spark, out)
     assert {r["model_id"]: r["reason"] for r in st.rejected.collect()}["junk"].startswith("not a sidecar")
@@ -75,7 +75,7 @@ def test_export_from_model_documents(spark):
         shutil.copy(model_path(mid), folder)
     written = {r["model_id"]: r for r in SC.export_sidecars(spark, folder).collect()}
     assert set(written) == {"m4", "m5"}
-    assert written["m4"]["path"].endswith("m4.shap.cbshap")
+    assert written["m4"]["path"].endswith("m4.shap.sidecar")
     st = SC.read_sidecars(spark, folder)
     h = {r["model_id"]: r for r in st.headers.collect()}
     assert h["m5"]["n_classes"] == 2 and h["m5"]["n_trees"] == 20 and h["m5"]["depth"] == 3
