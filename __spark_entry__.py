@@ -412,6 +412,16 @@ def _explain_base(model_id, rows_sql, floats):
     ])
 
 
+def _explain_base_float16(model_id, rows_sql, floats):
+    """As ``_explain_base`` but each table value rounded through binary16 (round half to even)."""
+    q = "pow(2.0, greatest(floor(log2(abs(phi))), -14) - 10)"
+    return O.with_clause(O.scoring_ctes(model_id, rows_sql, floats) + O.shap_ctes(model_id, include_model=False) + [
+        f"shap16 AS (SELECT tree, leaf, feature, class_idx, CASE WHEN phi = 0 THEN 0.0 ELSE round_even(phi / {q}, 0) * {q} END AS phi FROM shap)",
+        "contrib AS (SELECT l.row_key, s.class_idx, s.feature, SUM(s.phi) AS phi FROM leafidx l "
+        "JOIN shap16 s ON s.tree = l.tree AND s.leaf = l.leaf GROUP BY l.row_key, s.class_idx, s.feature)"
+    ])
+
+
 def _names_sql(names):
     return "[" + ", ".join("'" + n + "'" for n in names) + "]"
 
@@ -430,6 +440,9 @@ def _oracles_explain() -> dict[str, str]:
         + "SELECT row_key AS o_orderkey, CAST(class_idx AS INTEGER) AS class_idx, "
         "CAST(ROW_NUMBER() OVER (PARTITION BY row_key, class_idx ORDER BY ABS(ROUND(phi, 6)) DESC, feature) AS INTEGER) AS rank, "
         f"{_names_sql(M1_FLOATS)}[feature + 1] AS feature FROM contrib",
+        "sidecar_explain": _explain_base_float16("m1", ORDERS_ROWS_SQL, F4)
+        + f"SELECT row_key AS o_orderkey, CAST(class_idx AS INTEGER) AS class_idx, {_names_sql(M1_FLOATS)}[feature + 1] AS feature, "
+        "ROUND(phi, 6) + 0.0 AS phi FROM contrib",
         "shap_additivity": m1
         + "SELECT r.row_key AS o_orderkey, CAST(r.class_idx AS INTEGER) AS class_idx, r.raw AS raw, "
         "ABS(x.s + b.bias - r.raw) <= 1e-9 AS additive FROM raw r "
