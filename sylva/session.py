@@ -31,3 +31,32 @@ def checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="sylva-ckpt-")
     spark.sparkContext.setCheckpointDir(path)
     return spark.sparkContext.getCheckpointDir() or path
+
+
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``sylva`` importable in Python workers (once per SparkContext).
+
+    Arrow and pandas steps run functions from this package inside executors.
+    When the package is not installed there, it is zipped on the driver and
+    added with ``addPyFile``; Spark copies it to every executor.
+    """
+    sc = spark.sparkContext
+    if id(sc) in _SHIPPED:
+        return
+    import os
+    import zipfile
+
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="sylva-pkg-"), "sylva.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as zf:
+        for folder, dirs, files in os.walk(root):
+            dirs[:] = [d for d in dirs if d != "__pycache__"]
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    zf.write(full, os.path.join("sylva", os.path.relpath(full, root)))
+    sc.addPyFile(target)
+    _SHIPPED.add(id(sc))

@@ -207,6 +207,9 @@ def explode_models(doc: DataFrame, on_error: str = "reject") -> ModelTables:
     ``on_error='reject'`` routes bad documents to ``rejected``; ``'raise'``
     fails the job when any document is bad.
     """
+    from ..session import ship_package
+
+    ship_package(doc.sparkSession)
     if CORRUPT not in doc.columns:
         doc = doc.withColumn(CORRUPT, F.lit(None).cast("string"))
     # Parse and validate once: every table below reads this cached result, so

@@ -278,6 +278,9 @@ class SidecarTables:
 
 def read_sidecars(spark: SparkSession, path: str, glob: str = "*" + SUFFIX) -> SidecarTables:
     """Decode every sidecar under ``path`` matching ``glob``; ``model_id`` is the file stem."""
+    from ..session import ship_package
+
+    ship_package(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path", "content")
     decoded = files.mapInPandas(_decode, DECODED_SCHEMA).cache()
     good = decoded.filter(F.col("reason").isNull())
