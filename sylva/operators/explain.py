@@ -124,7 +124,7 @@ def phi_relational(
     from ..functions.features import _float_input, source_columns
 
     m = explainer.model
-    rows = S.partition_by_keys(df, keys)
+    rows = S.partition_by_keys(df, keys, m.n_trees * m.max_depth)
     fsrc, _, labels = source_columns(rows, m, **{k: v for k, v in inputs.items() if k in ("features", "row_map", "strict")})
     null_mode = inputs.get("null_mode", "zero")
     nan_mode = inputs.get("nan_mode", "min")

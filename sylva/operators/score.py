@@ -164,17 +164,27 @@ def _long_inputs(
     return out
 
 
-def partition_by_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+# Expanded rows (input rows x split rows per input row) one task should hold
+# in its per-(row, tree) aggregate, relative to an input partition.
+EXPANSION_PER_TASK = 1024
+
+
+def partition_by_keys(df: DataFrame, keys: list[str], expansion: int = 1, partitions: int | None = None) -> DataFrame:
     """Hash-partition rows on their key once, before the in-partition expansion.
 
-    The partition count is explicit (at least ``spark.sql.shuffle.partitions``
-    and at least the input's), so adaptive execution does not fold the
-    shuffle into a few partitions: each input row expands to trees x depth
-    rows afterwards, so size before the expansion says nothing.
+    The count is explicit, so adaptive execution cannot fold the shuffle into
+    a few partitions (size before the expansion says nothing about the work
+    after it). By default it is the larger of ``spark.sql.shuffle.partitions``
+    and the input's partitions times ``ceil(expansion / EXPANSION_PER_TASK)``,
+    where ``expansion`` is the split rows each input row turns into (trees x
+    depth summed over models): the per-task aggregate then stays about as
+    large as for a 1024-split model. ``partitions`` overrides it.
     """
     spark = df.sparkSession
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions())
-    return df.repartition(n, *keys)
+    if partitions is None:
+        factor = max(1, -(-expansion // EXPANSION_PER_TASK))
+        partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions() * factor)
+    return df.repartition(partitions, *keys)
 
 
 def unpivot_inputs(

@@ -29,15 +29,23 @@ def checked_broadcast(df: DataFrame, bound_rows: int, max_rows: int = MAX_DENSE_
     return F.broadcast(df) if bound_rows <= max_rows else df
 
 
-def model_size_bound(tables: ModelTables, model_ids: list[str] | None = None) -> int:
-    """Upper bound on rows of splits/leaves (and leaf values) for a set of models."""
+def model_sizes(tables: ModelTables, model_ids: list[str] | None = None) -> dict[str, int]:
+    """Leaf values, split rows and target-statistic rows of a set of models (one small job)."""
     m = tables.models if model_ids is None else tables.models.filter(F.col("model_id").isin(model_ids))
     stats = tables.target_stats if model_ids is None else tables.target_stats.filter(F.col("model_id").isin(model_ids))
-    sizes = m.select(
-        F.lit("values").alias("what"), (F.col("n_trees") * F.pow(F.lit(2), F.col("max_depth")) * F.col("dims")).alias("n")
-    ).unionByName(stats.select(F.lit("stats").alias("what"), F.lit(1.0).alias("n")))
-    got = {r["what"]: r["n"] for r in sizes.groupBy("what").agg(F.sum("n").alias("n")).collect()}
-    return int(max(got.get("values", 0), got.get("stats", 0)))
+    sizes = (
+        m.select(F.lit("values").alias("what"), (F.col("n_trees") * F.pow(F.lit(2), F.col("max_depth")) * F.col("dims")).alias("n"))
+        .unionByName(m.select(F.lit("splits").alias("what"), (F.col("n_trees") * F.col("max_depth")).cast("double").alias("n")))
+        .unionByName(stats.select(F.lit("stats").alias("what"), F.lit(1.0).alias("n")))
+    )
+    got = {r["what"]: int(r["n"]) for r in sizes.groupBy("what").agg(F.sum("n").alias("n")).collect()}
+    return {k: got.get(k, 0) for k in ("values", "splits", "stats")}
+
+
+def model_size_bound(tables: ModelTables, model_ids: list[str] | None = None) -> int:
+    """Upper bound on rows of the model tables a plan may broadcast."""
+    s = model_sizes(tables, model_ids)
+    return max(s["values"], s["stats"])
 
 
 class Model:
@@ -110,8 +118,9 @@ class Model:
             raise ValueError("the relational plan needs unique key columns (keys=[...])")
         # Partition once; the scores come back grouped on the same keys, so the
         # join below is co-partitioned and needs no further exchange.
+        splits = model_sizes(self.tables, [self.model_id])["splits"]
         rows = S.partition_by_keys(df if keep is None else df.select(*dict.fromkeys(keep + keys + [
-            c for c in df.columns if c in set(self._input_names(inputs))])), keys)
+            c for c in df.columns if c in set(self._input_names(inputs))])), keys, splits)
         long = score_many(rows, self.tables, [self.model_id], keys, partitioned=True, **inputs)
         nested = long.groupBy(*keys).agg(
             F.transform(F.array_sort(F.collect_list(F.struct("class_idx", "raw"))), lambda s: s["raw"]).alias(out_col)
@@ -343,6 +352,7 @@ def score_many(
     row_map: str | None = None,
     strict: bool = False,
     partitioned: bool = False,
+    partitions: int | None = None,
 ) -> DataFrame:
     """D13 + P4: several models over the same rows, in long form.
 
@@ -352,8 +362,9 @@ def score_many(
     The model tables are broadcast only when their total size is under the
     dense bound; otherwise Spark picks the join.
     """
-    bound = model_size_bound(tables, model_ids)
-    rows = df if partitioned else S.partition_by_keys(df, keys)
+    sizes = model_sizes(tables, model_ids)
+    bound = max(sizes["values"], sizes["stats"])
+    rows = df if partitioned else S.partition_by_keys(df, keys, sizes["splits"], partitions)
     inputs = []
     metas = _light_metas(tables, model_ids)
     for mid in model_ids:
