@@ -75,7 +75,7 @@ def _long(df: DataFrame, key: str, col: str, name: str, digits: int | None = Non
     out = df.select(key, F.posexplode(col).alias("class_idx", name))
     out = out.withColumn("class_idx", F.col("class_idx").cast("int"))
     if digits is not None:
-        out = out.withColumn(name, F.round(name, digits))
+        out = out.withColumn(name, F.round(name, digits) + 0.0)  # + 0.0 folds -0.0 into 0.0
     return out
 
 
@@ -268,7 +268,7 @@ SOFTMAX_SQL = (
 
 def _softmax_oracle(model_id, rows_sql, floats, key, value_sql, name):
     base = O.with_clause(O.scoring_ctes(model_id, rows_sql, floats))
-    return base.rstrip("\n") + ",\n" + SOFTMAX_SQL + f"SELECT row_key AS {key}, class_idx, ROUND({value_sql}, 6) AS {name} FROM se"
+    return base.rstrip("\n") + ",\n" + SOFTMAX_SQL + f"SELECT row_key AS {key}, class_idx, ROUND({value_sql}, 6) + 0.0 AS {name} FROM se"
 
 
 def _argmax_sql(key: str) -> str:
