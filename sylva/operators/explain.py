@@ -83,13 +83,13 @@ def phi_batch(x: np.ndarray, score_payload: dict, shap_payload: dict) -> np.ndar
     step = max(1, S._INDEX_BUDGET // max(1, t))
     if x.shape[0] > step:
         return np.concatenate([phi_batch(x[i : i + step], score_payload, shap_payload) for i in range(0, x.shape[0], step)])
-    idx = S.leaf_indices(x, score_payload["feat"], score_payload["border"])
-    n, t = idx.shape
+    idx = S.leaf_indices_t(np.ascontiguousarray(x.T), score_payload["feat"], score_payload["border"]).astype(np.intp)
+    n, t = x.shape[0], idx.shape[0]
     slots, table = shap_payload["slots"], shap_payload["table"]
     k = table.shape[3]
     acc = np.zeros((n, shap_payload["n_features"] + 1, k), dtype=np.float64)
     for tree in range(t):
-        acc[:, slots[tree], :] += table[tree, idx[:, tree]]
+        acc[:, slots[tree], :] += table[tree, idx[tree]]
     return acc[:, :-1, :].transpose(0, 2, 1)
 
 

@@ -24,45 +24,56 @@ from pyspark.sql import types as T
 from ..plans.compiled import CompiledModel
 from ..sources.model_docs import pow2
 
-# Rows x trees x K doubles gathered at once inside one Arrow batch.
-_GATHER_BUDGET = 1 << 21
-# Rows x trees leaf indices held at once (int32): 4M = 16 MB.
+# Rows x trees leaf indices held at once: 4M (4 MB as uint8).
 _INDEX_BUDGET = 1 << 22
+# Trees x rows x K leaf values gathered at once: 2M doubles = 16 MB.
+_GATHER_BUDGET = 1 << 21
 
 
-def leaf_indices(x: np.ndarray, feat: np.ndarray, border: np.ndarray) -> np.ndarray:
-    """D1 on a batch: (N, V) float32 features -> (N, T) leaf index.
+def _index_dtype(depth: int):
+    return np.uint8 if depth <= 8 else np.uint16 if depth <= 16 else np.uint32
+
 
-    Bit ``d`` is set when ``x[feat[t, d]] > border[t, d]`` (strict; NaN is false).
+def leaf_indices_t(xt: np.ndarray, feat: np.ndarray, border: np.ndarray) -> np.ndarray:
+    """D1 on a batch, tree-major: (V, N) float32 features -> (T, N) leaf index.
+
+    Bit ``d`` is set when ``x[feat[t, d]] > border[t, d]`` (strict; NaN is
+    false). Feature-major input makes every gather a contiguous row copy, and
+    the index is kept in the narrowest unsigned type the depth allows.
     """
-    n = x.shape[0]
     t, d_max = feat.shape
-    idx = np.zeros((n, t), dtype=np.int32)
+    dtype = _index_dtype(d_max)
+    idx = np.zeros((t, xt.shape[1]), dtype=dtype)
     with np.errstate(invalid="ignore"):
         for d in range(d_max):
-            idx |= (x[:, feat[:, d]] > border[:, d]).astype(np.int32) << d
+            idx |= np.greater(xt[feat[:, d]], border[:, d, None]).view(np.uint8).astype(dtype, copy=False) << dtype(d)
     return idx
 
 
+def leaf_indices(x: np.ndarray, feat: np.ndarray, border: np.ndarray) -> np.ndarray:
+    """D1 on a batch: (N, V) float32 features -> (N, T) leaf index."""
+    return leaf_indices_t(np.ascontiguousarray(x.T), feat, border).T
+
+
 def raw_scores(x: np.ndarray, payload: dict) -> np.ndarray:
     """D2 on a batch: scale * sum over trees of the reached leaf values + bias.
 
-    Rows are taken in chunks so that rows x trees stays bounded whatever the
-    Arrow batch size and the number of trees.
+    Rows are taken in chunks (rows x trees indices stay bounded) and leaf
+    values are gathered in blocks of trees (block x rows x K stays bounded),
+    whatever the Arrow batch size and the number of trees.
     """
     t = payload["feat"].shape[0]
     step = max(1, _INDEX_BUDGET // max(1, t))
     if x.shape[0] > step:
         return np.vstack([raw_scores(x[i : i + step], payload) for i in range(0, x.shape[0], step)])
-    idx = leaf_indices(x, payload["feat"], payload["border"])
-    n, t = idx.shape
+    idx = leaf_indices_t(np.ascontiguousarray(x.T), payload["feat"], payload["border"])
     leaf_flat = payload["leaf_flat"]
-    k = leaf_flat.shape[1]
-    flat = idx.astype(np.int64) + (np.arange(t, dtype=np.int64) * payload["n_leaves"])[None, :]
+    n, k = x.shape[0], leaf_flat.shape[1]
+    flat = idx.astype(np.intp) + (np.arange(t, dtype=np.intp) * payload["n_leaves"])[:, None]
     total = np.zeros((n, k), dtype=np.float64)
-    step = max(1, _GATHER_BUDGET // max(1, n * k))
-    for s in range(0, t, step):
-        total += leaf_flat[flat[:, s : s + step]].sum(axis=1)
+    block = max(1, _GATHER_BUDGET // max(1, n * k))
+    for s in range(0, t, block):
+        total += np.take(leaf_flat, flat[s : s + block], axis=0).sum(axis=0)
     return payload["scale"] * total + payload["bias"][None, :]
 
 
