@@ -228,14 +228,14 @@ def leaf_index_relational(long: DataFrame, keys: list[str], splits: DataFrame, i
         slot_key(model_index(ids), kind, idx).alias("slot"),
         (kind == KIND_CAT).alias("is_cat"),
         "tree",
-        "level",
+        pow2(F.col("level")).alias("bitval"),  # computed on the small table, not per joined row
         "border",
         "value",
     )
     j = long.join(s, "slot")
     bit = F.when(F.col("is_cat"), F.col("s") == F.col("value")).otherwise(~F.isnan("x") & (F.col("x") > F.col("border")))
     return j.groupBy("model_idx", *keys, "tree").agg(
-        F.sum(F.when(bit, pow2(F.col("level"))).otherwise(0)).cast("int").alias("leaf")
+        F.sum(F.when(bit, F.col("bitval")).otherwise(0)).cast("int").alias("leaf")
     )
 
 
