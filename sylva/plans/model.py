@@ -21,6 +21,7 @@ from ..functions import links
 from ..functions.features import _cat_input, _float_input, assemble, prune, source_columns
 from ..operators import score as S
 from ..sources.model_docs import ModelTables, load_model_texts, load_models
+from ..session import durable
 from .compiled import MAX_DENSE_VALUES, CompiledModel, ModelTooLarge, compile_model
 
 
@@ -202,7 +203,7 @@ class Model:
             shap = shap_table(one)
             if quantize == "float16":
                 shap = quantize_float16(shap)
-            shap = shap.cache()
+            shap = durable(shap)
             rows = sorted(bias_row(one).collect(), key=lambda r: r["class_idx"])
             bias = [r["bias"] for r in rows]
             if quantize == "float16":

@@ -33,6 +33,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir() or path
 
 
+def durable(df):
+    """Write ``df`` once to the shared checkpoint folder and cut its lineage.
+
+    Used for model-sized results that later jobs reuse (the SHAP table), so a
+    lost executor does not send Spark back through the pandas build.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 _SHIPPED: set[int] = set()
 
 
