@@ -8,7 +8,6 @@ or hold NaN/null.
 import json
 
 import numpy as np
-from pyspark.sql import functions as F
 
 from sylva.operators import explain as X
 from sylva.plans.model import Model, score_many

@@ -1,6 +1,5 @@
 """Streaming scoring equals batch scoring (availableNow file stream)."""
 
-from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 
