@@ -88,25 +88,48 @@ class CompiledModel:
         return not any(n.isdigit() for n in self.float_names + self.cat_names)
 
 
-def compile_model(tables: ModelTables, model_id: str, max_values: int = MAX_DENSE_VALUES) -> CompiledModel:
-    """Collect one model's tables (after checking their size) into arrays."""
+def model_row(tables: ModelTables, model_id: str):
     m = tables.models.filter(F.col("model_id") == model_id).collect()
     if not m:
         rej = tables.rejected.filter(F.col("model_id") == model_id).collect()
         reason = rej[0]["reason"] if rej else "no such model"
         raise KeyError(f"model {model_id!r}: {reason}")
-    row = m[0]
-    n_values = row["n_trees"] * (1 << row["max_depth"]) * row["dims"]
+    return m[0]
+
+
+def tree_chunks(row, max_values: int | None = None) -> list[tuple[int, int]]:
+    """Tree ranges [start, end) whose leaf values each fit the dense bound."""
+    if max_values is None:
+        max_values = MAX_DENSE_VALUES
+    per_tree = (1 << row["max_depth"]) * row["dims"]
+    step = max(1, max_values // per_tree)
+    return [(s, min(s + step, row["n_trees"])) for s in range(0, row["n_trees"], step)]
+
+
+def compile_model(
+    tables: ModelTables, model_id: str, max_values: int | None = None, trees: tuple[int, int] | None = None
+) -> CompiledModel:
+    """Collect one model's tables (after checking their size) into arrays.
+
+    ``trees=(start, end)`` compiles only that range of trees (renumbered from
+    0), which is how a model above the bound is scored in chunks.
+    """
+    if max_values is None:
+        max_values = MAX_DENSE_VALUES
+    row = model_row(tables, model_id)
+    start, end = trees if trees is not None else (0, row["n_trees"])
+    n_values = (end - start) * (1 << row["max_depth"]) * row["dims"]
     if n_values > max_values:
         raise ModelTooLarge(
-            f"model {model_id!r} has {n_values} leaf values, above the dense bound {max_values}; use the relational plan"
+            f"model {model_id!r} has {n_values} leaf values, above the dense bound {max_values}; score it in tree chunks"
         )
+    in_range = (F.col("model_id") == model_id) & (F.col("tree") >= start) & (F.col("tree") < end)
     splits = (
-        tables.splits.filter(F.col("model_id") == model_id)
-        .select("tree", "level", "split_type", "feature", "border", "value", "stat_id")
+        tables.splits.filter(in_range)
+        .select((F.col("tree") - start).alias("tree"), "level", "split_type", "feature", "border", "value", "stat_id")
         .collect()
     )
-    leaves = tables.leaves.filter(F.col("model_id") == model_id).select("tree", "leaf", "values", "weight").collect()
+    leaves = tables.leaves.filter(in_range).select((F.col("tree") - start).alias("tree"), "leaf", "values", "weight").collect()
     feats = tables.features.filter(F.col("model_id") == model_id).select("position", "name", "kind", "kind_index").collect()
     stats = (
         tables.target_stats.filter(F.col("model_id") == model_id)
@@ -115,7 +138,7 @@ def compile_model(tables: ModelTables, model_id: str, max_values: int = MAX_DENS
         .collect()
     )
 
-    t_count = row["n_trees"]
+    t_count = end - start
     d_max = row["max_depth"]
     k = row["dims"]
     l_max = 1 << d_max

@@ -86,15 +86,43 @@ class Model:
 
     # ---- scoring ----
     def _plan(self, plan: str) -> str:
+        """'auto' is the dense plan: one broadcast model, or tree chunks of it."""
         if plan not in ("auto", "dense", "relational"):
             raise ValueError("plan must be 'auto', 'dense' or 'relational'")
-        if plan != "auto":
-            return plan
+        return "dense" if plan == "auto" else plan
+
+    def _chunks(self) -> list[CompiledModel]:
+        """The model as one compiled piece, or as tree ranges that each fit the bound."""
         try:
-            self.compiled
-            return "dense"
+            return [self.compiled]
         except ModelTooLarge:
-            return "relational"
+            from dataclasses import replace
+
+            from .compiled import model_row, tree_chunks
+
+            row = model_row(self.tables, self.model_id)
+            parts = [compile_model(self.tables, self.model_id, trees=r) for r in tree_chunks(row)]
+            # the bias is added once, by the first chunk
+            return [parts[0]] + [replace(p, bias=np.zeros_like(p.bias)) for p in parts[1:]]
+
+    def _raw_dense(self, df: DataFrame, out_col: str, inputs: dict) -> DataFrame:
+        """Dense scoring; above the bound, one chained Arrow step per tree chunk, partial sums added.
+
+        Every broadcast stays under the bound, and there is still no shuffle.
+        """
+        parts = self._chunks()
+        if len(parts) == 1:
+            assembled, vcols = assemble(df, parts[0], self.tables.target_stats, **inputs)
+            return S.score_dense(assembled, parts[0], vcols, out_col)
+        out = df
+        for i, cm in enumerate(parts):
+            assembled, vcols = assemble(out, cm, self.tables.target_stats, **inputs)
+            out = S.score_dense(assembled, cm, vcols, f"__part{i}")
+        k = parts[0].dims
+        total = [F.col("__part0")[j] for j in range(k)]
+        for i in range(1, len(parts)):
+            total = [total[j] + F.col(f"__part{i}")[j] for j in range(k)]
+        return out.withColumn(out_col, F.array(*total)).drop(*[f"__part{i}" for i in range(len(parts))])
 
     def raw(
         self,
@@ -112,9 +140,8 @@ class Model:
         prunes the scan; by default every column of ``df`` is carried.
         """
         if self._plan(plan) == "dense":
-            df = prune(df, self.compiled, keep, **inputs)
-            assembled, vcols = assemble(df, self.compiled, self.tables.target_stats, **inputs)
-            return S.score_dense(assembled, self.compiled, vcols, out_col)
+            df = prune(df, self._chunks()[0], keep, **inputs)
+            return self._raw_dense(df, out_col, inputs)
         if not keys:
             raise ValueError("the relational plan needs unique key columns (keys=[...])")
         # Partition once; the scores come back grouped on the same keys, so the
@@ -158,7 +185,7 @@ class Model:
     ) -> DataFrame:
         """One of the seven prediction types as ``out_col ARRAY<DOUBLE>``."""
         ptype = links.resolve_prediction_type(prediction_type)
-        cm = self.compiled if self._plan(plan) == "dense" else None
+        cm = self._chunks()[0] if self._plan(plan) == "dense" else None
         dims, loss = self._dims_loss(cm)
         link = links.apply_link(F.col("__raw"), ptype, dims, loss)  # plan-time type check
         scored = self.raw(df, plan=plan, keys=keys, out_col="__raw", keep=keep, **inputs)
@@ -365,6 +392,13 @@ def score_many(
     """
     sizes = model_sizes(tables, model_ids)
     bound = max(sizes["values"], sizes["stats"])
+    if bound > MAX_DENSE_VALUES:
+        # Joining on the feature slot without a broadcast would shuffle on a key
+        # with a handful of values (a hot key per feature): refuse instead.
+        raise ValueError(
+            f"model tables of {model_ids} hold {bound} rows, above the broadcast bound {MAX_DENSE_VALUES}; "
+            "use plan='dense', which scores such models in tree chunks"
+        )
     rows = df if partitioned else S.partition_by_keys(df, keys, sizes["splits"], partitions)
     inputs = []
     metas = _light_metas(tables, model_ids)

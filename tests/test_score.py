@@ -215,3 +215,22 @@ def test_batches_are_chunked(spark):
     whole = S.raw_scores(x[:1000], payload)
     chunked = S.raw_scores(x, payload)[:1000]
     assert np.array_equal(whole, chunked)
+
+
+def test_large_model_is_scored_in_tree_chunks(spark, orders, tables, monkeypatch):
+    from sylva.plans import compiled
+    from sylva.plans.model import Model
+
+    want = {
+        mid: _rows(catalog.model(spark, mid).raw(orders), "o_orderkey", "raw") for mid in ("m1", "m2")
+    }
+    monkeypatch.setattr(compiled, "MAX_DENSE_VALUES", 16 * 3 * 7)  # m1: 7 trees, m2: 21 trees per chunk
+    for mid in ("m1", "m2"):
+        m = Model(tables, mid)  # fresh handle: nothing compiled yet
+        assert len(m._chunks()) > 1
+        assert m._plan("auto") == "dense"
+        got = _rows(m.raw(orders), "o_orderkey", "raw")
+        assert got.keys() == want[mid].keys()
+        assert all(np.allclose(got[k], want[mid][k], rtol=0, atol=1e-12) for k in got)
+    probs = _rows(Model(tables, "m1").predict_proba(orders), "o_orderkey", "prediction")
+    assert all(abs(sum(v) - 1) < 1e-9 for v in probs.values())
