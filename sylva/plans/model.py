@@ -221,7 +221,7 @@ class Model:
         if key not in self._explainers:
             if quantize not in (None, "float16"):
                 raise ValueError("quantize must be None or 'float16'")
-            cm = self.compiled
+            cm = self._chunks()[0]  # names, classes and dims (whole model, or its first chunk)
             if cm.n_cat:
                 raise ValueError(
                     f"explanations do not support models with categorical features (model has {cm.n_cat} cat features)"
@@ -253,11 +253,25 @@ class Model:
         from ..operators import explain as X
 
         ex = self.explainer(quantize)
-        df = prune(df, self.compiled, keep, **inputs)
+        df = prune(df, ex.model, keep, **inputs)
         if inputs.get("row_map") is not None:
             inputs.setdefault("unknown_keys", "ignore")  # explain ignores names it does not know
         if plan == "dense":
-            out = X.phi_dense(df, ex, out_col, **inputs)
+            parts = self._explain_parts(ex)
+            if len(parts) == 1:
+                out = X.phi_dense(df, parts[0], out_col, **inputs)
+            else:
+                # One chained Arrow step per tree chunk; contributions add up.
+                out = df
+                for i, part in enumerate(parts):
+                    out = X.phi_dense(out, part, f"__phi{i}", **inputs)
+                k, n_f = ex.model.dims, len(ex.feature_names)
+                total = [[F.col("__phi0")[c][f] for f in range(n_f)] for c in range(k)]
+                for i in range(1, len(parts)):
+                    total = [[total[c][f] + F.col(f"__phi{i}")[c][f] for f in range(n_f)] for c in range(k)]
+                out = out.withColumn(out_col, F.array(*[F.array(*row) for row in total])).drop(
+                    *[f"__phi{i}" for i in range(len(parts))]
+                )
         elif plan == "relational":
             if not keys:
                 raise ValueError("the relational plan needs unique key columns (keys=[...])")
@@ -266,6 +280,23 @@ class Model:
             raise ValueError("plan must be 'dense' or 'relational'")
         return out.withColumn("explanation", X.explanation(F.col(out_col), ex))
 
+    def _explain_parts(self, ex) -> list:
+        """The explainer whole, or per tree chunk when its SHAP table is above the bound."""
+        from ..operators.explain import Explainer
+        from . import compiled as C
+
+        row = C.model_row(self.tables, self.model_id)
+        depth = max(1, row["max_depth"])
+        per_tree = (1 << row["max_depth"]) * depth * row["dims"]
+        if row["n_trees"] * per_tree <= C.MAX_DENSE_VALUES and len(self._chunks()) == 1:
+            return [ex]
+        parts = []
+        for a, b in C.tree_chunks(row, C.MAX_DENSE_VALUES // depth):
+            cm = compile_model(self.tables, self.model_id, trees=(a, b))
+            shap = ex.shap.filter((F.col("model_id") == ex.shap_id) & (F.col("tree") >= a) & (F.col("tree") < b))
+            parts.append(Explainer(cm, shap.withColumn("tree", F.col("tree") - a), ex.bias, shap_id=ex.shap_id))
+        return parts
+
     def has_explainer(self) -> bool:
         """A SHAP table can be built (float-only model)."""
         return self.compiled.n_cat == 0

@@ -120,3 +120,17 @@ def test_label_fallback_and_cat_guard(spark):
     with pytest.raises(ValueError, match="categorical"):
         catalog.model(spark, "m2").explainer()
     assert catalog.model(spark, "m2").has_explainer() is False
+
+
+def test_large_explainer_runs_in_tree_chunks(spark, orders, tables, monkeypatch):
+    from sylva.plans import compiled
+    from sylva.plans.model import Model
+
+    want = {r["o_orderkey"]: r["phi"] for r in catalog.model(spark, "m1").explain(orders).select("o_orderkey", "phi").collect()}
+    monkeypatch.setattr(compiled, "MAX_DENSE_VALUES", 16 * 4 * 3 * 9)  # 9 trees per SHAP chunk
+    m = Model(tables, "m1")
+    assert len(m._explain_parts(m.explainer())) > 1
+    got = m.explain(orders).select("o_orderkey", "phi", "explanation").collect()
+    assert len(got) == len(want)
+    for r in got:
+        assert np.allclose(r["phi"], want[r["o_orderkey"]], atol=1e-12)
