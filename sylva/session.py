@@ -24,13 +24,22 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a scratch one only when unset (tests)."""
-    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """The cluster's shared checkpoint folder; a scratch one only when unset (tests).
+
+    Reads ``spark.checkpoint.dir`` from the session (runtime or context
+    configuration) and makes sure the context uses it for ``checkpoint()``.
+    """
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
     if current:
         return current
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if configured:
+        sc.setCheckpointDir(configured)
+        return sc.getCheckpointDir() or configured
     path = tempfile.mkdtemp(prefix="sylva-ckpt-")
-    spark.sparkContext.setCheckpointDir(path)
-    return spark.sparkContext.getCheckpointDir() or path
+    sc.setCheckpointDir(path)
+    return sc.getCheckpointDir() or path
 
 
 def durable(df):

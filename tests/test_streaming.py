@@ -24,3 +24,10 @@ def test_explain_stream(spark):
     want = catalog.model(spark, "m4").explain(spark.read.parquet(f"{SF}/part.parquet")).select("p_partkey", "phi")
     assert got.count() == want.count() > 0
     assert got.exceptAll(want).count() == 0
+
+
+def test_checkpoint_dir_is_read_from_session(spark):
+    from sylva.session import checkpoint_dir
+
+    got = checkpoint_dir(spark)
+    assert got and spark.sparkContext.getCheckpointDir() == got
