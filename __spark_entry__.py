@@ -467,8 +467,14 @@ def _sidecar_model(spark, model_id: str):
     tables = catalog.tables(spark)
     one = tables.only(model_id)
     out = checkpoint_dir(spark).rstrip("/") + f"/sylva-sidecars-{uuid.uuid4().hex}"
-    SC.write_sidecar_files(SC.pack_sidecars(one, shap_table(one), bias_row(one)), out).collect()
-    return SC.read_sidecars(spark, out)
+    packed = SC.pack_sidecars(one, shap_table(one), bias_row(one))
+    try:
+        target = SC.local_path(out)
+    except ValueError:  # shared folder on a non-POSIX file system: keep the bytes in a table
+        packed.write.parquet(out)
+        return SC.read_sidecar_table(spark.read.parquet(out))
+    SC.write_sidecar_files(packed, target).collect()
+    return SC.read_sidecars(spark, target)
 
 
 def q_sidecar_explain(spark, sf):

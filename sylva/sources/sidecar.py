@@ -179,11 +179,28 @@ def pack_sidecars(tables: ModelTables, shap: DataFrame, bias: DataFrame) -> Data
     return rows.groupBy("model_id").applyInPandas(_pack_group, PACKED_SCHEMA)
 
 
+def local_path(path: str) -> str:
+    """A POSIX path for Python file IO in tasks: plain paths and ``file:`` URIs.
+
+    Other schemes (hdfs, s3a, ...) cannot be written with Python IO; keep the
+    packed sidecars as a table there (``packed.write.parquet``) and read them
+    back with ``read_sidecar_table``.
+    """
+    if path.startswith("file://"):
+        return path[len("file://") :] if path[len("file://") :].startswith("/") else "/" + path[len("file://") :]
+    if path.startswith("file:"):
+        return path[len("file:") :]
+    if "://" in path:
+        raise ValueError(f"cannot write sidecar files to {path!r} with Python IO; write the packed table as Parquet instead")
+    return path
+
+
 def write_sidecar_files(packed: DataFrame, out_dir: str) -> DataFrame:
     """Write each packed model to ``out_dir/<model_id>.sidecar`` (a shared folder).
 
     Runs inside the tasks; returns (model_id, path, n_bytes).
     """
+    out_dir = local_path(out_dir)
 
     def write(it):
         for pdf in it:
@@ -282,6 +299,19 @@ def read_sidecars(spark: SparkSession, path: str, glob: str = "*" + SUFFIX) -> S
 
     ship_package(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path", "content")
+    return _decoded_tables(files)
+
+
+def read_sidecar_table(packed: DataFrame) -> SidecarTables:
+    """Decode sidecars held in a table (model_id, sidecar BINARY), e.g. a Parquet copy of ``pack_sidecars``."""
+    from ..session import ship_package
+
+    ship_package(packed.sparkSession)
+    files = packed.select(F.concat(F.col("model_id"), F.lit(SUFFIX)).alias("path"), F.col("sidecar").alias("content"))
+    return _decoded_tables(files)
+
+
+def _decoded_tables(files: DataFrame) -> SidecarTables:
     decoded = files.mapInPandas(_decode, DECODED_SCHEMA).cache()
     good = decoded.filter(F.col("reason").isNull())
     headers = good.select("model_id", "path", "version", "n_trees", "depth", "n_features", "n_classes", "bias")
@@ -363,7 +393,7 @@ def export_sidecars(spark: SparkSession, model_path: str, output_dir: str | None
     from .model_docs import load_models
 
     tables = load_models(spark, model_path, on_error="raise")
-    out = output_dir or (model_path if not model_path.endswith(".json") else os.path.dirname(model_path))
+    out = local_path(output_dir or (model_path if not model_path.endswith(".json") else os.path.dirname(model_path)))
     packed = pack_sidecars(tables, shap_table(tables), bias_row(tables))
 
     def write(it):

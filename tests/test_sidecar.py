@@ -79,3 +79,14 @@ def test_export_from_model_documents(spark):
     st = SC.read_sidecars(spark, folder)
     h = {r["model_id"]: r for r in st.headers.collect()}
     assert h["m5"]["n_classes"] == 2 and h["m5"]["n_trees"] == 20 and h["m5"]["depth"] == 3
+
+
+def test_local_path_and_table_route(spark, tables):
+    assert SC.local_path("file:/tmp/x") == "/tmp/x"
+    assert SC.local_path("file:///tmp/x") == "/tmp/x"
+    assert SC.local_path("/tmp/x") == "/tmp/x"
+    with pytest.raises(ValueError, match="Parquet"):
+        SC.local_path("hdfs://nn/x")
+    one = tables.only("m4")
+    st = SC.read_sidecar_table(SC.pack_sidecars(one, shap_table(one), bias_row(one)))
+    assert st.headers.first()["n_trees"] == 20 and st.rejected.count() == 0
