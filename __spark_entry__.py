@@ -16,6 +16,14 @@ from pyspark.sql import functions as F
 from sylva import catalog
 from sylva import oracle as O
 
+try:
+    import corpus_pipeline
+    from sylva.llm import queries as llm
+except ImportError as e:
+    if e.name not in ("corpus_pipeline", "sylva.llm"):
+        raise
+    llm = None
+
 SF_SMOKE = "/root/testdata/sf0.001"
 
 # ---------------------------------------------------------------------------
@@ -691,7 +699,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stride_sample": q_stride_sample,
         "synthetic_rows": q_synthetic_rows,
         "streaming_score": q_streaming_score,
-    }
+    } | ({} if llm is None else {**llm.QUERIES, "pipeline": corpus_pipeline.run})
 
 
 def oracle_sql() -> dict[str, str]:
@@ -700,4 +708,8 @@ def oracle_sql() -> dict[str, str]:
     out["score_many_models_dense"] = out["score_many_models"]
     out.update(_oracles_explain())
     out.update(_oracles_more())
+    if llm is not None:
+        out.update(llm.ORACLE_SQL)
+        if corpus_pipeline.ORACLE_SQL:
+            out["pipeline"] = corpus_pipeline.ORACLE_SQL
     return out
