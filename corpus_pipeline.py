@@ -9,8 +9,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sylva.llm import exact_dedup, mixing, simhash
-from sylva.llm.common import documents, stored
+from sylva.llm import exact_dedup, mixing, pieces, quality, simhash
+from sylva.llm.common import documents, stored, tokenizer_path
+
+
+def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the quality classifier, trained on the labels, does not reject."""
+    return quality.keep_good(docs, quality.train(docs, quality.labels_of(spark, sf_dir)))
 
 
 def dedup_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,13 +33,25 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.sample(docs)
 
 
-STAGES = [("exact_dedup", dedup_exact), ("simhash", dedup_near), ("mixing", mix)]
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with their piece ids."""
+    return pieces.with_ids(docs, tokenizer_path("piece_bpe_32k.model"))
+
+
+STAGES = [
+    ("quality", classify),
+    ("exact_dedup", dedup_exact),
+    ("simhash", dedup_near),
+    ("mixing", mix),
+    ("pieces", encode),
+]
 
 #: Learned scores and token ids are beyond SQL; tests compare with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; returns the last one's rows."""
     docs = documents(spark, sf_dir)
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")

@@ -44,3 +44,10 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
         taken.add(name.lower())
         out.append(name)
     return out
+
+
+def tokenizer_path(name: str) -> str:
+    """Place of a public tokenizer's file; every machine has the package that holds it."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
