@@ -260,5 +260,5 @@ def with_ids(docs: DataFrame, model: str, text_col: str = "text") -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*part.columns, lists], [*keep, "ids"])
 
     rows = docs.select(*keep)
-    schema = rows.schema.add("ids", T.ArrayType(T.IntegerType()))
+    schema = T.StructType([*rows.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
     return rows.mapInArrow(step, schema)
