@@ -30,6 +30,8 @@ SF_SMOKE = "/root/testdata/sf0.001"
 # Inputs
 # ---------------------------------------------------------------------------
 
+#: Length of the vectors in ``embeddings``: m3 takes all of it.
+N_EMB = 64
 M1_FLOATS = ["o_totalprice", "c_acctbal", "c_nationkey", "o_month"]
 M2_FLOATS = ["o_totalprice", "c_acctbal"]
 M2_CATS = ["o_orderpriority", "c_mktsegment"]
@@ -39,7 +41,7 @@ ORDERS_ROWS_SQL = (
     "SELECT o.o_orderkey AS row_key, CAST(o.o_totalprice AS FLOAT) AS f0, CAST(c.c_acctbal AS FLOAT) AS f1, "
     "CAST(c.c_nationkey AS FLOAT) AS f2, CAST(month(o.o_orderdate) AS FLOAT) AS f3, "
     "o.o_orderpriority AS c0, c.c_mktsegment AS c1 "
-    "FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey"
+    "FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey"
 )
 ORDERS_ROWS_NULLS_SQL = (
     "SELECT o.o_orderkey AS row_key, "
@@ -47,18 +49,18 @@ ORDERS_ROWS_NULLS_SQL = (
     "COALESCE(CASE WHEN o.o_orderkey % 5 = 0 THEN NULL ELSE CAST(c.c_acctbal AS FLOAT) END, 0) AS f1, "
     "CAST(c.c_nationkey AS FLOAT) AS f2, "
     "COALESCE(CASE WHEN o.o_orderkey % 13 = 0 THEN CAST('NaN' AS FLOAT) ELSE CAST(month(o.o_orderdate) AS FLOAT) END, 0) AS f3 "
-    "FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey"
+    "FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey"
 )
 PART_ROWS_SQL = "SELECT p_partkey AS row_key, CAST(p_size AS FLOAT) AS f0, CAST(p_retailprice AS FLOAT) AS f1 FROM part"
 EMB_ROWS_SQL = (
-    "SELECT vec_id AS row_key, " + ", ".join(f"CAST(embedding[{i + 1}] AS FLOAT) AS f{i}" for i in range(6)) + " FROM embeddings"
+    "SELECT vec_id AS row_key, " + ", ".join(f"CAST(embedding[{i + 1}] AS FLOAT) AS f{i}" for i in range(N_EMB)) + " FROM embeddings"
 )
 
 
 def orders_rows(spark: SparkSession, sf: str) -> DataFrame:
     o = spark.read.parquet(f"{sf}/orders.parquet")
     c = spark.read.parquet(f"{sf}/customer.parquet")
-    return o.join(c, o.o_custkey == c.c_custkey).select(
+    return o.join(c, o.o_custkey == c.c_custkey, "left").select(
         "o_orderkey",
         "o_totalprice",
         "c_acctbal",
@@ -75,7 +77,7 @@ def part_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 def emb_rows(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/embeddings.parquet").select(
-        "vec_id", F.slice("embedding", 1, 6).alias("x")
+        "vec_id", F.col("embedding").alias("x")
     )
 
 
@@ -162,9 +164,10 @@ def q_positional_rows(spark, sf):
 def q_arity_quarantine(spark, sf):
     from sylva.functions.features import arity_quarantine
 
-    # Rows whose positional array is one element too long are set aside, not scored.
+    # Rows whose positional array is too long, or null, are set aside, not scored.
     e = spark.read.parquet(f"{sf}/embeddings.parquet")
-    rows = e.select("vec_id", F.slice("embedding", 1, F.when(F.col("vec_id") % 3 == 0, 7).otherwise(6)).alias("x"))
+    longer = F.concat("embedding", F.array(F.lit(0.0).cast("float")))
+    rows = e.select("vec_id", F.when(F.col("vec_id") % 3 == 0, longer).when(F.col("vec_id") % 5 != 0, F.col("embedding")).alias("x"))
     good, bad = arity_quarantine(rows, "x", catalog.model(spark, "m3").compiled.n_float, ["vec_id"])
     scored = _long(catalog.model(spark, "m3").raw(good, features="x"), "vec_id", "raw", "raw")
     return scored.select("vec_id", "class_idx", "raw", F.lit(None).cast("int").alias("got")).unionByName(
@@ -303,20 +306,20 @@ def _oracles_scoring() -> dict[str, str]:
         + ")",
         "null_and_nan_features": _raw_oracle("m1", ORDERS_ROWS_NULLS_SQL, F4),
         "named_map_rows": _raw_oracle("m4", PART_ROWS_SQL, ["f0", "f1"], key="p_partkey"),
-        "positional_rows": _raw_oracle("m3", EMB_ROWS_SQL, [f"f{i}" for i in range(6)], key="vec_id"),
+        "positional_rows": _raw_oracle("m3", EMB_ROWS_SQL, [f"f{i}" for i in range(N_EMB)], key="vec_id"),
         "score_sql_function": _raw_oracle("m1", ORDERS_ROWS_SQL, F4),
         "arity_quarantine": O.with_clause(
-            O.scoring_ctes("m3", EMB_ROWS_SQL + " WHERE vec_id % 3 <> 0", [f"f{i}" for i in range(6)])
+            O.scoring_ctes("m3", EMB_ROWS_SQL + " WHERE vec_id % 3 <> 0 AND vec_id % 5 <> 0", [f"f{i}" for i in range(N_EMB)])
         )
         + "SELECT row_key AS vec_id, class_idx, raw, CAST(NULL AS INTEGER) AS got FROM raw "
-        "UNION ALL SELECT vec_id, CAST(NULL AS INTEGER), CAST(NULL AS DOUBLE), 7 FROM embeddings WHERE vec_id % 3 = 0",
+        "UNION ALL SELECT vec_id, CAST(NULL AS INTEGER), CAST(NULL AS DOUBLE), CASE WHEN vec_id % 3 = 0 THEN 65 ELSE -1 END FROM embeddings WHERE vec_id % 3 = 0 OR vec_id % 5 = 0",
         "link_probability_binary": _link_oracle(
             "m2", ORDERS_ROWS_SQL, ["f0", "f1"],
             "SELECT row_key AS o_orderkey, ROUND(1.0 / (1.0 + EXP(-raw)), 6) AS p FROM raw", orders_cats,
         ),
         "link_probability_multiclass": _softmax_oracle("m1", ORDERS_ROWS_SQL, F4, "o_orderkey", "e / tot", "p"),
         "link_multi_probability": _link_oracle(
-            "m3", EMB_ROWS_SQL, [f"f{i}" for i in range(6)],
+            "m3", EMB_ROWS_SQL, [f"f{i}" for i in range(N_EMB)],
             "SELECT row_key AS vec_id, class_idx, ROUND(1.0 / (1.0 + EXP(-raw)), 6) AS p FROM raw",
         ),
         "link_class": _link_oracle("m1", ORDERS_ROWS_SQL, F4, _argmax_sql("o_orderkey")),
@@ -339,7 +342,7 @@ def _oracles_scoring() -> dict[str, str]:
             "UNION ALL SELECT row_key, 1, ROUND(1.0 / (1.0 + EXP(-raw)), 6) FROM raw", orders_cats,
         ),
         "threshold_labels": _link_oracle(
-            "m3", EMB_ROWS_SQL, [f"f{i}" for i in range(6)],
+            "m3", EMB_ROWS_SQL, [f"f{i}" for i in range(N_EMB)],
             "SELECT row_key AS vec_id, class_idx, CAST(1.0 / (1.0 + EXP(-raw)) >= 0.5 AS INTEGER) AS label FROM raw",
         ),
         "top_class_label": "SELECT * FROM ("
@@ -378,25 +381,13 @@ def q_explain_relational(spark, sf):
 
 
 def q_explain_ranked(spark, sf):
-    m = catalog.model(spark, "m1")
-    ex = m.explain(orders_rows(spark, sf))
-    fnames = F.array(*[F.lit(n) for n in M1_FLOATS])
-
-    def ranked(row):
-        pairs = F.transform(row, lambda v, i: F.struct(F.abs(F.round(v, 6)).alias("a"), i.alias("fi")))
-        return F.array_sort(
-            pairs,
-            lambda x, y: F.when(x["a"] > y["a"], -1).when(x["a"] < y["a"], 1).otherwise(x["fi"] - y["fi"]),
-        )
-
-    per_class = ex.select("o_orderkey", F.posexplode("phi").alias("class_idx", "row"))
+    ex = catalog.model(spark, "m1").explain(orders_rows(spark, sf), keep=["o_orderkey"])
+    per_class = ex.select("o_orderkey", F.posexplode("explanation").alias("class_idx", "e"))
     return per_class.select(
-        "o_orderkey",
-        F.col("class_idx").cast("int").alias("class_idx"),
-        F.posexplode(ranked(F.col("row"))).alias("rank", "e"),
+        "o_orderkey", F.col("class_idx").cast("int").alias("class_idx"), F.posexplode("e.contributions").alias("rank", "c")
     ).select(
         "o_orderkey", "class_idx", (F.col("rank") + 1).cast("int").alias("rank"),
-        F.element_at(fnames, F.col("e.fi") + 1).alias("feature"),
+        F.round(F.abs("c.phi"), 6).alias("abs_phi"),
     )
 
 
@@ -446,8 +437,8 @@ def _oracles_explain() -> dict[str, str]:
         "ROUND(phi, 6) + 0.0 AS phi FROM contrib",
         "explain_ranked": m1
         + "SELECT row_key AS o_orderkey, CAST(class_idx AS INTEGER) AS class_idx, "
-        "CAST(ROW_NUMBER() OVER (PARTITION BY row_key, class_idx ORDER BY ABS(ROUND(phi, 6)) DESC, feature) AS INTEGER) AS rank, "
-        f"{_names_sql(M1_FLOATS)}[feature + 1] AS feature FROM contrib",
+        "CAST(ROW_NUMBER() OVER (PARTITION BY row_key, class_idx ORDER BY ABS(phi) DESC, feature) AS INTEGER) AS rank, "
+        "ROUND(ABS(phi), 6) AS abs_phi FROM contrib",
         "sidecar_explain": _explain_base_float16("m1", ORDERS_ROWS_SQL, F4)
         + f"SELECT row_key AS o_orderkey, CAST(class_idx AS INTEGER) AS class_idx, {_names_sql(M1_FLOATS)}[feature + 1] AS feature, "
         "ROUND(phi, 6) + 0.0 AS phi FROM contrib",
@@ -585,9 +576,36 @@ def q_stride_sample(spark, sf):
 
 
 def q_synthetic_rows(spark, sf):
-    from sylva.operators.sampling import synthetic_churn
+    from sylva.operators.sampling import choice, rule_labels, uniform
 
-    return synthetic_churn(spark.read.parquet(f"{sf}/orders.parquet"), "o_orderkey")
+    key = F.col("o_orderkey")
+    rows = spark.read.parquet(f"{sf}/orders.parquet").select(
+        "o_orderkey",
+        "o_totalprice",
+        "o_orderpriority",
+        (uniform(key, 0, SYNTHETIC_SEED) * 30.0).alias("slack_days"),
+        choice(key, 1, SYNTHETIC_SEED, CHANNELS).alias("channel"),
+    )
+    labelled = rule_labels(
+        rows,
+        [
+            (F.col("o_orderpriority").startswith("1-"), 0.5),
+            (F.col("o_totalprice") > 200000, 0.25),
+            (F.col("slack_days") < 6, 0.3),
+            (F.col("channel") == "phone", -0.2),
+        ],
+        0.45,
+        ("normal", "rush"),
+        noise=(uniform(key, 2, SYNTHETIC_SEED) - 0.5) * 0.1,
+    )
+    return labelled.withColumn("slack_days", F.round("slack_days", 6))
+
+
+def q_stacked_rows(spark, sf):
+    from sylva.operators.sampling import stack_features
+
+    rows = orders_rows(spark, sf).select("o_orderkey", *stack_features(M2_FLOATS, M2_CATS))
+    return _long(catalog.model(spark, "m2").raw(rows, features="features", cat_features="cat_features"), "o_orderkey", "raw", "raw")
 
 
 def q_streaming_score(spark, sf):
@@ -596,14 +614,18 @@ def q_streaming_score(spark, sf):
     schema = spark.read.parquet(f"{sf}/orders.parquet").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "orders.parquet").parquet(sf)
     c = spark.read.parquet(f"{sf}/customer.parquet")
-    rows = stream.join(c, stream.o_custkey == c.c_custkey).select(
+    rows = stream.join(c, stream.o_custkey == c.c_custkey, "left").select(
         "o_orderkey", "o_totalprice", "c_acctbal", "c_nationkey", F.month("o_orderdate").alias("o_month")
     )
     out = run_available_now(score_stream(rows, catalog.model(spark, "m1")).select("o_orderkey", "prediction"), spark, "score")
     return _long(spark.read.parquet(out), "o_orderkey", "prediction", "raw")
 
 
-def _hash_sql(draw: int, seed: int = 1337) -> str:
+SYNTHETIC_SEED = 77
+CHANNELS = ["web", "store", "phone", "agent"]
+
+
+def _hash_sql(draw: int, seed: int = SYNTHETIC_SEED) -> str:
     from sylva.operators.sampling import _MULTIPLIERS
 
     m = _MULTIPLIERS[draw % len(_MULTIPLIERS)]
@@ -613,38 +635,36 @@ def _hash_sql(draw: int, seed: int = 1337) -> str:
 
 def _oracles_more() -> dict[str, str]:
     m1 = O.with_clause(O.scoring_ctes("m1", ORDERS_ROWS_SQL, F4))
-    m3 = O.with_clause(O.scoring_ctes("m3", EMB_ROWS_SQL, [f"f{i}" for i in range(6)]))
+    m3 = O.with_clause(O.scoring_ctes("m3", EMB_ROWS_SQL, [f"f{i}" for i in range(N_EMB)]))
     label_counts = (
         "lc AS (SELECT row_key AS vec_id, CAST(SUM(CAST(1.0 / (1.0 + EXP(-raw)) >= 0.5 AS INTEGER)) AS INTEGER) AS label_count "
         "FROM raw GROUP BY row_key) "
     )
-    tier = f"['free', 'pro', 'premium'][CAST(FLOOR({_hash_sql(0)} * 3) AS INTEGER) + 1]"
-    region = f"['US', 'EU', 'APAC'][CAST(FLOOR({_hash_sql(1)} * 3) AS INTEGER) + 1]"
-    tenure = f"({_hash_sql(2)} * 60.0)"
-    spend = f"({_hash_sql(3)} * 200.0)"
-    noise = f"(({_hash_sql(4)} + {_hash_sql(5)} + {_hash_sql(6)} - 1.5) * 0.2)"
+    slack = f"({_hash_sql(0)} * 30.0)"
+    channel = f"['web', 'store', 'phone', 'agent'][CAST(FLOOR({_hash_sql(1)} * 4) AS INTEGER) + 1]"
     score = (
-        f"(CASE WHEN {tier} = 'free' THEN 0.4 ELSE 0.0 END + CASE WHEN {region} = 'APAC' THEN 0.2 ELSE 0.0 END "
-        f"+ CASE WHEN {spend} < 20 THEN 0.3 ELSE 0.0 END - CASE WHEN {tenure} > 24 THEN 0.25 ELSE 0.0 END + {noise})"
+        f"(({_hash_sql(2)} - 0.5) * 0.1 + CASE WHEN o_orderpriority LIKE '1-%' THEN 0.5 ELSE 0.0 END "
+        f"+ CASE WHEN o_totalprice > 200000 THEN 0.25 ELSE 0.0 END + CASE WHEN {slack} < 6 THEN 0.3 ELSE 0.0 END "
+        f"+ CASE WHEN {channel} = 'phone' THEN -0.2 ELSE 0.0 END)"
     )
-    label = f"CAST({score} > 0.35 AS INTEGER)"
+    label = f"CAST({score} > 0.45 AS INTEGER)"
     return {
-        "quantized_drift": "SELECT o.o_orderkey, TRUE AS within_tolerance FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey",
+        "quantized_drift": "SELECT o.o_orderkey, TRUE AS within_tolerance FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey",
         "parity_report": "SELECT COUNT(*) * 3 AS n_rows, CAST(0 AS BIGINT) AS only_left, CAST(0 AS BIGINT) AS only_right, "
-        "CAST(0 AS BIGINT) AS over_tolerance, CAST(0.0 AS DOUBLE) AS max_abs_diff FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey",
-        "probability_checks": "SELECT 'm1' AS model_id, COUNT(*) AS n_rows, COUNT(*) AS n_valid FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey "
+        "CAST(0 AS BIGINT) AS over_tolerance, CAST(0.0 AS DOUBLE) AS max_abs_diff FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey",
+        "probability_checks": "SELECT 'm1' AS model_id, COUNT(*) AS n_rows, COUNT(*) AS n_valid FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey "
         "UNION ALL SELECT 'm3', COUNT(*), COUNT(*) FROM embeddings",
         "type_difference": m3.rstrip("\n") + ",\n" + SOFTMAX_SQL
         + "SELECT row_key AS vec_id, ROUND(MAX(ABS(e / tot - 1.0 / (1.0 + EXP(-raw)))), 6) AS max_diff FROM se GROUP BY row_key",
-        "contribution_checks": "SELECT COUNT(*) * 3 AS n_rows, COUNT(*) * 3 AS n_well_formed FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey",
+        "contribution_checks": "SELECT COUNT(*) * 3 AS n_rows, COUNT(*) * 3 AS n_well_formed FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey",
         "label_count": m3.rstrip("\n") + ",\n" + label_counts + "SELECT vec_id, label_count FROM lc",
         "probe_per_bucket": m3.rstrip("\n") + ",\n" + label_counts
         + "SELECT vec_id, label_count FROM (SELECT vec_id, label_count, ROW_NUMBER() OVER (PARTITION BY label_count ORDER BY vec_id) AS rn FROM lc) WHERE rn <= 3",
         "label_coverage": m3.rstrip("\n") + ",\n" + label_counts + "SELECT COUNT(DISTINCT label_count) AS distinct_label_counts FROM lc",
         "stride_sample": O.with_clause(O.scoring_ctes("m1", ORDERS_ROWS_SQL + " WHERE o.o_orderkey % 10 = 0 OR o.o_orderkey BETWEEN 1 AND 40 OR o.o_orderkey BETWEEN 1000 AND 1010", F4))
         + "SELECT row_key AS o_orderkey, class_idx, raw FROM raw",
-        "synthetic_rows": f"SELECT o_orderkey, ROUND({tenure}, 6) AS tenure_months, ROUND({spend}, 6) AS monthly_spend, "
-        f"{tier} AS tier, {region} AS region, {label} AS label, ['stay', 'churn'][{label} + 1] AS label_name FROM orders",
+        "synthetic_rows": f"SELECT o_orderkey, o_totalprice, o_orderpriority, ROUND({slack}, 6) AS slack_days, {channel} AS channel, "
+        f"{label} AS label, ['normal', 'rush'][{label} + 1] AS label_name FROM orders",
         "streaming_score": _raw_oracle("m1", ORDERS_ROWS_SQL, F4),
     }
 
@@ -698,6 +718,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "label_coverage": q_label_coverage,
         "stride_sample": q_stride_sample,
         "synthetic_rows": q_synthetic_rows,
+        "stacked_rows": q_stacked_rows,
         "streaming_score": q_streaming_score,
     } | ({} if llm is None else {**llm.QUERIES, "pipeline": corpus_pipeline.run})
 
@@ -706,6 +727,7 @@ def oracle_sql() -> dict[str, str]:
     out = {}
     out.update(_oracles_scoring())
     out["score_many_models_dense"] = out["score_many_models"]
+    out["stacked_rows"] = out["score_categorical"]
     out.update(_oracles_explain())
     out.update(_oracles_more())
     if llm is not None:

@@ -97,11 +97,11 @@ def source_columns(
         known = set(model.float_names) | set(model.cat_names)
         unknown = [c for c in df.columns if c not in known]
         if unknown:
-            raise ValueError(f"unknown feature {unknown[0]!r}; known: {sorted(known)}")
+            raise ValueError(f"column {unknown[0]!r} is no feature of the model (its features: {sorted(known)})")
     for kind, names in (("float", model.float_names), ("cat", model.cat_names)):
         for n in names:
             if n not in cols:
-                raise KeyError(f"missing {kind} feature {n!r}")
+                raise KeyError(f"the {kind} feature {n!r} has no column")
     types = {f.name: f.dataType for f in df.schema.fields}
     for n in model.float_names:  # T5: text or booleans in a float slot are rejected
         if not _is_numeric(types[n]):
@@ -142,26 +142,48 @@ def map_row_checks(row_map: str, model: CompiledModel, unknown_keys: str = "erro
     ``unknown_keys='ignore'`` skips the unknown check (the explain path's rule).
     """
     names = F.array(*[F.lit(n) for n in model.float_names + model.cat_names])
-    m = F.col(row_map)
-    unknown = F.array_except(F.map_keys(m), names)
-    missing = F.array_except(names, F.map_keys(m))
-    missing_check = F.when(F.size(missing) > 0, F.raise_error(F.concat(F.lit("missing feature "), missing[0])))
+    keys = F.coalesce(F.map_keys(F.col(row_map)), F.array().cast("array<string>"))  # a null map lacks every feature
+    unknown = F.array_except(keys, names)
+    missing = F.array_except(names, keys)
+    missing_check = F.when(F.size(missing) > 0, F.raise_error(F.concat(F.lit("row map lacks feature "), missing[0])))
     if unknown_keys == "ignore":
         return missing_check
-    return F.when(F.size(unknown) > 0, F.raise_error(F.concat(F.lit("unknown feature "), unknown[0]))).otherwise(
+    return F.when(F.size(unknown) > 0, F.raise_error(F.concat(F.lit("row map has a feature the model does not know: "), unknown[0]))).otherwise(
         missing_check
     )
 
 
 def arity_check(features: str, n: int, kind: str = "float") -> Column:
     """Fail when a positional row has the wrong length."""
-    got = F.size(F.col(features))
+    got = F.coalesce(F.size(F.col(features)), F.lit(-1))  # a null array has no features at all
     return F.when(
         got != n,
-        F.raise_error(F.format_string(f"expected {n} {kind} features, got %d", got)),
+        F.raise_error(F.format_string(f"row holds %d {kind} values where the model takes {n}", got)),
     )
 
 
+def row_checks(
+    model, features: str | None, cat_features: str | None, row_map: str | None, unknown_keys: str = "error"
+) -> list[Column]:
+    """Checks of a positional or map row, the same in every plan: each fails the job or is null."""
+    checks: list[Column] = []
+    if features is not None:
+        checks.append(arity_check(features, len(model.float_names), "float"))
+        if model.cat_names:
+            checks.append(arity_check(cat_features, len(model.cat_names), "cat"))
+    if row_map is not None:
+        checks.append(map_row_checks(row_map, model, unknown_keys))
+    return checks
+
+
+def guard_inputs(checks: list[Column], floats: list[Column], cats: list[Column]) -> None:
+    """Hang the checks on an input that is always computed: null checks let its value through."""
+    if checks and floats:
+        floats[0] = F.coalesce(*[c.cast("float") for c in checks], floats[0])
+    elif checks and cats:
+        cats[0] = F.coalesce(*[c.cast("string") for c in checks], cats[0])
+
+
 def arity_quarantine(df: DataFrame, features: str, n: int, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     """C8 without failing: (rows of the right length, quarantined (keys..., expected, got))."""
     got = F.coalesce(F.size(F.col(features)), F.lit(-1))
@@ -192,20 +214,10 @@ def assemble(
         df, model, features=features, cat_features=cat_features, row_map=row_map, strict=strict
     )
     out = df
-    checks: list[Column] = []
-    if features is not None:
-        checks.append(arity_check(features, model.n_float, "float"))
-        if model.n_cat:
-            checks.append(arity_check(cat_features, model.n_cat, "cat"))
-    if row_map is not None:
-        checks.append(map_row_checks(row_map, model, unknown_keys))
+    checks = row_checks(model, features, cat_features, row_map, unknown_keys)
     floats = [_float_input(c, labels[i], null_mode, nan_mode) for i, c in enumerate(fsrc)]
     cats = [_cat_input(c, null_mode, labels[model.n_float + j]) for j, c in enumerate(csrc)]
-    if checks:
-        # A failing check raises; otherwise it is null and the first float passes through.
-        guard = F.coalesce(*[c.cast("float") for c in checks], floats[0] if floats else F.lit(0.0).cast("float"))
-        if floats:
-            floats[0] = guard
+    guard_inputs(checks, floats, cats)
 
     cols: list[Column] = []
     stat_joins: list[tuple[int, int, int]] = []  # (virtual index, stat id, cat index)

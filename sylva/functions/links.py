@@ -25,14 +25,14 @@ MULTI_LABEL_LOSSES = ("MultiLogloss", "MultiCrossEntropy")
 def resolve_prediction_type(ptype) -> str:
     """Accept the snake-case or the CamelCase name; return snake case."""
     if not isinstance(ptype, str):
-        raise TypeError(f"prediction_type must be a string, got {type(ptype).__name__}")
+        raise TypeError(f"a prediction type is named by a string, not by {type(ptype).__name__}")
     if ptype in PREDICTION_TYPES:
         return ptype
     for k, v in PREDICTION_TYPES.items():
         if v == ptype:
             return k
     raise ValueError(
-        f"Unknown prediction_type {ptype!r}; expected one of {list(PREDICTION_TYPES)} or {list(PREDICTION_TYPES.values())}"
+        f"there is no prediction type {ptype!r}; there are {list(PREDICTION_TYPES)} (or {list(PREDICTION_TYPES.values())})"
     )
 
 

@@ -37,7 +37,7 @@ class Explainer:
     def __init__(self, model: CompiledModel, shap: DataFrame, bias: list[float], shap_id: str | None = None):
         if model.n_cat:
             raise ValueError(
-                f"explanations do not support models with categorical features (model has {model.n_cat} cat features)"
+                f"only models without categorical features can be explained; this one has {model.n_cat}"
             )
         self.model = model
         self.shap = shap
@@ -121,14 +121,16 @@ def phi_relational(
     df: DataFrame, explainer: Explainer, splits: DataFrame, keys: list[str], out_col: str = "phi", **inputs
 ) -> DataFrame:
     """E10, relational: keys + ``phi ARRAY<ARRAY<DOUBLE>>`` via joins and sums."""
-    from ..functions.features import _float_input, source_columns
+    from ..functions.features import _float_input, guard_inputs, row_checks, source_columns
 
     m = explainer.model
     rows = S.partition_by_keys(df, keys, m.n_trees * m.max_depth)
-    fsrc, _, labels = source_columns(rows, m, **{k: v for k, v in inputs.items() if k in ("features", "row_map", "strict")})
+    given = {k: v for k, v in inputs.items() if k in ("features", "row_map", "strict")}
+    fsrc, _, labels = source_columns(rows, m, **given)
     null_mode = inputs.get("null_mode", "zero")
     nan_mode = inputs.get("nan_mode", "min")
     fl = [_float_input(c, labels[i], null_mode, nan_mode) for i, c in enumerate(fsrc)]
+    guard_inputs(row_checks(m, given.get("features"), None, given.get("row_map"), inputs.get("unknown_keys", "error")), fl, [])
     long = S.unpivot_inputs(rows, keys, [(fl, [], [])])
     n_split_rows = m.n_trees * m.max_depth
     sp = splits.filter(F.col("model_id") == m.model_id)
@@ -158,45 +160,35 @@ def phi_relational(
     )
     # Rows whose trees all reach leaves without table rows (no features) still get zeros.
     zeros = F.array_repeat(F.array_repeat(F.lit(0.0), m.n_float), m.dims)
-    return rows.join(nested, keys, "left").withColumn(out_col, F.coalesce(F.col(out_col), zeros))
+    return S.join_on_keys(rows, nested, keys, "left").withColumn(out_col, F.coalesce(F.col(out_col), zeros))
 
 
 def explanation(phi: Column, explainer: Explainer) -> Column:
-    """ARRAY<STRUCT<class, raw, bias, contributions ARRAY<STRUCT<order_key, feature, name, phi>>>>.
+    """ARRAY<STRUCT<class, raw, bias, contributions ARRAY<STRUCT<feature, name, phi>>>>.
 
-    Contributions are ranked by |phi| descending, ties by feature index: each
-    entry leads with ``order_key = -|phi|`` so the built-in ``sort_array``
-    orders them. K and F are fixed by the model, so the structure is unrolled
-    into per-element expressions (compiled by whole-stage codegen).
+    Contributions are ranked by |phi| descending, ties by feature index. The
+    expression has the same size for any number of features and classes.
     """
-    n_f = len(explainer.feature_names)
-
-    def per_class(k: int) -> Column:
-        row = phi[k]
-        items = [row[i] for i in range(n_f)]
-        pairs = F.array(
-            *[
-                F.struct(
-                    (-F.abs(v)).alias("order_key"),
-                    F.lit(i).alias("feature"),
-                    F.lit(explainer.feature_names[i]).alias("name"),
-                    v.alias("phi"),
-                )
-                for i, v in enumerate(items)
-            ]
-        )
-        total = items[0]
-        for v in items[1:]:
-            total = total + v
-        b = F.lit(explainer.bias[k])
-        return F.struct(
-            F.lit(explainer.class_names[k]).alias("class"),
-            (total + b).alias("raw"),
-            b.alias("bias"),
-            F.sort_array(pairs).alias("contributions"),
+    names = F.array(*[F.lit(n) for n in explainer.feature_names])
+    classes = F.array(*[F.lit(c) for c in explainer.class_names])
+    bias = F.array(*[F.lit(float(b)) for b in explainer.bias])
+
+    def ranked(row: Column) -> Column:
+        keyed = F.transform(row, lambda v, i: F.struct((-F.abs(v)).alias("by"), i.alias("feature"), v.alias("phi")))
+        return F.transform(
+            F.sort_array(keyed),
+            lambda e: F.struct(e["feature"].alias("feature"), F.get(names, e["feature"]).alias("name"), e["phi"].alias("phi")),
         )
 
-    return F.array(*[per_class(k) for k in range(explainer.model.dims)])
+    return F.transform(
+        phi,
+        lambda row, c: F.struct(
+            F.get(classes, c).alias("class"),
+            (F.aggregate(row, F.lit(0.0), lambda a, v: a + v) + F.get(bias, c)).alias("raw"),
+            F.get(bias, c).alias("bias"),
+            ranked(row).alias("contributions"),
+        ),
+    )
 
 
 def sidecar_explainer(sidecars, tables, model_id: str) -> Explainer:

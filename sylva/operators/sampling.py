@@ -6,9 +6,11 @@
   table still moves only n x tasks rows.
 * F2/F3 ``probe_rows``: a stride on the row key and key ranges.
 * F4 ``label_count``: ``aggregate`` over a 0/1 label array.
-* F5-F8 ``synthetic_churn``: per input row, seeded draws from an arithmetic
-  hash of the key (the same under any partitioning, unlike ``rand``), a rule
-  score with noise, a 0/1 label and its text name.
+* F5-F7 ``rule_labels``: a 0/1 label and its name from a weighted rule over any
+  columns, with seeded noise; ``uniform`` and ``choice`` draw further columns
+  from an arithmetic hash of the key (the same under any partitioning, unlike
+  ``rand``).
+* F8 ``stack_features``: columns as the two positional arrays.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from pyspark.sql import functions as F
 def first_n_per_bucket(df: DataFrame, bucket: str, order: str, n: int) -> DataFrame:
     """the first ``n`` rows of every bucket by ``order``, sorted by ``order``."""
     w = Window.partitionBy(bucket).orderBy(order)
-    return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= n).drop("__rn")
+    return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= n).drop("__rn").orderBy(order)
 
 
 def probe_rows(df: DataFrame, key: str, stride: int | None = None, ranges: list[tuple[int, int]] | None = None) -> DataFrame:
@@ -53,31 +55,24 @@ def choice(key: Column, draw: int, seed: int, options: list[str]) -> Column:
     return F.element_at(F.array(*[F.lit(o) for o in options]), idx + 1)
 
 
-def synthetic_churn(df: DataFrame, key: str, seed: int = 1337) -> DataFrame:
-    """Churn-like rows (two floats, two categories) and a rule label per key."""
-    k = F.col(key)
-    tier = choice(k, 0, seed, ["free", "pro", "premium"])
-    region = choice(k, 1, seed, ["US", "EU", "APAC"])
-    tenure = uniform(k, 2, seed) * 60.0
-    spend = uniform(k, 3, seed) * 200.0
-    # noise: centred sum of three draws, scaled to a spread of about 0.1
-    noise = (uniform(k, 4, seed) + uniform(k, 5, seed) + uniform(k, 6, seed) - 1.5) * 0.2
-    score = (
-        F.when(tier == "free", 0.4).otherwise(0.0)
-        + F.when(region == "APAC", 0.2).otherwise(0.0)
-        + F.when(spend < 20, 0.3).otherwise(0.0)
-        - F.when(tenure > 24, 0.25).otherwise(0.0)
-        + noise
-    )
-    label = (score > 0.35).cast("int")
-    return df.select(
-        k.alias(key),
-        F.round(tenure, 6).alias("tenure_months"),
-        F.round(spend, 6).alias("monthly_spend"),
-        tier.alias("tier"),
-        region.alias("region"),
-        label.alias("label"),
-        F.element_at(F.array(F.lit("stay"), F.lit("churn")), label + 1).alias("label_name"),
+def rule_labels(
+    df: DataFrame,
+    terms: list[tuple[Column, float]],
+    threshold: float,
+    names: tuple[str, str],
+    noise: Column | None = None,
+    label_col: str = "label",
+) -> DataFrame:
+    """``label_col`` (1 where the weights of the true terms plus noise exceed the threshold) and its name.
+
+    A term whose condition is null counts as false.
+    """
+    score = noise if noise is not None else F.lit(0.0)
+    for condition, weight in terms:
+        score = score + F.when(condition, F.lit(float(weight))).otherwise(0.0)
+    label = (score > threshold).cast("int")
+    return df.withColumn(label_col, label).withColumn(
+        f"{label_col}_name", F.when(F.col(label_col) == 1, F.lit(names[1])).otherwise(F.lit(names[0]))
     )
 
 

@@ -185,19 +185,47 @@ def partition_by_keys(df: DataFrame, keys: list[str], expansion: int = 1, partit
 
     The count is explicit, so adaptive execution cannot fold the shuffle into
     a few partitions (size before the expansion says nothing about the work
-    after it). By default it is the larger of ``spark.sql.shuffle.partitions``
-    and the input's partitions times ``ceil(expansion / EXPANSION_PER_TASK)``,
-    where ``expansion`` is the split rows each input row turns into (trees x
-    depth summed over models): the per-task aggregate then stays about as
-    large as for a 1024-split model. ``partitions`` overrides it.
+    after it). By default it is ``spark.sql.shuffle.partitions`` times
+    ``ceil(expansion / EXPANSION_PER_TASK)``, where ``expansion`` is the split
+    rows each input row turns into (trees x depth summed over models): the
+    per-task aggregate then stays about as large as for a 1024-split model.
+    Nothing of the input is run to find the count; ``partitions`` overrides it.
     """
-    spark = df.sparkSession
     if partitions is None:
         factor = max(1, -(-expansion // EXPANSION_PER_TASK))
-        partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions() * factor)
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) * factor
     return df.repartition(partitions, *keys)
 
 
+def join_on_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Join on the key columns with null equal to null; the left side's columns first."""
+    renamed = right.withColumnsRenamed({k: f"__{k}" for k in keys})
+    on = [left[k].eqNullSafe(renamed[f"__{k}"]) for k in keys]
+    return left.join(renamed, on, how).drop(*[f"__{k}" for k in keys])
+
+
+def with_stumps(tables, ids: list[str]) -> DataFrame:
+    """The split table, with a never-taken split for each tree that has none.
+
+    A split-less tree sends every row to leaf 0; the added row makes it show up
+    in the per-(row, tree) aggregate like any other tree.
+    """
+    sel = F.col("model_id").isin(ids)
+    splits = tables.splits.filter(sel)
+    bare = tables.leaves.filter(sel).select("model_id", "tree").distinct().join(splits.select("model_id", "tree").distinct(), ["model_id", "tree"], "left_anti")
+    stumps = bare.join(F.broadcast(tables.models.filter(sel).select("model_id", "n_float")), "model_id").select(
+        "model_id",
+        "tree",
+        F.lit(0).alias("level"),
+        F.when(F.col("n_float") > 0, "float").otherwise("onehot").alias("split_type"),
+        F.lit(0).alias("feature"),
+        F.lit(float("inf")).cast("float").alias("border"),
+        F.lit(None).cast("string").alias("value"),
+        F.lit(None).cast("int").alias("stat_id"),
+    )
+    return splits.select(*stumps.columns).unionByName(stumps)
+
+
 def unpivot_inputs(
     df: DataFrame, keys: list[str], inputs: list[tuple[list[Column], list[Column], list[tuple[int, Column]]]]
 ) -> DataFrame:
@@ -228,14 +256,17 @@ def leaf_index_relational(long: DataFrame, keys: list[str], splits: DataFrame, i
         slot_key(model_index(ids), kind, idx).alias("slot"),
         (kind == KIND_CAT).alias("is_cat"),
         "tree",
+        "level",
         pow2(F.col("level")).alias("bitval"),  # computed on the small table, not per joined row
         "border",
         "value",
     )
     j = long.join(s, "slot")
     bit = F.when(F.col("is_cat"), F.col("s") == F.col("value")).otherwise(~F.isnan("x") & (F.col("x") > F.col("border")))
+    leaf = F.sum(F.when(bit, F.col("bitval")).otherwise(0)).cast("int")
+    twice = F.count_if(F.col("level") == 0) > 1  # the bits of two rows must not add up to a third leaf
     return j.groupBy("model_idx", *keys, "tree").agg(
-        F.sum(F.when(bit, F.col("bitval")).otherwise(0)).cast("int").alias("leaf")
+        F.when(twice, F.raise_error(F.lit(f"key columns {keys} are not unique")).cast("int")).otherwise(leaf).alias("leaf")
     )
 
 

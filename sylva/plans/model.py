@@ -13,12 +13,23 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import links
-from ..functions.features import _cat_input, _float_input, assemble, prune, source_columns
+from ..functions.features import (
+    NAN_MODES,
+    NULL_MODES,
+    _cat_input,
+    _float_input,
+    assemble,
+    guard_inputs,
+    prune,
+    row_checks,
+    source_columns,
+)
 from ..operators import score as S
 from ..sources.model_docs import ModelTables, load_model_texts, load_models
 from ..session import durable
@@ -153,7 +164,7 @@ class Model:
         nested = long.groupBy(*keys).agg(
             F.transform(F.array_sort(F.collect_list(F.struct("class_idx", "raw"))), lambda s: s["raw"]).alias(out_col)
         )
-        return rows.join(nested, keys)
+        return S.join_on_keys(rows, nested, keys, "inner")
 
     def _input_names(self, inputs: dict) -> list[str]:
         if inputs.get("features") is not None:
@@ -224,7 +235,7 @@ class Model:
             cm = self._chunks()[0]  # names, classes and dims (whole model, or its first chunk)
             if cm.n_cat:
                 raise ValueError(
-                    f"explanations do not support models with categorical features (model has {cm.n_cat} cat features)"
+                    f"only models without categorical features can be explained; this one has {cm.n_cat}"
                 )
             one = self.tables.only(self.model_id)
             shap = shap_table(one)
@@ -302,45 +313,77 @@ class Model:
         return self.compiled.n_cat == 0
 
     # ---- SQL surface (D14) ----
-    def register_udf(self, spark: SparkSession, name: str | None = None, prediction_type: str = "raw_formula_val") -> str:
+    def register_udf(
+        self,
+        spark: SparkSession,
+        name: str | None = None,
+        prediction_type: str = "raw_formula_val",
+        null_mode: str = "zero",
+        nan_mode: str = "min",
+    ) -> str:
         """Register ``name(f1, .., fN[, c1, .., cM])`` returning ARRAY<DOUBLE>.
 
-        An Arrow-batched pandas UDF; arguments follow the model's float then
-        cat feature order.
+        An Arrow UDF; arguments follow the model's float then cat feature
+        order. Nulls and NaN follow ``null_mode`` and ``nan_mode`` as on the
+        DataFrame surface (Arrow keeps the two apart); anything but numbers in
+        a float slot fails the query.
         """
+        if null_mode not in NULL_MODES or nan_mode not in NAN_MODES:
+            raise ValueError(f"null_mode must be one of {NULL_MODES}, nan_mode one of {NAN_MODES}")
         cm = self.compiled
         ptype = links.resolve_prediction_type(prediction_type)
         links.apply_link(F.col("x"), ptype, cm.dims, cm.loss_function)  # validate now
         bc = spark.sparkContext.broadcast((cm.payload(), cm.virtual, _stat_dicts(self.tables, cm)))
-        n_float = cm.n_float
+        n_float, loss = cm.n_float, cm.loss_function
 
-        @F.pandas_udf(T.ArrayType(T.DoubleType()))
-        def score_udf(*cols: pd.Series) -> pd.Series:
+        @F.arrow_udf(T.ArrayType(T.DoubleType()))
+        def score_udf(*cols: pa.Array) -> pa.Array:
             payload, virtual, stats = bc.value
             n = len(cols[0]) if cols else 0
+            floats = [_arrow_floats(c, null_mode, nan_mode) for c in cols[:n_float]]
+            cats = [_arrow_cats(c, null_mode) for c in cols[n_float:]]
             x = np.zeros((n, len(virtual)), dtype=np.float32)
             for i, v in enumerate(virtual):
                 if v[0] == "float":
-                    x[:, i] = pd.to_numeric(cols[v[1]], errors="coerce").fillna(0.0).to_numpy(np.float32)
+                    x[:, i] = floats[v[1]]
                 elif v[0] == "onehot":
-                    x[:, i] = (cols[n_float + v[1]].fillna("").astype(str) == v[2]).to_numpy(np.float32)
+                    x[:, i] = cats[v[1]] == v[2]
                 else:
                     table, prior = stats[v[1]]
-                    x[:, i] = cols[n_float + v[2]].fillna("").astype(str).map(table).fillna(prior).to_numpy(np.float32)
-            raw = S.raw_scores(x, payload)
-            out = numpy_link(raw, ptype, loss=cm.loss_function)
-            return pd.Series(list(out))
+                    x[:, i] = cats[v[2]].map(table).fillna(prior).to_numpy(np.float32)
+            return pa.array(list(numpy_link(S.raw_scores(x, payload), ptype, loss=loss)), pa.list_(pa.float64()))
 
         name = name or f"score_{self.model_id}"
         spark.udf.register(name, score_udf)
         return name
 
 
+def _arrow_floats(c: pa.Array, null_mode: str, nan_mode: str) -> np.ndarray:
+    """A float argument under the null and NaN rules of the DataFrame surface."""
+    t = c.type
+    if not (pa.types.is_floating(t) or pa.types.is_integer(t) or pa.types.is_decimal(t) or pa.types.is_null(t)):
+        raise TypeError(f"a float feature got {t}")
+    if null_mode == "error" and c.null_count:
+        raise ValueError("null value for a float feature")
+    x = c.cast(pa.float64()).fill_null(0.0 if null_mode == "zero" else float("nan")).to_numpy(zero_copy_only=False)
+    if nan_mode == "error" and np.isnan(x).any():
+        raise ValueError("NaN value for a float feature")
+    if nan_mode == "max":
+        x = np.where(np.isnan(x), np.inf, x)
+    return x.astype(np.float32)
+
+
+def _arrow_cats(c: pa.Array, null_mode: str) -> pd.Series:
+    if null_mode == "error" and c.null_count:
+        raise ValueError("null value for a cat feature")
+    return c.cast(pa.string()).fill_null("").to_pandas()
+
+
 def _reject_type(method: str, locked: str, kw: dict) -> None:
     """The convenience methods fix the prediction type."""
     if "prediction_type" in kw:
         raise TypeError(
-            f"{method} locks prediction_type to {locked!r}; call predict(..., prediction_type={kw['prediction_type']!r}) instead"
+            f"{method} always returns {locked!r}; use predict() for {kw['prediction_type']!r}"
         )
 
 
@@ -440,6 +483,7 @@ def score_many(
         )
         fl = [_float_input(c, labels[i], null_mode, nan_mode) for i, c in enumerate(fsrc)]
         cl = [_cat_input(c, null_mode, labels[len(fsrc) + j]) for j, c in enumerate(csrc)]
+        guard_inputs(row_checks(meta, features, cat_features, row_map), fl, cl)
         stat_cols = []
         for sid, cat_index, prior in meta.stats:
             # One broadcast lookup per input row and statistic (not per split).
@@ -454,7 +498,7 @@ def score_many(
         inputs.append((fl, cl, stat_cols))
     long = S.unpivot_inputs(rows, keys, inputs)
     sel = F.col("model_id").isin(model_ids)
-    splits = checked_broadcast(tables.splits.filter(sel), bound)
+    splits = checked_broadcast(S.with_stumps(tables, model_ids), bound)
     leaf_rows = S.leaf_index_relational(long, keys, splits, model_ids)
     leaves = checked_broadcast(tables.leaves.filter(sel), bound)
     return S.raw_relational(leaf_rows, keys, leaves, tables.models, model_ids)

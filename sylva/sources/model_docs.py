@@ -81,6 +81,8 @@ MODEL_SCHEMA = T.StructType(
         T.StructField("scale_and_bias", T.StringType()),
         T.StructField("target_stats", T.ArrayType(_STAT)),
         T.StructField("metadata", T.MapType(T.StringType(), T.StringType())),
+        # a library export keeps its metadata here; nested values arrive as JSON text
+        T.StructField("model_info", T.MapType(T.StringType(), T.StringType())),
     ]
 )
 
@@ -89,7 +91,6 @@ SPLIT_KINDS = {
     "float": "float",
     "FloatFeature": "float",
     "onehot": "onehot",
-    "OneHotFeature": "onehot",
     "target_stat": "target_stat",
 }
 
@@ -196,6 +197,10 @@ def _reject_reason(doc: DataFrame) -> Column:
         F.when(F.col(CORRUPT).isNotNull() | trees.isNull(), F.lit("unparseable document"))
         .when(F.size(trees) == 0, F.lit("model has no trees"))
         .when(bad_shape, F.lit("leaf_values or leaf_weights do not match 2^depth"))
+        .when(
+            F.exists(trees, lambda t: F.exists(t["splits"], lambda s: F.coalesce(s["split_type"] == "OneHotFeature", F.lit(False)))),
+            F.lit("one-hot splits hold hashed categories, which cannot be compared with text"),
+        )
         .when(bad_index, F.lit("split refers to an unknown feature or split type"))
         .when(F.coalesce(F.size(bias), F.lit(-1)) != k, F.lit("bias size differs from leaf dimension"))
     )
@@ -305,7 +310,7 @@ def explode_models(doc: DataFrame, on_error: str = "reject") -> ModelTables:
         ).alias("z"),
     )
     target_stats = stats.select(
-        "model_id", "stat_id", "cat_index", "prior", "prior_weight", F.explode("z").alias("e")
+        "model_id", "stat_id", "cat_index", "prior", "prior_weight", F.explode_outer("z").alias("e")  # a statistic without keys keeps its prior
     ).select(
         "model_id",
         "stat_id",
@@ -318,10 +323,13 @@ def explode_models(doc: DataFrame, on_error: str = "reject") -> ModelTables:
         F.col("prior").alias("prior_value"),
     )
 
-    class_json = F.get_json_object(F.col("metadata")["class_params"], "$.class_names")
+    good = good.withColumn("metadata", F.coalesce("metadata", "model_info", F.create_map().cast("map<string,string>")))
+    class_json = F.get_json_object(F.try_element_at("metadata", F.lit("class_params")), "$.class_names")
+    loss = F.get_json_object(F.try_element_at("metadata", F.lit("params")), "$.loss_function")
     models = good.select(
         "model_id",
-        "loss_function",
+        # exports name the loss in their training parameters, as text or as {"type": ...}
+        F.coalesce("loss_function", F.get_json_object(loss, "$.type"), loss).alias("loss_function"),
         F.get_json_object("scale_and_bias", "$[0]").cast("double").alias("scale"),
         F.from_json(F.get_json_object("scale_and_bias", "$[1]"), "array<double>").alias("bias"),
         n_float.alias("n_float"),
@@ -336,7 +344,7 @@ def explode_models(doc: DataFrame, on_error: str = "reject") -> ModelTables:
         .when(class_json.rlike(r'^\s*\[\s*"'), F.lit("string"))
         .otherwise(F.lit("int"))
         .alias("label_kind"),
-        F.coalesce("metadata", F.create_map().cast("map<string,string>")).alias("metadata"),
+        "metadata",
     )
     return ModelTables(models, splits, leaves, features, target_stats, rejected)
 

@@ -17,6 +17,8 @@ from __future__ import annotations
 import os
 from dataclasses import dataclass
 
+import struct
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -29,7 +31,6 @@ from ..sources.model_docs import ModelTables, pow2
 MAGIC = b"CBSHAP\x01\x00"
 VERSION = 1
 HEADER_FIXED = 36  # magic (8) + five uint32 (20) + reserved uint64 (8)
-MAX_SIDECAR_BYTES = 256 * 1024 * 1024
 SUFFIX = ".sidecar"  # our file naming; any name can be read with ``glob``
 
 
@@ -80,35 +81,42 @@ def pack(
 
 
 class FormatError(ValueError):
-    pass
+    """A file that does not follow the layout; ``code`` names the rule it breaks."""
+
+    def __init__(self, code: str, detail: str):
+        super().__init__(f"[{code}] {detail}")
+        self.code = code
+
+
+#: The fixed part of the header: magic, version, trees, depth, features, classes, reserved.
+_HEAD = struct.Struct("<8s5IQ")
 
 
 def unpack(buf: bytes) -> dict:
-    """Decode one file (A7 guards, A8 float16 via NumPy)."""
-    if len(buf) < HEADER_FIXED:
-        raise FormatError(f"file too small for header ({len(buf)} bytes)")
-    if buf[:8] != MAGIC:
-        raise FormatError(f"not a sidecar file: got magic {buf[:8]!r}")
-    version, t_count, depth, n_features, k = np.frombuffer(buf, dtype="<u4", count=5, offset=8).tolist()
-    if version != VERSION:
-        raise FormatError(f"unsupported version {version}")
-    hsize = header_size(k)
-    if len(buf) < hsize:
-        raise FormatError(f"truncated header (need {hsize} bytes, got {len(buf)})")
-    bias = np.frombuffer(buf, dtype="<f4", count=k, offset=HEADER_FIXED).astype(np.float64)
-    dt = record_dtype(depth, k)
-    need = hsize + t_count * dt.itemsize
-    if len(buf) < need:
-        raise FormatError(f"truncated body (need {need} bytes, got {len(buf)})")
-    recs = np.frombuffer(buf, dtype=dt, count=t_count, offset=hsize)
+    """Decode one file (A7 guards, A8 float16 via NumPy).
+
+    The sizes that the header announces give the place where the file must
+    end; anything shorter is refused before a record is touched.
+    """
+    if len(buf) < _HEAD.size:
+        raise FormatError("SHORT", f"{len(buf)} bytes cannot hold the {_HEAD.size}-byte header")
+    magic, version, trees, depth, features, classes, _ = _HEAD.unpack_from(buf)
+    for code, found, wanted in (("MAGIC", magic, MAGIC), ("VERSION", version, VERSION)):
+        if found != wanted:
+            raise FormatError(code, f"found {found!r} where {wanted!r} belongs")
+    record = record_dtype(depth, classes)
+    bias_end = header_size(classes)
+    end = bias_end + trees * record.itemsize
+    if len(buf) < end:
+        raise FormatError("CUT", f"the file ends at byte {len(buf)} of {end}")
     return {
         "version": version,
-        "n_trees": t_count,
+        "n_trees": trees,
         "depth": depth,
-        "n_features": n_features,
-        "n_classes": k,
-        "bias": bias,
-        "records": recs,
+        "n_features": features,
+        "n_classes": classes,
+        "bias": np.frombuffer(buf[_HEAD.size : bias_end], "<f4").astype(np.float64),
+        "records": np.frombuffer(buf[bias_end:end], record),
     }
 
 
@@ -146,8 +154,8 @@ def pack_sidecars(tables: ModelTables, shap: DataFrame, bias: DataFrame) -> Data
     """(model_id, sidecar BINARY, n_bytes) for every model in ``shap``.
 
     ``shap`` is the long SHAP table, ``bias`` the bias row (model_id, class_idx,
-    bias). Models with mixed tree depths or too large a file are rejected by a
-    failing expression before any packing happens.
+    bias). A model with mixed tree depths fails the job. One file is one model,
+    so a group holds one model's table, as the format needs.
     """
     depth = tables.splits.groupBy("model_id", "tree").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("level", "feature", "border"))), lambda s: s["feature"]).alias("feats"),
@@ -158,23 +166,15 @@ def pack_sidecars(tables: ModelTables, shap: DataFrame, bias: DataFrame) -> Data
         F.transform(F.array_sort(F.collect_list(F.struct("class_idx", "bias"))), lambda s: s["bias"]).alias("bias")
     )
     info = tables.models.select("model_id", "n_float", "dims")
-    size_bytes = (
-        F.lit(HEADER_FIXED) + 4 * F.col("dims") + F.col("n_trees") * (F.col("max_depth") * 6 + 2 + F.pow(F.lit(2), F.col("max_depth")) * F.col("max_depth") * F.col("dims") * 2 + 3)
-    )
-    guard = tables.models.select(
-        "model_id",
-        F.when(size_bytes > MAX_SIDECAR_BYTES, F.raise_error(F.concat(F.lit("sidecar too large for model "), F.col("model_id")))).alias("__g"),
-    )
-    mixed = tables.splits.groupBy("model_id", "tree").agg(F.count("*").alias("d")).groupBy("model_id").agg(
-        F.when(F.min("d") != F.max("d"), F.raise_error(F.lit("the compact format needs one depth for all trees"))).alias("__m")
+    levels = tables.splits.groupBy("model_id", "tree").agg(F.count("*").alias("d")).groupBy("model_id").agg(
+        F.min("d").alias("least"), F.max("d").alias("most")
     )
+    # part of a column that the packing reads, so that no optimizer rule can drop it
+    one_depth = F.when(F.col("least") != F.col("most"), F.raise_error(F.lit("the compact format needs one depth for all trees")).cast("int")).otherwise(F.col("dims"))
     rows = (
         depth.join(entries, ["model_id", "tree"])
-        .join(F.broadcast(biases), "model_id")
-        .join(F.broadcast(info), "model_id")
-        .join(F.broadcast(guard), "model_id")
-        .join(F.broadcast(mixed), "model_id")
-        .drop("__g", "__m")
+        .join(biases, "model_id")
+        .join(info.join(levels, "model_id").select("model_id", "n_float", one_depth.alias("dims")), "model_id")
     )
     return rows.groupBy("model_id").applyInPandas(_pack_group, PACKED_SCHEMA)
 
@@ -369,11 +369,13 @@ def compatibility(sidecars: SidecarTables, tables: ModelTables) -> DataFrame:
     """(model_id, compatible, reason) for each sidecar paired with its model by id."""
     m = tables.models.select("model_id", "n_float", "n_cat", "dims")
     j = sidecars.headers.join(m, "model_id", "left")
-    reason = (
-        F.when(F.col("n_float").isNull(), F.lit("no model with this id"))
-        .when(F.col("n_cat") > 0, F.format_string("sidecars do not support models with categorical features (model has %d cat features)", F.col("n_cat")))
-        .when(F.col("n_features") != F.col("n_float"), F.format_string("n_features=%d does not match model float_features_count=%d", F.col("n_features"), F.col("n_float")))
-        .when(F.col("n_classes") != F.col("dims"), F.format_string("n_classes=%d does not match model dimensions_count=%d", F.col("n_classes"), F.col("dims")))
+    reason = F.coalesce(
+        F.when(F.col("dims").isNull(), F.lit("NO_MODEL")),
+        F.when(F.col("n_cat") > 0, F.lit("CATEGORICAL_MODEL")),
+        *[
+            F.when(F.col(got) != F.col(want), F.format_string(f"{code}: %d in the sidecar, %d in the model", got, want))
+            for code, got, want in (("FEATURES", "n_features", "n_float"), ("CLASSES", "n_classes", "dims"))
+        ],
     )
     return j.select("model_id", reason.isNull().alias("compatible"), reason.alias("reason"))
 

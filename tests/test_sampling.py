@@ -22,14 +22,19 @@ def test_probe_rows_and_label_count(spark):
     assert lab.select(SP.label_count(F.col("l"))).first()[0] == 3
 
 
-def test_synthetic_is_deterministic(spark):
-    o = spark.read.parquet(f"{SF}/orders.parquet")
-    a = SP.synthetic_churn(o, "o_orderkey").orderBy("o_orderkey").collect()
-    b = SP.synthetic_churn(o.repartition(7), "o_orderkey").orderBy("o_orderkey").collect()
-    assert a == b
-    assert {r["tier"] for r in a} == {"free", "pro", "premium"}
-    assert all(0 <= r["tenure_months"] < 60 and 0 <= r["monthly_spend"] < 200 for r in a)
-    assert {r["label_name"] for r in a} <= {"stay", "churn"}
+def test_synthetic_rows_are_deterministic(spark):
+    a = E.q_synthetic_rows(spark, SF).orderBy("o_orderkey").collect()
+    o = spark.read.parquet(f"{SF}/orders.parquet").repartition(7)
+    u = {r[0]: round(r[1], 6) for r in o.select("o_orderkey", SP.uniform(F.col("o_orderkey"), 0, E.SYNTHETIC_SEED) * 30.0).collect()}
+    assert all(r["slack_days"] == u[r["o_orderkey"]] for r in a)
+    assert {r["channel"] for r in a} == set(E.CHANNELS)
+    assert {(r["label"], r["label_name"]) for r in a} == {(0, "normal"), (1, "rush")}
+
+
+def test_rule_ignores_null_conditions(spark):
+    df = spark.createDataFrame([(1, None), (2, 5.0)], "k int, x double")
+    got = SP.rule_labels(df, [(F.col("x") > 3, 1.0)], 0.5, ("no", "yes")).orderBy("k").collect()
+    assert [(r["label"], r["label_name"]) for r in got] == [(0, "no"), (1, "yes")]
 
 
 def test_multilabel_semantics(spark):

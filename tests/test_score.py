@@ -97,20 +97,20 @@ def test_input_forms_agree(spark):
 def test_input_errors(spark):
     m = catalog.model(spark, "m4")
     part = spark.read.parquet(f"{SF}/part.parquet")
-    with pytest.raises(KeyError, match="missing float feature 'p_size'"):
+    with pytest.raises(KeyError, match="the float feature 'p_size' has no column"):
         m.raw(part.drop("p_size"))
-    with pytest.raises(ValueError, match="unknown feature"):
+    with pytest.raises(ValueError, match="is no feature of the model"):
         m.raw(part.select("p_size", "p_retailprice", "p_name"), strict=True)
     with pytest.raises(TypeError, match="non-numeric"):
         m.raw(part.withColumn("p_size", F.lit("hello")))
     short = part.select("p_partkey", F.array(F.col("p_size").cast("double")).alias("x"))
-    with pytest.raises(Exception, match="expected 2 float features, got 1"):
+    with pytest.raises(Exception, match="row holds 1 float values where the model takes 2"):
         m.raw(short, features="x").collect()
     extra = part.select("p_partkey", F.create_map(F.lit("p_size"), F.lit(1.0), F.lit("p_retailprice"), F.lit(2.0), F.lit("bogus"), F.lit(3.0)).alias("r"))
-    with pytest.raises(Exception, match="unknown feature bogus"):
+    with pytest.raises(Exception, match="does not know: bogus"):
         m.raw(extra, row_map="r").collect()
     missing = part.select("p_partkey", F.create_map(F.lit("p_size"), F.lit(1.0)).alias("r"))
-    with pytest.raises(Exception, match="missing feature p_retailprice"):
+    with pytest.raises(Exception, match="lacks feature p_retailprice"):
         m.raw(missing, row_map="r").collect()
     with pytest.raises(ValueError, match="cat_features must be provided"):
         catalog.model(spark, "m2").raw(part.select(F.array(F.lit(1.0), F.lit(2.0)).alias("x")), features="x")
@@ -119,17 +119,17 @@ def test_input_errors(spark):
 def test_prediction_types(spark):
     assert links.resolve_prediction_type("Probability") == "probability"
     assert links.resolve_prediction_type("raw_formula_val") == "raw_formula_val"
-    with pytest.raises(ValueError, match="Unknown prediction_type"):
+    with pytest.raises(ValueError, match="there is no prediction type"):
         links.resolve_prediction_type("Bogus")
     with pytest.raises(TypeError):
         links.resolve_prediction_type(3)
     m3 = catalog.model(spark, "m3")
-    emb = spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id", F.slice("embedding", 1, 6).alias("x"))
+    emb = spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id", F.col("embedding").alias("x"))
     with pytest.raises(ValueError, match="not defined for MultiLogloss"):
         m3.predict(emb, "log_probability", features="x")
     with pytest.raises(ValueError, match="2-dimensional"):
         catalog.model(spark, "m1").predict(emb, "rmse_with_uncertainty")
-    with pytest.raises(TypeError, match="locks prediction_type"):
+    with pytest.raises(TypeError, match="always returns"):
         m3.predict_proba(emb, features="x", prediction_type="raw_formula_val")
     assert links.output_dims("class", 3, "MultiClass") == 1
     assert links.output_dims("class", 4, "MultiLogloss") == 4
@@ -200,7 +200,7 @@ def test_explain_map_ignores_unknown_keys(spark):
     a = _rows(m.explain(mapped, row_map="r"), "p_partkey", "phi")
     b = _rows(m.explain(part), "p_partkey", "phi")
     assert a == b
-    with pytest.raises(Exception, match="unknown feature extra"):
+    with pytest.raises(Exception, match="does not know: extra"):
         m.raw(mapped, row_map="r").collect()
 
 

@@ -213,10 +213,10 @@ def main() -> None:
         metadata={"class_params": class_params([0, 1, 2], "Integer"), "model_guid": "iris-like-0002"},
     )
     part_vals = [column_values("part", "p_size").astype(np.float64), column_values("part", "p_retailprice")]
-    m3_vals = [embedding_values(i) for i in range(6)]
+    m3_vals = [embedding_values(i) for i in range(64)]
     m3 = float_model(
         np.random.default_rng(303),
-        names=[""] * 6,
+        names=[""] * 64,
         values=m3_vals,
         k=4,
         n_trees=60,
