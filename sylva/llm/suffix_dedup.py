@@ -47,10 +47,10 @@ from .polyhash import mixed, piece, prefix
 LENGTH = 200
 GRAM = 32
 #: Rows of one anchor hash that are gathered in a task.
-HOT_LIMIT = 50_000
+HOT_LIMIT = 30_000
 #: Bytes of text hashed at once, and suffixes sorted at once (whole groups beyond that).
-SEGMENT = 1 << 21
-BATCH = 40_000
+SEGMENT = 1 << 18
+BATCH = 10_000
 
 # -- anchors ------------------------------------------------------------------
 
@@ -124,7 +124,7 @@ def text_anchors(texts: list[bytes], length: int = LENGTH, gram: int = GRAM):
 # -- hash-compared suffix sort ------------------------------------------------
 
 
-def common_extension(sums: np.ndarray, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
+def common_extension(sums, a, b, place_a, place_b, most) -> np.ndarray:
     """Longest common extension of the suffixes at ``a`` and ``b``, up to ``most``, by binary search on hashes."""
     low, high = np.zeros(len(a), np.int64), most.astype(np.int64).copy()
     while True:
@@ -132,19 +132,19 @@ def common_extension(sums: np.ndarray, a: np.ndarray, b: np.ndarray, most: np.nd
         if not open_.any():
             return low
         mid = (low + high + 1) >> 1
-        same = piece(sums, a, a + mid) == piece(sums, b, b + mid)
+        same = piece(sums, a, a + mid, place_a) == piece(sums, b, b + mid, place_b)
         low = np.where(open_ & same, mid, low)
         high = np.where(open_ & ~same, mid - 1, high)
 
 
-def _before(data, sums, start, size, group, x, y) -> np.ndarray:
+def _before(data, sums, place, start, size, group, x, y) -> np.ndarray:
     """Whether suffix x sorts before suffix y: by group, bytes, length, then number."""
     out = group[x] < group[y]
     k = np.flatnonzero(group[x] == group[y])
     if len(k):
         a, b = x[k], y[k]
         most = np.minimum(size[a], size[b])
-        common = common_extension(sums, start[a], start[b], most)
+        common = common_extension(sums, start[a], start[b], place[a], place[b], most)
         cut = common == most
         last = len(data) - 1
         byte_a, byte_b = data[np.minimum(start[a] + common, last)], data[np.minimum(start[b] + common, last)]
@@ -153,10 +153,15 @@ def _before(data, sums, start, size, group, x, y) -> np.ndarray:
     return out
 
 
-def sort_suffixes(data: np.ndarray, start: np.ndarray, size: np.ndarray, group: np.ndarray) -> np.ndarray:
-    """Bottom-up mergesort of the suffixes; rows come with equal groups together, in ascending order."""
+def sort_suffixes(data: np.ndarray, begin: np.ndarray, start: np.ndarray, size: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """Bottom-up mergesort of the suffixes; rows come with equal groups together, in ascending order.
+
+    ``begin`` is where each row's string begins in ``data``, ascending from 0.
+    """
     n = len(start)
-    sums = prefix(data)
+    # powers count from the start of the string that a suffix stands in: a few hundred serve all
+    from_begin = np.arange(len(data), dtype=np.int32) - np.repeat(begin, np.diff(np.append(begin, len(data)))).astype(np.int32)
+    sums, place = prefix(data, from_begin), start - begin
     order, run = np.arange(n), 1
     edge = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1], [True]]))
     widest = int(np.diff(edge).max(initial=0))
@@ -173,7 +178,7 @@ def sort_suffixes(data: np.ndarray, start: np.ndarray, size: np.ndarray, group:
             if not len(open_):
                 break
             mid = (low[open_] + high[open_]) >> 1
-            less = _before(data, sums, start, size, group, order[mid], order[open_])
+            less = _before(data, sums, place, start, size, group, order[mid], order[open_])
             low[open_[less]] = mid[less] + 1
             high[open_[~less]] = mid[~less]
         own = at - np.where(left, base, base + run)
@@ -183,9 +188,9 @@ def sort_suffixes(data: np.ndarray, start: np.ndarray, size: np.ndarray, group:
     return order
 
 
-def verified_runs(data: np.ndarray, start: np.ndarray, size: np.ndarray, group: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+def verified_runs(data, begin, start, size, group, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted order and the exact common extension of each suffix with the one before it (-1 across groups)."""
-    order = sort_suffixes(data, start, size, group)
+    order = sort_suffixes(data, begin, start, size, group)
     room = np.concatenate([data, np.zeros(width, np.uint8)])
     table = np.lib.stride_tricks.sliding_window_view(room, width)
 
@@ -224,10 +229,11 @@ def repeated_windows(spans: list[bytes], reach: np.ndarray, group: np.ndarray, l
     begin = np.cumsum(sizes) - sizes
     data = np.frombuffer(b"".join(spans), np.uint8)
     anchor, end = begin + reach, begin + sizes
-    # right of the anchor, and left of it read backwards
-    right, right_common = verified_runs(data, anchor, end - anchor, group, length)
-    mirror = np.ascontiguousarray(data[::-1])
-    left, left_common = verified_runs(mirror, len(data) - anchor, reach, group, length)
+    right, right_common = verified_runs(data, begin, anchor, end - anchor, group, length)
+    # left of the anchor, read backwards: the strings themselves are turned around
+    turned = np.arange(len(data)) - np.repeat(begin, sizes)
+    mirror = data[np.repeat(end, sizes) - 1 - turned]
+    left, left_common = verified_runs(mirror, begin, end - reach, reach, group, length)
     least = length - (end - anchor)  # offsets of an anchor's windows: least..reach
     widest = int(reach.max(initial=0))
     out = np.zeros((n, widest + 1), bool)
@@ -362,25 +368,37 @@ def _hot_windows(placed: DataFrame, length: int) -> DataFrame:
     return placed.mapInArrow(step, "digest binary, id binary, start long")
 
 
+def _texts(docs: DataFrame, text_col: str, length: int) -> DataFrame:
+    """(id, text) of the texts that are long enough to hold a window."""
+    rows = docs.select(_id(text_col).alias("id"), text_of(text_col).cast("string").alias("text"))
+    return rows.where(F.octet_length("text") >= length)
+
+
+def _distinct(texts: DataFrame) -> DataFrame:
+    """Each text once: equal texts fold before the shuffle. Plans that use it twice share that shuffle."""
+    return texts.groupBy("id").agg(F.first("text").alias("text"))
+
+
 def repeated_intervals(docs: DataFrame, text_col: str = "text", length: int = LENGTH, gram: int = GRAM, hot_limit: int = HOT_LIMIT) -> DataFrame:
     """(id, start, end): repeated byte runs of each distinct text; ``id`` is the first half of its SHA-256."""
     ship_package(docs.sparkSession)
-    texts = docs.select(_id(text_col).alias("id"), text_of(text_col).cast("string").alias("text")).where(F.octet_length("text") >= length)
-    texts = texts.withColumn("key", F.xxhash64("id"))
-    rows = _anchor_rows(texts, length, gram)
+    texts = _texts(docs, text_col, length)
+    keyed = texts.withColumn("key", F.xxhash64("id"))
+    rows = _anchor_rows(keyed, length, gram)
     place = F.xxhash64("key", "at")
     counts = rows.groupBy("h").agg(F.min(place).alias("a"), F.max(place).alias("b"), F.count(F.lit(1)).alias("n"))
-    twice = counts.where("a <> b").select("h", (F.col("n") > hot_limit).alias("hot"))
+    # stored, so that the join has an exchange on either side and a frequent hash can be split
+    twice = stored(counts.where("a <> b").select("h", (F.col("n") > hot_limit).alias("hot")), "repeated-anchors")
     places = rows.join(twice, "h").groupBy("key", "hot").agg(F.collect_set("at").alias("ats"))
-    ids = texts.select("id", "key").distinct()
+    ids = keyed.select("id", "key").distinct()
     places = stored(places.join(ids, "key").select("id", "ats", "hot"), "anchor-places")
-    # equal texts fold before the shuffle
-    single = texts.groupBy("id").agg(F.first("text").alias("text"))
+    single = _distinct(texts)
     placed = single.join(places.where("NOT hot"), "id").select("id", "text", "ats")
     found = _group_intervals(_span_rows(placed, length, gram), length)
     if places.where("hot").isEmpty():
         return found
-    windows = stored(_hot_windows(single.join(places.where("hot"), "id").select("id", "text", "ats"), length), "hot-windows")
+    # like the spans and the cut, these read the texts from the one shuffle of ``single``
+    windows = _hot_windows(single.join(places.where("hot"), "id").select("id", "text", "ats"), length)
     where = F.struct("id", "start")
     shared = windows.groupBy("digest").agg(F.min(where).alias("a"), F.max(where).alias("b")).where("a <> b").select("digest")
     return found.unionByName(windows.join(shared, "digest").select("id", "start", (F.col("start") + length).alias("end")))
@@ -391,43 +409,62 @@ def _id(text_col: str):
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, hot_limit: int = HOT_LIMIT) -> DataFrame:
-    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (null where nothing is removed)."""
+    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     spans = repeated_intervals(docs, text_col, length, gram, hot_limit)
     by_text = spans.groupBy("id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    id_type = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(
-        F.col(id_col).alias("doc_id"), _id(text_col).alias("id"), text_of(text_col).cast("string").alias("text")
-    ).withColumn("n_bytes", F.octet_length("text").cast("long"))
-    copies = rows.groupBy("id").agg(F.count(F.lit(1)).alias("copies"))
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for text, spans, copies in zip(*[batch.column(k).to_pylist() for k in (1, 2, 3)]):
-                raw = text.encode("utf-8", "surrogatepass")
-                out.append(_cut(raw, [(0, len(raw))] if copies > 1 and len(raw) >= length else [(s["start"], s["end"]) for s in spans or []]))
-            sizes, removed, runs, shas = zip(*out) if out else ((), (), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *[pa.array(x, pa.int64()) for x in (sizes, removed, runs)], pa.array(shas, pa.string())],
-                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
-            )
-
-    joined = rows.join(copies.join(by_text, "id", "left"), "id").select("doc_id", "text", "spans", "copies")
-    return joined.mapInArrow(step, f"doc_id {id_type}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
-
-
-def _cut(raw: bytes, spans: list[tuple[int, int]]) -> tuple[int, int, int, str]:
-    """Size, bytes removed, maximal removed runs, and the SHA-256 of what is left."""
+            for k in range(0, batch.num_rows, 512):
+                part = batch.slice(k, 512)
+                out = [
+                    _cut(text.encode("utf-8", "surrogatepass"), [(s["start"], s["end"]) for s in spans])
+                    for text, spans in zip(part.column(1).to_pylist(), part.column(2).to_pylist())
+                ]
+                removed, runs, shas = zip(*out)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()), pa.array(shas)],
+                    ["id", "n_removed", "n_spans", "kept_sha256"],
+                )
+
+    cut = (
+        _distinct(_texts(docs, text_col, length))
+        .join(by_text, "id")
+        .select("id", "text", "spans")
+        .mapInArrow(step, "id binary, n_removed long, n_spans long, kept_sha256 string")
+    )
+    slim = stored(
+        docs.select(
+            F.col(id_col).alias("doc_id"),
+            _id(text_col).alias("id"),
+            F.sha2(text_of(text_col).cast("string"), 256).alias("text_sha256"),
+            F.octet_length(text_of(text_col).cast("string")).cast("long").alias("n_bytes"),
+        ),
+        "text-sizes",
+    )
+    copies = slim.groupBy("id").agg((F.count(F.lit(1)) > 1).alias("copied"))
+    by_text = stored(copies.join(cut, "id", "left"), "cut-texts")
+    everything = F.col("copied") & (F.col("n_bytes") >= length)
+    return slim.join(by_text, "id").select(
+        "doc_id",
+        "n_bytes",
+        F.when(everything, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
+        F.when(everything, 1).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
+        F.when(everything, F.lit(hashlib.sha256().hexdigest())).otherwise(F.coalesce("kept_sha256", "text_sha256")).alias("kept_sha256"),
+    )
+
+
+def _cut(raw: bytes, spans: list[tuple[int, int]]) -> tuple[int, int, str]:
+    """Bytes removed, maximal removed runs, and the SHA-256 of what is left."""
     kept, at, runs, removed = hashlib.sha256(), 0, 0, 0
-    reach = -1
     for start, end in sorted(spans):
-        if start > reach:
+        if start > at or not runs:
             kept.update(raw[at:start])
             runs += 1
             removed += end - start
-            reach = at = end
-        elif end > reach:
-            removed += end - reach
-            reach = at = end
+            at = end
+        elif end > at:
+            removed += end - at
+            at = end
     kept.update(raw[at:])
-    return len(raw), removed, runs, kept.hexdigest()
+    return removed, runs, kept.hexdigest()
