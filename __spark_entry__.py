@@ -96,7 +96,7 @@ def _long(df: DataFrame, key: str, col: str, name: str, digits: int | None = Non
 
 def q_score_raw(spark, sf):
     m = catalog.model(spark, "m1")
-    return _long(m.raw(orders_rows(spark, sf)), "o_orderkey", "raw", "raw")
+    return _long(m.raw(orders_rows(spark, sf), keep=["o_orderkey"]), "o_orderkey", "raw", "raw")
 
 
 def q_score_raw_relational(spark, sf):
@@ -106,14 +106,14 @@ def q_score_raw_relational(spark, sf):
 
 def q_leaf_index(spark, sf):
     m = catalog.model(spark, "m1")
-    return m.leaf_index(orders_rows(spark, sf)).select(
+    return m.leaf_index(orders_rows(spark, sf), keep=["o_orderkey"]).select(
         "o_orderkey", F.posexplode("leaves").alias("tree", "leaf")
     ).withColumn("tree", F.col("tree").cast("int"))
 
 
 def q_score_categorical(spark, sf):
     m = catalog.model(spark, "m2")
-    return _long(m.raw(orders_rows(spark, sf)), "o_orderkey", "raw", "raw")
+    return _long(m.raw(orders_rows(spark, sf), keep=["o_orderkey"]), "o_orderkey", "raw", "raw")
 
 
 def q_score_many_models(spark, sf):
@@ -198,12 +198,12 @@ F4 = ["f0", "f1", "f2", "f3"]
 
 def q_link_probability_binary(spark, sf):
     m = catalog.model(spark, "m2")
-    return _long(m.predict_proba(orders_rows(spark, sf)), "o_orderkey", "prediction", "p", 6).drop("class_idx")
+    return _long(m.predict_proba(orders_rows(spark, sf), keep=["o_orderkey"]), "o_orderkey", "prediction", "p", 6).drop("class_idx")
 
 
 def q_link_probability_multiclass(spark, sf):
     m = catalog.model(spark, "m1")
-    return _long(m.predict_proba(orders_rows(spark, sf)), "o_orderkey", "prediction", "p", 6)
+    return _long(m.predict_proba(orders_rows(spark, sf), keep=["o_orderkey"]), "o_orderkey", "prediction", "p", 6)
 
 
 def q_link_multi_probability(spark, sf):
@@ -213,12 +213,12 @@ def q_link_multi_probability(spark, sf):
 
 def q_link_class(spark, sf):
     m = catalog.model(spark, "m1")
-    return _long(m.predict(orders_rows(spark, sf), "Class"), "o_orderkey", "prediction", "class").drop("class_idx")
+    return _long(m.predict(orders_rows(spark, sf), "Class", keep=["o_orderkey"]), "o_orderkey", "prediction", "class").drop("class_idx")
 
 
 def q_link_class_binary(spark, sf):
     m = catalog.model(spark, "m2")
-    return _long(m.predict(orders_rows(spark, sf), "class"), "o_orderkey", "prediction", "class").drop("class_idx")
+    return _long(m.predict(orders_rows(spark, sf), "class", keep=["o_orderkey"]), "o_orderkey", "prediction", "class").drop("class_idx")
 
 
 def q_link_exponent(spark, sf):
@@ -228,7 +228,7 @@ def q_link_exponent(spark, sf):
 
 def q_link_log_probability(spark, sf):
     m = catalog.model(spark, "m1")
-    return _long(m.predict(orders_rows(spark, sf), "LogProbability"), "o_orderkey", "prediction", "v", 6)
+    return _long(m.predict(orders_rows(spark, sf), "LogProbability", keep=["o_orderkey"]), "o_orderkey", "prediction", "v", 6)
 
 
 def q_link_uncertainty(spark, sf):
@@ -243,7 +243,7 @@ def q_expand_binary(spark, sf):
     from sylva.functions.links import expand_binary
 
     m = catalog.model(spark, "m2")
-    p = m.predict_proba(orders_rows(spark, sf))
+    p = m.predict_proba(orders_rows(spark, sf), keep=["o_orderkey"])
     return _long(p.withColumn("pp", expand_binary(F.col("prediction"))), "o_orderkey", "pp", "p", 6)
 
 
@@ -262,7 +262,7 @@ def q_top_class_label(spark, sf):
     for mid in ("m1", "m1i"):
         m = catalog.model(spark, mid)
         names = F.array(*[F.lit(n) for n in m.compiled.class_names])
-        p = m.predict(orders_rows(spark, sf), "class")
+        p = m.predict(orders_rows(spark, sf), "class", keep=["o_orderkey"])
         out.append(p.select(F.lit(mid).alias("model_id"), "o_orderkey", class_label(p.prediction[0], names).alias("label")))
     return out[0].unionByName(out[1])
 
@@ -371,7 +371,7 @@ def _phi_long(df: DataFrame, key: str, names: list[str]) -> DataFrame:
 
 def q_explain_contributions(spark, sf):
     m = catalog.model(spark, "m1")
-    return _phi_long(m.explain(orders_rows(spark, sf)), "o_orderkey", M1_FLOATS)
+    return _phi_long(m.explain(orders_rows(spark, sf), keep=["o_orderkey"]), "o_orderkey", M1_FLOATS)
 
 
 def q_explain_relational(spark, sf):
@@ -393,8 +393,8 @@ def q_explain_ranked(spark, sf):
 
 def q_shap_additivity(spark, sf):
     m = catalog.model(spark, "m1")
-    scored = m.raw(orders_rows(spark, sf))
-    ex = m.explain(scored)
+    scored = m.raw(orders_rows(spark, sf), keep=["o_orderkey", *M1_FLOATS])
+    ex = m.explain(scored, keep=["o_orderkey", "raw"])
     per_class = ex.select("o_orderkey", "raw", F.posexplode("explanation").alias("class_idx", "e"))
     return per_class.select(
         "o_orderkey",
@@ -491,11 +491,10 @@ def q_quantized_drift(spark, sf):
 
     m = catalog.model(spark, "m1")
     # Both explainers run as chained Arrow steps over the same rows: no join.
-    exact = X.phi_dense(orders_rows(spark, sf), m.explainer(), "pe")
+    exact = X.phi_dense(orders_rows(spark, sf).select("o_orderkey", *M1_FLOATS), m.explainer(), "pe")
     both = X.phi_dense(exact, m.explainer("float16"), "pq")
-    return both.select(
-        "o_orderkey", (max_abs_difference(F.flatten("pe"), F.flatten("pq")) <= 5e-3).alias("within_tolerance")
-    )
+    drift = max_abs_difference(F.flatten("pe"), F.flatten("pq"))
+    return both.select("o_orderkey", F.round(drift, 6).alias("max_drift"), (drift <= 5e-3).alias("within_tolerance"))
 
 
 def q_parity_report(spark, sf):
@@ -509,12 +508,16 @@ def q_parity_report(spark, sf):
 def q_probability_checks(spark, sf):
     from sylva.operators.checks import probabilities_valid
 
-    m1 = catalog.model(spark, "m1").predict_proba(orders_rows(spark, sf))
+    m1 = catalog.model(spark, "m1").predict_proba(orders_rows(spark, sf), keep=["o_orderkey"])
     m3 = catalog.model(spark, "m3").predict_multi_proba(emb_rows(spark, sf), features="x")
+    extremes = [
+        F.round(F.min(F.array_min("prediction")), 6).alias("min_p"),
+        F.round(F.max(F.array_max("prediction")), 6).alias("max_p"),
+    ]
     a = m1.agg(F.lit("m1").alias("model_id"), F.count("*").alias("n_rows"),
-               F.count_if(probabilities_valid(F.col("prediction"), True)).alias("n_valid"))
+               F.count_if(probabilities_valid(F.col("prediction"), True)).alias("n_valid"), *extremes)
     b = m3.agg(F.lit("m3").alias("model_id"), F.count("*").alias("n_rows"),
-               F.count_if(probabilities_valid(F.col("prediction"), False)).alias("n_valid"))
+               F.count_if(probabilities_valid(F.col("prediction"), False)).alias("n_valid"), *extremes)
     return a.unionByName(b)
 
 
@@ -531,7 +534,7 @@ def q_contribution_checks(spark, sf):
     from sylva.operators.checks import contributions_well_formed
 
     m = catalog.model(spark, "m1")
-    ex = m.explain(orders_rows(spark, sf)).select(F.explode("explanation").alias("e"))
+    ex = m.explain(orders_rows(spark, sf), keep=["o_orderkey"]).select(F.explode("explanation").alias("e"))
     return ex.agg(
         F.count("*").alias("n_rows"),
         F.count_if(contributions_well_formed(F.col("e.contributions"), len(M1_FLOATS))).alias("n_well_formed"),
@@ -572,7 +575,7 @@ def q_stride_sample(spark, sf):
     from sylva.operators.sampling import probe_rows
 
     rows = probe_rows(orders_rows(spark, sf), "o_orderkey", stride=10, ranges=[(1, 40), (1000, 1010)])
-    return _long(catalog.model(spark, "m1").raw(rows), "o_orderkey", "raw", "raw")
+    return _long(catalog.model(spark, "m1").raw(rows, keep=["o_orderkey"]), "o_orderkey", "raw", "raw")
 
 
 def q_synthetic_rows(spark, sf):
@@ -649,11 +652,17 @@ def _oracles_more() -> dict[str, str]:
     )
     label = f"CAST({score} > 0.45 AS INTEGER)"
     return {
-        "quantized_drift": "SELECT o.o_orderkey, TRUE AS within_tolerance FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey",
+        "quantized_drift": "SELECT e.row_key AS o_orderkey, ROUND(MAX(ABS(e.phi - q.phi)), 6) AS max_drift, "
+        "MAX(ABS(e.phi - q.phi)) <= 5e-3 AS within_tolerance FROM ("
+        + _explain_base("m1", ORDERS_ROWS_SQL, F4) + "SELECT row_key, class_idx, feature, phi FROM contrib) e JOIN ("
+        + _explain_base_float16("m1", ORDERS_ROWS_SQL, F4) + "SELECT row_key, class_idx, feature, phi FROM contrib) q "
+        "ON e.row_key = q.row_key AND e.class_idx = q.class_idx AND e.feature = q.feature GROUP BY e.row_key",
         "parity_report": "SELECT COUNT(*) * 3 AS n_rows, CAST(0 AS BIGINT) AS only_left, CAST(0 AS BIGINT) AS only_right, "
         "CAST(0 AS BIGINT) AS over_tolerance, CAST(0.0 AS DOUBLE) AS max_abs_diff FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey",
-        "probability_checks": "SELECT 'm1' AS model_id, COUNT(*) AS n_rows, COUNT(*) AS n_valid FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey "
-        "UNION ALL SELECT 'm3', COUNT(*), COUNT(*) FROM embeddings",
+        "probability_checks": "SELECT 'm1' AS model_id, COUNT(DISTINCT o_orderkey) AS n_rows, COUNT(DISTINCT o_orderkey) AS n_valid, "
+        "MIN(p) AS min_p, MAX(p) AS max_p FROM (" + _softmax_oracle("m1", ORDERS_ROWS_SQL, F4, "o_orderkey", "e / tot", "p")
+        + ") UNION ALL SELECT 'm3', COUNT(DISTINCT row_key), COUNT(DISTINCT row_key), ROUND(MIN(1.0 / (1.0 + EXP(-raw))), 6), "
+        "ROUND(MAX(1.0 / (1.0 + EXP(-raw))), 6) FROM (" + m3 + "SELECT row_key, raw FROM raw)",
         "type_difference": m3.rstrip("\n") + ",\n" + SOFTMAX_SQL
         + "SELECT row_key AS vec_id, ROUND(MAX(ABS(e / tot - 1.0 / (1.0 + EXP(-raw)))), 6) AS max_diff FROM se GROUP BY row_key",
         "contribution_checks": "SELECT COUNT(*) * 3 AS n_rows, COUNT(*) * 3 AS n_well_formed FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey",

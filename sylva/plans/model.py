@@ -178,8 +178,9 @@ class Model:
         """D2 through the relational plan P4: (model_id, keys..., class_idx, raw)."""
         return score_many(df, self.tables, [self.model_id], keys, null_mode=null_mode, nan_mode=nan_mode, **inputs)
 
-    def leaf_index(self, df: DataFrame, out_col: str = "leaves", **inputs) -> DataFrame:
+    def leaf_index(self, df: DataFrame, out_col: str = "leaves", keep: list[str] | None = None, **inputs) -> DataFrame:
         """Append the leaf reached in each tree as ``out_col ARRAY<INT>``."""
+        df = prune(df, self.compiled, keep, **inputs)
         assembled, vcols = assemble(df, self.compiled, self.tables.target_stats, **inputs)
         return S.leaf_index_dense(assembled, self.compiled, vcols, out_col)
 
