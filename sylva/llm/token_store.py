@@ -46,8 +46,8 @@ DICTIONARY_BYTES = 64 * 1024
 SAMPLE_DOCUMENTS = 1000
 SAMPLE_BYTES = 32 * 1024
 SHARD_BYTES = 8 << 20
-#: Most words whose ids a Python worker remembers.
-WORD_CACHE = 400_000
+#: Words whose ids a Python worker remembers, in each of two generations.
+WORD_CACHE = 500_000
 
 MAGIC = b"SYTOKENS"
 _HEADER = struct.Struct("<8sHHI32s")
@@ -75,7 +75,8 @@ class WordEncoder:
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.kind = f"<u{self.width}"
         self.end = np.array([END_ID], self.kind).tobytes()
-        self.known: dict[str, bytes] = {}
+        self.recent: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
     @classmethod
     def at(cls, path: str) -> "WordEncoder":
@@ -83,17 +84,39 @@ class WordEncoder:
             cls._by_path[path] = cls(path)
         return cls._by_path[path]
 
+    def _plain(self, word: str) -> bytes | None:
+        """Ids of ASCII letters with at most one point or comma behind them, from the model itself.
+
+        Normalising would only lower-case such a word, and splitting only part the mark from it.
+        """
+        core = word[:-1] if word[-1:] in (".", ",") else word
+        if not (core.isascii() and core.isalpha()):
+            return None
+        tokens = self.tokenizer.model.tokenize(core.lower())
+        if len(core) < len(word):
+            tokens += self.tokenizer.model.tokenize(word[-1])
+        return np.array([t.id for t in tokens], self.kind).tobytes()
+
+    def _learn(self, words: list[str]) -> None:
+        """Remember the ids of ``words``; the words used least recently are forgotten."""
+        new = set(words).difference(self.recent)
+        if len(self.recent) + len(new) > WORD_CACHE:
+            self.before, self.recent, new = self.recent, {}, set(words)
+        rest = []
+        for word in new:
+            got = self.before.get(word) or self._plain(word)
+            if got is None:
+                rest.append(word)
+            else:
+                self.recent[word] = got
+        for word, got in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
+            self.recent[word] = np.array(got.ids, self.kind).tobytes()
+
     def encode(self, text: str) -> bytes:
         words = text.replace("\n", " ").split(" ")
-        known = self.known
-        new = list(set(words).difference(known))
-        if new:
-            if len(known) + len(new) > WORD_CACHE:
-                known.clear()
-                new = list(set(words))
-            for word, got in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                known[word] = np.array(got.ids, self.kind).tobytes()
-        return b"".join([known[w] for w in words]) + self.end
+        self._learn(words)
+        recent = self.recent
+        return b"".join([recent[w] for w in words]) + self.end
 
 
 # -- shards -------------------------------------------------------------------
