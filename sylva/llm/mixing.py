@@ -21,7 +21,7 @@ read by ``plan_sample`` and come back untouched from ``sample``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import fresh, stored, text_of
@@ -31,7 +31,8 @@ BUDGET = 0.6
 #: Target marginals are proportional to (token sum) ** exponent, unless given.
 EXPONENTS = {"source": 0.5, "lang": 0.7, "topic": 0.7}
 ROUNDS = 20
-TOLERANCE = 1e-6
+STEP = 4
+TOLERANCE = 1e-4
 #: Cells up to this number are broadcast to the documents, else joined by a shuffle.
 BROADCAST_CELLS = 20_000
 
@@ -76,18 +77,21 @@ def draw(id_col: str = "doc_id", text_col: str = "text", seed: int = 11) -> Colu
     return F.shiftrightunsigned(key, 11) / F.lit(float(1 << 53))
 
 
-def target_shares(cells: DataFrame, margin: str, given: dict[str | None, float] | None, exponent: float) -> DataFrame:
-    """(margin, target): shares of all weighted tokens, summing to 1 over the values with tokens."""
-    sums = cells.groupBy(margin).agg(F.sum("n_tokens").alias("n")).where("n > 0")
-    if given is None:
-        raw = F.pow(F.col("n"), F.lit(exponent))
-    else:
-        raw = F.coalesce(
-            *[F.when(F.col(margin).eqNullSafe(F.lit(k)), F.lit(float(v))) for k, v in given.items()], F.lit(0.0)
-        )
-    sums = sums.select(margin, raw.alias("raw"))
-    total = sums.agg(F.sum("raw")).first()[0] or 1.0
-    return sums.select(margin, (F.col("raw") / F.lit(float(total))).alias("target"))
+def with_targets(cells: DataFrame, targets: dict[str, dict], exponents: dict[str, float]) -> DataFrame:
+    """Cells with the target share of their source, language and topic; shares sum to 1 over the values with tokens."""
+    raw = {}
+    for m in MARGINS:
+        n = F.sum("n_tokens").over(Window.partitionBy(m))
+        if m in targets:
+            value = F.coalesce(*[F.when(F.col(m).eqNullSafe(F.lit(k)), F.lit(float(v))) for k, v in targets[m].items()], F.lit(0.0))
+        else:
+            value = F.pow(n, F.lit(exponents[m]))
+        # a cell's part of its value's target: parts sum to the total of the margin
+        raw |= {f"raw_{m}": F.when(n > 0, value).otherwise(0.0), f"part_{m}": F.when(n > 0, value * F.col("n_tokens") / n).otherwise(0.0)}
+    prepared = stored(cells.withColumns(raw), "mixing-targets")
+    totals = prepared.agg(*[F.sum(f"part_{m}").alias(m) for m in MARGINS]).first()
+    shares = [(F.col(f"raw_{m}") / F.lit(float(totals[m] or 0) or 1.0)).alias(f"target_{m}") for m in MARGINS]
+    return prepared.select(*MARGINS, "n_tokens", *shares)
 
 
 def rake(
@@ -99,32 +103,26 @@ def rake(
 ) -> DataFrame:
     """Cells (source, lang, topic, n_tokens) with their raked share ``weight`` of the tokens.
 
-    Each round scales the weights to the source, language and topic targets in
-    turn; it ends when the largest relative change of a marginal in a round is
-    within ``tolerance``. The table is stored after each round.
+    A round scales the weights to the source, language and topic targets in
+    turn. Every ``STEP`` rounds the table is stored; raking ends when no
+    marginal of the last round was off by more than ``tolerance``.
     """
-    goal = {m: stored(target_shares(cells, m, (targets or {}).get(m), exponents[m]), f"target-{m}") for m in MARGINS}
     total = float(cells.agg(F.sum("n_tokens")).first()[0] or 0) or 1.0
-    raked = cells.withColumn("weight", F.col("n_tokens") / F.lit(total))
-    for _ in range(rounds):
-        raked = raked.withColumn("drift", F.lit(0.0))
-        for m in MARGINS:
-            now = raked.groupBy(m).agg(F.sum("weight").alias("now"))
-            scale = now.join(goal[m], now[m].eqNullSafe(goal[m][m])).select(
-                now[m].alias("value"), F.when(F.col("now") > 0, F.col("target") / F.col("now")).otherwise(1.0).alias("scale")
-            )
-            raked = raked.join(scale, raked[m].eqNullSafe(scale["value"]), "left").select(
-                *MARGINS,
-                "n_tokens",
-                (F.col("weight") * F.coalesce("scale", F.lit(1.0))).alias("weight"),
-                F.greatest("drift", F.coalesce(F.abs(F.col("scale") - 1), F.lit(0.0))).alias("drift"),
-            )
+    raked = with_targets(cells, targets or {}, exponents).withColumn("weight", F.col("n_tokens") / F.lit(total))
+    for _ in range(0, rounds, STEP):
+        for _ in range(STEP):
+            raked = raked.withColumn("off", F.lit(0.0))
+            for m in MARGINS:
+                now = F.sum("weight").over(Window.partitionBy(m))
+                raked = raked.withColumn("scale", F.when(now > 0, F.col(f"target_{m}") / now).otherwise(1.0))
+                raked = raked.withColumns(
+                    {"weight": F.col("weight") * F.col("scale"), "off": F.greatest("off", F.abs(F.col("scale") - 1))}
+                )
         raked = stored(raked, "raked")
-        off = raked.where("weight > 0").agg(F.max("drift")).first()[0]
-        raked = raked.drop("drift")
+        off = raked.where("weight > 0").agg(F.max("off")).first()[0]
         if off is None or off <= tolerance:
             break
-    return raked
+    return raked.select(*MARGINS, "n_tokens", "weight")
 
 
 def probabilities(raked: DataFrame, budget: float = BUDGET) -> DataFrame:
@@ -138,13 +136,17 @@ def probabilities(raked: DataFrame, budget: float = BUDGET) -> DataFrame:
     factor = F.when(F.col("n_tokens") > 0, F.col("weight") / F.col("n_tokens")).otherwise(0.0)
     cells = raked.withColumn("factor", factor)
     total = float(cells.agg(F.sum("n_tokens")).first()[0] or 0)
-    c = 0.0
+    top = cells.agg(F.max("factor")).first()[0] or 1.0
+    # the largest step of a geometric scale that stays within the budget is a start close below c
+    steps = [2.0**i / top for i in range(-1, 31)]
+    spent = cells.agg(*[F.sum(F.col("n_tokens") * F.least(F.lit(1.0), F.lit(x) * F.col("factor"))) for x in steps]).first()
+    c = max([x for x, tokens in zip(steps, spent) if (tokens or 0) <= budget * total], default=0.0)
     for _ in range(100):
         full = F.lit(c) * F.col("factor") >= 1
         kept, free = cells.agg(
             F.sum(F.when(full, F.col("n_tokens")).otherwise(0)), F.sum(F.when(~full, F.col("weight")).otherwise(0.0))
         ).first()
-        if not free or (wanted := (budget * total - kept) / free) <= c * (1 + 1e-12):
+        if not free or (wanted := (budget * total - kept) / free) <= c * (1 + 1e-9):
             break
         c = wanted
     probability = F.when(F.col("n_tokens") > 0, F.round(F.least(F.lit(1.0), F.lit(c) * F.col("factor")), 12)).otherwise(1.0)
