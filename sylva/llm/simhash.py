@@ -299,6 +299,8 @@ def components(
     named = distinct.join(linked.join(lowest, "root").select("fp", "component_id"), "fp", "left").select(
         "fp", F.coalesce("component_id", "first_id").alias("component_id")
     )
+    # stored, so that the last join has an exchange on either side and a frequent fingerprint can be split
+    named = stored(named, "named-fingerprints")
     return prints.join(named, "fp").select("doc_id", _hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
