@@ -1,7 +1,8 @@
 """Quality classifier: supervised subword embeddings trained by numpy SGD.
 
-Every word and every character 3-gram and 4-gram within a word's bounds is
-hashed to one of ``2 ** BUCKET_BITS`` learned vectors. A document is the
+Every word, every pair of neighbouring words (a word beside itself is one pair,
+whatever the word) and every character 3-gram and 4-gram within a word's bounds
+is hashed to one of ``2 ** BUCKET_BITS`` learned vectors. A document is the
 average of its vectors; a softmax layer turns that into class probabilities.
 
 Training uses a bounded sample of labelled rows (``sample_size``, the smallest
@@ -36,6 +37,9 @@ BUCKET_BITS = 18
 DIM = 12
 EPOCHS = 6
 RATE = 0.6
+#: Zero vectors averaged into every document: a few words alone say little, so
+#: very short texts stay near the score of the bias.
+PRIOR = 100
 #: Factor on the learning rate of the vectors, against the thin shares of an average.
 SPREAD = 30
 SAMPLE = 4000
@@ -52,7 +56,7 @@ def _bucket(h: np.ndarray) -> np.ndarray:
 
 
 def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(document number, bucket) of every word, 3-gram and 4-gram of the texts."""
+    """(document number, bucket) of every word, word pair, 3-gram and 4-gram of the texts."""
     padded = [f" {t} " for t in texts]
     code = np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     doc = np.repeat(np.arange(len(texts), dtype=np.int32), [len(p) for p in padded])
@@ -77,8 +81,13 @@ def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     sums = prefix(code)
     edge = np.flatnonzero(solid[1:] != solid[:-1]) + 1
     start, end = edge[::2], edge[1::2]
-    out_doc.append(doc[start])
-    out_bucket.append(_bucket(piece(sums, start, end) + _M[3]))
+    word, word_doc = piece(sums, start, end), doc[start]
+    out_doc.append(word_doc)
+    out_bucket.append(_bucket(word + _M[3]))
+    pair = np.where(word[1:] == word[:-1], _M[0], word[:-1] * _M[1] + word[1:] * _M[2])
+    within = word_doc[1:] == word_doc[:-1]
+    out_doc.append(word_doc[1:][within])
+    out_bucket.append(_bucket(pair[within]))
     return np.concatenate(out_doc), np.concatenate(out_bucket)
 
 
@@ -107,7 +116,7 @@ class QualityModel:
             doc, bucket = features(part)
             n = np.bincount(doc, minlength=len(part))
             s = np.bincount(doc, self.weight[bucket], minlength=len(part))
-            out[at : at + len(part)] = 1 / (1 + np.exp(-(s / np.maximum(n, 1) + self.bias)))
+            out[at : at + len(part)] = 1 / (1 + np.exp(-(s / (n + PRIOR) + self.bias)))
         return out
 
 
@@ -126,7 +135,7 @@ def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], dim: int = DIM, epochs:
             label, ids, counts = rows[k]
             lr = rate * (1 - step / steps)
             step += 1
-            share = counts / max(counts.sum(), 1)
+            share = counts / (counts.sum() + PRIOR)
             hidden = share @ vectors[ids]
             logit = hidden @ output + bias
             p = np.exp(logit - logit.max())
