@@ -29,7 +29,7 @@ GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 # Hand-written licence names over space-joined lower-case words: label, the
 # keyword that must occur, and the name. ``N`` stands for an optional version.
-N = r"(?: (?:v|version|v ))?(?: ?\d+(?: \d+)*)?"
+N = r"(?: (?:v|version|v ))?(?: ?\d+(?: \d+){0,3})?"
 FAMILIES = [
     ("mit", "mit", r"(?:the )?(?:mit|expat)(?: x11)?"),
     ("apache", "apache", rf"(?:the )?apache(?: software)?(?: license)?{N}"),
@@ -52,7 +52,7 @@ FAMILIES = [
     ("cc-by-nc-sa", "cc by nc sa", r"cc by nc sa(?: \d \d)?"),
     ("cc-by-nc-nd", "cc by nc nd", r"cc by nc nd(?: \d \d)?"),
     ("cc0", "cc0", r"cc0(?: 1 0)?"),
-    ("cc", "creative commons", r"(?:a |the )?creative commons(?: attribution| zero| noncommercial| share ?alike| no ?derivatives| international| \d \d)*"),
+    ("cc", "creative commons", r"(?:a |the )?creative commons(?: attribution| zero| noncommercial| share ?alike| no ?derivatives| international| \d \d){0,8}"),
     ("isc", "isc", r"(?:the )?isc"),
     ("zlib", "zlib", r"(?:the )?zlib(?: libpng)?"),
     ("boost", "boost", rf"(?:the )?boost(?: software)?{N}"),
@@ -87,9 +87,9 @@ FAMILIES = [
 # the signature around the name.
 FORMS = [
     (0, 1.0, "spdx license identifier {name}"),
-    (1, 0.9, "(?:re)?licensed (?:to \\S+ )?under (?:the terms of )?{name}(?: licen[cs]e)?(?: version \\d+(?: \\d+)*)?"),
+    (1, 0.9, "(?:re)?licensed (?:to \\S+ )?under (?:the terms of )?{name}(?: licen[cs]e)?(?: version \\d+(?: \\d+){0,3})?"),
     (1, 0.9, "licen[cs]e(?:s|d)? (?:is |are )?{name}(?: licen[cs]e)?"),
-    (2, 0.7, "{name} (?:public )?licen[cs]e(?: agreement)?(?: v| version)?(?: ?\\d+(?: \\d+)*)?"),
+    (2, 0.7, "{name} (?:public )?licen[cs]e(?: agreement)?(?: v| version)?(?: ?\\d+(?: \\d+){0,3})?"),
     (2, 0.6, "(?:subject to|governed by|released under|distributed under|available under) {name}(?: licen[cs]e)?"),
 ]
 
