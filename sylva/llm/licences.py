@@ -95,7 +95,7 @@ FORMS = [
 
 #: The rule table: tier, confidence, label, keyword, signature. In rule order.
 RULES = [
-    (tier, conf, label, keyword, f"(?<= ){form.format(name=name)}(?= )")
+    (tier, conf, label, keyword, f"(?<= ){form.replace("{name}", name)}(?= )")
     for tier, conf, form in FORMS
     for label, keyword, name in FAMILIES
 ]
