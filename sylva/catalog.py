@@ -8,19 +8,23 @@ from .fixtures import MODEL_IDS, model_text
 from .plans.model import Model
 from .sources.model_docs import ModelTables, load_model_texts
 
-_TABLES: dict[int, ModelTables] = {}
-_MODELS: dict[tuple[int, str], Model] = {}
+
+def _kept(spark: SparkSession) -> dict:
+    """What a session keeps of the packaged models; it goes with the session."""
+    if not hasattr(spark, "_sylva_kept"):
+        spark._sylva_kept = {}
+    return spark._sylva_kept
 
 
 def tables(spark: SparkSession) -> ModelTables:
-    key = id(spark)
-    if key not in _TABLES:
-        _TABLES[key] = load_model_texts(spark, {m: model_text(m) for m in MODEL_IDS}).cache()
-    return _TABLES[key]
+    kept = _kept(spark)
+    if "tables" not in kept:
+        kept["tables"] = load_model_texts(spark, {m: model_text(m) for m in MODEL_IDS}).cache()
+    return kept["tables"]
 
 
 def model(spark: SparkSession, model_id: str) -> Model:
-    key = (id(spark), model_id)
-    if key not in _MODELS:
-        _MODELS[key] = Model(tables(spark), model_id)
-    return _MODELS[key]
+    kept = _kept(spark)
+    if model_id not in kept:
+        kept[model_id] = Model(tables(spark), model_id)
+    return kept[model_id]

@@ -52,9 +52,6 @@ def durable(df):
     return df.checkpoint(eager=True)
 
 
-_SHIPPED: set[int] = set()
-
-
 def ship_package(spark: SparkSession) -> None:
     """Make ``sylva`` importable in Python workers (once per SparkContext).
 
@@ -63,7 +60,7 @@ def ship_package(spark: SparkSession) -> None:
     added with ``addPyFile``; Spark copies it to every executor.
     """
     sc = spark.sparkContext
-    if id(sc) in _SHIPPED:
+    if getattr(sc, "_sylva_shipped", False):
         return
     import os
     import zipfile
@@ -78,4 +75,4 @@ def ship_package(spark: SparkSession) -> None:
                     full = os.path.join(folder, f)
                     zf.write(full, os.path.join("sylva", os.path.relpath(full, root)))
     sc.addPyFile(target)
-    _SHIPPED.add(id(sc))
+    sc._sylva_shipped = True
