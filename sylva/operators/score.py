@@ -213,6 +213,8 @@ def with_stumps(tables, ids: list[str]) -> DataFrame:
     sel = F.col("model_id").isin(ids)
     splits = tables.splits.filter(sel)
     bare = tables.leaves.filter(sel).select("model_id", "tree").distinct().join(splits.select("model_id", "tree").distinct(), ["model_id", "tree"], "left_anti")
+    if bare.isEmpty():  # a look at the model tables only; the usual plan stays as it is
+        return splits
     stumps = bare.join(F.broadcast(tables.models.filter(sel).select("model_id", "n_float")), "model_id").select(
         "model_id",
         "tree",

@@ -48,7 +48,7 @@ def test_roundtrip_and_explain(spark, tables, orders):
     with open(os.path.join(out, "junk.sidecar"), "wb") as fh:
         fh.write(b"not a sidecar file at all, but long enough for a header")
     st = SC.read_sidecars(spark, out)
-    assert {r["model_id"]: r["reason"] for r in st.rejected.collect()}["junk"].startswith("not a sidecar")
+    assert {r["model_id"]: r["reason"] for r in st.rejected.collect()}["junk"].startswith("[MAGIC]")
     q = quantize_float16(shap_table(tables.only("m1"))).select("tree", "leaf", "feature", F.col("phi").alias("q"))
     j = st.shap.filter("model_id = 'm1'").join(q, ["tree", "leaf", "feature"], "full_outer")
     assert j.filter(F.col("phi").isNull() | F.col("q").isNull() | (F.col("phi") != F.col("q"))).count() == 0
