@@ -42,7 +42,8 @@ _OWN_MARK = "\ud800"
 UNUSED = -1e8
 #: A character without a piece scores this much less than the worst piece.
 UNKNOWN_PENALTY = 10.0
-WORD_CACHE = 400_000
+#: Words whose ids a Python worker remembers, in each of two generations.
+WORD_CACHE = 500_000
 
 
 class Viterbi:
@@ -58,29 +59,29 @@ class Viterbi:
 
     def _extend(self, upto: int) -> None:
         """Relax all pieces that start before boundary ``upto``."""
-        text, prefixes, pieces = self.text, self.v.prefixes, self.v.scores
-        score, back = self.score, self.back
-        missing = len(text) + 1 - len(score)
+        text, score, back = self.text, self.score, self.back
+        size, root, unknown = len(text), self.v.tree, self.v.unknown
+        missing = size + 1 - len(score)
         if missing > 0:
             score += [-np.inf] * missing
             back += [(0, -1)] * missing
-        while self.done < upto:
-            i = self.done
-            here, single = score[i], False
-            for j in range(i + 1, min(len(text), i + self.v.longest) + 1):
-                piece = text[i:j]
-                if piece not in prefixes:
+        for i in range(self.done, upto):
+            here, j, at, single = score[i], i, root, False
+            while j < size:
+                step = at.get(text[j])
+                if step is None:
                     break
-                found = pieces.get(piece)
-                if found is not None:
+                j += 1
+                at, gain, piece = step
+                if piece >= 0:
                     single = single or j == i + 1
-                    if here + found[0] > score[j]:
-                        score[j] = here + found[0]
-                        back[j] = (i, found[1])
-            if not single and here + self.v.unknown > score[i + 1]:
-                score[i + 1] = here + self.v.unknown
+                    if here + gain > score[j]:
+                        score[j] = here + gain
+                        back[j] = (i, piece)
+            if not single and here + unknown > score[i + 1]:
+                score[i + 1] = here + unknown
                 back[i + 1] = (i, -1)
-            self.done += 1
+        self.done = max(self.done, upto)
 
     def _ids(self, end: int) -> list[int]:
         steps = []
@@ -139,18 +140,24 @@ class Vocabulary:
     def __init__(self, pieces: list[tuple[str, float]], byte_first: int):
         """``pieces`` by id (control, byte and unused ones as the empty string)."""
         self.scores = {p: (s, i) for i, (p, s) in enumerate(pieces) if p and s > UNUSED}
-        self.prefixes = {p[:k] for p in self.scores for k in range(1, len(p) + 1)}
         self.longest = max(map(len, self.scores), default=1)
         self.unknown = min((s for s, _ in self.scores.values()), default=0.0) - UNKNOWN_PENALTY
         if MARK not in self.scores:  # a space must have an id, if only as the last resort
             self.scores[MARK] = (self.unknown, [p for p, _ in pieces].index(MARK))
-            self.prefixes.add(MARK)
+        # a tree of characters: character -> (subtree, score, id; -1 where no piece ends)
+        self.tree: dict[str, tuple] = {}
+        for p, (score, i) in self.scores.items():
+            at = self.tree
+            for c in p[:-1]:
+                at = at.setdefault(c, ({}, 0.0, -1))[0]
+            at[p[-1]] = (at.get(p[-1], ({},))[0], score, i)
         self.byte_first = byte_first
         self.words_apart = all(MARK not in p[1:] for p in self.scores)
         self.lines_apart = all("\n" not in p for p in self.scores)
         self.bytes_of = [p.replace(MARK, " ").encode() for p, _ in pieces]
         self.bytes_of[byte_first : byte_first + 256] = [bytes([b]) for b in range(256)]
-        self.known: dict[tuple[str, bool], bytes] = {}
+        self.recent: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
     @classmethod
     def at(cls, path: str) -> "Vocabulary":
@@ -169,18 +176,22 @@ class Vocabulary:
 
     def search(self, marked: str) -> list[int]:
         stream = Viterbi(self)
+        if len(marked) <= self.longest:  # fits the window
+            stream.text = marked
+            return stream.finish()
         return stream.feed(marked) + stream.finish()
 
     def _word(self, word: str, after_space: bool) -> bytes:
-        key = (word, after_space)
-        got = self.known.get(key)
+        marked = (MARK if after_space else "") + (word.replace(MARK, _OWN_MARK) if MARK in word else word)
+        got = self.recent.get(marked)
         if got is None:
-            if len(self.known) >= WORD_CACHE:
-                self.known.clear()
-            marked = (MARK if after_space else "") + word.replace(MARK, _OWN_MARK)
-            got = np.array(self.search(marked), "<u4").tobytes()
-            if len(word) <= 64:
-                self.known[key] = got
+            got = self.before.get(marked)
+            if got is None:
+                got = np.array(self.search(marked), "<u4").tobytes()
+            if len(marked) <= 64:
+                if len(self.recent) >= WORD_CACHE:
+                    self.before, self.recent = self.recent, {}
+                self.recent[marked] = got
         return got
 
     def encode(self, text: str) -> np.ndarray:
