@@ -42,11 +42,11 @@ RATE = 0.6
 PRIOR = 100
 #: Factor on the learning rate of the vectors, against the thin shares of an average.
 SPREAD = 30
-SAMPLE = 4000
+SAMPLE = 3000
 HELD_OUT = 2
 THRESHOLD = 0.7
 #: Characters whose features are computed at once.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
@@ -103,6 +103,13 @@ def _chunks(texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
         yield at, now
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """A few rows at a time, so that few texts are Python strings at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 @dataclass
 class QualityModel:
     """Per-bucket logit differences and the bias; ``score`` is the softmax probability of label 1."""
@@ -135,7 +142,7 @@ def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], dim: int = DIM, epochs:
             label, ids, counts = rows[k]
             lr = rate * (1 - step / steps)
             step += 1
-            share = counts / (counts.sum() + PRIOR)
+            share = counts.astype(np.float64) / (counts.sum(dtype=np.float64) + PRIOR)
             hidden = share @ vectors[ids]
             logit = hidden @ output + bias
             p = np.exp(logit - logit.max())
@@ -170,13 +177,13 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 _, bucket = features([batch.column(1)[k].as_py() or ""])
                 ids, counts = np.unique(bucket, return_counts=True)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(k, 1), batch.column(2).slice(k, 1), pa.array([ids.astype("<i4").tobytes()]), pa.array([counts.astype("<i4").tobytes()])],
+                    [batch.column(0).slice(k, 1), batch.column(2).slice(k, 1), pa.array([ids.astype("<i4").tobytes()]), pa.array([counts.astype("<f4").tobytes()])],
                     ["id", "label", "ids", "counts"],
                 )
 
     counted = rows.select("__id", "text", "__label").mapInArrow(count, "id long, label int, ids binary, counts binary")
     got = sorted(counted.collect(), key=lambda r: (r.id, bytes(r.ids)))
-    return fit([(r.label, np.frombuffer(r.ids, "<i4"), np.frombuffer(r.counts, "<i4").astype(float)) for r in got])
+    return fit([(r.label, np.frombuffer(r.ids, "<i4"), np.frombuffer(r.counts, "<f4")) for r in got])
 
 
 def score(docs: DataFrame, model: QualityModel, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -186,7 +193,7 @@ def score(docs: DataFrame, model: QualityModel, id_col: str = "doc_id", text_col
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             s = shared.value.scores(batch.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(s), pa.array((s >= threshold).astype(np.int32))],
@@ -204,7 +211,7 @@ def keep_good(docs: DataFrame, model: QualityModel, text_col: str = "text", thre
     at = docs.columns.index(text_col)
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             yield batch.filter(pa.array(shared.value.scores(batch.column(at).to_pylist()) >= threshold))
 
     return docs.mapInArrow(step, docs.schema)
