@@ -2,9 +2,9 @@
 
 A text is read as a sequence of words. Rules are regular expressions over the
 space-joined words; each has a label, a priority tier and a keyword. A rule is
-tried only on texts that hold its keyword, and no rule on texts without the
-letters ``licen`` or ``spdx`` (every rule needs one of them). Detections are
-intervals; one that lies inside a detection of a higher or the same tier is
+tried only on texts that hold its keyword, and no rule on texts without one of
+``GATES``: the letters ``licen``, or a phrase that leads in a name without the
+licence word (every rule needs one of them). Detections are intervals; one that lies inside a detection of a higher or the same tier is
 suppressed, so ``GNU Lesser General Public License v2.1`` is not also reported
 as plain GPL wording. Everything is a column expression on the row: no
 shuffle, no join, no Python.
@@ -28,10 +28,11 @@ BASE = [("mit license", "mit"), ("apache license", "apache"), ("general public l
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 # Hand-written licence names over space-joined lower-case words: label, the
-# keyword that must occur, and the name. ``N`` stands for an optional version.
+# keyword that must occur (empty: its names share none), and the name. ``N``
+# stands for an optional version.
 N = r"(?: (?:v|version|v ))?(?: ?\d+(?: \d+){0,3})?"
 FAMILIES = [
-    ("mit", "mit", r"(?:the )?(?:mit|expat)(?: x11)?"),
+    ("mit", "", r"(?:the )?(?:mit|expat)(?: x11)?"),
     ("apache", "apache", rf"(?:the )?apache(?: software)?(?: license)?{N}"),
     ("gpl", "gpl", rf"(?:the )?(?:gnu )?gpl{N}(?: or later| only)?"),
     ("gpl", "general public", rf"(?:the )?(?:gnu )?general public{N}"),
@@ -83,6 +84,9 @@ FAMILIES = [
     ("upl", "universal permissive", rf"(?:the )?universal permissive{N}"),
 ]
 
+#: What may stand before a licence's name without the licence word.
+LEADS = ["subject to", "governed by", "released under", "distributed under", "available under"]
+
 # How a licence is named in running text: tier (0 strongest), confidence, and
 # the signature around the name.
 FORMS = [
@@ -90,9 +94,12 @@ FORMS = [
     (1, 0.9, "(?:re)?licensed (?:to \\S+ )?under (?:the terms of )?{name}(?: licen[cs]e)?(?: version \\d+(?: \\d+){0,3})?"),
     (1, 0.9, "licen[cs]e(?:s|d)? (?:is |are )?{name}(?: licen[cs]e)?"),
     (2, 0.7, "{name} (?:public )?licen[cs]e(?: agreement)?(?: v| version)?(?: ?\\d+(?: \\d+){0,3})?"),
-    (2, 0.6, "(?:subject to|governed by|released under|distributed under|available under) {name}(?: licen[cs]e)?"),
+    (2, 0.6, f"(?:{'|'.join(LEADS)}) {{name}}(?: licen[cs]e)?"),
 ]
 
+#: Every signature holds one of these: the last form a lead, the others the licence word.
+GATES = ["licen", *(f" {lead} " for lead in LEADS)]
+
 #: The rule table: tier, confidence, label, keyword, signature. In rule order.
 RULES = [
     (tier, conf, label, keyword, f"(?<= ){form.replace("{name}", name)}(?= )")
@@ -184,7 +191,9 @@ def _places(words: Column, phrase: str) -> Column:
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, n_detections."""
     rows = docs.select(F.col(id_col).alias("doc_id"), words_joined(text_col).alias("joined"))
-    gated = F.col("joined").contains("licen") | F.col("joined").contains("spdx")
+    gated = F.lit(False)
+    for gate in GATES:
+        gated = gated | F.col("joined").contains(gate)
     # one space stands before each word and one at the end
     n_words = F.char_length("joined") - F.char_length(F.replace("joined", F.lit(" "), F.lit(""))) - 1
     based = F.lit(False)

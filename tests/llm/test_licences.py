@@ -90,6 +90,36 @@ def test_empty(empty):
     assert licences.scan(empty).collect() == []
 
 
+UNGATED = [
+    "This program is released under the GNU GPL v3",
+    "distributed under CC BY-SA 4.0",
+    "available under BSD 3-Clause",
+    "governed by the Mozilla Public, subject to Apache 2.0",
+    "Released under Expat. Nothing else",
+    "the Expat license",
+    "subject to change, unreleased under GPL",
+]
+
+
+def every_rule(text):
+    """Labels, best confidence and number of kept detections, each rule tried on each text."""
+    joined = "".join(f" {w}" for w in re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.lower())) + " "
+    found = []
+    for number, (tier, conf, label, _, signature) in enumerate(licences.RULES):
+        found += [(m.start(), -m.end(), tier, number, label, conf) for m in re.finditer(signature, joined)]
+    kept = [d for d in found if not any(e != d and e[0] <= d[0] and e[1] <= d[1] and e[2] <= d[2] and ((e[0], e[1]) != (d[0], d[1]) or e[2:4] < d[2:4]) for e in found)]
+    return {d[4] for d in kept}, max([0.0, *(d[5] for d in kept)]), len(kept)
+
+
+def test_no_gate_drops_a_match(make_docs):
+    rows = list(enumerate([*UNGATED, *[n for n in NOTICES if n.isascii()]]))
+    for r in licences.scan(make_docs(rows)).collect():
+        labels, conf, n = every_rule(rows[r.doc_id][1])
+        assert set(r.labels.split(",")) - {""} == labels | set(r.base_labels.split(",")) - {""}, rows[r.doc_id]
+        assert r.score == max(conf, 0.5 * bool(r.n_base)) and r.n_detections == n
+        assert n > 0 or r.doc_id == len(UNGATED) - 1
+
+
 @pytest.mark.parametrize("text", [" ", "a", ".", "a.b", "é!"])
 def test_word_counts(make_docs, text):
     assert told(licences.scan(make_docs([(1, text)])).first()) == slow(text)
