@@ -3,8 +3,11 @@
 Every document belongs to a cell (source, language, topic). Raking multiplies
 the cells' token weights by one factor per source, per language and per topic,
 in turn, until the weighted tokens meet all three target marginals. Documents
-are then sampled with a probability proportional to their cell's factor, as
-high as a token budget allows and at most 1.
+are then drawn in proportion to their cell's factor, so that the expected
+tokens of the sample meet the targets and add up to a token budget. A factor
+above 1 cannot be met by single documents: such a document comes whole copies
+plus one more by chance, never cut to 1, as that would leave its cell short of
+its share and the heavy cells above theirs.
 
 The factors depend only on token sums per cell, so rows are pre-aggregated to
 cells before anything else; a hot source costs one row per partition and cell.
@@ -12,8 +15,8 @@ Sampling is by a hash of the id, so a rerun or a lost executor gives the same
 sample.
 
 Defined results: null source, language or topic is a value of its own; a null
-or blank text has no tokens, weighs nothing and is sampled with its cell's
-probability; a cell with no tokens at all has factor 1 in its own right (it
+or blank text has no tokens, weighs nothing and is drawn as often as its
+cell's other documents; a cell with no tokens at all has factor 1 in its own right (it
 moves no marginal); rows with a null id share one draw per text; repeated rows
 are drawn alike; an empty table gives an empty result; other columns are not
 read by ``plan_sample`` and come back untouched from ``sample``.
@@ -26,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import fresh, stored, text_of
 
-#: Share of the tokens that the sample should hold.
+#: Tokens that the sample should hold, copies included, as a share of all.
 BUDGET = 0.6
 #: Target marginals are proportional to (token sum) ** exponent, unless given.
 EXPONENTS = {"source": 0.5, "lang": 0.7, "topic": 0.7}
@@ -127,31 +130,21 @@ def rake(
 
 
 def probabilities(raked: DataFrame, budget: float = BUDGET) -> DataFrame:
-    """Cells with the sampling ``probability`` of their documents.
+    """Cells with the expected number of draws, ``probability``, of each of their documents.
 
-    ``min(1, c * factor)`` with the factor ``weight / n_tokens`` and ``c`` such
-    that the expected tokens are ``budget`` of all (or all that have weight).
-    Cells pushed to 1 hand their surplus on; that settles in a few rounds, each
-    of which brings one row to the driver.
+    It is ``c * factor`` with the factor ``weight / n_tokens`` and ``c`` such that
+    the expected tokens are ``budget`` of all; above 1 it stands for copies.
+    One row comes to the driver.
     """
-    factor = F.when(F.col("n_tokens") > 0, F.col("weight") / F.col("n_tokens")).otherwise(0.0)
-    cells = raked.withColumn("factor", factor)
-    total = float(cells.agg(F.sum("n_tokens")).first()[0] or 0)
-    top = cells.agg(F.max("factor")).first()[0] or 1.0
-    # the largest step of a geometric scale that stays within the budget is a start close below c
-    steps = [2.0**i / top for i in range(-1, 31)]
-    spent = cells.agg(*[F.sum(F.col("n_tokens") * F.least(F.lit(1.0), F.lit(x) * F.col("factor"))) for x in steps]).first()
-    c = max([x for x, tokens in zip(steps, spent) if (tokens or 0) <= budget * total], default=0.0)
-    for _ in range(100):
-        full = F.lit(c) * F.col("factor") >= 1
-        kept, free = cells.agg(
-            F.sum(F.when(full, F.col("n_tokens")).otherwise(0)), F.sum(F.when(~full, F.col("weight")).otherwise(0.0))
-        ).first()
-        if not free or (wanted := (budget * total - kept) / free) <= c * (1 + 1e-9):
-            break
-        c = wanted
-    probability = F.when(F.col("n_tokens") > 0, F.round(F.least(F.lit(1.0), F.lit(c) * F.col("factor")), 12)).otherwise(1.0)
-    return cells.select(*MARGINS, F.col("n_tokens").alias("cell_tokens"), "weight", probability.alias("probability"))
+    total, weight = raked.agg(F.sum("n_tokens"), F.sum("weight")).first()
+    c = budget * float(total or 0) / (weight or 1.0)
+    expected = F.when(F.col("n_tokens") > 0, F.round(F.lit(c) * F.col("weight") / F.col("n_tokens"), 12)).otherwise(1.0)
+    return raked.select(*MARGINS, F.col("n_tokens").alias("cell_tokens"), "weight", expected.alias("probability"))
+
+
+def copies(expected: Column, u: Column) -> Column:
+    """Whole draws of an expected number of them, one more where ``u`` is below its fraction."""
+    return (F.floor(expected) + F.when(u < expected - F.floor(expected), 1).otherwise(0)).cast("int")
 
 
 def _cells(slim: DataFrame) -> DataFrame:
@@ -167,7 +160,11 @@ def _with_cells(rows: DataFrame, names: list[str], cells: DataFrame) -> DataFram
 
 
 def plan_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", targets=None, budget: float = BUDGET) -> DataFrame:
-    """One row per document: doc_id, source, lang, topic, n_tokens, cell_weight, probability, sampled."""
+    """One row per document: doc_id, source, lang, topic, n_tokens, cell_weight, probability, sampled.
+
+    ``probability`` is the expected number of draws and may exceed 1; ``sampled``
+    is the number of copies in the sample, 0 for a document that is left out.
+    """
     slim = stored(_slim(docs, id_col, text_col), "mixing-documents")
     cells = stored(probabilities(rake(_cells(slim), targets), budget), "mixing-cells")
     return _with_cells(slim, list(MARGINS), cells).select(
@@ -176,14 +173,18 @@ def plan_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "n_tokens",
         F.col("__weight").alias("cell_weight"),
         F.col("__probability").alias("probability"),
-        (F.col("u") < F.col("__probability")).alias("sampled"),
+        copies(F.col("__probability"), F.col("u")).alias("sampled"),
     )
 
 
 def sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", targets=None, budget: float = BUDGET) -> DataFrame:
-    """The sampled documents, with all their columns. Their texts are read twice and never shuffled for few cells."""
+    """The sampled documents, each as often as it was drawn, with all their columns.
+
+    Their texts are read twice and never shuffled for few cells.
+    """
     slim = _slim(docs, id_col, text_col).select(*MARGINS, "n_tokens")
     cells = stored(probabilities(rake(_cells(slim), targets), budget), "mixing-cells")
-    (topic,) = fresh(docs, "topic")
+    topic, drawn = fresh(docs, "topic", "drawn")
     rows = docs.withColumn(topic, topic_of(text_col))
-    return _with_cells(rows, ["source", "lang", topic], cells).where(draw(id_col, text_col) < F.col("__probability")).select(*docs.columns)
+    joined = _with_cells(rows, ["source", "lang", topic], cells).withColumn(drawn, copies(F.col("__probability"), draw(id_col, text_col)))
+    return joined.where(F.col(drawn) > 0).select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col(drawn))).alias(drawn)).select(*docs.columns)

@@ -1,5 +1,5 @@
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -73,6 +73,35 @@ def test_given_targets_are_met(make_docs):
     assert sum(r.n_tokens * r.probability for r in got) == pytest.approx(0.3 * sum(r.n_tokens for r in got), rel=1e-6)
 
 
+def test_expected_sample_meets_the_targets(shared):
+    got = mixing.plan_sample(shared.read.parquet(f"{SF}/documents.parquet")).collect()
+    cells = defaultdict(int)
+    for r in got:
+        cells[r.source, r.lang, r.topic] += r.n_tokens
+    targets = goals(cells, [mixing.EXPONENTS[m] for m in mixing.MARGINS])
+    spent = sum(r.n_tokens * r.probability for r in got)
+    assert any(r.probability > 1 for r in got)
+    for axis, goal in enumerate(targets):
+        share = defaultdict(float)
+        for r in got:
+            share[(r.source, r.lang, r.topic)[axis]] += r.n_tokens * r.probability / spent
+        for value, wanted in goal.items():
+            assert share[value] == pytest.approx(wanted, rel=10 * mixing.TOLERANCE), value
+    assert all(r.sampled in (int(r.probability), int(r.probability) + 1) for r in got)
+
+
+def test_drawn_copies_meet_the_targets(make_docs):
+    rows = [(i, "a b c", "en", "rare" if i % 20 == 0 else "hot") for i in range(4000)]
+    docs = make_docs(rows)
+    targets = {"source": {"hot": 0.5, "rare": 0.5}}
+    plan = {r.doc_id: r for r in mixing.plan_sample(docs, targets=targets).collect()}
+    drawn = Counter(r.doc_id for r in mixing.sample(docs, targets=targets).collect())
+    assert drawn == Counter({i: r.sampled for i, r in plan.items() if r.sampled})
+    rare = sum(n for i, n in drawn.items() if i % 20 == 0)
+    assert {r.probability for r in plan.values() if r.source == "rare"} == {6.0} and rare == 1200
+    assert rare / sum(drawn.values()) == pytest.approx(0.5, abs=0.03)
+
+
 def test_source_without_a_target_is_left_out(make_docs):
     rows = [(i, "a b c", "en", ("x", "y")[i % 2]) for i in range(40)]
     got = mixing.plan_sample(make_docs(rows), targets={"source": {"x": 1.0}}).collect()
