@@ -9,9 +9,10 @@ states from the root, a state is merged with an earlier one if their stop and
 transition frequencies, and those of all states behind them, agree within the
 Hoeffding bound at ``ALPHA``. The merged trees are probabilistic automata. One
 more automaton is inferred the same way from ordinary runs of the same
-characters. A candidate - any run of ``MIN_RUN`` or more credential characters
-with a digit in it that no base match overlaps - is reported if, per character,
-its best label's likelihood exceeds the ordinary one by ``MARGIN``.
+characters. A candidate - any run of ``MIN_RUN`` or more credential characters,
+in the alphabet and from the length of the base, or what is left of one around
+the base matches - is reported if, per character, its best label's likelihood
+exceeds the ordinary one by ``MARGIN``; nothing else decides.
 
 Texts are read once: that pass writes the base spans and the candidates to the
 shared checkpoint folder. Training reads a bounded sample of them (the smallest
@@ -50,9 +51,12 @@ ASSIGN_LENGTH, ACCESS_LENGTH, HEX_LENGTH = 8, 16, 32
 ACCESS = re.compile(rf"AKIA[A-Z0-9]{{{ACCESS_LENGTH - 4},}}")
 HEX = re.compile(rf"[0-9a-f]{{{HEX_LENGTH},}}")
 
-MIN_RUN = 16
-RUN = re.compile(rf"[A-Za-z0-9+/_=-]{{{MIN_RUN},}}")
-DIGIT = re.compile(r"[0-9]")
+#: Shortest candidate, and the runs: as the values of the assign pattern.
+MIN_RUN = ASSIGN_LENGTH
+RUN = re.compile(rf"[A-Za-z0-9+/_.=-]{{{MIN_RUN},}}")
+#: Rows turned into Python values at a time; decided runs remembered, and up to which length.
+SLICE = 512
+REMEMBERED, REMEMBERED_LENGTH = 100_000, 64
 #: Training strings per label, and the confidence of the merging test.
 SAMPLE = 1500
 ALPHA = 0.05
@@ -179,17 +183,27 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
 
 
 def other_runs(text: str, spans: list[tuple[int, int, int, str]]) -> list[tuple[int, int, str]]:
-    """Runs of credential characters that no base span overlaps."""
+    """What the base spans leave of the runs of credential characters, in pieces of ``MIN_RUN`` or more."""
     out, k, reach = [], 0, 0
     for m in RUN.finditer(text):
+        at = max(m.start(), reach)
         while k < len(spans) and spans[k][0] < m.end():
+            if spans[k][0] - at >= MIN_RUN:
+                out.append((at, spans[k][0], text[at : spans[k][0]]))
             reach = max(reach, spans[k][2])
+            at = max(at, reach)
             k += 1
-        if reach <= m.start():
-            out.append((m.start(), m.end(), m[0]))
+        if m.end() - at >= MIN_RUN:
+            out.append((at, m.end(), text[at : m.end()]))
     return out
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE):
+            yield batch.slice(at, SLICE)
+
+
 _SPAN = "array<struct<start:int,end:int,kind:int,value:string>>"
 
 
@@ -200,7 +214,7 @@ def read_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.int32()), ("value", pa.string())]))
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             rows = []
             for text in batch.column(1).to_pylist():
                 base = base_spans(text or "")
@@ -238,11 +252,23 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", margin
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        decided: dict[str, bool] = {}
+
+        def secret(run: str) -> bool:
+            if (known := decided.get(run)) is not None:
+                return known
+            found = is_secret(run, automata, margin)
+            if len(run) <= REMEMBERED_LENGTH:
+                if len(decided) >= REMEMBERED:
+                    decided.clear()
+                decided[run] = found
+            return found
+
+        for batch in _slices(batches):
             counts, shas, lines, added = [[], [], []], [], [], []
             for spans in batch.column(1).to_pylist():
                 base = [s for s in spans if s["kind"] < 3]
-                more = [s for s in spans if s["kind"] == 3 and DIGIT.search(s["value"]) and is_secret(s["value"], automata, margin)]
+                more = [s for s in spans if s["kind"] == 3 and secret(s["value"])]
                 for k in range(3):
                     counts[k].append(sum(s["kind"] == k for s in base))
                 names = (*KINDS, "inferred")

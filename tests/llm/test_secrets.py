@@ -75,6 +75,28 @@ def test_grammar_finds_unlabelled_credentials_and_leaves_words(make_docs):
     check(rows, got.values())
 
 
+def test_every_run_is_a_candidate():
+    left = lambda text: [v for _, _, v in secrets.other_runs(text, secrets.base_spans(text))]
+    assert left("a abcdefgh abcdefg Ab.Cd.Ef") == ["abcdefgh", "Ab.Cd.Ef"]
+    blob = "QrStUvWx" + "AKIA" + "A1" * 6
+    assert left(f"{blob}/yzyzyzyz") == ["QrStUvWx", "/yzyzyzyz"]
+    assert left("token=abcdefghij token=0123456789 Zyxwvuts") == ["Zyxwvuts"]
+    a = "0f" * 16
+    assert left(f"{'g' * 9}{a}{'h' * 7}{a}{'i' * 8}") == ["g" * 9, "i" * 8]
+
+
+def test_letters_only_short_and_dotted_keys_are_found(make_docs):
+    rng = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    words = lambda n: " ".join(rand(rng, "aeiourstn", rng.randint(2, 12)) for _ in range(n))
+    rows = [(i, f"{words(30)} token={rand(rng, letters + '.', rng.randint(9, 24))} {words(9)}") for i in range(150)]
+    rows += [(500, f"{words(8)} {'XqRzTbWkPmLdVgHs'} {words(3)}"), (501, f"{words(8)} {'XqRzTbWkPm'}"), (502, f"{'XqRz.TbWk.PmLd.VgHs'} {words(8)}")]
+    got = {r.doc_id: r for r in secrets.scan(make_docs(rows)).collect()}
+    assert [got[i].n_inferred for i in (500, 501, 502)] == [1, 1, 1]
+    assert sum(got[i].n_inferred for i in range(150)) == 0
+    check(rows, got.values())
+
+
 def test_inference_merges_states():
     rng = random.Random(1)
     strings = [rand(rng, "0123456789abcdef", rng.randint(16, 40)) for _ in range(400)]
