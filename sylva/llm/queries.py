@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, licences, mixing, pieces, quality, secrets, simhash, suffix_dedup, token_store, topk
+from . import centroids, decontam, divergence, exact_dedup, licences, mixing, pieces, quality, secrets, simhash, suffix_dedup, token_store, topk
 from .common import documents, tokenizer_path
 
 
@@ -52,6 +52,18 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup(documents(spark, sf_dir))
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(documents(spark, sf_dir))
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -65,7 +77,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_simhash,
         op9_topk,
         op10_suffix_dedup,
+        op11_centroids,
+        op12_divergence,
+        op13_decontamination,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {"op1_exact_dedup": exact_dedup.ORACLE_SQL, "op9_topk": topk.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op1_exact_dedup": exact_dedup.ORACLE_SQL,
+    "op9_topk": topk.ORACLE_SQL,
+    "op11_centroids": centroids.ORACLE_SQL,
+    "op12_divergence": divergence.ORACLE_SQL,
+    "op13_decontamination": decontam.ORACLE_SQL,
+}
