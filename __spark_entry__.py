@@ -168,7 +168,7 @@ def q_arity_quarantine(spark, sf):
     e = spark.read.parquet(f"{sf}/embeddings.parquet")
     longer = F.concat("embedding", F.array(F.lit(0.0).cast("float")))
     rows = e.select("vec_id", F.when(F.col("vec_id") % 3 == 0, longer).when(F.col("vec_id") % 5 != 0, F.col("embedding")).alias("x"))
-    good, bad = arity_quarantine(rows, "x", catalog.model(spark, "m3").compiled.n_float, ["vec_id"])
+    good, bad = arity_quarantine(rows, "x", catalog.model(spark, "m3").header.n_float, ["vec_id"])
     scored = _long(catalog.model(spark, "m3").raw(good, features="x"), "vec_id", "raw", "raw")
     return scored.select("vec_id", "class_idx", "raw", F.lit(None).cast("int").alias("got")).unionByName(
         bad.select("vec_id", F.lit(None).cast("int").alias("class_idx"), F.lit(None).cast("double").alias("raw"), "got")
@@ -256,15 +256,19 @@ def q_threshold_labels(spark, sf):
 
 
 def q_top_class_label(spark, sf):
-    from sylva.functions.links import class_label
+    from sylva.functions.links import argmax_class, class_label
+    from sylva.operators.metadata import labels_or_indexes
+    from sylva.plans.model import raw_many
 
-    out = []
-    for mid in ("m1", "m1i"):
-        m = catalog.model(spark, mid)
-        names = F.array(*[F.lit(n) for n in m.compiled.class_names])
-        p = m.predict(orders_rows(spark, sf), "class", keep=["o_orderkey"])
-        out.append(p.select(F.lit(mid).alias("model_id"), "o_orderkey", class_label(p.prediction[0], names).alias("label")))
-    return out[0].unionByName(out[1])
+    # Both models in one step; each row takes its labels from its model's row of the models table.
+    tables = catalog.tables(spark)
+    raws = raw_many(orders_rows(spark, sf), tables, ["m1", "m1i"], ["o_orderkey"])
+    labels = tables.models.filter(F.col("model_id").isin("m1", "m1i")).select(
+        "model_id", labels_or_indexes(F.col("class_names"), F.col("dims")).alias("labels")
+    )
+    return raws.join(F.broadcast(labels), "model_id").select(  # one row per model
+        "model_id", "o_orderkey", class_label(argmax_class(F.col("raw")), F.col("labels")).alias("label")
+    )
 
 
 def _link_oracle(model_id, rows_sql, floats, select_sql, cats=None):
@@ -381,26 +385,34 @@ def q_explain_relational(spark, sf):
 
 
 def q_explain_ranked(spark, sf):
+    # Ranks go by |phi| as computed; a tie at 9 places goes by the feature's index on both sides.
     ex = catalog.model(spark, "m1").explain(orders_rows(spark, sf), keep=["o_orderkey"])
     per_class = ex.select("o_orderkey", F.posexplode("explanation").alias("class_idx", "e"))
+    ranked = F.sort_array(
+        F.transform(
+            "e.contributions",
+            lambda c: F.struct((-F.round(F.abs(c["phi"]), 9)).alias("by"), c["feature"].alias("i"), c["name"].alias("name"), c["phi"].alias("phi")),
+        )
+    )
     return per_class.select(
-        "o_orderkey", F.col("class_idx").cast("int").alias("class_idx"), F.posexplode("e.contributions").alias("rank", "c")
+        "o_orderkey", F.col("class_idx").cast("int").alias("class_idx"), F.posexplode(ranked).alias("rank", "c")
     ).select(
-        "o_orderkey", "class_idx", (F.col("rank") + 1).cast("int").alias("rank"),
-        F.round(F.abs("c.phi"), 6).alias("abs_phi"),
+        "o_orderkey", "class_idx", (F.col("rank") + 1).cast("int").alias("rank"), F.col("c.name").alias("feature"),
+        (F.round("c.phi", 6) + 0.0).alias("phi"),
     )
 
 
 def q_shap_additivity(spark, sf):
+    # One walk gives the raw scores and the contributions; no nested explanation is built.
     m = catalog.model(spark, "m1")
-    scored = m.raw(orders_rows(spark, sf), keep=["o_orderkey", *M1_FLOATS])
-    ex = m.explain(scored, keep=["o_orderkey", "raw"])
-    per_class = ex.select("o_orderkey", "raw", F.posexplode("explanation").alias("class_idx", "e"))
+    both = m.walk(orders_rows(spark, sf), raw="raw", phis={"phi": None}, keep=["o_orderkey"])
+    bias = F.array(*[F.lit(b) for b in m.explainer().bias])
+    gap = F.zip_with(
+        F.zip_with("phi", bias, lambda p, b: F.aggregate(p, b, lambda a, v: a + v)), "raw", lambda told, raw: F.abs(told - raw)
+    )
+    per_class = both.select("o_orderkey", F.posexplode(F.arrays_zip(F.col("raw").alias("raw"), gap.alias("gap"))).alias("class_idx", "c"))
     return per_class.select(
-        "o_orderkey",
-        F.col("class_idx").cast("int").alias("class_idx"),
-        F.element_at("raw", F.col("class_idx") + 1).alias("raw"),
-        (F.abs(F.col("e.raw") - F.element_at("raw", F.col("class_idx") + 1)) <= 1e-9).alias("additive"),
+        "o_orderkey", F.col("class_idx").cast("int").alias("class_idx"), F.col("c.raw").alias("raw"), (F.col("c.gap") <= 1e-9).alias("additive")
     )
 
 
@@ -437,8 +449,8 @@ def _oracles_explain() -> dict[str, str]:
         "ROUND(phi, 6) + 0.0 AS phi FROM contrib",
         "explain_ranked": m1
         + "SELECT row_key AS o_orderkey, CAST(class_idx AS INTEGER) AS class_idx, "
-        "CAST(ROW_NUMBER() OVER (PARTITION BY row_key, class_idx ORDER BY ABS(phi) DESC, feature) AS INTEGER) AS rank, "
-        "ROUND(ABS(phi), 6) AS abs_phi FROM contrib",
+        "CAST(ROW_NUMBER() OVER (PARTITION BY row_key, class_idx ORDER BY ROUND(ABS(phi), 9) DESC, feature) AS INTEGER) AS rank, "
+        f"{_names_sql(M1_FLOATS)}[feature + 1] AS feature, ROUND(phi, 6) + 0.0 AS phi FROM contrib",
         "sidecar_explain": _explain_base_float16("m1", ORDERS_ROWS_SQL, F4)
         + f"SELECT row_key AS o_orderkey, CAST(class_idx AS INTEGER) AS class_idx, {_names_sql(M1_FLOATS)}[feature + 1] AS feature, "
         "ROUND(phi, 6) + 0.0 AS phi FROM contrib",
@@ -481,18 +493,15 @@ def q_sidecar_explain(spark, sf):
 
     m = catalog.model(spark, "m1")
     ex = X.sidecar_explainer(_sidecar_model(spark, "m1"), catalog.tables(spark), "m1")
-    out = X.phi_dense(orders_rows(spark, sf), ex)
+    out = X.phi_dense(orders_rows(spark, sf).select("o_orderkey", *M1_FLOATS), ex)
     return _phi_long(out, "o_orderkey", M1_FLOATS)
 
 
 def q_quantized_drift(spark, sf):
-    from sylva.operators import explain as X
     from sylva.operators.checks import max_abs_difference
 
-    m = catalog.model(spark, "m1")
-    # Both explainers run as chained Arrow steps over the same rows: no join.
-    exact = X.phi_dense(orders_rows(spark, sf).select("o_orderkey", *M1_FLOATS), m.explainer(), "pe")
-    both = X.phi_dense(exact, m.explainer("float16"), "pq")
+    # Exact and rounded contributions from one walk of the trees: no join.
+    both = catalog.model(spark, "m1").walk(orders_rows(spark, sf), phis={"pe": "exact", "pq": "float16"}, keep=["o_orderkey"])
     drift = max_abs_difference(F.flatten("pe"), F.flatten("pq"))
     return both.select("o_orderkey", F.round(drift, 6).alias("max_drift"), (drift <= 5e-3).alias("within_tolerance"))
 
@@ -522,12 +531,14 @@ def q_probability_checks(spark, sf):
 
 
 def q_type_difference(spark, sf):
+    from sylva.functions.links import apply_link
     from sylva.operators.checks import max_abs_difference
 
     m = catalog.model(spark, "m3")
-    soft = m.predict(emb_rows(spark, sf), "probability", features="x", out_col="soft")
-    both = m.predict(soft, "multi_probability", features="x", out_col="sig")
-    return both.select("vec_id", F.round(max_abs_difference(F.col("soft"), F.col("sig")), 6).alias("max_diff"))
+    raw = m.raw(emb_rows(spark, sf), features="x", keep=["vec_id"])
+    dims, loss = m.header.dims, m.header.loss_function
+    soft, sig = (apply_link(F.col("raw"), t, dims, loss) for t in ("probability", "multi_probability"))
+    return raw.select("vec_id", F.round(max_abs_difference(soft, sig), 6).alias("max_diff"))
 
 
 def q_contribution_checks(spark, sf):

@@ -3,7 +3,7 @@
 All of it is projection: casts, ``coalesce``, ``element_at`` and, for target
 statistics, one left join to a model-sized table. The output carries the
 caller's columns plus float32 *virtual feature* columns ``__v0 .. __vN`` in the
-order of ``CompiledModel.virtual``.
+order of ``ModelHeader.virtual``, shared by models that read the same input.
 
 Null and NaN rules (kept identical in every plan):
 
@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..plans.compiled import MAX_DENSE_VALUES, CompiledModel
+from ..plans.compiled import ModelHeader
 
 NULL_MODES = ("zero", "nan", "error")
 NAN_MODES = ("min", "max", "error")
@@ -62,7 +62,7 @@ def _is_numeric(dt: T.DataType) -> bool:
 
 def source_columns(
     df: DataFrame,
-    model: CompiledModel,
+    model: ModelHeader,
     *,
     features: str | None = None,
     cat_features: str | None = None,
@@ -136,7 +136,7 @@ def prune(
     return df.select(*cols)
 
 
-def map_row_checks(row_map: str, model: CompiledModel, unknown_keys: str = "error") -> Column:
+def map_row_checks(row_map: str, model: ModelHeader, unknown_keys: str = "error") -> Column:
     """C2-C4 for map rows: a failing expression for unknown (first) or missing keys.
 
     ``unknown_keys='ignore'`` skips the unknown check (the explain path's rule).
@@ -191,9 +191,48 @@ def arity_quarantine(df: DataFrame, features: str, n: int, keys: list[str]) -> t
     return df.filter(got == n), bad
 
 
+#: Statistic rows that may be broadcast whole (about 100 bytes each).
+BROADCAST_STATS = 1 << 20
+#: A category with more than one in so many rows counts as frequent; also the most of them.
+FREQUENT = 1024
+
+
+def lookup_stat(rows: DataFrame, cat_col: str, stats: DataFrame, n_stats: int, out_col: str, prior: float, bound: int | None = None) -> DataFrame:
+    """``out_col`` = the statistic of the category in ``cat_col``, or the prior; a left join by category.
+
+    ``stats`` holds (key, value), ``n_stats`` rows. Up to ``bound`` it is
+    broadcast. A larger one is joined in two parts, planned without running the
+    input: a Misra-Gries pass over the rows' categories (``freqItems``, read
+    when the query runs) finds every category in more than one of ``FREQUENT``
+    rows; their statistics, at most ``FREQUENT`` rows, are broadcast. The other
+    rows are joined by a shuffle on the category, and the rows already
+    answered are dealt over all its partitions by number, as they match nothing.
+    """
+    key, value, salt = f"__key_{out_col}", f"__value_{out_col}", f"__salt_{out_col}"
+    stats = stats.select(F.col("key").alias(key), F.col("value").alias(value))
+    if n_stats <= (BROADCAST_STATS if bound is None else bound):
+        joined = rows.join(F.broadcast(stats), F.col(cat_col) == F.col(key), "left")
+        return joined.withColumn(out_col, F.coalesce(value, F.lit(prior)).cast("float")).drop(key, value)
+    found = rows.select(F.col(cat_col).alias("c")).stat.freqItems(["c"], 1.0 / FREQUENT)
+    frequent = found.select(F.explode("c_freqItems").alias("__c"))
+    # an unseen category among the frequent ones is answered here too, with the prior
+    hot = frequent.join(stats, F.col("__c") == F.col(key), "left").select(F.col("__c").alias(f"{key}_hot"), F.col(value).alias(f"{value}_hot"))
+    marked = rows.join(F.broadcast(hot), F.col(cat_col) == F.col(f"{key}_hot"), "left")
+    is_hot = F.col(f"{key}_hot").isNotNull()
+    # rows already answered get a key of their own kind, which no statistic has and which spreads them
+    number = (F.monotonically_increasing_id() % 65536).cast("string")
+    marked = marked.withColumn(salt, F.when(is_hot, F.concat(F.lit("h"), number)).otherwise(F.concat(F.lit("c"), F.col(cat_col))))
+    cold = stats.withColumn(f"{salt}_", F.concat(F.lit("c"), F.col(key)))
+    joined = marked.join(cold.hint("merge"), F.col(salt) == F.col(f"{salt}_"), "left")
+    answer = F.when(is_hot, F.col(f"{value}_hot")).otherwise(F.col(value))
+    return joined.withColumn(out_col, F.coalesce(answer, F.lit(prior)).cast("float")).drop(
+        key, value, salt, f"{salt}_", f"{key}_hot", f"{value}_hot"
+    )
+
+
 def assemble(
     df: DataFrame,
-    model: CompiledModel,
+    models: list[ModelHeader],
     target_stats: DataFrame | None = None,
     *,
     features: str | None = None,
@@ -203,47 +242,61 @@ def assemble(
     null_mode: str = "zero",
     nan_mode: str = "min",
     unknown_keys: str = "error",
-) -> tuple[DataFrame, list[str]]:
-    """Add the model's virtual feature columns to ``df``.
+) -> tuple[DataFrame, list[str], list[list[int]]]:
+    """Add the virtual feature columns of all models to ``df``, each only once.
 
-    ``target_stats`` (the model's long table) is needed only when the model
-    has target-statistic splits; it is joined on the category value, broadcast
-    when its size (known from the model) is under the dense bound.
+    Returns the rows, the virtual columns (or one array column of them) and,
+    per model, which of them are its virtual features. ``target_stats`` (the models' long table) is needed only
+    for target-statistic splits; its value is looked up by category.
     """
-    fsrc, csrc, labels = source_columns(
-        df, model, features=features, cat_features=cat_features, row_map=row_map, strict=strict
-    )
-    out = df
-    checks = row_checks(model, features, cat_features, row_map, unknown_keys)
-    floats = [_float_input(c, labels[i], null_mode, nan_mode) for i, c in enumerate(fsrc)]
-    cats = [_cat_input(c, null_mode, labels[model.n_float + j]) for j, c in enumerate(csrc)]
-    guard_inputs(checks, floats, cats)
-
+    if features is not None and all(v[0] == "float" for m in models for v in m.virtual):
+        # The array stays one column, with one expression for any number of elements
+        x = F.transform(features, lambda v: _float_input(v, "in a row's array", null_mode, nan_mode))
+        checks = [c for m in models for c in row_checks(m, features, None, None)]
+        x = F.coalesce(*[c.cast("array<float>") for c in checks], x)
+        return df.select("*", x.alias(vcol(0))), [vcol(0)], [list(range(m.n_float)) for m in models]
+    number: dict[tuple, int] = {}
     cols: list[Column] = []
-    stat_joins: list[tuple[int, int, int]] = []  # (virtual index, stat id, cat index)
-    for i, v in enumerate(model.virtual):
-        if v[0] == "float":
-            cols.append(floats[v[1]].alias(vcol(i)))
-        elif v[0] == "onehot":
-            cols.append(F.when(cats[v[1]] == F.lit(v[2]), 1.0).otherwise(0.0).cast("float").alias(vcol(i)))
+    places: list[list[int]] = []
+    checks: list[Column] = []
+    stat_of: dict[int, tuple[ModelHeader, int, Column]] = {}
+    for model in models:
+        fsrc, csrc, labels = source_columns(
+            df, model, features=features, cat_features=cat_features, row_map=row_map, strict=strict
+        )
+        checks += row_checks(model, features, cat_features, row_map, unknown_keys)
+        mine = []
+        for v in model.virtual:
+            kind, j = v[0], v[2] if v[0] == "stat" else v[1]
+            source = j if features is not None else labels[j if kind == "float" else model.n_float + j]
+            key = (kind, source, *(v[2:] if kind == "onehot" else (model.model_id, v[1]) if kind == "stat" else ()))
+            if key not in number:
+                number[key] = len(cols)
+                if kind == "float":
+                    cols.append(_float_input(fsrc[j], labels[j], null_mode, nan_mode))
+                else:
+                    c = _cat_input(csrc[j], null_mode, labels[model.n_float + j])
+                    if kind == "onehot":
+                        cols.append(F.when(c == F.lit(v[2]), 1.0).otherwise(0.0).cast("float"))
+                    else:
+                        stat_of[len(cols)] = (model, v[1], c)
+                        cols.append(F.lit(None).cast("float"))
+            mine.append(number[key])
+        places.append(mine)
+    if checks:  # hung on a column that is always computed: null checks let its value through
+        if not cols:
+            cols.append(F.lit(0.0).cast("float"))
+        at = next((i for i in range(len(cols)) if i not in stat_of), None)
+        if at is None:
+            i, (model, sid, c) = next(iter(stat_of.items()))
+            stat_of[i] = (model, sid, F.coalesce(*[x.cast("string") for x in checks], c))
         else:
-            stat_joins.append((i, v[1], v[2]))
-    cat_keys = [cats[j].alias(f"__c{j}") for j in sorted({s[2] for s in stat_joins})]
-    out = out.select("*", *cols, *cat_keys)
-    if stat_joins:
+            cols[at] = F.coalesce(*[x.cast("float") for x in checks], cols[at])
+    plain = [c.alias(vcol(i)) for i, c in enumerate(cols) if i not in stat_of]
+    out = df.select("*", *plain, *[c.alias(f"__c{i}") for i, (_, _, c) in stat_of.items()])
+    for i, (model, sid, _) in stat_of.items():
         if target_stats is None:
             raise ValueError("model has target-statistic splits; pass its target_stats table")
-        for i, sid, j in stat_joins:
-            table = target_stats.filter(
-                (F.col("model_id") == model.model_id) & (F.col("stat_id") == sid)
-            ).select(F.col("key").alias(f"__k{i}"), F.col("value").alias(f"__s{i}"))
-            if model.stat_sizes.get(sid, 0) <= MAX_DENSE_VALUES:
-                table = F.broadcast(table)
-            out = out.join(table, F.col(f"__c{j}") == F.col(f"__k{i}"), "left")
-            prior = model.stat_priors.get(sid, 0.0)
-            out = out.withColumn(vcol(i), F.coalesce(F.col(f"__s{i}"), F.lit(prior)).cast("float")).drop(
-                f"__k{i}", f"__s{i}"
-            )
-    out = out.drop(*[f"__c{j}" for j in sorted({s[2] for s in stat_joins})])
-    vcols = [vcol(i) for i in range(len(model.virtual))]
-    return out, vcols
+        table = target_stats.filter((F.col("model_id") == model.model_id) & (F.col("stat_id") == sid) & F.col("key").isNotNull())
+        out = lookup_stat(out, f"__c{i}", table, model.stat_sizes.get(sid, 0), vcol(i), model.stat_priors.get(sid, 0.0)).drop(f"__c{i}")
+    return out, [vcol(i) for i in range(len(cols))], places

@@ -1,11 +1,10 @@
 """Explanation by table lookup.
 
-* dense (default): ``mapInArrow``; per tree, the reached leaf's SHAP rows are
-  gathered from a broadcast copy of the model's ``shap_table`` (size-checked:
-  it is trees x leaves x used features x K).
-* relational: leaf rows (row, tree, leaf) join ``shap_table`` on
-  (model, tree, leaf) and are summed per (row, class, feature), inside the
-  partitions of the up-front repartition on the row key.
+* dense (default): the fused kernel (``operators/kernel.py``); per tree, the
+  reached leaf's SHAP rows are gathered from broadcast blocks of the table;
+* relational: leaf rows (row, tree, leaf) join the SHAP table on (tree, leaf)
+  and are summed per (row, class, feature), inside the partitions of the
+  up-front repartition on the row key.
 
 Both return ``phi ARRAY<ARRAY<DOUBLE>>`` (K arrays of F contributions, class
 major); ``explanation`` nests it with names, bias and raw, ranked by |phi|.
@@ -13,143 +12,137 @@ major); ``explanation`` nests it with names, bias and raw, ranked by |phi|.
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.features import assemble
-from ..plans.compiled import MAX_DENSE_VALUES, CompiledModel, ModelTooLarge
+from ..plans import compiled as C
+from ..plans.compiled import Forest, ModelHeader
 from . import score as S
-
-PHI_TYPE = T.ArrayType(T.ArrayType(T.DoubleType()))
+from .kernel import Walk, walk_step
 
 
 class Explainer:
-    """SHAP table + bias row for one float-only model.
+    """A SHAP table and bias row, with the names that go with them.
 
-    ``shap`` is a long table (model_id, tree, leaf, feature, phi); ``bias`` a
-    list of K doubles. ``class_names`` falls back to indices when the model's
-    names do not match K (binary models: 2 labels, 1 dimension).
+    ``forest`` has the splits that decide the leaf and one SHAP table; ``bias``
+    is a list of K doubles. Names default to the model's; labels fall back to
+    indexes when the model's do not match K (binary models: 2 labels, 1
+    dimension). Names or labels given by hand must match in number.
     """
 
-    def __init__(self, model: CompiledModel, shap: DataFrame, bias: list[float], shap_id: str | None = None):
-        if model.n_cat:
+    def __init__(
+        self,
+        header: ModelHeader,
+        forest: Forest,
+        bias: list[float],
+        shap_id: str | None = None,
+        feature_names: list[str] | None = None,
+        class_names: list[str] | None = None,
+    ):
+        if header.n_cat:
             raise ValueError(
-                f"only models without categorical features can be explained; this one has {model.n_cat}"
+                f"only models without categorical features can be explained; this one has {header.n_cat}"
             )
-        self.model = model
-        self.shap = shap
-        self.shap_id = shap_id or model.model_id
+        self.header = header
+        self.forest = forest
+        self.shap_id = shap_id or header.model_id
         self.bias = [float(b) for b in bias]
-        if len(self.bias) != model.dims:
-            raise ValueError(f"bias row has {len(self.bias)} classes, model has {model.dims}")
-        self.feature_names = list(model.float_names)
-        names = model.class_names
-        self.class_names = [str(c) for c in names] if names and len(names) == model.dims else [str(i) for i in range(model.dims)]
-        self._payload = None
-
-    def payload(self) -> dict:
-        """Dense arrays: per tree the used features and (L, U, K) phi, padded."""
-        if self._payload is not None:
-            return self._payload
-        m = self.model
-        t, l, k = m.leaf_values.shape
-        u_max = max(1, m.max_depth)
-        if t * l * u_max * k > MAX_DENSE_VALUES:
-            raise ModelTooLarge("SHAP table above the dense bound; use plan='relational'")
-        rows = self.shap.filter(F.col("model_id") == self.shap_id).select("tree", "leaf", "feature", "phi").collect()
-        used = {}
-        for r in rows:
-            used.setdefault(r["tree"], set()).add(r["feature"])
-        f_dummy = m.n_float  # padding slot, dropped at the end
-        slots = np.full((t, u_max), f_dummy, dtype=np.int32)
-        pos = {}
-        for tree, fs in used.items():
-            for i, f in enumerate(sorted(fs)):
-                slots[tree, i] = f
-                pos[(tree, f)] = i
-        table = np.zeros((t, l, u_max, k), dtype=np.float64)
-        for r in rows:
-            table[r["tree"], r["leaf"], pos[(r["tree"], r["feature"])]] = r["phi"]
-        self._payload = {"slots": slots, "table": table, "n_features": m.n_float}
-        return self._payload
-
-
-def phi_batch(x: np.ndarray, score_payload: dict, shap_payload: dict) -> np.ndarray:
-    """E10 on a batch: (N, K, F) contributions (rows in bounded chunks)."""
-    t = score_payload["feat"].shape[0]
-    step = max(1, S._INDEX_BUDGET // max(1, t))
-    if x.shape[0] > step:
-        return np.concatenate([phi_batch(x[i : i + step], score_payload, shap_payload) for i in range(0, x.shape[0], step)])
-    idx = S.leaf_indices_t(np.ascontiguousarray(x.T), score_payload["feat"], score_payload["border"]).astype(np.intp)
-    n, t = x.shape[0], idx.shape[0]
-    slots, table = shap_payload["slots"], shap_payload["table"]
-    k = table.shape[3]
-    acc = np.zeros((n, shap_payload["n_features"] + 1, k), dtype=np.float64)
-    for tree in range(t):
-        acc[:, slots[tree], :] += table[tree, idx[tree]]
-    return acc[:, :-1, :].transpose(0, 2, 1)
-
-
-def _nested(values: np.ndarray) -> pa.Array:
-    n, k, f = values.shape
-    inner = pa.ListArray.from_arrays(
-        pa.array(np.arange(0, (n * k + 1) * f, f, dtype=np.int32)), pa.array(values.reshape(-1), type=pa.float64())
-    )
-    return pa.ListArray.from_arrays(pa.array(np.arange(0, (n + 1) * k, k, dtype=np.int32)), inner)
+        k = forest.dims
+        for what, names, n in (("bias values", self.bias, k), ("class names", class_names, k), ("feature names", feature_names, header.n_float)):
+            if names is not None and len(names) != n:
+                raise ValueError(f"{len(names)} {what} where the table has {n}")
+        self.feature_names = list(feature_names or header.float_names)
+        names = class_names or header.class_names
+        self.class_names = [str(c) for c in names] if names and len(names) == k else [str(i) for i in range(k)]
+        self._blocks: dict = {}
+
+    @property
+    def shap(self) -> DataFrame:
+        """tree, leaf, feature, phi."""
+        return self.forest.shaps[0]
+
+    def walk(self, columns: list[int], out_col: str) -> Walk:
+        size = C.BLOCK_VALUES
+        if size not in self._blocks:
+            self._blocks[size] = self.forest.broadcast(size)
+        return Walk(columns, self.forest.dims, self.header.n_float, self._blocks[size], phi_cols=[out_col], n_trees=self.forest.n_trees)
+
+    def named(self, header: ModelHeader, feature_names: list[str] | None = None, class_names: list[str] | None = None) -> "Explainer":
+        """The same table (and blocks) under another model's names."""
+        other = Explainer(header, self.forest, self.bias, self.shap_id, feature_names, class_names)
+        other._blocks = self._blocks
+        return other
 
 
 def phi_dense(df: DataFrame, explainer: Explainer, out_col: str = "phi", **inputs) -> DataFrame:
     """E10, dense: append ``phi ARRAY<ARRAY<DOUBLE>>`` (K x F)."""
-    m = explainer.model
-    assembled, vcols = assemble(df, m, None, **inputs)
-    bc = df.sparkSession.sparkContext.broadcast((m.payload(), explainer.payload()))
+    assembled, vcols, (columns,) = assemble(df, [explainer.header], None, **inputs)
+    return walk_step(assembled, vcols, [explainer.walk(columns, out_col)])
 
-    def run(batches):
-        sp, xp = bc.value
-        for b in batches:
-            phi = phi_batch(S._matrix(b, vcols), sp, xp)
-            yield S._append(b, vcols, {out_col: _nested(phi)})
 
-    schema = S._out_schema(assembled, vcols, [T.StructField(out_col, PHI_TYPE)])
-    return assembled.mapInArrow(run, schema)
+def explain_many(df: DataFrame, explainers: dict[str, Explainer], keys: list[str], **inputs) -> DataFrame:
+    """Rows explained for several models, in one Arrow step: (model_id, keys..., explanation).
+
+    Explainers that share a table are walked once, whatever their names.
+    """
+    tables: dict[int, tuple[Explainer, str]] = {}
+    for ex in explainers.values():
+        tables.setdefault(id(ex.forest), (ex, f"__phi{len(tables)}"))
+    distinct = list(tables.values())
+    assembled, vcols, places = assemble(df, [ex.header for ex, _ in distinct], None, **inputs)
+    walked = walk_step(assembled, vcols, [ex.walk(columns, col) for (ex, col), columns in zip(distinct, places)])
+    each = [
+        F.struct(F.lit(mid).alias("model_id"), explanation(F.col(tables[id(ex.forest)][1]), ex).alias("explanation"))
+        for mid, ex in explainers.items()
+    ]
+    return walked.select(*keys, F.explode(F.array(*each)).alias("__e")).select("__e.model_id", *keys, "__e.explanation")
 
 
 def phi_relational(
-    df: DataFrame, explainer: Explainer, splits: DataFrame, keys: list[str], out_col: str = "phi", **inputs
+    df: DataFrame, explainer: Explainer, keys: list[str], out_col: str = "phi", **inputs
 ) -> DataFrame:
-    """E10, relational: keys + ``phi ARRAY<ARRAY<DOUBLE>>`` via joins and sums."""
+    """E10, relational: keys + ``phi ARRAY<ARRAY<DOUBLE>>`` via joins and sums.
+
+    The split and SHAP tables are broadcast range of trees by range of trees,
+    each within the bound; the ranges' sums are added.
+    """
     from ..functions.features import _float_input, guard_inputs, row_checks, source_columns
 
-    m = explainer.model
-    rows = S.partition_by_keys(df, keys, m.n_trees * m.max_depth)
+    m, forest = explainer.header, explainer.forest
+    depth = max(1, forest.max_depth)
+    rows = S.partition_by_keys(df, keys, forest.n_trees * depth)
     given = {k: v for k, v in inputs.items() if k in ("features", "row_map", "strict")}
     fsrc, _, labels = source_columns(rows, m, **given)
     null_mode = inputs.get("null_mode", "zero")
     nan_mode = inputs.get("nan_mode", "min")
     fl = [_float_input(c, labels[i], null_mode, nan_mode) for i, c in enumerate(fsrc)]
-    guard_inputs(row_checks(m, given.get("features"), None, given.get("row_map"), inputs.get("unknown_keys", "error")), fl, [])
-    long = S.unpivot_inputs(rows, keys, [(fl, [], [])])
-    n_split_rows = m.n_trees * m.max_depth
-    sp = splits.filter(F.col("model_id") == m.model_id)
-    sp = F.broadcast(sp) if n_split_rows <= MAX_DENSE_VALUES else sp
-    leaf_rows = S.leaf_index_relational(long, keys, sp, [m.model_id])
-    shap = explainer.shap.filter(F.col("model_id") == explainer.shap_id).select(
-        S.leaf_key(F.lit(0), F.col("tree"), F.col("leaf")).alias("lkey"), "feature", "phi"
-    )
-    n_shap = m.n_trees * (1 << m.max_depth) * max(1, m.max_depth)
-    shap = F.broadcast(shap) if n_shap <= MAX_DENSE_VALUES else shap
-    per = (
-        leaf_rows.select(*keys, S.leaf_key(F.col("model_idx"), F.col("tree"), F.col("leaf")).alias("lkey"))
-        .join(shap, "lkey")
-        .select(*keys, "feature", F.posexplode("phi").alias("class_idx", "v"))
-        .groupBy(*keys, "class_idx", "feature")
-        .agg(F.sum("v").alias("v"))
-        .groupBy(*keys, "class_idx")
-        .agg(F.map_from_entries(F.collect_list(F.struct("feature", "v"))).alias("m"))
-    )
+    checks = row_checks(m, given.get("features"), None, given.get("row_map"), inputs.get("unknown_keys", "error"))
+    checked = rows.withColumn("__unique", S.unique_keys(rows, keys))
+    guard_inputs([*checks, F.col("__unique")], fl, [])
+    long = S.unpivot_inputs(checked, keys, [(fl, [], [])])
+    parts = []
+    for start, end in forest.ranges(C.BLOCK_VALUES):
+        S.check_keys(1, end - start, forest.max_depth)
+        some = (F.col("tree") >= start) & (F.col("tree") < end)
+        sp = F.broadcast(forest.splits.filter(some).withColumn("model_id", F.lit(m.model_id)))
+        leaf_rows = S.leaf_index_relational(long, keys, sp, [m.model_id])
+        shap = forest.shaps[0].filter(some).select(
+            S.leaf_key(F.lit(0), F.col("tree"), F.col("leaf"), forest.max_depth, start).alias("lkey"), "feature", "phi"
+        )
+        parts.append(
+            leaf_rows.select(*keys, S.leaf_key(F.col("model_idx"), F.col("tree"), F.col("leaf"), forest.max_depth, start).alias("lkey"))
+            .join(F.broadcast(shap), "lkey")
+            .select(*keys, "feature", F.posexplode("phi").alias("class_idx", "v"))
+            .groupBy(*keys, "class_idx", "feature")
+            .agg(F.sum("v").alias("v"))
+        )
+    summed = parts[0]
+    if len(parts) > 1:
+        for p in parts[1:]:
+            summed = summed.unionByName(p)
+        summed = summed.groupBy(*keys, "class_idx", "feature").agg(F.sum("v").alias("v"))
+    per = summed.groupBy(*keys, "class_idx").agg(F.map_from_entries(F.collect_list(F.struct("feature", "v"))).alias("m"))
     filled = per.select(
         *keys,
         "class_idx",
@@ -159,7 +152,7 @@ def phi_relational(
         F.transform(F.array_sort(F.collect_list(F.struct("class_idx", "p"))), lambda s: s["p"]).alias(out_col)
     )
     # Rows whose trees all reach leaves without table rows (no features) still get zeros.
-    zeros = F.array_repeat(F.array_repeat(F.lit(0.0), m.n_float), m.dims)
+    zeros = F.array_repeat(F.array_repeat(F.lit(0.0), m.n_float), forest.dims)
     return S.join_on_keys(rows, nested, keys, "left").withColumn(out_col, F.coalesce(F.col(out_col), zeros))
 
 
@@ -191,38 +184,50 @@ def explanation(phi: Column, explainer: Explainer) -> Column:
     )
 
 
-def sidecar_explainer(sidecars, tables, model_id: str) -> Explainer:
+def sidecar_explainer(
+    sidecars, tables, model_id: str, shap_id: str | None = None, feature_names: list[str] | None = None, class_names: list[str] | None = None
+) -> Explainer:
     """An explainer whose leaf walk and table come from a decoded sidecar.
 
     The sidecar's own splits and borders decide the leaf (as its readers do);
-    names and class labels come from the paired model. A sidecar can be shared
-    by several models: pass the model id to pair it with.
+    names and class labels come from the paired model, or are given. Several
+    models may share the sidecar ``shap_id`` (default: the model's own id).
     """
-    from ..plans.compiled import compile_model
+    from ..plans.compiled import model_header
     from ..sources.sidecar import compatibility
 
-    bad = compatibility(sidecars, tables).filter((F.col("model_id") == model_id) & ~F.col("compatible")).collect()
-    if bad:
-        raise ValueError(f"sidecar does not match model {model_id!r}: {bad[0]['reason']}")
-    model = compile_model(tables, model_id)
-    head = sidecars.headers.filter(F.col("model_id") == model_id).collect()
-    if not head:
-        raise KeyError(f"no sidecar for model {model_id!r}")
-    h = head[0]
-    splits = sidecars.splits.filter(F.col("model_id") == model_id).select("tree", "level", "feature", "border").collect()
-    feat = np.zeros((h["n_trees"], h["depth"]), dtype=np.int32)
-    border = np.full((h["n_trees"], h["depth"]), np.inf, dtype=np.float32)
-    for r in splits:
-        feat[r["tree"], r["level"]] = r["feature"]
-        border[r["tree"], r["level"]] = r["border"]
-    from dataclasses import replace
-
-    walk = replace(
-        model,
-        feat=feat,
-        border=border,
-        depth=np.full(h["n_trees"], h["depth"], dtype=np.int32),
-        leaf_values=np.zeros((h["n_trees"], 1 << h["depth"], h["n_classes"])),
-        virtual=[("float", i) for i in range(model.n_float)],
+    shap_id = shap_id or model_id
+    spark = sidecars.headers.sparkSession
+    pair = spark.createDataFrame([(model_id, shap_id)], "model_id string, shap_id string")
+    found = compatibility(sidecars, tables, pair).collect()[0]
+    if not found["compatible"]:
+        raise (KeyError if found["reason"] == "NO_SIDECAR" else ValueError)(
+            f"sidecar {shap_id!r} does not match model {model_id!r}: {found['reason']}"
+        )
+    header = model_header(tables, model_id)
+    h = sidecars.headers.filter(F.col("model_id") == shap_id).first()
+    mine = F.col("model_id") == shap_id
+    forest = Forest(
+        h["n_trees"], h["depth"], h["n_classes"], [("float", i) for i in range(header.n_float)],
+        sidecars.splits.filter(mine), None, [sidecars.shap.filter(mine)],
     )
-    return Explainer(walk, sidecars.shap, list(h["bias"]), shap_id=model_id)
+    return Explainer(header, forest, list(h["bias"]), shap_id, feature_names, class_names)
+
+
+def attached_explainers(sidecars, tables, attachments: DataFrame) -> dict[str, Explainer]:
+    """One explainer per row of ``attachments`` (model_id, shap_id); models of one sidecar share its table.
+
+    Fails on the first pair that does not match, with its reason.
+    """
+    first: dict[str, Explainer] = {}
+    out = {}
+    for model_id, shap_id in attachments.select("model_id", "shap_id").collect():  # one row per model
+        own = sidecar_explainer(sidecars, tables, model_id, shap_id)
+        out[model_id] = first[shap_id].named(own.header) if shap_id in first else first.setdefault(shap_id, own)
+    return out
+
+
+def explainable(tables, shap: DataFrame) -> DataFrame:
+    """(model_id, has_explainer): whether the SHAP table holds rows of the model."""
+    known = shap.select("model_id").distinct().withColumn("has_explainer", F.lit(True))
+    return tables.models.select("model_id").join(known, "model_id", "left").select("model_id", F.coalesce("has_explainer", F.lit(False)).alias("has_explainer"))

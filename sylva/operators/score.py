@@ -1,137 +1,20 @@
-"""Scoring (D1-D3, D13, D14).
-
-Two physical plans compute the same numbers:
-
-* **dense** (default): ``mapInArrow`` over the caller's partitions. Each Arrow
-  batch becomes a float32 matrix; per tree level one vectorised compare sets
-  a bit of the leaf index, then leaf values are gathered and summed. The model
-  travels once per executor as a broadcast whose size is checked at compile
-  time. No shuffle; works unchanged on a streaming DataFrame.
-* **relational**: features unpivoted to long rows, equi-joined to the
-  ``splits`` table, leaf index = ``sum(2^level)`` over true tests, joined to
-  ``leaves`` and summed per row and class. Used for many models at once, for
-  models above the dense bound, and as the independent twin in parity checks.
+"""Scoring by joins (D1, D2, D13): the relational plan.
+
+Features are unpivoted to long rows and equi-joined to the ``splits`` table;
+the leaf index is ``sum(2^level)`` over true tests; joined to ``leaves`` and
+summed per row and class. It is the independent twin of the dense kernel
+(``operators/kernel.py``) in parity checks. Model tables are taken in ranges of
+trees that fit the broadcast bound, and the ranges' sums are added, so a model
+of any size is scored.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..plans.compiled import CompiledModel
 from ..sources.model_docs import pow2
 
-# Rows x trees leaf indices held at once: 4M (4 MB as uint8).
-_INDEX_BUDGET = 1 << 22
-# Trees x rows x K leaf values gathered at once: 2M doubles = 16 MB.
-_GATHER_BUDGET = 1 << 21
-
-
-def _index_dtype(depth: int):
-    return np.uint8 if depth <= 8 else np.uint16 if depth <= 16 else np.uint32
-
-
-def leaf_indices_t(xt: np.ndarray, feat: np.ndarray, border: np.ndarray) -> np.ndarray:
-    """D1 on a batch, tree-major: (V, N) float32 features -> (T, N) leaf index.
-
-    Bit ``d`` is set when ``x[feat[t, d]] > border[t, d]`` (strict; NaN is
-    false). Feature-major input makes every gather a contiguous row copy, and
-    the index is kept in the narrowest unsigned type the depth allows.
-    """
-    t, d_max = feat.shape
-    dtype = _index_dtype(d_max)
-    idx = np.zeros((t, xt.shape[1]), dtype=dtype)
-    with np.errstate(invalid="ignore"):
-        for d in range(d_max):
-            idx |= np.greater(xt[feat[:, d]], border[:, d, None]).view(np.uint8).astype(dtype, copy=False) << dtype(d)
-    return idx
-
-
-def leaf_indices(x: np.ndarray, feat: np.ndarray, border: np.ndarray) -> np.ndarray:
-    """D1 on a batch: (N, V) float32 features -> (N, T) leaf index."""
-    return leaf_indices_t(np.ascontiguousarray(x.T), feat, border).T
-
-
-def raw_scores(x: np.ndarray, payload: dict) -> np.ndarray:
-    """D2 on a batch: scale * sum over trees of the reached leaf values + bias.
-
-    Rows are taken in chunks (rows x trees indices stay bounded) and leaf
-    values are gathered in blocks of trees (block x rows x K stays bounded),
-    whatever the Arrow batch size and the number of trees.
-    """
-    t = payload["feat"].shape[0]
-    step = max(1, _INDEX_BUDGET // max(1, t))
-    if x.shape[0] > step:
-        return np.vstack([raw_scores(x[i : i + step], payload) for i in range(0, x.shape[0], step)])
-    idx = leaf_indices_t(np.ascontiguousarray(x.T), payload["feat"], payload["border"])
-    leaf_flat = payload["leaf_flat"]
-    n, k = x.shape[0], leaf_flat.shape[1]
-    flat = idx.astype(np.intp) + (np.arange(t, dtype=np.intp) * payload["n_leaves"])[:, None]
-    total = np.zeros((n, k), dtype=np.float64)
-    block = max(1, _GATHER_BUDGET // max(1, n * k))
-    for s in range(0, t, block):
-        total += np.take(leaf_flat, flat[s : s + block], axis=0).sum(axis=0)
-    return payload["scale"] * total + payload["bias"][None, :]
-
-
-def _matrix(batch: pa.RecordBatch, names: list[str]) -> np.ndarray:
-    cols = [batch.column(batch.schema.get_field_index(n)).to_numpy(zero_copy_only=False) for n in names]
-    if not cols:
-        return np.zeros((batch.num_rows, 0), dtype=np.float32)
-    return np.column_stack(cols).astype(np.float32, copy=False)
-
-
-def _list_column(values: np.ndarray) -> pa.Array:
-    n, k = values.shape
-    offsets = pa.array(np.arange(0, (n + 1) * k, k, dtype=np.int32))
-    return pa.ListArray.from_arrays(offsets, pa.array(values.reshape(-1), type=pa.float64()))
-
-
-def _append(batch: pa.RecordBatch, drop: list[str], extra: dict[str, pa.Array]) -> pa.RecordBatch:
-    keep = [i for i, f in enumerate(batch.schema) if f.name not in set(drop)]
-    arrays = [batch.column(i) for i in keep] + list(extra.values())
-    names = [batch.schema.field(i).name for i in keep] + list(extra.keys())
-    return pa.RecordBatch.from_arrays(arrays, names=names)
-
-
-def _out_schema(df: DataFrame, drop: list[str], extra: list[T.StructField]) -> T.StructType:
-    return T.StructType([f for f in df.schema.fields if f.name not in set(drop)] + extra)
-
-
-def score_dense(df: DataFrame, model: CompiledModel, vcols: list[str], out_col: str = "raw") -> DataFrame:
-    """Dense plan: append ``out_col ARRAY<DOUBLE>`` (K raw values) to each row."""
-    bc = df.sparkSession.sparkContext.broadcast(model.payload())
-
-    def run(batches):
-        payload = bc.value
-        for b in batches:
-            raw = raw_scores(_matrix(b, vcols), payload)
-            yield _append(b, vcols, {out_col: _list_column(raw)})
-
-    schema = _out_schema(df, vcols, [T.StructField(out_col, T.ArrayType(T.DoubleType()))])
-    return df.mapInArrow(run, schema)
-
-
-def leaf_index_dense(df: DataFrame, model: CompiledModel, vcols: list[str], out_col: str = "leaves") -> DataFrame:
-    """D1, dense: append ``out_col ARRAY<INT>`` with the leaf reached in each tree."""
-    bc = df.sparkSession.sparkContext.broadcast(model.payload())
-
-    def run(batches):
-        payload = bc.value
-        for b in batches:
-            idx = leaf_indices(_matrix(b, vcols), payload["feat"], payload["border"]).astype(np.int32)
-            n, t = idx.shape
-            offsets = pa.array(np.arange(0, (n + 1) * t, t, dtype=np.int32))
-            arr = pa.ListArray.from_arrays(offsets, pa.array(idx.reshape(-1), type=pa.int32()))
-            yield _append(b, vcols, {out_col: arr})
-
-    schema = _out_schema(df, vcols, [T.StructField(out_col, T.ArrayType(T.IntegerType()))])
-    return df.mapInArrow(run, schema)
-
-
 # ----------------------------------------------------------------------------
 # Relational plan
 # ----------------------------------------------------------------------------
@@ -143,12 +26,20 @@ KIND_FLOAT, KIND_CAT, KIND_STAT = 0, 1, 2
 
 def slot_key(model_idx: Column, kind: Column, idx: Column) -> Column:
     """One BIGINT join key for (model, input kind, index): Spark's fast single-long hash join."""
-    return model_idx.cast("long") * F.lit(1 << 32) + kind.cast("long") * F.lit(1 << 24) + idx.cast("long")
+    return model_idx.cast("long") * F.lit(1 << 34) + kind.cast("long") * F.lit(1 << 32) + idx.cast("long")
 
 
-def leaf_key(model_idx: Column, tree: Column, leaf: Column) -> Column:
-    """One BIGINT key for (model, tree, leaf)."""
-    return model_idx.cast("long") * F.lit(1 << 40) + tree.cast("long") * F.lit(1 << 20) + leaf.cast("long")
+def leaf_key(model_idx: Column, tree: Column, leaf: Column, depth: int, start: int = 0) -> Column:
+    """One BIGINT key for (model, tree, leaf); trees count from ``start``, leaves are below 2^depth.
+
+    ``check_keys`` makes sure that a range's trees x leaves fit beside the model.
+    """
+    return model_idx.cast("long") * F.lit(1 << 40) + (tree.cast("long") - F.lit(start)) * F.lit(1 << depth) + leaf.cast("long")
+
+
+def check_keys(n_models: int, n_trees: int, depth: int) -> None:
+    if n_trees << depth > 1 << 40 or n_models > 1 << 23:
+        raise ValueError(f"{n_models} models with {n_trees} trees of depth {depth} a range do not fit the leaf key")
 
 
 def model_index(ids: list[str]) -> Column:
@@ -163,7 +54,7 @@ def _long_inputs(
 
     def entry(kind: int, idx: int, x: Column | None, s: Column | None) -> Column:
         return F.struct(
-            F.lit((model_idx << 32) + (kind << 24) + idx).cast("long").alias("slot"),
+            F.lit((model_idx << 34) + (kind << 32) + idx).cast("long").alias("slot"),
             F.lit(model_idx).alias("model_idx"),
             (x if x is not None else F.lit(None)).cast("float").alias("x"),
             (s if s is not None else F.lit(None)).cast("string").alias("s"),
@@ -197,6 +88,12 @@ def partition_by_keys(df: DataFrame, keys: list[str], expansion: int = 1, partit
     return df.repartition(partitions, *keys)
 
 
+def unique_keys(df: DataFrame, keys: list[str]) -> Column:
+    """A check over rows partitioned by ``keys``: fails on a repeated key, else null (bits of two rows must not add up)."""
+    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    return F.when(n > 1, F.raise_error(F.lit(f"key columns {keys} are not unique")))
+
+
 def join_on_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
     """Join on the key columns with null equal to null; the left side's columns first."""
     renamed = right.withColumnsRenamed({k: f"__{k}" for k in keys})
@@ -266,24 +163,25 @@ def leaf_index_relational(long: DataFrame, keys: list[str], splits: DataFrame, i
     j = long.join(s, "slot")
     bit = F.when(F.col("is_cat"), F.col("s") == F.col("value")).otherwise(~F.isnan("x") & (F.col("x") > F.col("border")))
     leaf = F.sum(F.when(bit, F.col("bitval")).otherwise(0)).cast("int")
-    twice = F.count_if(F.col("level") == 0) > 1  # the bits of two rows must not add up to a third leaf
-    return j.groupBy("model_idx", *keys, "tree").agg(
-        F.when(twice, F.raise_error(F.lit(f"key columns {keys} are not unique")).cast("int")).otherwise(leaf).alias("leaf")
-    )
+    return j.groupBy("model_idx", *keys, "tree").agg(leaf.alias("leaf"))
 
 
-def raw_relational(leaf_rows: DataFrame, keys: list[str], leaves: DataFrame, models: DataFrame, ids: list[str]) -> DataFrame:
-    """D2, relational: (model_id, keys..., class_idx, raw) in long form."""
+def leaf_sums(leaf_rows: DataFrame, keys: list[str], leaves: DataFrame, ids: list[str], depth: int, start: int) -> DataFrame:
+    """(model_idx, keys..., class_idx, s): leaf values of one range of trees, added per row and class."""
     lv = leaves.filter(F.col("model_id").isin(ids)).select(
-        leaf_key(model_index(ids), F.col("tree"), F.col("leaf")).alias("lkey"), "values"
+        leaf_key(model_index(ids), F.col("tree"), F.col("leaf"), depth, start).alias("lkey"), "values"
     )
-    per_class = (
-        leaf_rows.select("model_idx", *keys, leaf_key(F.col("model_idx"), F.col("tree"), F.col("leaf")).alias("lkey"))
+    return (
+        leaf_rows.select("model_idx", *keys, leaf_key(F.col("model_idx"), F.col("tree"), F.col("leaf"), depth, start).alias("lkey"))
         .join(lv, "lkey")
         .select("model_idx", *keys, F.posexplode("values").alias("class_idx", "v"))
         .groupBy("model_idx", *keys, "class_idx")
         .agg(F.sum("v").alias("s"))
     )
+
+
+def raw_relational(per_class: DataFrame, keys: list[str], models: DataFrame, ids: list[str]) -> DataFrame:
+    """D2, relational: (model_id, keys..., class_idx, raw) in long form, from the sums over all trees."""
     m = F.broadcast(
         models.filter(F.col("model_id").isin(ids)).select(model_index(ids).alias("model_idx"), "model_id", "scale", "bias")
     )

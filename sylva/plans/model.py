@@ -1,12 +1,12 @@
 """The user-facing model: load, score, link, explain.
 
-``Model`` is a thin handle on the long model tables plus, lazily, the compiled
-arrays. Plans:
+``Model`` is a thin handle on the long model tables plus, lazily, its header and
+broadcast blocks of trees. Plans:
 
-* ``plan='dense'``       mapInArrow with a broadcast model (default when the
-                         model is under ``MAX_DENSE_VALUES``);
-* ``plan='relational'``  joins and aggregates over the model tables;
-* ``plan='auto'``        dense if the model fits, else relational.
+* ``plan='dense'``       the fused kernel: one ``mapInArrow`` over the caller's
+                         partitions, no shuffle, any size of model (default,
+                         also as ``'auto'``);
+* ``plan='relational'``  joins and aggregates over the model tables.
 """
 
 from __future__ import annotations
@@ -26,50 +26,32 @@ from ..functions.features import (
     _float_input,
     assemble,
     guard_inputs,
+    lookup_stat,
     prune,
     row_checks,
     source_columns,
 )
 from ..operators import score as S
+from ..operators.kernel import Walk, list_column, run_walk, walk_step
 from ..sources.model_docs import ModelTables, load_model_texts, load_models
 from ..session import durable
-from .compiled import MAX_DENSE_VALUES, CompiledModel, ModelTooLarge, compile_model
-
-
-def checked_broadcast(df: DataFrame, bound_rows: int, max_rows: int = MAX_DENSE_VALUES) -> DataFrame:
-    """Broadcast-hint a model table whose row count is known to be under the bound."""
-    return F.broadcast(df) if bound_rows <= max_rows else df
-
-
-def model_sizes(tables: ModelTables, model_ids: list[str] | None = None) -> dict[str, int]:
-    """Leaf values, split rows and target-statistic rows of a set of models (one small job)."""
-    m = tables.models if model_ids is None else tables.models.filter(F.col("model_id").isin(model_ids))
-    stats = tables.target_stats if model_ids is None else tables.target_stats.filter(F.col("model_id").isin(model_ids))
-    sizes = (
-        m.select(F.lit("values").alias("what"), (F.col("n_trees") * F.pow(F.lit(2), F.col("max_depth")) * F.col("dims")).alias("n"))
-        .unionByName(m.select(F.lit("splits").alias("what"), (F.col("n_trees") * F.col("max_depth")).cast("double").alias("n")))
-        .unionByName(stats.select(F.lit("stats").alias("what"), F.lit(1.0).alias("n")))
-    )
-    got = {r["what"]: int(r["n"]) for r in sizes.groupBy("what").agg(F.sum("n").alias("n")).collect()}
-    return {k: got.get(k, 0) for k in ("values", "splits", "stats")}
-
-
-def model_size_bound(tables: ModelTables, model_ids: list[str] | None = None) -> int:
-    """Upper bound on rows of the model tables a plan may broadcast."""
-    s = model_sizes(tables, model_ids)
-    return max(s["values"], s["stats"])
+from . import compiled as C
+from .compiled import ModelHeader, forest_of, model_header
 
 
 class Model:
     def __init__(self, tables: ModelTables, model_id: str):
         self.tables = tables
         self.model_id = model_id
-        self._compiled: CompiledModel | None = None
+        self.attached = None
+        self._header: ModelHeader | None = None
         self._explainers: dict = {}
+        self._blocks: dict = {}
 
     # ---- loading (A1, A2) ----
     @classmethod
-    def load(cls, spark: SparkSession, path: str, model_id: str | None = None) -> "Model":
+    def load(cls, spark: SparkSession, path: str, model_id: str | None = None, sidecar: str | None = None) -> "Model":
+        """A1: the model of a document file; ``sidecar`` names a sidecar file (or folder) to attach."""
         tables = load_models(spark, path)
         if model_id is None:
             ids = [r["model_id"] for r in tables.models.select("model_id").collect()]
@@ -79,62 +61,86 @@ class Model:
                     raise ValueError(f"cannot load model from {path}: {rej[0]['reason']}")
                 raise ValueError(f"{path} holds {len(ids)} models; pass model_id")
             model_id = ids[0]
-        return cls(tables, model_id)
+        return cls(tables, model_id)._with_sidecar(spark, sidecar)
 
     @classmethod
-    def from_text(cls, spark: SparkSession, text: str, model_id: str = "model") -> "Model":
-        return cls(load_model_texts(spark, {model_id: text}), model_id)
+    def from_text(cls, spark: SparkSession, text: str, model_id: str = "model", sidecar: str | None = None) -> "Model":
+        return cls(load_model_texts(spark, {model_id: text}), model_id)._with_sidecar(spark, sidecar)
+
+    def _with_sidecar(self, spark: SparkSession, path: str | None) -> "Model":
+        if path is not None:
+            from ..sources.sidecar import SUFFIX, read_sidecars
+
+            sidecars = read_sidecars(spark, path, glob="*" if path.endswith(SUFFIX) else "*" + SUFFIX)
+            ids = [r["model_id"] for r in sidecars.headers.select("model_id").collect()]
+            if not ids:
+                bad = sidecars.rejected.first()
+                raise ValueError(f"no sidecar in {path}" + (f": {bad['reason']}" if bad else ""))
+            self.attach(sidecars, ids[0] if len(ids) == 1 else self.model_id)
+        return self
+
+    def attach(self, sidecars, shap_id: str | None = None, feature_names: list[str] | None = None, class_names: list[str] | None = None) -> None:
+        """Explain by the sidecar ``shap_id`` from now on; it may be another model's."""
+        from ..operators.explain import sidecar_explainer
+
+        self.attached = sidecar_explainer(sidecars, self.tables, self.model_id, shap_id, feature_names, class_names)
 
     # ---- metadata (B) ----
     @property
-    def compiled(self) -> CompiledModel:
-        if self._compiled is None:
-            self._compiled = compile_model(self.tables, self.model_id)
-        return self._compiled
+    def header(self) -> ModelHeader:
+        if self._header is None:
+            self._header = model_header(self.tables, self.model_id)
+        return self._header
 
     def __repr__(self) -> str:
-        return f"<Model {self.model_id} {self.compiled.summary()}>"
+        return f"<Model {self.model_id} {self.header.summary()}>"
+
+    # ---- the dense step ----
+    def _own_walk(self, columns: list[int], raw: str | None, leaves: str | None, phis: dict) -> Walk:
+        """Raw scores, leaves and the model's own SHAP tables, over one set of blocks."""
+        h = self.header
+        key = (raw is not None, tuple(ex.shap_id for ex in phis.values()), C.BLOCK_VALUES)
+        if key not in self._blocks:
+            forest = forest_of(self.tables, h, [ex.shap for ex in phis.values()])
+            if raw is None:
+                forest.leaves = None
+            self._blocks[key] = forest.broadcast(C.BLOCK_VALUES)
+        return Walk(columns, h.dims, h.n_float, self._blocks[key], h.scale, h.bias, raw, leaves, list(phis), h.n_trees)
+
+    def _walks(self, columns: list[int], raw: str | None, leaves: str | None, phis: dict) -> list[Walk]:
+        own = {c: ex for c, ex in phis.items() if ex in self._explainers.values()}
+        walks = [self._own_walk(columns, raw, leaves, own)] if raw or leaves or own else []
+        return walks + [ex.walk(columns, c) for c, ex in phis.items() if c not in own]
+
+    def walk(
+        self,
+        df: DataFrame,
+        *,
+        raw: str | None = None,
+        leaves: str | None = None,
+        phis: dict | None = None,
+        keep: list[str] | None = None,
+        **inputs,
+    ) -> DataFrame:
+        """Any of raw scores, leaves and contributions, appended by one Python step.
+
+        ``raw`` and ``leaves`` name output columns; ``phis`` maps output columns
+        to explainers (or to what ``explainer`` takes). The leaf of each tree is
+        found once for all outputs that use the model's own trees.
+        """
+        explainers = {c: self.explainer(e) if e is None or isinstance(e, str) else e for c, e in (phis or {}).items()}
+        df = prune(df, self.header, keep, **inputs)
+        if explainers and raw is None and leaves is None and inputs.get("row_map") is not None:
+            inputs.setdefault("unknown_keys", "ignore")  # explain ignores names it does not know
+        assembled, vcols, (columns,) = assemble(df, [self.header], self.tables.target_stats, **inputs)
+        return walk_step(assembled, vcols, self._walks(columns, raw, leaves, explainers))
 
     # ---- scoring ----
     def _plan(self, plan: str) -> str:
-        """'auto' is the dense plan: one broadcast model, or tree chunks of it."""
         if plan not in ("auto", "dense", "relational"):
             raise ValueError("plan must be 'auto', 'dense' or 'relational'")
         return "dense" if plan == "auto" else plan
 
-    def _chunks(self) -> list[CompiledModel]:
-        """The model as one compiled piece, or as tree ranges that each fit the bound."""
-        try:
-            return [self.compiled]
-        except ModelTooLarge:
-            from dataclasses import replace
-
-            from .compiled import model_row, tree_chunks
-
-            row = model_row(self.tables, self.model_id)
-            parts = [compile_model(self.tables, self.model_id, trees=r) for r in tree_chunks(row)]
-            # the bias is added once, by the first chunk
-            return [parts[0]] + [replace(p, bias=np.zeros_like(p.bias)) for p in parts[1:]]
-
-    def _raw_dense(self, df: DataFrame, out_col: str, inputs: dict) -> DataFrame:
-        """Dense scoring; above the bound, one chained Arrow step per tree chunk, partial sums added.
-
-        Every broadcast stays under the bound, and there is still no shuffle.
-        """
-        parts = self._chunks()
-        if len(parts) == 1:
-            assembled, vcols = assemble(df, parts[0], self.tables.target_stats, **inputs)
-            return S.score_dense(assembled, parts[0], vcols, out_col)
-        out = df
-        for i, cm in enumerate(parts):
-            assembled, vcols = assemble(out, cm, self.tables.target_stats, **inputs)
-            out = S.score_dense(assembled, cm, vcols, f"__part{i}")
-        k = parts[0].dims
-        total = [F.col("__part0")[j] for j in range(k)]
-        for i in range(1, len(parts)):
-            total = [total[j] + F.col(f"__part{i}")[j] for j in range(k)]
-        return out.withColumn(out_col, F.array(*total)).drop(*[f"__part{i}" for i in range(len(parts))])
-
     def raw(
         self,
         df: DataFrame,
@@ -151,38 +157,27 @@ class Model:
         prunes the scan; by default every column of ``df`` is carried.
         """
         if self._plan(plan) == "dense":
-            df = prune(df, self._chunks()[0], keep, **inputs)
-            return self._raw_dense(df, out_col, inputs)
+            return self.walk(df, raw=out_col, keep=keep, **inputs)
         if not keys:
             raise ValueError("the relational plan needs unique key columns (keys=[...])")
         # Partition once; the scores come back grouped on the same keys, so the
         # join below is co-partitioned and needs no further exchange.
-        splits = model_sizes(self.tables, [self.model_id])["splits"]
-        rows = S.partition_by_keys(df if keep is None else df.select(*dict.fromkeys(keep + keys + [
-            c for c in df.columns if c in set(self._input_names(inputs))])), keys, splits)
+        if keep is not None:
+            df = prune(df, self.header, [*keys, *keep], **inputs)
+        rows = S.partition_by_keys(df, keys, self.header.n_trees * max(1, self.header.max_depth))
         long = score_many(rows, self.tables, [self.model_id], keys, partitioned=True, **inputs)
         nested = long.groupBy(*keys).agg(
             F.transform(F.array_sort(F.collect_list(F.struct("class_idx", "raw"))), lambda s: s["raw"]).alias(out_col)
         )
         return S.join_on_keys(rows, nested, keys, "inner")
 
-    def _input_names(self, inputs: dict) -> list[str]:
-        if inputs.get("features") is not None:
-            return [inputs["features"]] + ([inputs["cat_features"]] if inputs.get("cat_features") else [])
-        if inputs.get("row_map") is not None:
-            return [inputs["row_map"]]
-        names = self.tables.features.filter(F.col("model_id") == self.model_id).select("name").collect()
-        return [r["name"] for r in names]
-
     def raw_long(self, df: DataFrame, *, keys: list[str], null_mode: str = "zero", nan_mode: str = "min", **inputs) -> DataFrame:
         """D2 through the relational plan P4: (model_id, keys..., class_idx, raw)."""
         return score_many(df, self.tables, [self.model_id], keys, null_mode=null_mode, nan_mode=nan_mode, **inputs)
 
     def leaf_index(self, df: DataFrame, out_col: str = "leaves", keep: list[str] | None = None, **inputs) -> DataFrame:
         """Append the leaf reached in each tree as ``out_col ARRAY<INT>``."""
-        df = prune(df, self.compiled, keep, **inputs)
-        assembled, vcols = assemble(df, self.compiled, self.tables.target_stats, **inputs)
-        return S.leaf_index_dense(assembled, self.compiled, vcols, out_col)
+        return self.walk(df, leaves=out_col, keep=keep, **inputs)
 
     def predict(
         self,
@@ -197,18 +192,10 @@ class Model:
     ) -> DataFrame:
         """One of the seven prediction types as ``out_col ARRAY<DOUBLE>``."""
         ptype = links.resolve_prediction_type(prediction_type)
-        cm = self._chunks()[0] if self._plan(plan) == "dense" else None
-        dims, loss = self._dims_loss(cm)
-        link = links.apply_link(F.col("__raw"), ptype, dims, loss)  # plan-time type check
+        link = links.apply_link(F.col("__raw"), ptype, self.header.dims, self.header.loss_function)  # plan-time type check
         scored = self.raw(df, plan=plan, keys=keys, out_col="__raw", keep=keep, **inputs)
         return scored.withColumn(out_col, link).drop("__raw")
 
-    def _dims_loss(self, cm: CompiledModel | None) -> tuple[int, str | None]:
-        if cm is not None:
-            return cm.dims, cm.loss_function
-        row = self.tables.models.filter(F.col("model_id") == self.model_id).select("dims", "loss_function").first()
-        return row["dims"], row["loss_function"]
-
     def predict_proba(self, df: DataFrame, **kw) -> DataFrame:
         """Probabilities (sigmoid for one dimension, softmax otherwise)."""
         _reject_type("predict_proba", "probability", kw)
@@ -221,33 +208,37 @@ class Model:
 
     # ---- explanation (E) ----
     def explainer(self, quantize: str | None = None):
-        """The SHAP table and bias row for this model.
+        """The attached explainer, or the model's own SHAP table and bias row.
 
-        ``quantize='float16'`` rounds the table as the compact sidecar stores
-        it (and the bias row through float32).
+        ``None``: what is attached, else the exact table. ``'exact'`` always
+        takes the model's own table, ``'float16'`` rounds it as the compact
+        sidecar stores it (and the bias row through float32).
         """
         from ..operators.explain import Explainer
         from ..operators.treeshap import bias_row, quantize_float16, shap_table
 
+        if quantize is None and self.attached is not None:
+            return self.attached
         key = quantize or "exact"
         if key not in self._explainers:
-            if quantize not in (None, "float16"):
-                raise ValueError("quantize must be None or 'float16'")
-            cm = self._chunks()[0]  # names, classes and dims (whole model, or its first chunk)
-            if cm.n_cat:
+            if key not in ("exact", "float16"):
+                raise ValueError("quantize must be None, 'exact' or 'float16'")
+            if self.header.n_cat:
                 raise ValueError(
-                    f"only models without categorical features can be explained; this one has {cm.n_cat}"
+                    f"only models without categorical features can be explained; this one has {self.header.n_cat}"
                 )
             one = self.tables.only(self.model_id)
             shap = shap_table(one)
-            if quantize == "float16":
+            if key == "float16":
                 shap = quantize_float16(shap)
             shap = durable(shap)
             rows = sorted(bias_row(one).collect(), key=lambda r: r["class_idx"])
             bias = [r["bias"] for r in rows]
-            if quantize == "float16":
+            if key == "float16":
                 bias = [float(np.float32(b)) for b in bias]
-            self._explainers[key] = Explainer(cm, shap, bias)
+            forest = forest_of(self.tables, self.header, [shap])
+            forest.leaves = None
+            self._explainers[key] = Explainer(self.header, forest, bias, f"{self.model_id}:{key}")
         return self._explainers[key]
 
     def explain(
@@ -258,60 +249,32 @@ class Model:
         keys: list[str] | None = None,
         quantize: str | None = None,
         out_col: str = "phi",
+        raw_col: str | None = None,
         keep: list[str] | None = None,
         **inputs,
     ) -> DataFrame:
-        """Append ``phi`` (K x F) and the nested, ranked ``explanation``."""
+        """Append ``phi`` (K x F) and the nested, ranked ``explanation``; with ``raw_col`` the raw scores too."""
         from ..operators import explain as X
 
         ex = self.explainer(quantize)
-        df = prune(df, ex.model, keep, **inputs)
-        if inputs.get("row_map") is not None:
-            inputs.setdefault("unknown_keys", "ignore")  # explain ignores names it does not know
         if plan == "dense":
-            parts = self._explain_parts(ex)
-            if len(parts) == 1:
-                out = X.phi_dense(df, parts[0], out_col, **inputs)
-            else:
-                # One chained Arrow step per tree chunk; contributions add up.
-                out = df
-                for i, part in enumerate(parts):
-                    out = X.phi_dense(out, part, f"__phi{i}", **inputs)
-                k, n_f = ex.model.dims, len(ex.feature_names)
-                total = [[F.col("__phi0")[c][f] for f in range(n_f)] for c in range(k)]
-                for i in range(1, len(parts)):
-                    total = [[total[c][f] + F.col(f"__phi{i}")[c][f] for f in range(n_f)] for c in range(k)]
-                out = out.withColumn(out_col, F.array(*[F.array(*row) for row in total])).drop(
-                    *[f"__phi{i}" for i in range(len(parts))]
-                )
+            out = self.walk(df, raw=raw_col, phis={out_col: ex}, keep=keep, **inputs)
         elif plan == "relational":
             if not keys:
                 raise ValueError("the relational plan needs unique key columns (keys=[...])")
-            out = X.phi_relational(df, ex, self.tables.splits, keys, out_col, **inputs)
+            if raw_col is not None:
+                raise ValueError("raw_col needs plan='dense'")
+            df = prune(df, self.header, keep if keep is None else [*keys, *keep], **inputs)
+            if inputs.get("row_map") is not None:
+                inputs.setdefault("unknown_keys", "ignore")
+            out = X.phi_relational(df, ex, keys, out_col, **inputs)
         else:
             raise ValueError("plan must be 'dense' or 'relational'")
         return out.withColumn("explanation", X.explanation(F.col(out_col), ex))
 
-    def _explain_parts(self, ex) -> list:
-        """The explainer whole, or per tree chunk when its SHAP table is above the bound."""
-        from ..operators.explain import Explainer
-        from . import compiled as C
-
-        row = C.model_row(self.tables, self.model_id)
-        depth = max(1, row["max_depth"])
-        per_tree = (1 << row["max_depth"]) * depth * row["dims"]
-        if row["n_trees"] * per_tree <= C.MAX_DENSE_VALUES and len(self._chunks()) == 1:
-            return [ex]
-        parts = []
-        for a, b in C.tree_chunks(row, C.MAX_DENSE_VALUES // depth):
-            cm = compile_model(self.tables, self.model_id, trees=(a, b))
-            shap = ex.shap.filter((F.col("model_id") == ex.shap_id) & (F.col("tree") >= a) & (F.col("tree") < b))
-            parts.append(Explainer(cm, shap.withColumn("tree", F.col("tree") - a), ex.bias, shap_id=ex.shap_id))
-        return parts
-
     def has_explainer(self) -> bool:
-        """A SHAP table can be built (float-only model)."""
-        return self.compiled.n_cat == 0
+        """A SHAP table is there, attached or built."""
+        return self.attached is not None or bool(self._explainers)
 
     # ---- SQL surface (D14) ----
     def register_udf(
@@ -331,15 +294,16 @@ class Model:
         """
         if null_mode not in NULL_MODES or nan_mode not in NAN_MODES:
             raise ValueError(f"null_mode must be one of {NULL_MODES}, nan_mode one of {NAN_MODES}")
-        cm = self.compiled
+        h = self.header
         ptype = links.resolve_prediction_type(prediction_type)
-        links.apply_link(F.col("x"), ptype, cm.dims, cm.loss_function)  # validate now
-        bc = spark.sparkContext.broadcast((cm.payload(), cm.virtual, _stat_dicts(self.tables, cm)))
-        n_float, loss = cm.n_float, cm.loss_function
+        links.apply_link(F.col("x"), ptype, h.dims, h.loss_function)  # validate now
+        stats_bc = spark.sparkContext.broadcast(_stat_tables(self.tables, h))
+        walk = self._own_walk(list(range(len(h.virtual))), "raw", None, {})
+        virtual, n_float, loss = h.virtual, h.n_float, h.loss_function
 
         @F.arrow_udf(T.ArrayType(T.DoubleType()))
         def score_udf(*cols: pa.Array) -> pa.Array:
-            payload, virtual, stats = bc.value
+            stats = stats_bc.value
             n = len(cols[0]) if cols else 0
             floats = [_arrow_floats(c, null_mode, nan_mode) for c in cols[:n_float]]
             cats = [_arrow_cats(c, null_mode) for c in cols[n_float:]]
@@ -350,9 +314,9 @@ class Model:
                 elif v[0] == "onehot":
                     x[:, i] = cats[v[1]] == v[2]
                 else:
-                    table, prior = stats[v[1]]
-                    x[:, i] = cats[v[2]].map(table).fillna(prior).to_numpy(np.float32)
-            return pa.array(list(numpy_link(S.raw_scores(x, payload), ptype, loss=loss)), pa.list_(pa.float64()))
+                    keys, values, prior = stats[v[1]]
+                    x[:, i] = _sorted_lookup(cats[v[2]], keys, values, prior)
+            return list_column(numpy_link(run_walk(walk, x)[0], ptype, loss=loss))
 
         name = name or f"score_{self.model_id}"
         spark.udf.register(name, score_udf)
@@ -388,16 +352,31 @@ def _reject_type(method: str, locked: str, kw: dict) -> None:
         )
 
 
-def _stat_dicts(tables: ModelTables, cm: CompiledModel) -> dict:
-    if not cm.stat_priors:
-        return {}
-    rows = tables.target_stats.filter(F.col("model_id") == cm.model_id).select("stat_id", "key", "value").collect()
-    out: dict[int, tuple[dict, float]] = {sid: ({}, prior) for sid, prior in cm.stat_priors.items()}
-    for r in rows:
-        out[r["stat_id"]][0][r["key"]] = r["value"]
+def _stat_tables(tables: ModelTables, header: ModelHeader) -> dict:
+    """Target statistics for the SQL function: sorted keys and values as Arrow and NumPy arrays.
+
+    A function has no join to fall back on, so a statistic above the broadcast
+    bound is refused here; the DataFrame surface takes any size.
+    """
+    from ..functions.features import BROADCAST_STATS
+
+    out = {}
+    for sid, prior in header.stat_priors.items():
+        if header.stat_sizes.get(sid, 0) > BROADCAST_STATS:
+            raise ValueError(f"statistic {sid} of {header.model_id!r} is too large for a SQL function; score the DataFrame instead")
+        mine = (F.col("model_id") == header.model_id) & (F.col("stat_id") == sid) & F.col("key").isNotNull()
+        got = tables.target_stats.filter(mine).select("key", "value").toArrow().sort_by("key")
+        out[sid] = (np.array(got.column("key").to_pylist(), dtype=object), got.column("value").to_numpy(), prior)
     return out
 
 
+def _sorted_lookup(cats: pd.Series, keys: np.ndarray, values: np.ndarray, prior: float) -> np.ndarray:
+    found = pd.Index(keys).get_indexer(cats.to_numpy(dtype=object))
+    if not len(values):
+        return np.full(len(cats), prior, dtype=np.float32)
+    return np.where(found >= 0, values[found], prior).astype(np.float32)
+
+
 def numpy_link(raw: np.ndarray, ptype: str, loss: str | None = None) -> np.ndarray:
     """The link functions for the UDF path (same rules as ``links.apply_link``)."""
     k = raw.shape[1]
@@ -424,22 +403,32 @@ def numpy_link(raw: np.ndarray, ptype: str, loss: str | None = None) -> np.ndarr
     raise ValueError(ptype)
 
 
-def score_many_dense(df: DataFrame, tables: ModelTables, model_ids: list[str], keys: list[str], **inputs) -> DataFrame:
-    """D13, dense: one Arrow scorer per model, chained over the same rows.
+def raw_many(df: DataFrame, tables: ModelTables, model_ids: list[str], keys: list[str], **inputs) -> DataFrame:
+    """D13, dense: all models in one Arrow step over shared features: (model_id, keys..., raw ARRAY<DOUBLE>).
 
-    Output ``(model_id, keys..., class_idx, raw)`` like ``score_many``, with no
-    shuffle at all; each model's broadcast is checked at compile time.
+    No shuffle at all; only the keys and the models' inputs are carried.
     """
-    out = df.select(*dict.fromkeys(keys + [c for c in df.columns if c not in keys]))
-    cols = []
-    for i, mid in enumerate(model_ids):
-        m = Model(tables, mid)
-        out = m.raw(out, out_col=f"__raw{i}", **inputs)
-        cols.append(F.struct(F.lit(mid).alias("model_id"), F.col(f"__raw{i}").alias("raw")))
-    per_model = out.select(*keys, F.explode(F.array(*cols)).alias("__m"))
-    return per_model.select(
-        F.col("__m.model_id").alias("model_id"), *keys, F.posexplode("__m.raw").alias("class_idx", "raw")
-    ).withColumn("class_idx", F.col("class_idx").cast("int"))
+    models = [Model(tables, mid) for mid in model_ids]
+    assembled, vcols, places = assemble(df, [m.header for m in models], tables.target_stats, **inputs)
+    rows = assembled.select(*dict.fromkeys([*keys, *vcols]))
+    walks = [m._own_walk(columns, f"__raw{i}", None, {}) for i, (m, columns) in enumerate(zip(models, places))]
+    scored = walk_step(rows, vcols, walks)
+    cols = [F.struct(F.lit(mid).alias("model_id"), F.col(f"__raw{i}").alias("raw")) for i, mid in enumerate(model_ids)]
+    return scored.select(*keys, F.explode(F.array(*cols)).alias("__m")).select("__m.model_id", *keys, "__m.raw")
+
+
+def score_many_dense(df: DataFrame, tables: ModelTables, model_ids: list[str], keys: list[str], **inputs) -> DataFrame:
+    """``raw_many`` in the long form of ``score_many``: (model_id, keys..., class_idx, raw)."""
+    long = raw_many(df, tables, model_ids, keys, **inputs).select("model_id", *keys, F.posexplode("raw").alias("class_idx", "raw"))
+    return long.withColumn("class_idx", F.col("class_idx").cast("int"))
+
+
+def _tree_ranges(headers: list[ModelHeader]) -> list[tuple[int, int]]:
+    """Ranges of tree numbers whose leaf values, over all models, fit one broadcast."""
+    per_tree = sum((1 << h.max_depth) * h.dims for h in headers)
+    n = max(h.n_trees for h in headers)
+    step = max(1, C.BLOCK_VALUES // max(1, per_tree))
+    return [(s, min(s + step, n)) for s in range(0, n, step)]
 
 
 def score_many(
@@ -460,78 +449,45 @@ def score_many(
     """D13 + P4: several models over the same rows, in long form.
 
     Output ``(model_id, keys..., class_idx, raw)``. Rows are hash-partitioned
-    on ``keys`` once, up front; the per-(row, tree) and per-(row, class)
-    aggregates then run inside those partitions without another exchange.
-    The model tables are broadcast only when their total size is under the
-    dense bound; otherwise Spark picks the join.
+    on ``keys`` once, up front, and checked there for repeated keys; the
+    per-(row, tree) and per-(row, class) aggregates then run inside those
+    partitions without another exchange. The model tables are broadcast range
+    of trees by range of trees, each within ``BLOCK_VALUES``; with more than one
+    range their sums are added by one more aggregate.
     """
-    sizes = model_sizes(tables, model_ids)
-    bound = max(sizes["values"], sizes["stats"])
-    if bound > MAX_DENSE_VALUES:
-        # Joining on the feature slot without a broadcast would shuffle on a key
-        # with a handful of values (a hot key per feature): refuse instead.
-        raise ValueError(
-            f"model tables of {model_ids} hold {bound} rows, above the broadcast bound {MAX_DENSE_VALUES}; "
-            "use plan='dense', which scores such models in tree chunks"
-        )
-    rows = df if partitioned else S.partition_by_keys(df, keys, sizes["splits"], partitions)
+    headers = [model_header(tables, mid) for mid in model_ids]
+    expansion = sum(h.n_trees * max(1, h.max_depth) for h in headers)
+    rows = df if partitioned else S.partition_by_keys(df, keys, expansion, partitions)
+    rows = rows.withColumn("__unique", S.unique_keys(rows, keys))
     inputs = []
-    metas = _light_metas(tables, model_ids)
-    for mid in model_ids:
-        meta = metas[mid]
+    for h in headers:
         fsrc, csrc, labels = source_columns(
-            rows, meta, features=features, cat_features=cat_features, row_map=row_map, strict=strict
+            rows.drop("__unique"), h, features=features, cat_features=cat_features, row_map=row_map, strict=strict
         )
         fl = [_float_input(c, labels[i], null_mode, nan_mode) for i, c in enumerate(fsrc)]
         cl = [_cat_input(c, null_mode, labels[len(fsrc) + j]) for j, c in enumerate(csrc)]
-        guard_inputs(row_checks(meta, features, cat_features, row_map), fl, cl)
+        guard_inputs([*row_checks(h, features, cat_features, row_map), F.col("__unique")], fl, cl)
         stat_cols = []
-        for sid, cat_index, prior in meta.stats:
-            # One broadcast lookup per input row and statistic (not per split).
-            key_col, val_col = f"__k_{mid}_{sid}", f"__s_{mid}_{sid}"
-            table = tables.target_stats.filter((F.col("model_id") == mid) & (F.col("stat_id") == sid)).select(
-                F.col("key").alias(key_col), F.col("value").alias(val_col)
-            )
-            cat_col = f"__c_{mid}_{sid}"
-            rows = rows.withColumn(cat_col, cl[cat_index])
-            rows = rows.join(checked_broadcast(table, bound), F.col(cat_col) == F.col(key_col), "left").drop(key_col, cat_col)
-            stat_cols.append((sid, F.coalesce(F.col(val_col), F.lit(prior))))
+        for _, sid, cat_index in (v for v in h.virtual if v[0] == "stat"):
+            # One lookup per input row and statistic (not per split).
+            val_col, cat_col = f"__s_{h.model_id}_{sid}", f"__c_{h.model_id}_{sid}"
+            table = tables.target_stats.filter((F.col("model_id") == h.model_id) & (F.col("stat_id") == sid) & F.col("key").isNotNull())
+            rows = lookup_stat(rows.withColumn(cat_col, cl[cat_index]), cat_col, table, h.stat_sizes.get(sid, 0), val_col, h.stat_priors[sid])
+            rows = rows.drop(cat_col)
+            stat_cols.append((sid, F.col(val_col)))
         inputs.append((fl, cl, stat_cols))
     long = S.unpivot_inputs(rows, keys, inputs)
-    sel = F.col("model_id").isin(model_ids)
-    splits = checked_broadcast(S.with_stumps(tables, model_ids), bound)
-    leaf_rows = S.leaf_index_relational(long, keys, splits, model_ids)
-    leaves = checked_broadcast(tables.leaves.filter(sel), bound)
-    return S.raw_relational(leaf_rows, keys, leaves, tables.models, model_ids)
-
-
-class _Meta:
-    """Feature names of a model without collecting its trees."""
-
-    def __init__(self, model_id: str, float_names: list[str], cat_names: list[str], stats: list[tuple[int, int, float]]):
-        self.model_id = model_id
-        self.stats = stats
-        self.float_names = float_names
-        self.cat_names = cat_names
-        self.n_float = len(float_names)
-        self.n_cat = len(cat_names)
-
-
-def _light_metas(tables: ModelTables, model_ids: list[str]) -> dict[str, _Meta]:
-    """Feature names and target statistics of several models, in two small jobs."""
-    sel = F.col("model_id").isin(model_ids)
-    feats = tables.features.filter(sel).select("model_id", "name", "kind", "kind_index").collect()
-    stats = (
-        tables.target_stats.filter(sel)
-        .groupBy("model_id", "stat_id", "cat_index")
-        .agg(F.first("prior_value").alias("prior"))
-        .collect()
-    )
-    out = {}
-    for mid in model_ids:
-        rows = [r for r in feats if r["model_id"] == mid]
-        fl = [r["name"] for r in sorted((r for r in rows if r["kind"] == "float"), key=lambda r: r["kind_index"])]
-        cl = [r["name"] for r in sorted((r for r in rows if r["kind"] == "cat"), key=lambda r: r["kind_index"])]
-        st = sorted((r["stat_id"], r["cat_index"], r["prior"]) for r in stats if r["model_id"] == mid)
-        out[mid] = _Meta(mid, fl, cl, st)
-    return out
+    depth = max(h.max_depth for h in headers)
+    splits, leaves = S.with_stumps(tables, model_ids), tables.leaves.filter(F.col("model_id").isin(model_ids))
+    parts = []
+    for start, end in _tree_ranges(headers):
+        S.check_keys(len(headers), end - start, depth)
+        some = (F.col("tree") >= start) & (F.col("tree") < end)
+        leaf_rows = S.leaf_index_relational(long, keys, F.broadcast(splits.filter(some)), model_ids)
+        parts.append(S.leaf_sums(leaf_rows, keys, F.broadcast(leaves.filter(some)), model_ids, depth, start))
+    sums = parts[0]
+    if len(parts) > 1:
+        for p in parts[1:]:
+            sums = sums.unionByName(p)
+        sums = sums.groupBy("model_idx", *keys, "class_idx").agg(F.sum("s").alias("s"))
+    return S.raw_relational(sums, keys, tables.models, model_ids)

@@ -365,19 +365,27 @@ def _decoded_tables(files: DataFrame) -> SidecarTables:
     return SidecarTables(headers, splits, shap, rejected)
 
 
-def compatibility(sidecars: SidecarTables, tables: ModelTables) -> DataFrame:
-    """(model_id, compatible, reason) for each sidecar paired with its model by id."""
+def compatibility(sidecars: SidecarTables, tables: ModelTables, attachments: DataFrame | None = None) -> DataFrame:
+    """(model_id, shap_id, compatible, reason) for each model paired with a sidecar.
+
+    ``attachments`` (model_id, shap_id) says which model is explained by which
+    sidecar, any number of models by one; by default each sidecar goes with the
+    model of its own id.
+    """
+    heads = sidecars.headers.select(F.col("model_id").alias("shap_id"), "n_features", "n_classes")
+    pairs = heads.select(F.col("shap_id").alias("model_id"), "shap_id") if attachments is None else attachments.select("model_id", "shap_id")
     m = tables.models.select("model_id", "n_float", "n_cat", "dims")
-    j = sidecars.headers.join(m, "model_id", "left")
+    j = pairs.join(heads, "shap_id", "left").join(m, "model_id", "left")
     reason = F.coalesce(
         F.when(F.col("dims").isNull(), F.lit("NO_MODEL")),
+        F.when(F.col("n_features").isNull(), F.lit("NO_SIDECAR")),
         F.when(F.col("n_cat") > 0, F.lit("CATEGORICAL_MODEL")),
         *[
             F.when(F.col(got) != F.col(want), F.format_string(f"{code}: %d in the sidecar, %d in the model", got, want))
             for code, got, want in (("FEATURES", "n_features", "n_float"), ("CLASSES", "n_classes", "dims"))
         ],
     )
-    return j.select("model_id", reason.isNull().alias("compatible"), reason.alias("reason"))
+    return j.select("model_id", "shap_id", reason.isNull().alias("compatible"), reason.alias("reason"))
 
 
 def write_shap_parquet(shap: DataFrame, out_dir: str) -> None:

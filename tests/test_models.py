@@ -26,7 +26,7 @@ def test_load_from_path(spark):
     t = load_models(spark, [model_path("m4"), model_path("m5")])
     assert sorted(r["model_id"] for r in t.models.collect()) == ["m4", "m5"]
     m = Model.load(spark, model_path("m4"))
-    assert m.compiled.summary() == "trees=20 floats=2 cats=0 dim=1"
+    assert m.header.summary() == "trees=20 floats=2 cats=0 dim=1"
 
 
 def test_rejects_bad_documents(spark):

@@ -46,4 +46,10 @@ def test_first_n_per_bucket_limits_before_shuffle(spark):
 
 def test_many_models_dense_has_no_shuffle(spark):
     text = plan(E.q_score_many_models_dense(spark, SF))
-    assert hash_shuffles(text) == 0 and text.count("MapInArrow") == 2
+    assert hash_shuffles(text) == 0 and text.count("MapInArrow") == 1
+
+
+def test_raw_and_contributions_come_from_one_step(spark):
+    for q in (E.q_shap_additivity, E.q_quantized_drift, E.q_type_difference, E.q_top_class_label):
+        text = plan(q(spark, SF))
+        assert hash_shuffles(text) == 0 and text.count("MapInArrow") == 1

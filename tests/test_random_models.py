@@ -72,6 +72,6 @@ def test_random_models(spark):
         for r in ex:
             for c, e in enumerate(r["explanation"]):
                 assert abs(e["raw"] - dense[r["k"]][c]) < 1e-9
-        rel = X.phi_relational(df, m.explainer(), tables.splits, ["k"]).select("k", "phi").collect()
+        rel = X.phi_relational(df, m.explainer(), ["k"]).select("k", "phi").collect()
         dense_phi = {r["k"]: r["phi"] for r in m.explain(df).select("k", "phi").collect()}
         assert all(np.allclose(r["phi"], dense_phi[r["k"]], atol=1e-12) for r in rel)

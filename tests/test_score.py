@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import walk
+from helpers import doc, walk
 from sylva import catalog
 from sylva.functions import links
 from sylva.plans.model import score_many
@@ -50,10 +50,9 @@ def test_relational_equals_dense(spark, orders, tables):
 def test_strict_border_and_float32(spark):
     """X equal to a float32 border goes left; doubles are narrowed first."""
     m = catalog.model(spark, "m4")
-    cm = m.compiled
-    t0 = cm.border[0]
-    f0 = int(cm.feat[0, 0])
-    b = float(t0[0])
+    first = doc("m4")["oblivious_trees"][0]["splits"][0]
+    f0 = first["float_feature_index"]
+    b = float(np.float32(first["border"]))
     vals = [b, float(np.nextafter(np.float32(b), np.float32(np.inf))), b + 1e-9]
     rows = []
     for i, v in enumerate(vals):
@@ -204,33 +203,129 @@ def test_explain_map_ignores_unknown_keys(spark):
         m.raw(mapped, row_map="r").collect()
 
 
-def test_batches_are_chunked(spark):
-    """Row chunking inside a batch gives the same scores as one pass."""
-    from sylva.operators import score as S
+def test_batches_are_taken_in_pieces(spark, orders, monkeypatch):
+    """Row pieces inside a batch give the same scores as one pass, whatever the budgets."""
+    from sylva.operators import kernel as K
+
+    m = catalog.model(spark, "m1")
+    walk = m._own_walk(list(range(4)), "raw", "leaves", {})
+    x = np.random.default_rng(0).uniform(-1000, 500000, size=(2000, 4)).astype(np.float32)
+    whole = K.run_walk(walk, x)
+    monkeypatch.setattr(K, "INDEX_BUDGET", 5000)  # two trees at a time
+    for got, want in zip(K.run_walk(walk, x), whole):
+        assert np.array_equal(got, want)
+    assert np.array_equal(np.vstack([K.run_walk(walk, x[i : i + 7])[0] for i in range(0, 2000, 7)]), whole[0])
+
+
+def _bits(values):
+    return {k: np.asarray(v, dtype=np.float64).tobytes() for k, v in values.items()}
+
+
+@pytest.mark.parametrize("mid", ["m1", "m2"])
+def test_scores_do_not_depend_on_the_block_size(spark, orders, tables, monkeypatch, mid):
+    """Bits equal with 16M and with 64 values a block, on every surface; inexact leaf values."""
+    import json
+
+    from sylva.plans import compiled as C
+    from sylva.plans.model import Model, score_many_dense
+    from sylva.sources.model_docs import load_model_texts
+
+    d = json.loads(json.dumps(doc(mid)))
+    d["oblivious_trees"] = d["oblivious_trees"][:9]
+    rng = np.random.default_rng(7)
+    for tree in d["oblivious_trees"]:
+        tree["leaf_values"] = [v * float(rng.uniform(0.9, 1.1)) for v in tree["leaf_values"]]
+    texts = load_model_texts(spark, {mid: json.dumps(d)}).cache()
+    names = [f["feature_id"] for kind in ("float_features", "categorical_features") for f in d["features_info"].get(kind) or []]
+
+    def surfaces():
+        m = Model(texts, mid)
+        out = {"raw": _bits(_rows(m.raw(orders), "o_orderkey", "raw")), "leaves": _bits(_rows(m.leaf_index(orders), "o_orderkey", "leaves"))}
+        name = m.register_udf(spark, f"blocks_{mid}")
+        orders.createOrReplaceTempView("block_orders")
+        out["sql"] = _bits(_rows(spark.sql(f"SELECT o_orderkey, {name}({', '.join(names)}) AS r FROM block_orders"), "o_orderkey", "r"))
+        many = score_many_dense(orders, texts, [mid], ["o_orderkey"]).groupBy("o_orderkey").agg(F.array_sort(F.collect_list("raw")).alias("r"))
+        out["many"] = _bits(_rows(many, "o_orderkey", "r"))
+        if not m.header.n_cat:
+            ex = m.explain(orders, raw_col="raw").cache()
+            out["phi"], out["with raw"] = _bits(_rows(ex, "o_orderkey", "phi")), _bits(_rows(ex, "o_orderkey", "raw"))
+            assert out["with raw"] == out["raw"]
+            out["float16"] = _bits(_rows(m.explain(orders, quantize="float16"), "o_orderkey", "phi"))
+        relational = _rows(m.raw(orders, plan="relational", keys=["o_orderkey"]), "o_orderkey", "raw")
+        return out, relational
+
+    big, rel_big = surfaces()
+    monkeypatch.setattr(C, "BLOCK_VALUES", 64)  # one to four trees a block
+    small, rel_small = surfaces()
+    assert big == small and big["raw"] == big["sql"]
+    assert rel_big.keys() == rel_small.keys()  # sums of a shuffle come in any order
+    assert all(np.allclose(rel_big[k], rel_small[k], rtol=0, atol=1e-12) for k in rel_big)
+
+
+def test_blocks_are_let_go_one_after_another(spark, tables, monkeypatch):
+    from sylva.operators import kernel as K
+    from sylva.plans import compiled as C
+    from sylva.plans.model import Model
+
+    monkeypatch.setattr(C, "BLOCK_VALUES", 200)
+    walk = Model(tables, "m1")._own_walk(list(range(4)), "raw", None, {})
+    assert len(walk.blocks) > 5
+    for block in K._blocks(walk):
+        assert block["leaves"].size <= 200 and sum("_value" in b.__dict__ for b in walk.blocks) <= 1
+    assert not any("_value" in b.__dict__ for b in walk.blocks)
 
-    cm = catalog.model(spark, "m1").compiled
-    payload = cm.payload()
-    rng = np.random.default_rng(0)
-    x = rng.uniform(-1000, 500000, size=(300000, len(cm.virtual))).astype(np.float32)
-    whole = S.raw_scores(x[:1000], payload)
-    chunked = S.raw_scores(x, payload)[:1000]
-    assert np.array_equal(whole, chunked)
 
+def test_wide_model_within_fixed_memory(spark):
+    """5,000 features: pieces keep rows x features x classes within the budget; one Python step."""
+    import json
 
-def test_large_model_is_scored_in_tree_chunks(spark, orders, tables, monkeypatch):
-    from sylva.plans import compiled
+    from sylva.operators import kernel as K
     from sylva.plans.model import Model
 
-    want = {
-        mid: _rows(catalog.model(spark, mid).raw(orders), "o_orderkey", "raw") for mid in ("m1", "m2")
-    }
-    monkeypatch.setattr(compiled, "MAX_DENSE_VALUES", 16 * 3 * 7)  # m1: 7 trees, m2: 21 trees per chunk
-    for mid in ("m1", "m2"):
-        m = Model(tables, mid)  # fresh handle: nothing compiled yet
-        assert len(m._chunks()) > 1
-        assert m._plan("auto") == "dense"
-        got = _rows(m.raw(orders), "o_orderkey", "raw")
-        assert got.keys() == want[mid].keys()
-        assert all(np.allclose(got[k], want[mid][k], rtol=0, atol=1e-12) for k in got)
-    probs = _rows(Model(tables, "m1").predict_proba(orders), "o_orderkey", "prediction")
-    assert all(abs(sum(v) - 1) < 1e-9 for v in probs.values())
+    n_f, k = 5000, 2
+    rng = np.random.default_rng(3)
+    trees = [
+        {
+            "splits": [{"float_feature_index": int(f), "border": 0.5} for f in rng.choice(n_f, 2, replace=False)],
+            "leaf_values": (rng.integers(-64, 64, 4 * k) / 64).tolist(),
+            "leaf_weights": [1.0, 2.0, 3.0, 4.0],
+        }
+        for _ in range(30)
+    ]
+    text = json.dumps({"features_info": {"float_features": [{"feature_id": f"w{i}"} for i in range(n_f)]}, "oblivious_trees": trees, "scale_and_bias": [1.0, [0.0] * k]})
+    m = Model.from_text(spark, text, "wide")
+    rows = spark.range(40).select("id", F.transform(F.sequence(F.lit(1), F.lit(n_f)), lambda i: (F.hash(i, "id") % 2).cast("float")).alias("x"))
+    out = m.walk(rows, raw="raw", phis={"phi": None}, features="x", keep=["id"])
+    walk = m._walks(list(range(n_f)), "raw", None, {"phi": m.explainer()})[0]
+    assert K.OUTPUT_BUDGET // walk.width() * n_f * k * 2 <= K.OUTPUT_BUDGET  # two copies of the accumulator
+    bias = m.explainer().bias
+    got = out.select("raw", F.transform("phi", lambda p: F.aggregate(p, F.lit(0.0), lambda a, v: a + v)).alias("s"), F.size(F.col("phi")[0]).alias("f")).collect()
+    assert len(got) == 40 and all(r["f"] == n_f and np.allclose(np.add(r["s"], bias), r["raw"], atol=1e-9) for r in got)
+    assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+
+
+def test_large_statistic_with_a_hot_category(spark):
+    """D12 above the broadcast bound: right for seen, frequent and unseen categories, no hot partition."""
+    from sylva.functions.features import lookup_stat
+
+    stats = spark.range(5000).select(F.concat(F.lit("k"), "id").alias("key"), (F.col("id") / 8).alias("value"))
+    bomb = spark.range(10).select(F.raise_error(F.lit("was run")).cast("string").alias("c"))
+    lookup_stat(bomb, "c", stats, 5000, "s", -1.0, bound=100)  # planning runs nothing
+    kind = F.when(F.col("id") % 2 == 0, "k7").when(F.col("id") % 3 == 0, "nobody").otherwise(F.concat(F.lit("k"), F.col("id") % 6000))
+    rows = spark.range(0, 60000, 1, 6).select("id", kind.alias("c"))
+    broadcast = lookup_stat(rows, "c", stats, 5000, "s", -1.0)
+    split = lookup_stat(rows, "c", stats, 5000, "s", -1.0, bound=100)
+    assert split.columns == broadcast.columns
+    assert sorted(map(tuple, split.collect())) == sorted(map(tuple, broadcast.collect()))
+    text = split._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in text
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "8"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        sizes = [r["n"] for r in lookup_stat(rows, "c", stats, 5000, "s", -1.0, bound=100).groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert len(sizes) == 8 and max(sizes) <= 2 * sorted(sizes)[4]

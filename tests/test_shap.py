@@ -120,17 +120,29 @@ def test_label_fallback_and_cat_guard(spark):
     with pytest.raises(ValueError, match="categorical"):
         catalog.model(spark, "m2").explainer()
     assert catalog.model(spark, "m2").has_explainer() is False
+    assert catalog.model(spark, "m4").has_explainer() is True  # its table was built above
 
 
-def test_large_explainer_runs_in_tree_chunks(spark, orders, tables, monkeypatch):
-    from sylva.plans import compiled
+def test_relational_explanation_in_ranges_of_trees(spark, orders, tables, monkeypatch):
+    from sylva.plans import compiled as C
     from sylva.plans.model import Model
 
     want = {r["o_orderkey"]: r["phi"] for r in catalog.model(spark, "m1").explain(orders).select("o_orderkey", "phi").collect()}
-    monkeypatch.setattr(compiled, "MAX_DENSE_VALUES", 16 * 4 * 3 * 9)  # 9 trees per SHAP chunk
-    m = Model(tables, "m1")
-    assert len(m._explain_parts(m.explainer())) > 1
-    got = m.explain(orders).select("o_orderkey", "phi", "explanation").collect()
+    monkeypatch.setattr(C, "BLOCK_VALUES", 16 * 4 * 3 * 9)  # 9 trees a range
+    got = Model(tables, "m1").explain(orders, plan="relational", keys=["o_orderkey"]).select("o_orderkey", "phi").collect()
     assert len(got) == len(want)
     for r in got:
         assert np.allclose(r["phi"], want[r["o_orderkey"]], atol=1e-12)
+
+
+def test_explainer_checks_its_names(spark):
+    from sylva.operators.explain import Explainer
+
+    ex = catalog.model(spark, "m1").explainer()
+    for bad in ({"feature_names": ["a"]}, {"class_names": ["x", "y"]}):
+        with pytest.raises(ValueError, match="where the table has"):
+            ex.named(ex.header, **bad)
+    with pytest.raises(ValueError, match="bias values"):
+        Explainer(ex.header, ex.forest, [0.0])
+    renamed = ex.named(ex.header, ["p", "q", "r", "s"], ["A", "B", "C"])
+    assert renamed.feature_names[3] == "s" and renamed.class_names == ["A", "B", "C"]
