@@ -467,8 +467,8 @@ def _oracles_explain() -> dict[str, str]:
 # ---------------------------------------------------------------------------
 
 
-def _sidecar_model(spark, model_id: str):
-    """Pack the model's SHAP table, write it under the checkpoint folder, read it back."""
+def _sidecar_model(spark, model_id: str, junk: bool = False):
+    """Pack the model's SHAP table, write it under the checkpoint folder (beside a file that is none), read it back."""
     import uuid
 
     from sylva.operators.treeshap import bias_row, shap_table
@@ -479,13 +479,10 @@ def _sidecar_model(spark, model_id: str):
     one = tables.only(model_id)
     out = checkpoint_dir(spark).rstrip("/") + f"/sylva-sidecars-{uuid.uuid4().hex}"
     packed = SC.pack_sidecars(one, shap_table(one), bias_row(one))
-    try:
-        target = SC.local_path(out)
-    except ValueError:  # shared folder on a non-POSIX file system: keep the bytes in a table
-        packed.write.parquet(out)
-        return SC.read_sidecar_table(spark.read.parquet(out))
-    SC.write_sidecar_files(packed, target).collect()
-    return SC.read_sidecars(spark, target)
+    if junk:
+        packed = packed.unionByName(spark.createDataFrame([("junk", bytearray(64), 64)], packed.schema))
+    SC.write_sidecar_files(packed, out)
+    return SC.read_sidecars(spark, out)
 
 
 def q_sidecar_explain(spark, sf):
@@ -509,8 +506,15 @@ def q_quantized_drift(spark, sf):
 def q_parity_report(spark, sf):
     from sylva.operators.checks import parity_report
 
-    dense = q_score_raw(spark, sf)
-    rel = q_score_raw_relational(spark, sf)
+    # Two independent plans over the same rows, with planted differences that the report has to tell apart.
+    k, c = F.col("o_orderkey"), F.col("class_idx")
+    dense = q_score_raw(spark, sf).where(k % 97 != 0).withColumn(
+        "raw",
+        F.when(k % 89 == 0, F.lit(None)).when(k % 83 == 0, F.lit(float("nan"))).when((k % 79 == 0) & (c == 1), F.col("raw") + 0.5).otherwise(F.col("raw")),
+    )
+    rel = q_score_raw_relational(spark, sf).where(k % 101 != 0).withColumn(
+        "raw", F.when((k % 89 == 0) & (c == 0), F.lit(None)).when((k % 83 == 0) & (c == 2), F.lit(float("nan"))).otherwise(F.col("raw"))
+    )
     return parity_report(dense, rel, ["o_orderkey", "class_idx"], "raw")
 
 
@@ -544,14 +548,190 @@ def q_type_difference(spark, sf):
 def q_contribution_checks(spark, sf):
     from sylva.operators.checks import contributions_well_formed
 
+    # Per class and leading feature (a tie at 9 places goes by the feature's index): rows, well-formed rows, range of the lead.
+    m = catalog.model(spark, "m1")
+    ex = m.explain(orders_rows(spark, sf), keep=["o_orderkey"]).select(F.posexplode("explanation").alias("class_idx", "e"))
+    lead = F.array_max(F.transform("e.contributions", lambda c: F.struct(F.round(F.abs(c["phi"]), 9).alias("by"), (-c["feature"]).alias("i"))))
+    names = F.array(*[F.lit(n) for n in M1_FLOATS])
+    return (
+        ex.select(F.col("class_idx").cast("int").alias("class_idx"), "e", lead.alias("lead"))
+        .groupBy("class_idx", F.element_at(names, 1 - F.col("lead.i")).alias("top_feature"))
+        .agg(
+            F.count("*").alias("n_rows"),
+            F.count_if(contributions_well_formed(F.col("e.contributions"), len(M1_FLOATS))).alias("n_well_formed"),
+            F.round(F.min("lead.by"), 6).alias("min_lead"),
+            F.round(F.max("lead.by"), 6).alias("max_lead"),
+        )
+    )
+
+
+def q_node_cover(spark, sf):
+    from sylva.operators.checks import node_visits
+    from sylva.operators.treeshap import node_cover
+
     m = catalog.model(spark, "m1")
-    ex = m.explain(orders_rows(spark, sf), keep=["o_orderkey"]).select(F.explode("explanation").alias("e"))
-    return ex.agg(
+    covers = node_cover(catalog.tables(spark).only("m1")).select("tree", "level", "node", F.round("cover", 6).alias("cover"))
+    return node_visits(m.leaf_index(orders_rows(spark, sf), keep=["o_orderkey"]), covers)
+
+
+# ---------------------------------------------------------------------------
+# Models and sidecars that do not fit, and what goes with a prediction (A, B, C, E14-E17)
+# ---------------------------------------------------------------------------
+
+
+def _doubtful_tables(spark):
+    """m1 and m2, and three documents that must be refused."""
+    import json
+
+    from sylva.fixtures import model_text
+    from sylva.sources.model_docs import load_model_texts
+
+    def made():
+        text = model_text("m1")
+        leaves = json.loads(text)
+        leaves["oblivious_trees"][3]["leaf_values"].pop()
+        bare = json.loads(model_text("m2"))
+        split = next(x for t in bare["oblivious_trees"] for x in t["splits"] if x.get("split_type") == "onehot")
+        del split["value"]
+        docs = {"m1": text, "m2": model_text("m2"), "cut": text[: len(text) // 2], "leaves": json.dumps(leaves), "bare": json.dumps(bare)}
+        return load_model_texts(spark, docs).cache()
+
+    return catalog.kept(spark, "doubtful", made)
+
+
+WANTED = ["m1", "m2", "cut", "leaves", "bare", "nobody", None]
+
+
+def q_scores_or_reasons(spark, sf):
+    from sylva.plans.model import score_wanted
+
+    rows = orders_rows(spark, sf).withColumn(
+        "wanted", F.get(F.array(*[F.lit(w) for w in WANTED]), (F.col("o_orderkey") % len(WANTED)).cast("int"))
+    )
+    out = score_wanted(rows, _doubtful_tables(spark), "wanted", keep=["o_orderkey"])
+    return out.select("o_orderkey", "wanted", "code", F.posexplode_outer("raw").alias("class_idx", "raw")).withColumn(
+        "class_idx", F.col("class_idx").cast("int")
+    )
+
+
+def q_map_quarantine(spark, sf):
+    from sylva.functions.features import map_quarantine
+
+    k = F.col("p_partkey")
+    entry = lambda name, value: F.struct(F.lit(name).alias("k"), value.cast("double").alias("v"))
+    entries = F.array(
+        entry("p_size", F.col("p_size")),
+        F.when(k % 5 != 0, entry("p_retailprice", F.col("p_retailprice"))),
+        F.when(k % 7 == 0, entry("colour", F.lit(1))),
+    )
+    rows = part_rows(spark, sf).select("p_partkey", F.map_from_entries(F.array_compact(entries)).alias("row"))
+    m = catalog.model(spark, "m4")
+    good, bad = map_quarantine(rows, "row", m.header, ["p_partkey"])
+    scored = m.raw(good, row_map="row").select("p_partkey", F.col("raw")[0].alias("raw"))
+    return scored.withColumns({"code": F.lit(None).cast("string"), "feature": F.lit(None).cast("string")}).unionByName(
+        bad.withColumn("raw", F.lit(None).cast("double"))
+    )
+
+
+def q_unseen_categories(spark, sf):
+    k = F.col("o_orderkey")
+    rows = orders_rows(spark, sf).withColumns(
+        {
+            "o_orderpriority": F.when(k % 3 == 0, F.concat(F.lit("no such "), "o_orderpriority")).when(k % 4 == 0, F.lit(None)).otherwise(F.col("o_orderpriority")),
+            "c_mktsegment": F.when(k % 5 == 0, F.lit("UNSEEN")).otherwise(F.col("c_mktsegment")),
+        }
+    )
+    return _long(catalog.model(spark, "m2").raw(rows, keep=["o_orderkey"]), "o_orderkey", "raw", "raw")
+
+
+def q_predictions_with_metadata(spark, sf):
+    from sylva.functions.links import argmax_class, class_label, output_dims
+    from sylva.operators.explain import explainable
+    from sylva.operators.metadata import class_names, feature_listing, metadata_present, metadata_value, model_summary
+    from sylva.plans.model import raw_many
+
+    ids = ["m1", "m1i", "m2"]
+    tables = catalog.tables(spark).only(*ids)
+    md = F.col("metadata")
+    facts = (
+        tables.models.select(
+            "model_id", "dims", class_names(md).alias("names"), metadata_value(md, "model_guid").alias("guid"),
+            metadata_present(md, "train_finish_time").alias("has_time"), metadata_present(md, "empty_key").alias("has_empty"),
+            metadata_value(md, "empty_key").alias("empty"),
+        )
+        .join(model_summary(tables).select("model_id", "summary", "float_features_count", "cat_features_count", "tree_count"), "model_id")
+        .join(feature_listing(tables).select("model_id", F.concat_ws(",", "all_names").alias("features"), "named"), "model_id")
+        .join(explainable(tables, catalog.model(spark, "m1").explainer("exact").shap), "model_id")
+    )
+    raws = raw_many(orders_rows(spark, sf), tables, ids, ["o_orderkey"])
+    top = F.when(F.col("dims") == 1, (F.col("raw")[0] > 0).cast("int")).otherwise(argmax_class(F.col("raw")).cast("int"))
+    return raws.join(F.broadcast(facts), "model_id").select(  # one row per model
+        "model_id", "o_orderkey", class_label(top, F.col("names")).alias("label"), F.lit(output_dims("class", 3, "MultiClass")).alias("class_dims"),
+        F.col("dims").alias("raw_dims"), "float_features_count", "cat_features_count", "tree_count", "summary", "features", "named",
+        "guid", "has_time", "has_empty", "empty", "has_explainer",
+    )
+
+
+def q_recorded_parity(spark, sf):
+    import uuid
+
+    from sylva.session import checkpoint_dir
+    from sylva.sources.recorded import read_recorded, write_recorded
+
+    path = checkpoint_dir(spark).rstrip("/") + f"/recorded-{uuid.uuid4().hex}"
+    write_recorded(q_score_raw(spark, sf), path, {"model": "m1"})
+    header, rows = read_recorded(spark, path, lines=True)
+    again = catalog.model(spark, "m1").raw_long(orders_rows(spark, sf), keys=["o_orderkey"]).select(
+        "o_orderkey", "class_idx", F.col("raw").alias("now")
+    )
+    both = rows.join(again, ["o_orderkey", "class_idx"], "full_outer")
+    return both.groupBy(F.col("class_idx").cast("int").alias("class_idx")).agg(
         F.count("*").alias("n_rows"),
-        F.count_if(contributions_well_formed(F.col("e.contributions"), len(M1_FLOATS))).alias("n_well_formed"),
+        F.count_if(~F.col("raw").eqNullSafe(F.col("now"))).alias("n_off"),
+        F.round(F.sum("raw"), 6).alias("sum_raw"),
+        F.lit(header.first()["h_model"]).alias("model"),
     )
 
 
+def _sidecars(spark):
+    return catalog.kept(spark, "sidecars", lambda: _sidecar_model(spark, "m1", junk=True))
+
+
+def q_shared_sidecar_explain(spark, sf):
+    from sylva.operators.explain import attached_explainers, explain_many
+
+    pairs = spark.createDataFrame([("m1", "m1"), ("m1i", "m1")], "model_id string, shap_id string")
+    explainers = attached_explainers(_sidecars(spark), catalog.tables(spark), pairs)
+    out = explain_many(orders_rows(spark, sf), explainers, ["o_orderkey"])
+    per_class = out.select("model_id", "o_orderkey", F.explode("explanation").alias("e"))
+    return per_class.select("model_id", "o_orderkey", F.col("e.class").alias("class"), F.explode("e.contributions").alias("c")).select(
+        "model_id", "o_orderkey", "class", F.col("c.name").alias("feature"), (F.round("c.phi", 6) + 0.0).alias("phi")
+    )
+
+
+#: Which model wants which sidecar, by order key.
+ATTACHMENTS = [("m1", "m1"), ("m1i", "m1"), ("m5", "m1"), ("m2", "m1"), ("m1", "junk"), ("m1", "gone"), ("gone", "m1")]
+
+
+def q_sidecar_reasons(spark, sf):
+    from sylva.sources.sidecar import compatibility
+
+    sidecars = _sidecars(spark)
+    pairs = spark.createDataFrame(ATTACHMENTS, "model_id string, shap_id string")
+    heads = sidecars.headers.select(F.col("model_id").alias("shap_id"), "version", "n_trees", "depth", "n_features", "n_classes")
+    broken = sidecars.rejected.select(F.col("model_id").alias("shap_id"), F.regexp_extract("reason", r"^\[(\w+)\]", 1).alias("broken"))
+    facts = compatibility(sidecars, catalog.tables(spark), pairs).join(heads, "shap_id", "left").join(broken, "shap_id", "left")
+    facts = facts.select(
+        "model_id", "shap_id", "compatible", F.coalesce("broken", F.substring_index("reason", ":", 1)).alias("code"), "version", "n_trees", "depth", "n_features", "n_classes"
+    )
+    pair = F.get(
+        F.array(*[F.struct(F.lit(m).alias("model_id"), F.lit(x).alias("shap_id")) for m, x in ATTACHMENTS]),
+        (F.col("o_orderkey") % len(ATTACHMENTS)).cast("int"),
+    )
+    rows = spark.read.parquet(f"{sf}/orders.parquet").select("o_orderkey", pair.alias("p")).select("o_orderkey", "p.*")
+    return rows.join(F.broadcast(facts), ["model_id", "shap_id"])  # one row per attachment
+
+
 # ---------------------------------------------------------------------------
 # Data preparation (F1-F8) and streaming
 # ---------------------------------------------------------------------------
@@ -647,6 +827,81 @@ def _hash_sql(draw: int, seed: int = SYNTHETIC_SEED) -> str:
     return f"(CAST(((o_orderkey % 2147483648) * {m} + {c}) % 4294967296 AS DOUBLE) / 4294967296.0)"
 
 
+def _picked(values: list[str | None], key: str) -> str:
+    """The element of a list at key % its length, as SQL."""
+    whens = " ".join(f"WHEN {i} THEN {'NULL' if v is None else O._str(v)}" for i, v in enumerate(values))
+    return f"CAST(CASE {key} % {len(values)} {whens} END AS VARCHAR)"
+
+
+def _facts_values(model_id: str) -> str:
+    """A VALUES row of what is known of a model, straight from its document."""
+    import json
+
+    d = O.doc(model_id)
+    md = d["metadata"]
+    names = [f["feature_id"] for kind in ("float_features", "categorical_features") for f in d["features_info"].get(kind) or []]
+    n_cat, trees = len(d["features_info"].get("categorical_features") or []), d["oblivious_trees"]
+    dims = len(d["scale_and_bias"][1])
+    labels = "[" + ", ".join(O._str(x) for x in json.loads(md["class_params"])["class_names"]) + "]"
+    n_float = len(names) - n_cat
+    summary = f"trees={len(trees)} floats={n_float} cats={n_cat} dim={dims}"
+    text = lambda k: O._str(md[k]) if md.get(k) else "NULL"
+    return (
+        f"({O._str(model_id)}, {dims}, {labels}, {n_float}, {n_cat}, {len(trees)}, {O._str(summary)}, {O._str(','.join(names))}, "
+        f"{text('model_guid')}, {'train_finish_time' in md}, {'empty_key' in md}, CAST({text('empty_key')} AS VARCHAR), {model_id == 'm1'})"
+    )
+
+
+def _oracles_facts() -> dict[str, str]:
+    m1 = O.with_clause(O.scoring_ctes("m1", ORDERS_ROWS_SQL, F4))
+    cats = ["c0", "c1"]
+    m2 = O.with_clause(O.scoring_ctes("m2", ORDERS_ROWS_SQL, ["f0", "f1"], cats))
+    unseen = ORDERS_ROWS_SQL.replace(
+        "o.o_orderpriority AS c0, c.c_mktsegment AS c1",
+        "CASE WHEN o.o_orderkey % 3 = 0 THEN 'no such ' || o.o_orderpriority WHEN o.o_orderkey % 4 = 0 THEN '' ELSE o.o_orderpriority END AS c0, "
+        "CASE WHEN o.o_orderkey % 5 = 0 THEN 'UNSEEN' ELSE c.c_mktsegment END AS c1",
+    )
+    tops = [
+        ("m1", m1 + _argmax_sql("o_orderkey")),
+        ("m1i", O.with_clause(O.scoring_ctes("m1i", ORDERS_ROWS_SQL, F4)) + _argmax_sql("o_orderkey")),
+        ("m2", m2 + "SELECT row_key AS o_orderkey, CASE WHEN raw > 0 THEN 1.0 ELSE 0.0 END AS class FROM raw"),
+    ]
+    codes = {"cut": "UNPARSEABLE", "leaves": "LEAF_SHAPE", "bare": "BARE_SPLIT", "nobody": "NO_MODEL", None: "NO_NAME"}
+    doc = O.doc("m1")
+    head = f"1, {len(doc['oblivious_trees'])}, {len(doc['oblivious_trees'][0]['splits'])}, {len(M1_FLOATS)}, {len(doc['scale_and_bias'][1])}"
+    none = ", ".join(["CAST(NULL AS BIGINT)"] * 5)
+    told = [
+        f"(0, true, NULL, {head})", f"(1, true, NULL, {head})", f"(2, false, 'FEATURES', {head})", f"(3, false, 'CATEGORICAL_MODEL', {head})",
+        f"(4, false, 'MAGIC', {none})", f"(5, false, 'NO_SIDECAR', {none})", f"(6, false, 'NO_MODEL', {head})",
+    ]
+    n_wanted = len(WANTED)
+    return {
+        "scores_or_reasons": f"SELECT o_orderkey, wanted, code, class_idx, raw FROM ("
+        f"SELECT row_key AS o_orderkey, 'm1' AS wanted, CAST(NULL AS VARCHAR) AS code, class_idx, raw FROM ({m1}SELECT * FROM raw WHERE row_key % {n_wanted} = 0) "
+        f"UNION ALL SELECT row_key, 'm2', NULL, class_idx, raw FROM ({m2}SELECT * FROM raw WHERE row_key % {n_wanted} = 1) "
+        f"UNION ALL SELECT o_orderkey, {_picked(WANTED, 'o_orderkey')}, {_picked([codes.get(w) for w in WANTED], 'o_orderkey')}, CAST(NULL AS INTEGER), CAST(NULL AS DOUBLE) "
+        f"FROM orders WHERE o_orderkey % {n_wanted} > 1)",
+        "map_quarantine": O.with_clause(O.scoring_ctes("m4", PART_ROWS_SQL + " WHERE p_partkey % 5 <> 0 AND p_partkey % 7 <> 0", ["f0", "f1"]))
+        + "SELECT row_key AS p_partkey, raw, CAST(NULL AS VARCHAR) AS code, CAST(NULL AS VARCHAR) AS feature FROM raw "
+        "UNION ALL SELECT p_partkey, NULL, CASE WHEN p_partkey % 7 = 0 THEN 'UNKNOWN' ELSE 'MISSING' END, "
+        "CASE WHEN p_partkey % 7 = 0 THEN 'colour' ELSE 'p_retailprice' END FROM part WHERE p_partkey % 5 = 0 OR p_partkey % 7 = 0",
+        "unseen_categories": _raw_oracle("m2", unseen, ["f0", "f1"], cats),
+        "predictions_with_metadata": "SELECT t.model_id, t.o_orderkey, f.labels[CAST(t.class AS INTEGER) + 1] AS label, 1 AS class_dims, f.dims AS raw_dims, "
+        "f.n_float AS float_features_count, f.n_cat AS cat_features_count, f.n_trees AS tree_count, f.summary, f.features, true AS named, f.guid, "
+        "f.has_time, f.has_empty, f.empty, f.has_explainer FROM ("
+        + " UNION ALL ".join(f"SELECT '{m}' AS model_id, * FROM ({sql})" for m, sql in tops)
+        + f") t JOIN (VALUES {', '.join(_facts_values(m) for m, _ in tops)}) "
+        "f(model_id, dims, labels, n_float, n_cat, n_trees, summary, features, guid, has_time, has_empty, empty, has_explainer) ON f.model_id = t.model_id",
+        "recorded_parity": m1 + "SELECT CAST(class_idx AS INTEGER) AS class_idx, COUNT(*) AS n_rows, CAST(0 AS BIGINT) AS n_off, ROUND(SUM(raw), 6) AS sum_raw, 'm1' AS model FROM raw GROUP BY class_idx",
+        "shared_sidecar_explain": _explain_base_float16("m1", ORDERS_ROWS_SQL, F4)
+        + f"SELECT m.model_id, row_key AS o_orderkey, m.labels[class_idx + 1] AS class, {_names_sql(M1_FLOATS)}[feature + 1] AS feature, ROUND(phi, 6) + 0.0 AS phi "
+        "FROM contrib JOIN (VALUES ('m1', ['F', 'O', 'P']), ('m1i', ['0', '1', '2'])) m(model_id, labels) ON true",
+        "sidecar_reasons": f"SELECT o_orderkey, {_picked([m for m, _ in ATTACHMENTS], 'o_orderkey')} AS model_id, {_picked([x for _, x in ATTACHMENTS], 'o_orderkey')} AS shap_id, "
+        f"t.compatible, t.code, t.version, t.n_trees, t.depth, t.n_features, t.n_classes FROM orders JOIN (VALUES {', '.join(told)}) "
+        f"t(i, compatible, code, version, n_trees, depth, n_features, n_classes) ON t.i = o_orderkey % {len(ATTACHMENTS)}",
+    }
+
+
 def _oracles_more() -> dict[str, str]:
     m1 = O.with_clause(O.scoring_ctes("m1", ORDERS_ROWS_SQL, F4))
     m3 = O.with_clause(O.scoring_ctes("m3", EMB_ROWS_SQL, [f"f{i}" for i in range(N_EMB)]))
@@ -668,15 +923,38 @@ def _oracles_more() -> dict[str, str]:
         + _explain_base("m1", ORDERS_ROWS_SQL, F4) + "SELECT row_key, class_idx, feature, phi FROM contrib) e JOIN ("
         + _explain_base_float16("m1", ORDERS_ROWS_SQL, F4) + "SELECT row_key, class_idx, feature, phi FROM contrib) q "
         "ON e.row_key = q.row_key AND e.class_idx = q.class_idx AND e.feature = q.feature GROUP BY e.row_key",
-        "parity_report": "SELECT COUNT(*) * 3 AS n_rows, CAST(0 AS BIGINT) AS only_left, CAST(0 AS BIGINT) AS only_right, "
-        "CAST(0 AS BIGINT) AS over_tolerance, CAST(0.0 AS DOUBLE) AS max_abs_diff FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey",
+        "parity_report": m1
+        + "SELECT COUNT(*) AS n_rows, COUNT(*) FILTER (WHERE a AND NOT b) AS only_left, COUNT(*) FILTER (WHERE b AND NOT a) AS only_right, "
+        "COUNT(*) FILTER (WHERE a AND b AND k % 89 = 0 AND c <> 0) AS null_on_one_side, "
+        "COUNT(*) FILTER (WHERE a AND b AND k % 89 <> 0 AND k % 83 = 0 AND c <> 2) AS nan_on_one_side, "
+        "COUNT(*) FILTER (WHERE a AND b AND k % 89 <> 0 AND k % 83 <> 0 AND k % 79 = 0 AND c = 1) AS over_tolerance, "
+        "CAST(COALESCE(MAX(CASE WHEN a AND b AND k % 89 <> 0 AND k % 83 <> 0 AND k % 79 = 0 AND c = 1 THEN 0.5 ELSE 0.0 END), 0.0) AS DOUBLE) AS max_abs_diff "
+        "FROM (SELECT row_key AS k, class_idx AS c, row_key % 97 <> 0 AS a, row_key % 101 <> 0 AS b FROM raw) WHERE a OR b",
         "probability_checks": "SELECT 'm1' AS model_id, COUNT(DISTINCT o_orderkey) AS n_rows, COUNT(DISTINCT o_orderkey) AS n_valid, "
         "MIN(p) AS min_p, MAX(p) AS max_p FROM (" + _softmax_oracle("m1", ORDERS_ROWS_SQL, F4, "o_orderkey", "e / tot", "p")
         + ") UNION ALL SELECT 'm3', COUNT(DISTINCT row_key), COUNT(DISTINCT row_key), ROUND(MIN(1.0 / (1.0 + EXP(-raw))), 6), "
         "ROUND(MAX(1.0 / (1.0 + EXP(-raw))), 6) FROM (" + m3 + "SELECT row_key, raw FROM raw)",
         "type_difference": m3.rstrip("\n") + ",\n" + SOFTMAX_SQL
         + "SELECT row_key AS vec_id, ROUND(MAX(ABS(e / tot - 1.0 / (1.0 + EXP(-raw)))), 6) AS max_diff FROM se GROUP BY row_key",
-        "contribution_checks": "SELECT COUNT(*) * 3 AS n_rows, COUNT(*) * 3 AS n_well_formed FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey",
+        "contribution_checks": _explain_base("m1", ORDERS_ROWS_SQL, F4)
+        + f"SELECT CAST(class_idx AS INTEGER) AS class_idx, {_names_sql(M1_FLOATS)}[feature + 1] AS top_feature, COUNT(*) AS n_rows, "
+        "COUNT(*) FILTER (WHERE n = 4) AS n_well_formed, ROUND(MIN(lead_phi), 6) AS min_lead, ROUND(MAX(lead_phi), 6) AS max_lead FROM ("
+        "SELECT class_idx, feature, ROUND(ABS(phi), 9) AS lead_phi, COUNT(*) OVER (PARTITION BY row_key, class_idx) AS n, "
+        "ROW_NUMBER() OVER (PARTITION BY row_key, class_idx ORDER BY ROUND(ABS(phi), 9) DESC, feature) AS rn FROM contrib) WHERE rn = 1 GROUP BY class_idx, feature",
+        "node_cover": O.with_clause(
+            O.scoring_ctes("m1", ORDERS_ROWS_SQL, F4)
+            + [
+                O.weights_cte("m1"),
+                O.depth_cte("m1"),
+                "lv AS (SELECT tree, level FROM m_splits UNION ALL SELECT tree, depth FROM m_depth)",
+                "cov AS (SELECT lv.tree, lv.level, w.leaf & ((1 << lv.level) - 1) AS node, SUM(CASE WHEN w.weight = 0 THEN 1e-6 ELSE w.weight END) AS cover "
+                "FROM lv JOIN m_weights w ON w.tree = lv.tree GROUP BY 1, 2, 3)",
+                "vis AS (SELECT lv.tree, lv.level, x.leaf & ((1 << lv.level) - 1) AS node, COUNT(*) AS n FROM lv JOIN leafidx x ON x.tree = lv.tree GROUP BY 1, 2, 3)",
+            ]
+        )
+        + "SELECT CAST(cov.tree AS INTEGER) AS tree, CAST(cov.level AS INTEGER) AS level, CAST(cov.node AS INTEGER) AS node, ROUND(cover, 6) AS cover, "
+        "COALESCE(n, 0) AS n_rows FROM cov LEFT JOIN vis ON vis.tree = cov.tree AND vis.level = cov.level AND vis.node = cov.node",
+        **_oracles_facts(),
         "label_count": m3.rstrip("\n") + ",\n" + label_counts + "SELECT vec_id, label_count FROM lc",
         "probe_per_bucket": m3.rstrip("\n") + ",\n" + label_counts
         + "SELECT vec_id, label_count FROM (SELECT vec_id, label_count, ROW_NUMBER() OVER (PARTITION BY label_count ORDER BY vec_id) AS rn FROM lc) WHERE rn <= 3",
@@ -740,6 +1018,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "synthetic_rows": q_synthetic_rows,
         "stacked_rows": q_stacked_rows,
         "streaming_score": q_streaming_score,
+        "node_cover": q_node_cover,
+        "scores_or_reasons": q_scores_or_reasons,
+        "map_quarantine": q_map_quarantine,
+        "unseen_categories": q_unseen_categories,
+        "predictions_with_metadata": q_predictions_with_metadata,
+        "recorded_parity": q_recorded_parity,
+        "shared_sidecar_explain": q_shared_sidecar_explain,
+        "sidecar_reasons": q_sidecar_reasons,
     } | ({} if llm is None else {**llm.QUERIES, "pipeline": corpus_pipeline.run})
 
 

@@ -16,6 +16,14 @@ def _kept(spark: SparkSession) -> dict:
     return spark._sylva_kept
 
 
+def kept(spark: SparkSession, name: str, make):
+    """``make()``, once per session."""
+    held = _kept(spark)
+    if name not in held:
+        held[name] = make()
+    return held[name]
+
+
 def tables(spark: SparkSession) -> ModelTables:
     kept = _kept(spark)
     if "tables" not in kept:

@@ -191,6 +191,20 @@ def arity_quarantine(df: DataFrame, features: str, n: int, keys: list[str]) -> t
     return df.filter(got == n), bad
 
 
+def map_quarantine(df: DataFrame, row_map: str, model: ModelHeader, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """C3/C4 without failing: (rows whose map fits the model, quarantined (keys..., code, feature)).
+
+    ``UNKNOWN`` names the first feature that the model does not have, else
+    ``MISSING`` the first one that the map lacks.
+    """
+    names = F.array(*[F.lit(n) for n in model.float_names + model.cat_names])
+    held = F.coalesce(F.map_keys(F.col(row_map)), F.array().cast("array<string>"))
+    unknown, missing = F.array_except(held, names), F.array_except(names, held)
+    code = F.when(F.size(unknown) > 0, "UNKNOWN").when(F.size(missing) > 0, "MISSING")
+    feature = F.when(F.size(unknown) > 0, F.get(F.array_sort(unknown), F.lit(0))).otherwise(F.get(missing, F.lit(0)))
+    return df.filter(code.isNull()), df.filter(code.isNotNull()).select(*keys, code.alias("code"), feature.alias("feature"))
+
+
 #: Statistic rows that may be broadcast whole (about 100 bytes each).
 BROADCAST_STATS = 1 << 20
 #: A category with more than one in so many rows counts as frequent; also the most of them.

@@ -125,7 +125,8 @@ def phi_relational(
     for start, end in forest.ranges(C.BLOCK_VALUES):
         S.check_keys(1, end - start, forest.max_depth)
         some = (F.col("tree") >= start) & (F.col("tree") < end)
-        sp = F.broadcast(forest.splits.filter(some).withColumn("model_id", F.lit(m.model_id)))
+        given = {"model_id": F.lit(m.model_id), "value": F.lit(None).cast("string"), "stat_id": F.lit(None).cast("int")}  # float splits only
+        sp = F.broadcast(forest.splits.filter(some).withColumns(given))
         leaf_rows = S.leaf_index_relational(long, keys, sp, [m.model_id])
         shap = forest.shaps[0].filter(some).select(
             S.leaf_key(F.lit(0), F.col("tree"), F.col("leaf"), forest.max_depth, start).alias("lkey"), "feature", "phi"

@@ -69,6 +69,8 @@ class Walk:
     leaves_col: str | None = None
     phi_cols: list[str] = field(default_factory=list)
     n_trees: int = 0
+    #: (column, value): only rows with this text in the column are walked, the others get null.
+    where: tuple[str, str] | None = None
 
     def width(self) -> int:
         """Doubles a row needs in the accumulators."""
@@ -142,6 +144,15 @@ def list_column(values: np.ndarray) -> pa.Array:
     return out
 
 
+def _outputs(walk: Walk, x: np.ndarray, rows: pa.RecordBatch) -> list[pa.Array]:
+    if walk.where is None:
+        return [list_column(v) for v in run_walk(walk, x)]
+    column, value = walk.where
+    wanted = np.array([v == value for v in rows.column(rows.schema.get_field_index(column)).to_pylist()], dtype=bool)
+    place = pa.array(np.cumsum(wanted) - 1, mask=~wanted)
+    return [list_column(v).take(place) for v in run_walk(walk, x[wanted])]
+
+
 def walk_step(df: DataFrame, vcols: list[str], walks: list[Walk]) -> DataFrame:
     """Append all outputs of ``walks`` to the rows, dropping the virtual features: one ``mapInArrow``."""
     fields = [f for w in walks for f in w.fields()]
@@ -156,7 +167,7 @@ def walk_step(df: DataFrame, vcols: list[str], walks: list[Walk]) -> DataFrame:
             for at in range(0, batch.num_rows, rows_at_once):
                 rows = batch.slice(at, rows_at_once)
                 x = matrix(rows, vcols)
-                outputs = [list_column(v) for w in walks for v in run_walk(w, x)]
+                outputs = [v for w in walks for v in _outputs(w, x, rows)]
                 yield pa.RecordBatch.from_arrays([*(rows.column(i) for i in kept), *outputs], names=names)
 
     return df.mapInArrow(run, schema)

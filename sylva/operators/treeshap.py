@@ -7,8 +7,8 @@ is computed once per model and explanation becomes a leaf walk plus a join.
 * E1 zero leaf weights count as 1e-6 (before any roll-up);
 * E2 ``node_cover``: cover of every node, a group-by on the leaf's low bits;
 * E3 ``tree_expected``: cover-weighted mean of each tree's leaf values;
-* E5/E6 ``shap_table``: trees are independent, so ``groupBy(model, tree)``
-  hands one tree (2^depth leaves) to a pandas function. It integrates the
+* E5/E6 ``shap_table``: trees are independent, so each is one row (splits, leaf
+  values, and the covers of E2) that a pandas function solves. It integrates the
   path-dependent expectation over all feature subsets as a polynomial; cost
   per tree is about 4^depth * u * u/2 for u distinct features, at any depth;
 * E7 only features the tree splits on get rows;
@@ -22,7 +22,7 @@ from math import factorial
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -84,10 +84,11 @@ def bias_row(tables: ModelTables) -> DataFrame:
 PAIR_BUDGET = 1 << 18
 
 
-def leaf_shap(feats: np.ndarray, values: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def leaf_shap(feats: np.ndarray, values: np.ndarray, covers: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Per-leaf SHAP values of one oblivious tree (unscaled), for any depth.
 
-    feats (D,) feature per level, values (L, K), weights (L,) already repaired.
+    feats (D,) feature per level, values (L, K), covers: per level 0..D the
+    cover of its 2^level nodes (``node_cover``).
     Returns (features used, sorted; phi of shape (L, U, K)).
 
     For a target leaf h, a leaf l counts with ``prod(agree_j for j in S) *
@@ -104,11 +105,8 @@ def leaf_shap(feats: np.ndarray, values: np.ndarray, weights: np.ndarray) -> tup
     used, slot = np.unique(feats, return_inverse=True)
     u = len(used)
     share = np.ones((u, n_leaves))
-    cover = np.bincount(leaves & 0, weights=weights)
     for d in range(depth):
-        below = np.bincount(leaves & ((2 << d) - 1), weights=weights, minlength=2 << d)
-        share[slot[d]] *= (below[leaves & ((2 << d) - 1)] / cover[leaves & ((1 << d) - 1)])
-        cover = below
+        share[slot[d]] *= covers[d + 1][leaves & ((2 << d) - 1)] / covers[d][leaves & ((1 << d) - 1)]
     levels = [sum(1 << d for d in range(depth) if slot[d] == j) for j in range(u)]
     nodes, node_weights = np.polynomial.legendre.leggauss(max(1, -(-u // 2)))
     nodes, node_weights = (nodes + 1) / 2, node_weights / 2
@@ -137,48 +135,55 @@ SHAP_SCHEMA = T.StructType(
 )
 
 
-def _tree_group(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values("leaf")
-    feats = np.asarray(pdf["feats"].iloc[0], dtype=np.int64)
-    values = np.vstack([np.asarray(v, dtype=np.float64) for v in pdf["values"]])
-    weights = pdf["weight"].to_numpy(np.float64)
-    used, phi = leaf_shap(feats, values, weights)
-    phi = phi * float(pdf["scale"].iloc[0])
-    n_leaves, u, _ = phi.shape
-    return pd.DataFrame(
-        {
-            "model_id": pdf["model_id"].iloc[0],
-            "tree": int(pdf["tree"].iloc[0]),
-            "leaf": np.repeat(np.arange(n_leaves, dtype=np.int32), u),
-            "feature": np.tile(used.astype(np.int32), n_leaves),
-            "phi": list(phi.reshape(n_leaves * u, -1)),
-        }
-    )
+def _solve_trees(batches):
+    """One row per tree -> its SHAP rows."""
+    for pdf in batches:
+        for r in pdf.itertuples():
+            feats = np.asarray(r.feats, dtype=np.int64)
+            values = np.vstack([np.asarray(v, dtype=np.float64) for v in r.leaf_values])
+            cover = np.asarray(r.covers, dtype=np.float64)  # level after level
+            covers = [cover[(1 << d) - 1 : (2 << d) - 1] for d in range(len(feats) + 1)]
+            used, phi = leaf_shap(feats, values, covers)
+            phi = phi * float(r.scale)
+            n_leaves, u, _ = phi.shape
+            yield pd.DataFrame(
+                {
+                    "model_id": r.model_id,
+                    "tree": int(r.tree),
+                    "leaf": np.repeat(np.arange(n_leaves, dtype=np.int32), u),
+                    "feature": np.tile(used.astype(np.int32), n_leaves),
+                    "phi": list(phi.reshape(n_leaves * u, -1)),
+                }
+            )
 
 
 def shap_table(tables: ModelTables) -> DataFrame:
     """(model_id, tree, leaf, feature, phi ARRAY<DOUBLE>) for float-only models.
 
-    One pandas call per tree; the group is bounded by 2^depth leaves.
+    Splits, leaf values and the covers of E2 are brought together per tree (a
+    row is bounded by 2^depth leaves), and each tree is solved by itself.
     Models with categorical features are left out (T10).
     """
+    tree = ["model_id", "tree"]
+
+    def in_order(rows: DataFrame, order: list[str], value: str, name: str) -> DataFrame:
+        entries = F.array_sort(F.collect_list(F.struct(*order, value)))
+        return rows.groupBy(*tree).agg(F.transform(entries, lambda s: s[value]).alias(name))
+
     float_only = tables.models.filter(F.col("n_cat") == 0).select("model_id", "scale")
-    feats = tables.splits.groupBy("model_id", "tree").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("level", "feature"))), lambda s: s["feature"]).alias("feats")
-    )
-    rows = (
-        repaired_leaves(tables)
-        .join(F.broadcast(float_only), "model_id")
-        .join(feats, ["model_id", "tree"])
-        .select("model_id", "tree", "leaf", "values", "weight", "feats", "scale")
-    )
     # Work per tree is large next to its bytes, so the partition count is set
     # explicitly: adaptive execution would otherwise fold the small shuffle
-    # into one task. The group-by then reuses this partitioning.
-    spark = rows.sparkSession
+    # into one task.
+    spark = tables.models.sparkSession
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    rows = rows.repartition(n, "model_id", "tree")
-    return rows.groupBy("model_id", "tree").applyInPandas(_tree_group, SHAP_SCHEMA)
+    rows = (
+        in_order(tables.splits, ["level"], "feature", "feats")
+        .join(in_order(tables.leaves, ["leaf"], "values", "leaf_values"), tree)
+        .join(in_order(node_cover(tables), ["level", "node"], "cover", "covers"), tree)
+        .join(F.broadcast(float_only), "model_id")  # one row per model
+        .repartition(n, *tree)
+    )
+    return rows.select(*tree, "feats", "leaf_values", "covers", "scale").mapInPandas(_solve_trees, SHAP_SCHEMA)
 
 
 @F.pandas_udf(T.ArrayType(T.DoubleType()))
@@ -189,8 +194,3 @@ def _float16_round(phi: pd.Series) -> pd.Series:
 def quantize_float16(shap: DataFrame) -> DataFrame:
     """Round every phi through IEEE binary16, as the compact format stores it."""
     return shap.withColumn("phi", _float16_round(F.col("phi")))
-
-
-def finite_check(phi: Column) -> Column:
-    """binary16 cannot hold values beyond 65504."""
-    return F.exists(phi, lambda v: F.isnan(v) | (F.abs(v) > 65504.0))

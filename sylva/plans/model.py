@@ -423,6 +423,33 @@ def score_many_dense(df: DataFrame, tables: ModelTables, model_ids: list[str], k
     return long.withColumn("class_idx", F.col("class_idx").cast("int"))
 
 
+def score_wanted(df: DataFrame, tables: ModelTables, wanted: str, keep: list[str] | None = None, **inputs) -> DataFrame:
+    """Each row scored by the model that its ``wanted`` column names, or told why not: raw, code.
+
+    ``code`` is null for scored rows; else the code of the rejected document
+    (``model_docs.REASONS``), ``NO_MODEL`` for an id that no document has, or
+    ``NO_NAME`` for a null id. One Arrow step; a model walks only its own rows.
+    """
+    ids = [r["model_id"] for r in tables.models.select("model_id").orderBy("model_id").collect()]
+    models = [Model(tables, i) for i in ids]
+    carried = [*(df.columns if keep is None else keep), wanted]
+    raw = F.lit(None).cast("array<double>")
+    out = df
+    if models:
+        assembled, vcols, places = assemble(df, [m.header for m in models], tables.target_stats, **inputs)
+        walks = [m._own_walk(columns, f"__raw{i}", None, {}) for i, (m, columns) in enumerate(zip(models, places))]
+        for walk, i in zip(walks, ids):
+            walk.where = (wanted, i)
+        out = walk_step(assembled.select(*dict.fromkeys([*carried, *vcols])), vcols, walks)
+        raw = F.coalesce(*[F.col(f"__raw{i}") for i in range(len(ids))])
+    codes = tables.rejected.select(F.col("model_id").alias("__rejected"), F.col("code").alias("__code"))
+    known = F.col(wanted).isin(ids) if ids else F.lit(False)
+    code = F.when(F.col(wanted).isNull(), "NO_NAME").when(known, F.lit(None)).otherwise(F.coalesce("__code", F.lit("NO_MODEL")))
+    return out.join(codes, F.col(wanted) == F.col("__rejected"), "left").select(
+        *dict.fromkeys(carried), raw.alias("raw"), code.alias("code")
+    )
+
+
 def _tree_ranges(headers: list[ModelHeader]) -> list[tuple[int, int]]:
     """Ranges of tree numbers whose leaf values, over all models, fit one broadcast."""
     per_tree = sum((1 << h.max_depth) * h.dims for h in headers)

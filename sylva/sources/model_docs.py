@@ -161,8 +161,20 @@ def _depth(tree: Column) -> Column:
     return F.size(tree["splits"])
 
 
-def _reject_reason(doc: DataFrame) -> Column:
-    """A4/A5: the first reason a document cannot be used, or null."""
+#: Why a document is refused: the code of its first fault, and what it says.
+REASONS = {
+    "UNPARSEABLE": "unparseable document",
+    "NO_TREES": "model has no trees",
+    "LEAF_SHAPE": "leaf_values or leaf_weights do not match 2^depth",
+    "HASHED_ONEHOT": "one-hot splits hold hashed categories, which cannot be compared with text",
+    "BAD_SPLIT": "split refers to an unknown feature or split type",
+    "BARE_SPLIT": "categorical split without its value, or without its statistic and border",
+    "BIAS_SHAPE": "bias size differs from leaf dimension",
+}
+
+
+def _reject_code(doc: DataFrame) -> Column:
+    """A4/A5: the code of the first reason a document cannot be used, or null."""
     trees = F.col("oblivious_trees")
     n_float = F.coalesce(F.size("features_info.float_features"), F.lit(0))
     n_cat = F.coalesce(F.size("features_info.categorical_features"), F.lit(0))
@@ -193,17 +205,21 @@ def _reject_reason(doc: DataFrame) -> Column:
             ),
         ),
     )
-    return (
-        F.when(F.col(CORRUPT).isNotNull() | trees.isNull(), F.lit("unparseable document"))
-        .when(F.size(trees) == 0, F.lit("model has no trees"))
-        .when(bad_shape, F.lit("leaf_values or leaf_weights do not match 2^depth"))
-        .when(
-            F.exists(trees, lambda t: F.exists(t["splits"], lambda s: F.coalesce(s["split_type"] == "OneHotFeature", F.lit(False)))),
-            F.lit("one-hot splits hold hashed categories, which cannot be compared with text"),
-        )
-        .when(bad_index, F.lit("split refers to an unknown feature or split type"))
-        .when(F.coalesce(F.size(bias), F.lit(-1)) != k, F.lit("bias size differs from leaf dimension"))
+    any_split = lambda test: F.exists(trees, lambda t: F.exists(t["splits"], test))
+    bare = any_split(
+        lambda s: ((s["split_type"] == "onehot") & s["value"].isNull())
+        | ((s["split_type"] == "target_stat") & (s["stat_id"].isNull() | s["border"].isNull()))
     )
+    tests = {
+        "UNPARSEABLE": F.col(CORRUPT).isNotNull() | trees.isNull(),
+        "NO_TREES": F.size(trees) == 0,
+        "LEAF_SHAPE": bad_shape,
+        "HASHED_ONEHOT": any_split(lambda s: F.coalesce(s["split_type"] == "OneHotFeature", F.lit(False))),
+        "BAD_SPLIT": bad_index,
+        "BARE_SPLIT": bare,
+        "BIAS_SHAPE": F.coalesce(F.size(bias), F.lit(-1)) != k,
+    }
+    return F.coalesce(*[F.when(test, F.lit(code)) for code, test in tests.items()])
 
 
 def explode_models(doc: DataFrame, on_error: str = "reject") -> ModelTables:
@@ -219,7 +235,9 @@ def explode_models(doc: DataFrame, on_error: str = "reject") -> ModelTables:
         doc = doc.withColumn(CORRUPT, F.lit(None).cast("string"))
     # Parse and validate once: every table below reads this cached result, so
     # the document text is not re-parsed per table or per referenced field.
-    checked = doc.withColumn("__reason", _reject_reason(doc)).cache()
+    checked = doc.withColumn("__code", _reject_code(doc)).cache()
+    texts = F.create_map(*[F.lit(x) for pair in REASONS.items() for x in pair])
+    checked = checked.withColumn("__reason", F.when(F.col("__code").isNotNull(), F.element_at(texts, F.col("__code"))))
     if on_error == "raise":
         checked = checked.withColumn(
             "__reason",
@@ -230,8 +248,10 @@ def explode_models(doc: DataFrame, on_error: str = "reject") -> ModelTables:
         )
     elif on_error != "reject":
         raise ValueError("on_error must be 'reject' or 'raise'")
-    rejected = checked.filter(F.col("__reason").isNotNull()).select("model_id", F.col("__reason").alias("reason"))
-    good = checked.filter(F.col("__reason").isNull()).drop("__reason", CORRUPT)
+    rejected = checked.filter(F.col("__reason").isNotNull()).select(
+        "model_id", F.col("__reason").alias("reason"), F.col("__code").alias("code")
+    )
+    good = checked.filter(F.col("__reason").isNull()).drop("__reason", "__code", CORRUPT)
 
     trees = good.select("model_id", F.posexplode("oblivious_trees").alias("tree", "t"))
     k_col = (F.size("t.leaf_values") / pow2(F.size("t.splits"))).cast("int")

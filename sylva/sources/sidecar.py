@@ -1,12 +1,13 @@
 """The compact binary SHAP format ("sidecar") as a Spark source and sink.
 
-The primary sink for SHAP tables is Parquet (``write_shap_parquet``). The
+The primary sink for SHAP tables is Parquet. The
 binary format exists for interchange with readers of the compact layout:
 
 * ``pack_sidecars``  ``groupBy(model_id).applyInPandas``: one model -> one
   BINARY value. A sidecar is one file per model by definition; its size is
   bounded by the model (trees x 2^depth x depth x K x 2 bytes) and checked.
-* ``write_sidecar_files`` writes those values as files under a shared folder.
+* ``write_sidecar_files`` writes those values as files under a shared folder,
+  through the data source of ``sidecar_files`` (staged, then committed).
 * ``read_sidecars``   ``spark.read.format("binaryFile")`` -> ``mapInPandas``
   decode (one task per file) -> header, split and SHAP tables; files failing a
   format guard become ``rejected`` rows.
@@ -14,7 +15,7 @@ binary format exists for interchange with readers of the compact layout:
 
 from __future__ import annotations
 
-import os
+import posixpath
 from dataclasses import dataclass
 
 import struct
@@ -179,41 +180,19 @@ def pack_sidecars(tables: ModelTables, shap: DataFrame, bias: DataFrame) -> Data
     return rows.groupBy("model_id").applyInPandas(_pack_group, PACKED_SCHEMA)
 
 
-def local_path(path: str) -> str:
-    """A POSIX path for Python file IO in tasks: plain paths and ``file:`` URIs.
+def write_sidecar_files(packed: DataFrame, out_dir: str, suffix: str = SUFFIX) -> DataFrame:
+    """Write each packed model to ``out_dir/<model_id><suffix>``, all or none (see ``sidecar_files``).
 
-    Other schemes (hdfs, s3a, ...) cannot be written with Python IO; keep the
-    packed sidecars as a table there (``packed.write.parquet``) and read them
-    back with ``read_sidecar_table``.
+    Returns (model_id, path, n_bytes) of the files in the folder.
     """
-    if path.startswith("file://"):
-        return path[len("file://") :] if path[len("file://") :].startswith("/") else "/" + path[len("file://") :]
-    if path.startswith("file:"):
-        return path[len("file:") :]
-    if "://" in path:
-        raise ValueError(f"cannot write sidecar files to {path!r} with Python IO; write the packed table as Parquet instead")
-    return path
+    from .sidecar_files import NAME, register
 
-
-def write_sidecar_files(packed: DataFrame, out_dir: str) -> DataFrame:
-    """Write each packed model to ``out_dir/<model_id>.sidecar`` (a shared folder).
-
-    Runs inside the tasks; returns (model_id, path, n_bytes).
-    """
-    out_dir = local_path(out_dir)
-
-    def write(it):
-        for pdf in it:
-            paths = []
-            for mid, data in zip(pdf["model_id"], pdf["sidecar"]):
-                os.makedirs(out_dir, exist_ok=True)
-                path = os.path.join(out_dir, f"{mid}{SUFFIX}")
-                with open(path, "wb") as fh:
-                    fh.write(bytes(data))
-                paths.append(path)
-            yield pd.DataFrame({"model_id": pdf["model_id"], "path": paths, "n_bytes": pdf["n_bytes"]})
-
-    return packed.mapInPandas(write, "model_id string, path string, n_bytes long")
+    spark = packed.sparkSession
+    register(spark)
+    packed.select("model_id", "sidecar").write.format(NAME).option("suffix", suffix).mode("append").save(out_dir)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*" + suffix).load(out_dir)
+    stem = F.regexp_extract("path", r"([^/]+)$", 1)
+    return files.select(F.substring_index(stem, ".", 1).alias("model_id"), "path", F.col("length").alias("n_bytes"))
 
 
 DECODED_SCHEMA = T.StructType(
@@ -248,7 +227,7 @@ def _decode(it):
     for pdf in it:
         out = []
         for path, content in zip(pdf["path"], pdf["content"]):
-            mid = os.path.basename(path).split(".")[0]
+            mid = posixpath.basename(path).split(".")[0]
             try:
                 d = unpack(bytes(content))
             except FormatError as e:
@@ -388,11 +367,6 @@ def compatibility(sidecars: SidecarTables, tables: ModelTables, attachments: Dat
     return j.select("model_id", "shap_id", reason.isNull().alias("compatible"), reason.alias("reason"))
 
 
-def write_shap_parquet(shap: DataFrame, out_dir: str) -> None:
-    """Primary sink: the long SHAP table as Parquet, one folder per model."""
-    shap.write.mode("overwrite").partitionBy("model_id").parquet(out_dir)
-
-
 def export_sidecars(spark: SparkSession, model_path: str, output_dir: str | None = None) -> DataFrame:
     """A10: model documents under ``model_path`` -> one sidecar file per float-only model.
 
@@ -403,18 +377,5 @@ def export_sidecars(spark: SparkSession, model_path: str, output_dir: str | None
     from .model_docs import load_models
 
     tables = load_models(spark, model_path, on_error="raise")
-    out = local_path(output_dir or (model_path if not model_path.endswith(".json") else os.path.dirname(model_path)))
-    packed = pack_sidecars(tables, shap_table(tables), bias_row(tables))
-
-    def write(it):
-        for pdf in it:
-            paths = []
-            for mid, data in zip(pdf["model_id"], pdf["sidecar"]):
-                os.makedirs(out, exist_ok=True)
-                p = os.path.join(out, f"{mid}.shap{SUFFIX}")
-                with open(p, "wb") as fh:
-                    fh.write(bytes(data))
-                paths.append(p)
-            yield pd.DataFrame({"model_id": pdf["model_id"], "path": paths, "n_bytes": pdf["n_bytes"]})
-
-    return packed.mapInPandas(write, "model_id string, path string, n_bytes long")
+    out = output_dir or (posixpath.dirname(model_path) if model_path.endswith(".json") else model_path)
+    return write_sidecar_files(pack_sidecars(tables, shap_table(tables), bias_row(tables)), out, f".shap{SUFFIX}")

@@ -94,3 +94,39 @@ def test_metadata_lookup(tables, spark):
 def test_missing_path_fails(spark):
     with pytest.raises(Exception, match="(?i)path does not exist|PATH_NOT_FOUND"):
         Model.load(spark, "/nonexistent/model.json")
+
+
+def test_rejections_carry_a_code(spark):
+    import json
+
+    from helpers import doc
+    from sylva.sources.model_docs import REASONS, load_model_texts
+
+    def broken(mid, change):
+        d = json.loads(json.dumps(doc(mid)))
+        change(d)
+        return json.dumps(d)
+
+    onehot = lambda d: next(s for t in d["oblivious_trees"] for s in t["splits"] if s.get("split_type") == "onehot")
+    stat = lambda d: next(s for t in d["oblivious_trees"] for s in t["splits"] if s.get("split_type") == "target_stat")
+    docs = {
+        "UNPARSEABLE": "{",
+        "NO_TREES": broken("m4", lambda d: d.update(oblivious_trees=[])),
+        "LEAF_SHAPE": broken("m4", lambda d: d["oblivious_trees"][1]["leaf_weights"].pop()),
+        "HASHED_ONEHOT": broken("m2", lambda d: onehot(d).update(split_type="OneHotFeature")),
+        "BAD_SPLIT": broken("m4", lambda d: d["oblivious_trees"][0]["splits"][0].update(float_feature_index=99)),
+        "BARE_SPLIT": broken("m2", lambda d: onehot(d).pop("value")),
+        "BIAS_SHAPE": broken("m4", lambda d: d["scale_and_bias"][1].append(0.0)),
+        "stat": broken("m2", lambda d: stat(d).pop("stat_id")),
+    }
+    got = {r["model_id"]: (r["code"], r["reason"]) for r in load_model_texts(spark, docs).rejected.collect()}
+    assert got == {k: (c, REASONS[c]) for k in docs for c in [k if k in REASONS else "BARE_SPLIT"]}
+
+
+def test_rows_get_scores_or_reasons_where_no_document_is_good(spark):
+    from sylva.plans.model import score_wanted
+    from sylva.sources.model_docs import load_model_texts
+
+    rows = spark.createDataFrame([(1, "cut"), (2, "who"), (3, None)], "k int, wanted string")
+    got = score_wanted(rows, load_model_texts(spark, {"cut": "{"}), "wanted").collect()
+    assert sorted((r["k"], r["raw"], r["code"]) for r in got) == [(1, None, "UNPARSEABLE"), (2, None, "NO_MODEL"), (3, None, "NO_NAME")]

@@ -52,7 +52,9 @@ def test_leaf_shap_matches_brute_force(seed):
     values = rng.normal(size=(1 << depth, 2))
     w = rng.integers(0, 5, size=1 << depth).astype(float)
     w[w == 0] = TS.ZERO_WEIGHT
-    used, phi = TS.leaf_shap(feats, values, w)
+    leaves = np.arange(1 << depth)
+    covers = [np.bincount(leaves & ((1 << d) - 1), weights=w) for d in range(depth + 1)]
+    used, phi = TS.leaf_shap(feats, values, covers)
     full = np.zeros((1 << depth, 4, 2))
     full[:, used, :] = phi
     assert np.abs(full - brute_tree(feats, values, w, 4)).max() < 1e-12

@@ -81,12 +81,66 @@ def test_export_from_model_documents(spark):
     assert h["m5"]["n_classes"] == 2 and h["m5"]["n_trees"] == 20 and h["m5"]["depth"] == 3
 
 
-def test_local_path_and_table_route(spark, tables):
-    assert SC.local_path("file:/tmp/x") == "/tmp/x"
-    assert SC.local_path("file:///tmp/x") == "/tmp/x"
-    assert SC.local_path("/tmp/x") == "/tmp/x"
-    with pytest.raises(ValueError, match="Parquet"):
-        SC.local_path("hdfs://nn/x")
+def test_table_route(spark, tables):
     one = tables.only("m4")
     st = SC.read_sidecar_table(SC.pack_sidecars(one, shap_table(one), bias_row(one)))
     assert st.headers.first()["n_trees"] == 20 and st.rejected.count() == 0
+
+
+def test_data_source_writes_all_or_nothing(spark, tmp_path):
+    from sylva.sources import sidecar_files as SF
+
+    SF.register(spark)
+    rows = spark.createDataFrame([("a", bytearray(b"one"), 1), ("b", bytearray(b"two"), 2)], "model_id string, sidecar binary, n long").repartition(2)
+    out = tmp_path / "files"
+    for target in (str(out), f"file:{out}", f"file://{out}"):  # a file of the same name is replaced
+        rows.write.format(SF.NAME).mode("append").save(target)
+    assert sorted(p.name for p in out.iterdir()) in (["_temporary", "a.sidecar", "b.sidecar"], ["a.sidecar", "b.sidecar"])
+    assert not any((out / "_temporary").glob("*"))
+    got = spark.read.format(SF.NAME).load(str(out)).collect()
+    assert sorted((r["model_id"], bytes(r["content"])) for r in got) == [("a", b"one"), ("b", b"two")]
+    bad = rows.withColumn("sidecar", F.when(F.col("model_id") == "b", F.raise_error(F.lit("broken off")).cast("binary")).otherwise(F.col("sidecar")))
+    twice = rows.withColumn("model_id", F.lit("same"))
+    for frame in (bad, twice, rows.withColumn("model_id", F.lit("x/y")), rows.drop("sidecar")):
+        gone = tmp_path / "aborted"
+        with pytest.raises(Exception):
+            frame.write.format(SF.NAME).mode("append").save(str(gone))
+        assert not [p for p in gone.rglob("*") if p.is_file()]
+    with pytest.raises(Exception, match="append"):
+        rows.write.format(SF.NAME).mode("overwrite").save(str(out))
+
+
+def test_attach_at_load_and_share(spark, tables, orders, tmp_path):
+    """A model loaded with a sidecar explains by it; other models may share the file."""
+    from sylva.fixtures import model_path
+    from sylva.plans.model import Model
+
+    one = tables.only("m1")
+    SC.write_sidecar_files(SC.pack_sidecars(one, shap_table(one), bias_row(one)), str(tmp_path))
+    want = {r["o_orderkey"]: r["phi"] for r in catalog.model(spark, "m1").explain(orders, quantize="float16").collect()}
+    plain = Model.load(spark, model_path("m1"))
+    assert not plain.has_explainer()
+    for place in (str(tmp_path), str(tmp_path / "m1.sidecar")):
+        m = Model.load(spark, model_path("m1i"), sidecar=place)
+        assert m.has_explainer() and m.attached.shap_id == "m1"
+    got = m.explain(orders, raw_col="raw").collect()
+    assert all(np.allclose(r["phi"], want[r["o_orderkey"]], atol=1e-12) for r in got)
+    assert [e["class"] for e in got[0]["explanation"]] == ["0", "1", "2"]
+    m.attach(SC.read_sidecars(spark, str(tmp_path)), "m1", ["a", "b", "c", "d"], ["x", "y", "z"])
+    e = m.explain(orders.limit(1)).first()["explanation"][0]
+    assert e["class"] == "x" and {c["name"] for c in e["contributions"]} == {"a", "b", "c", "d"}
+    relational = {r["o_orderkey"]: r["phi"] for r in m.explain(orders, plan="relational", keys=["o_orderkey"]).select("o_orderkey", "phi").collect()}
+    assert all(np.allclose(relational[k], want[k], atol=1e-12) for k in want)
+    with pytest.raises(ValueError, match="FEATURES"):
+        Model.load(spark, model_path("m4"), sidecar=str(tmp_path))
+    with pytest.raises(ValueError, match="where the table has"):
+        m.attach(SC.read_sidecars(spark, str(tmp_path)), "m1", ["a"])
+    with pytest.raises(ValueError, match="no sidecar"):
+        Model.load(spark, model_path("m1"), sidecar=str(tmp_path / "nothing*"))
+
+
+def test_sharing_walks_the_table_once(spark):
+    import __spark_entry__ as E
+
+    df = E.q_shared_sidecar_explain(spark, "/root/testdata/sf0.001")
+    assert df._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
