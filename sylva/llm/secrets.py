@@ -7,16 +7,27 @@ Grammar inference (the ALERGIA scheme): per label the credentials, as strings
 over character classes, form a prefix tree with counts; going through the
 states from the root, a state is merged with an earlier one if their stop and
 transition frequencies, and those of all states behind them, agree within the
-Hoeffding bound at ``ALPHA``. The merged trees are probabilistic automata. One
-more automaton is inferred the same way from ordinary runs of the same
-characters. A candidate - any run of ``MIN_RUN`` or more credential characters,
-in the alphabet and from the length of the base, or what is left of one around
-the base matches - is reported if, per character, its best label's likelihood
-exceeds the ordinary one by ``MARGIN``; nothing else decides.
+Hoeffding bound at ``ALPHA``. The merged trees are probabilistic automata.
+Merging may fold all positions into one state, so an automaton keeps its
+strings' lengths beside its steps: a string's likelihood is that of its steps,
+given that it goes on, times that of its length. A step that a state has never
+seen costs ``UNSEEN`` and leads on as the state's commonest step does, so one
+wrong character does not lose the format.
+
+Background: one more automaton, inferred from ordinary runs, and the frequent
+shapes. A shape is a run's classes with repeats squeezed (an IPv4 address is
+``9.9.9.9``); a shape that many different runs have is ordinary by itself, with
+its share as likelihood and its characters drawn evenly from their classes.
+
+A candidate - any run of ``MIN_RUN`` or more credential characters, in the
+alphabet and from the length of the base, or what is left of one around the
+base matches - is reported if, per character, its best label's likelihood
+exceeds the better background by ``MARGIN``; nothing else decides.
 
 Texts are read once: that pass writes the base spans and the candidates to the
 shared checkpoint folder. Training reads a bounded sample of them (the smallest
-hashes per label); scoring reads all candidates.
+hashes per label, whole strings of ``SAMPLE_CHARACTERS`` together); shapes are
+counted over all candidates; scoring reads all candidates, a batch at a time.
 
 Defined results: null and empty texts have no spans; long texts are scanned
 whole; repeated rows get equal results; a label without examples has no
@@ -33,8 +44,9 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sylva.session import ship_package
@@ -54,48 +66,141 @@ HEX = re.compile(rf"[0-9a-f]{{{HEX_LENGTH},}}")
 #: Shortest candidate, and the runs: as the values of the assign pattern.
 MIN_RUN = ASSIGN_LENGTH
 RUN = re.compile(rf"[A-Za-z0-9+/_.=-]{{{MIN_RUN},}}")
-#: Rows turned into Python values at a time; decided runs remembered, and up to which length.
+#: Rows turned into Python values at a time.
 SLICE = 512
-REMEMBERED, REMEMBERED_LENGTH = 100_000, 64
-#: Training strings per label, and the confidence of the merging test.
+#: Training strings per label and their characters together, and the confidence of the merging test.
 SAMPLE = 1500
+SAMPLE_CHARACTERS = 1 << 20
 ALPHA = 0.05
+#: A shape is frequent if one in so many runs has it, in several different values; longer shapes never are.
+SHAPE_SHARE, SHAPE_VALUES, SHAPE_LENGTH = 20_000, 5, 12
+#: A frequent shape's length is one of so many, about.
+SHAPE_SPREAD = 40
 #: Nats per character by which a credential must be likelier than an ordinary run.
 MARGIN = 0.5
 #: Likelihood of a step that the automaton has never seen.
 UNSEEN = math.log(1e-4)
 
-_CLASS = {c: k for chars, k in (("0123456789", "9"), ("abcdef", "a"), ("ghijklmnopqrstuvwxyz", "z"), ("ABCDEF", "A"), ("GHIJKLMNOPQRSTUVWXYZ", "Z")) for c in chars}
+#: Characters in classes; each other character of the alphabet is a class of its own.
+_CLASSES = (("0123456789", "9"), ("abcdef", "a"), ("ghijklmnopqrstuvwxyz", "z"), ("ABCDEF", "A"), ("GHIJKLMNOPQRSTUVWXYZ", "Z"))
+_CLASS = {c: k for chars, k in _CLASSES for c in chars}
 #: Characters in each class: a class's likelihood is shared among them.
 _SIZE = Counter(_CLASS.values())
+_NAMES = "9azAZ+/_.=-"
+_CODE = np.full(256, len(_NAMES), np.int64)  # a last code for characters outside the alphabet
+for _i, _name in enumerate(_NAMES):
+    _CODE[ord(_name)] = _i
+for _c, _k in _CLASS.items():
+    _CODE[ord(_c)] = _NAMES.index(_k)
+_SHARED = np.array([-math.log(_SIZE.get(n, 1)) for n in _NAMES] + [0.0])
 
 
 def classes(text: str) -> str:
     return "".join([_CLASS.get(c, c) for c in text])
 
 
+def shape(text: str) -> str:
+    """The classes of a run, repeats squeezed."""
+    return re.sub(r"(.)\1+", r"\1", classes(text), flags=re.DOTALL)
+
+
+def shape_of(column: str) -> Column:
+    """``shape`` as a Spark expression."""
+    members, names = "".join(m for m, _ in _CLASSES), "".join(k * len(m) for m, k in _CLASSES)
+    return F.regexp_replace(F.translate(column, members, names), r"(.)\1+", "$1")
+
+
 # -- grammar inference --------------------------------------------------------
 
 
+class Runs:
+    """Strings side by side, longest first, for scoring position by position."""
+
+    def __init__(self, texts: list[str]):
+        data = [t.encode("latin-1", "replace") for t in texts]
+        self.sizes = np.array([len(d) for d in data], np.int64)
+        self.order = np.argsort(-self.sizes, kind="stable")
+        self.codes = _CODE[np.frombuffer(b"".join(data), np.uint8)]
+        starts = np.cumsum(self.sizes) - self.sizes
+        self.start = starts[self.order]
+        self.longest_first = self.sizes[self.order]
+        # how many strings still have a character at each position
+        self.alive = len(data) - np.searchsorted(self.longest_first[::-1], np.arange(self.sizes.max(initial=0)), "right")
+
+    def shared(self) -> np.ndarray:
+        """Log likelihood of the characters within their classes, per string."""
+        ends = np.concatenate([[0.0], np.cumsum(_SHARED[self.codes])])
+        at = np.cumsum(self.sizes)
+        return ends[at] - ends[at - self.sizes]
+
+
 @dataclass
 class Automaton:
-    """Per state: log probability of stopping, and of each class with the state it leads to."""
+    """Per state: log probability of stopping, and of each class with the state it leads to; the strings' lengths."""
 
     stop: list[float]
     step: list[dict[str, tuple[float, int]]]
+    lengths: Counter
+
+    def tables(self) -> tuple[np.ndarray, np.ndarray]:
+        """(states, classes): log likelihood of each step given that the string goes on, and where it leads."""
+        cost = np.full((len(self.step), len(_NAMES) + 1), UNSEEN)
+        to = np.zeros((len(self.step), len(_NAMES) + 1), np.int64)
+        for s, arcs in enumerate(self.step):
+            going = sum(math.exp(p) for p, _ in arcs.values())
+            # an unseen class leads on as the commonest one does
+            to[s] = max(arcs.values(), default=(0.0, s))[1]
+            for c, (p, t) in arcs.items():
+                if c in _NAMES:
+                    cost[s, _NAMES.index(c)] = max(p - math.log(going), UNSEEN)
+                    to[s, _NAMES.index(c)] = t
+        return cost, to
+
+    def length(self, sizes: np.ndarray) -> np.ndarray:
+        """Log likelihood of lengths: those seen, and a geometric tail for all others."""
+        n = sum(self.lengths.values())
+        mean = sum(k * v for k, v in self.lengths.items()) / n
+        tail = math.log(0.05) - np.log(mean + 1) + sizes * math.log(mean / (mean + 1)) if mean else np.full(len(sizes), UNSEEN)
+        seen = np.array([self.lengths.get(int(k), 0) for k in sizes]) / n
+        return np.logaddexp(np.log(0.95 * seen + 1e-300), tail)
+
+    def score(self, runs: Runs) -> np.ndarray:
+        """Mean log likelihood per character (with the length) of each string."""
+        cost, to = self.tables()
+        state = np.zeros(len(runs.order), np.int64)
+        total = np.zeros(len(runs.order))
+        for at, n in enumerate(runs.alive):
+            code = runs.codes[runs.start[:n] + at]
+            total[:n] += cost[state[:n], code]
+            state[:n] = to[state[:n], code]
+        out = np.empty(len(total))
+        out[runs.order] = total
+        return (out + runs.shared() + self.length(runs.sizes)) / (runs.sizes + 1)
 
     def per_character(self, text: str) -> float:
-        """Mean log likelihood per character (with the stop) of a string."""
-        state, total = 0, 0.0
-        for c in classes(text):
-            go = self.step[state].get(c)
-            if go is None:
-                total += UNSEEN - math.log(_SIZE.get(c, 1))
-                state = 0
-            else:
-                total += go[0] - math.log(_SIZE.get(c, 1))
-                state = go[1]
-        return (total + self.stop[state]) / (len(text) + 1)
+        return float(self.score(Runs([text]))[0])
+
+
+@dataclass
+class Scorer:
+    """Automata of the labels, and the background: an automaton of ordinary runs and the frequent shapes."""
+
+    labels: list[Automaton]
+    ordinary: Automaton | None
+    shapes: dict[str, float]  # log share of all runs
+
+    def background(self, texts: list[str], runs: Runs) -> np.ndarray:
+        share = np.array([self.shapes.get(shape(t), -np.inf) if len(t) <= 255 else -np.inf for t in texts])
+        by_shape = (share - math.log(SHAPE_SPREAD) + runs.shared()) / (runs.sizes + 1)
+        return np.maximum(by_shape, self.ordinary.score(runs))
+
+    def secrets(self, texts: list[str], margin: float = MARGIN) -> np.ndarray:
+        """Which runs are likelier as a credential than as an ordinary run."""
+        if not texts or not self.labels or self.ordinary is None:
+            return np.zeros(len(texts), bool)
+        runs = Runs(texts)
+        best = np.maximum.reduce([a.score(runs) for a in self.labels])
+        return best - self.background(texts, runs) >= margin
 
 
 def infer(strings: list[str], alpha: float = ALPHA) -> Automaton:
@@ -168,6 +273,7 @@ def infer(strings: list[str], alpha: float = ALPHA) -> Automaton:
     return Automaton(
         [math.log(ends[s] / seen[s]) if ends[s] else UNSEEN for s in red],
         [{c: (math.log(n / seen[s]), number[t]) for c, (t, n) in arcs[s].items()} for s in red],
+        Counter(map(len, strings)),
     )
 
 
@@ -228,53 +334,79 @@ def read_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return rows.mapInArrow(step, f"doc_id {id_type}, spans {_SPAN}")
 
 
-def train(found: DataFrame, sample: int = SAMPLE) -> list[Automaton | None]:
-    """An automaton per label, and last the one of ordinary runs, from at most ``sample`` strings each."""
-    values = found.select(F.explode("spans").alias("s")).select("s.kind", F.substring("s.value", 1, 4 * HEX_LENGTH).alias("value"))
-    out: list[Automaton | None] = []
-    for kind in range(len(KINDS) + 1):
-        some = values.where(F.col("kind") == kind).select("value").distinct().orderBy(F.xxhash64("value"), "value").limit(sample)
-        strings = [r.value for r in some.collect()]
-        out.append(infer(strings) if strings else None)
+def _sample(values: DataFrame, kind: int, sample: int) -> list[str]:
+    """Different strings of a kind with the smallest hashes; whole ones, up to ``SAMPLE_CHARACTERS`` together.
+
+    The number of different strings tells which hashes may be among the
+    smallest (with room to spare), so only about ``2 * sample`` rows are moved.
+    """
+    mine = values.where(F.col("kind") == kind)
+    h = F.xxhash64("value")
+    about = mine.agg(F.approx_count_distinct("value", 0.02)).first()[0]
+    if about > 2 * sample:
+        mine = mine.where(h < F.lit(int(-(1 << 63) + (1 << 64) * 2 * sample / about)))
+    some = mine.where(F.length("value") <= SAMPLE_CHARACTERS).select("value").distinct().orderBy(h, "value").limit(sample)
+    out, held = [], 0
+    for r in some.collect():
+        if held + len(r.value) <= SAMPLE_CHARACTERS:
+            out.append(r.value)
+            held += len(r.value)
     return out
 
 
-def is_secret(run: str, automata: list[Automaton | None], margin: float = MARGIN) -> bool:
-    *labels, ordinary = automata
-    best = max((a.per_character(run) for a in labels if a), default=None)
-    return best is not None and ordinary is not None and best - ordinary.per_character(run) >= margin
+def frequent_shapes(values: DataFrame) -> dict[str, float]:
+    """Shapes of one in ``SHAPE_SHARE`` ordinary runs and ``SHAPE_VALUES`` different values at least: log share.
+
+    At most ``SHAPE_SHARE`` of them. Values are told apart by 63 hash buckets.
+    """
+    ordinary = values.where(F.col("kind") == len(KINDS))
+    n = ordinary.count()
+    bucket = F.expr("shiftleft(1L, cast(pmod(xxhash64(value), 63) as int))")
+    counted = (
+        ordinary.select(F.when(F.length("value") <= 255, shape_of("value")).alias("shape"), bucket.alias("bucket"))
+        .where(F.length("shape") <= SHAPE_LENGTH)
+        .groupBy("shape")
+        .agg(F.count(F.lit(1)).alias("n"), F.bit_or("bucket").alias("buckets"))
+        .where((F.bit_count("buckets") >= SHAPE_VALUES) & (F.col("n") * SHAPE_SHARE >= n))
+    )
+    return {r["shape"]: math.log(r["n"] / n) for r in counted.collect()}
+
+
+def train(found: DataFrame, sample: int = SAMPLE) -> Scorer:
+    """An automaton per label that has examples, from at most ``sample`` strings each, and the background."""
+    values = found.select(F.explode("spans").alias("s")).select("s.kind", "s.value")
+    strings = [_sample(values, kind, sample) for kind in range(len(KINDS) + 1)]
+    automata = [infer(some) if some else None for some in strings]
+    return Scorer([a for a in automata[:-1] if a], automata[-1], frequent_shapes(values))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", margin: float = MARGIN) -> DataFrame:
     """One row per document: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_inferred."""
     found = stored(read_texts(docs, id_col, text_col), "secret-spans")
-    automata = train(found)
+    scorer = found.sparkSession.sparkContext.broadcast(train(found))  # bounded by the sample and SHAPE_SHARE
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decided: dict[str, bool] = {}
-
-        def secret(run: str) -> bool:
-            if (known := decided.get(run)) is not None:
-                return known
-            found = is_secret(run, automata, margin)
-            if len(run) <= REMEMBERED_LENGTH:
-                if len(decided) >= REMEMBERED:
-                    decided.clear()
-                decided[run] = found
-            return found
-
-        for batch in _slices(batches):
+        for batch in batches:
+            # each different candidate of the batch is scored once
+            spans = batch.column(1).flatten()
+            value, kind = spans.field("value"), spans.field("kind").to_numpy(zero_copy_only=False)
+            runs = value.filter(pa.array(kind == len(KINDS))).unique().to_pylist()
+            good = set(np.array(runs, dtype=object)[scorer.value.secrets(runs, margin)].tolist()) if runs else set()
+            yield from told(batch, good)
+
+    def told(rows: pa.RecordBatch, good: set[str]) -> Iterator[pa.RecordBatch]:
+        for batch in _slices([rows]):
             counts, shas, lines, added = [[], [], []], [], [], []
             for spans in batch.column(1).to_pylist():
                 base = [s for s in spans if s["kind"] < 3]
-                more = [s for s in spans if s["kind"] == 3 and secret(s["value"])]
+                more = [s for s in spans if s["kind"] == 3 and s["value"] in good]
                 for k in range(3):
                     counts[k].append(sum(s["kind"] == k for s in base))
                 names = (*KINDS, "inferred")
-                told = lambda some: ",".join(f"{names[s['kind']]}:{s['start']}:{s['end']}" for s in some)
-                shas.append(hashlib.sha256(told(base).encode()).hexdigest())
-                lines.append(told(sorted(base + more, key=lambda s: (s["start"], s["kind"]))))
+                listed = lambda some: ",".join(f"{names[s['kind']]}:{s['start']}:{s['end']}" for s in some)
+                shas.append(hashlib.sha256(listed(base).encode()).hexdigest())
+                lines.append(listed(sorted(base + more, key=lambda s: (s["start"], s["kind"]))))
                 added.append(len(more))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *[pa.array(c, pa.int64()) for c in counts], pa.array(shas, pa.string()), pa.array(lines, pa.string()), pa.array(added, pa.int64())],

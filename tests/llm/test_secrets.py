@@ -1,7 +1,10 @@
 import hashlib
+import math
 import random
 import re
 
+import numpy as np
+
 from sylva.llm import secrets
 
 from .conftest import ODD
@@ -124,3 +127,63 @@ def test_odd_rows(odd):
 
 def test_empty(empty):
     assert secrets.scan(empty).collect() == []
+
+
+def test_recall_on_held_out_credentials_and_no_addresses():
+    """Half of the labelled credentials train; the other half, without label and prefix, is found. Addresses are not."""
+    import duckdb
+
+    texts = [t or "" for (t,) in duckdb.sql("SELECT text FROM read_parquet('/root/testdata/sf0.1/documents.parquet')").fetchall()]
+    found, runs, labelled = [], [], {0: set(), 1: set(), 2: set()}
+    for text in texts:
+        base = secrets.base_spans(text)
+        for _, kind, _, value in base:
+            labelled[kind].add(value)
+        runs += [v for _, _, v in secrets.other_runs(text, base)]
+    halves = [(sorted(v)[::2], sorted(v)[1::2]) for v in labelled.values()]
+    counts = {}
+    for r in runs:
+        counts.setdefault(secrets.shape(r), []).append(r)
+    shapes = {
+        s: math.log(len(v) / len(runs))
+        for s, v in counts.items()
+        if len(s) <= secrets.SHAPE_LENGTH and len(set(v)) >= secrets.SHAPE_VALUES and len(v) * secrets.SHAPE_SHARE >= len(runs)
+    }
+    known = random.Random(1).sample(sorted(set(runs)), secrets.SAMPLE)
+    scorer = secrets.Scorer([secrets.infer(a) for a, _ in halves if a], secrets.infer(known), shapes)
+    held_out = [v for _, b in halves for v in b]
+    assert len(held_out) > 100 and scorer.secrets(held_out).mean() >= 0.9
+    address = re.compile(r"[0-9]{1,3}(\.[0-9]{1,3}){3}")
+    distinct = sorted(set(runs))
+    flagged = [r for r, bad in zip(distinct, scorer.secrets(distinct)) if bad]
+    assert sum(address.fullmatch(r) is not None for r in distinct) > 50
+    assert not any(address.fullmatch(r) for r in flagged) and len(flagged) < len(distinct) / 10_000
+
+
+def test_batch_scores_equal_a_plain_walk():
+    rng = random.Random(5)
+    alphabet = "0123456789abcdefghXYZ+/_.=-"
+    some = [rand(rng, alphabet, rng.randint(8, 30)) for _ in range(200)]
+    a = secrets.infer(some[:100])
+    cost, to = a.tables()
+    for text, got in zip(some, a.score(secrets.Runs(some))):
+        state, total = 0, 0.0
+        for c in text:
+            k = secrets._CODE[ord(c)]
+            total += cost[state, k] + secrets._SHARED[k]
+            state = to[state, k]
+        assert abs((total + a.length(np.array([len(text)]))[0]) / (len(text) + 1) - got) < 1e-9
+
+
+def test_one_wrong_character_keeps_the_format():
+    rng = random.Random(2)
+    up = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    a = secrets.infer(["AKIA" + rand(rng, up, 16) for _ in range(300)])
+    assert a.per_character("ZKIA" + "Q7" * 8) > a.per_character("AKIA" + "Q7" * 8) - 1.2
+    assert a.length(np.array([20]))[0] > a.length(np.array([19]))[0] + 3  # all of one length
+
+
+def test_spark_shape_equals_the_plain_one(shared):
+    some = ["169.122.221.182", "aaBBccXX99", "555-3756", "x" * 20, "A-_=+/.z9"]
+    got = shared.createDataFrame([(s,) for s in some], "value string").select("value", secrets.shape_of("value").alias("s")).collect()
+    assert {r.value: r.s for r in got} == {s: secrets.shape(s) for s in some}
