@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 import struct
 import uuid
 import zlib
@@ -44,10 +45,15 @@ END_ID = 2
 #: The dictionary: its size, and the bound of its training sample.
 DICTIONARY_BYTES = 64 * 1024
 SAMPLE_DOCUMENTS = 1000
-SAMPLE_BYTES = 32 * 1024
+#: Of a chosen document's whole id array, so many pieces of so many bytes, evenly spread, are trained on.
+SAMPLE_PIECES, PIECE_BYTES = 8, 4096
 SHARD_BYTES = 8 << 20
+#: Shards that one task of the write cuts, about.
+SHARDS_PER_TASK = 2
+#: zstandard level: with a trained dictionary on short arrays higher ones gain little.
+LEVEL = 1
 #: Words whose ids a Python worker remembers, in each of two generations.
-WORD_CACHE = 500_000
+WORD_CACHE = 200_000
 
 MAGIC = b"SYTOKENS"
 _HEADER = struct.Struct("<8sHHI32s")
@@ -57,6 +63,11 @@ _ENTRY = np.dtype([("has_id", "u1"), ("id", "<i8"), ("offset", "<u8"), ("length"
 
 # -- encoding -----------------------------------------------------------------
 
+#: Letters of Latin-1, then ASCII marks but the apostrophe.
+_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)")
+#: Byte-level tokenizers write a byte that is no visible Latin-1 character as chr(256 + its rank among those).
+_STAND_IN = {b: 256 + rank for rank, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174))}
+
 
 class WordEncoder:
     """Whole-text encoding through a cache of words.
@@ -74,6 +85,7 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.kind = f"<u{self.width}"
+        self.code = "H" if self.width == 2 else "I"
         self.end = np.array([END_ID], self.kind).tobytes()
         self.recent: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
@@ -85,17 +97,25 @@ class WordEncoder:
         return cls._by_path[path]
 
     def _plain(self, word: str) -> bytes | None:
-        """Ids of ASCII letters with at most one point or comma behind them, from the model itself.
+        """Ids of Latin-1 letters with any ASCII marks behind them (no apostrophe), from the model itself.
 
-        Normalising would only lower-case such a word, and splitting only part the mark from it.
+        Normalising only lower-cases such a word (its letters are composed
+        already), splitting only parts the marks from it, and bytes stand for
+        themselves or for the tokenizer's stand-ins of ``_STAND_IN``.
         """
-        core = word[:-1] if word[-1:] in (".", ",") else word
-        if not (core.isascii() and core.isalpha()):
+        parts = _PLAIN.fullmatch(word)
+        if parts is None:
             return None
-        tokens = self.tokenizer.model.tokenize(core.lower())
-        if len(core) < len(word):
-            tokens += self.tokenizer.model.tokenize(word[-1])
-        return np.array([t.id for t in tokens], self.kind).tobytes()
+        letters, marks = parts.groups()
+        if not letters.isascii():
+            letters = letters.lower().encode().decode("latin-1").translate(_STAND_IN)
+        else:
+            letters = letters.lower()
+        tokenize = self.tokenizer.model.tokenize
+        ids = [t.id for t in tokenize(letters)]
+        if marks:
+            ids += [t.id for t in tokenize(marks)]
+        return struct.pack(f"<{len(ids)}{self.code}", *ids)
 
     def _learn(self, words: list[str]) -> None:
         """Remember the ids of ``words``; the words used least recently are forgotten."""
@@ -114,9 +134,11 @@ class WordEncoder:
 
     def encode(self, text: str) -> bytes:
         words = text.replace("\n", " ").split(" ")
-        self._learn(words)
-        recent = self.recent
-        return b"".join([recent[w] for w in words]) + self.end
+        try:
+            return b"".join(map(self.recent.__getitem__, words)) + self.end
+        except KeyError:  # a word that is not remembered
+            self._learn(words)
+        return b"".join(map(self.recent.__getitem__, words)) + self.end
 
 
 # -- shards -------------------------------------------------------------------
@@ -232,22 +254,41 @@ class TokenStore:
         )
 
 
-def _dictionary(docs: DataFrame, id_col: str, text_col: str, tokenizer: str) -> bytes:
-    """Train on the documents with the smallest hashes of their ids, in one bounded task."""
+def pieces_of(ids: bytes, width: int) -> list[bytes]:
+    """Up to ``SAMPLE_PIECES`` pieces of an id array, from places spread over all of it."""
+    if len(ids) <= SAMPLE_PIECES * PIECE_BYTES:
+        return [ids]
+    last = (len(ids) - PIECE_BYTES) // width
+    return [ids[at * width : at * width + PIECE_BYTES] for at in (k * last // (SAMPLE_PIECES - 1) for k in range(SAMPLE_PIECES))]
 
-    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder.at(tokenizer)
-        samples = [encoder.encode(t or "")[:SAMPLE_BYTES] for b in batches for t in b.column(0).to_pylist()]
-        yield pa.RecordBatch.from_arrays([pa.array([train_dictionary(samples)])], ["dictionary"])
 
+def _dictionary(docs: DataFrame, id_col: str, text_col: str, tokenizer: str) -> bytes:
+    """Train on the documents with the smallest hashes of their ids.
+
+    The hashes are chosen first, so only the chosen texts are moved; they are
+    encoded whole where they lie, and one task trains on their pieces.
+    """
+    h = F.xxhash64(id_col)
+    highest = docs.select(h.alias("h")).orderBy("h").limit(SAMPLE_DOCUMENTS).agg(F.max("h")).first()[0]
     chosen = (
-        docs.select(F.col(text_col).cast("string").alias("text"), F.xxhash64(id_col).alias("h"))
-        .orderBy("h", F.xxhash64("text"))
+        docs.where(h <= F.lit(highest if highest is not None else 0))
+        .select(F.col(text_col).cast("string").alias("text"), h.alias("h"))
+        .orderBy("h", F.xxhash64("text"))  # repeated ids share a hash
         .limit(SAMPLE_DOCUMENTS)
-        .select(F.substring("text", 1, SAMPLE_BYTES).alias("text"))
-        .coalesce(1)
     )
-    return bytes(chosen.mapInArrow(step, "dictionary binary").first()[0])
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = WordEncoder.at(tokenizer)
+        for b in batches:
+            for text in b.column(0).to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(pieces_of(encoder.encode(text or ""), encoder.width), pa.binary())], ["piece"])
+
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        samples = [piece for b in batches for piece in b.column(0).to_pylist()]
+        yield pa.RecordBatch.from_arrays([pa.array([train_dictionary(samples)])], ["dictionary"])
+
+    pieces = chosen.select("text").mapInArrow(encode, "piece binary")
+    return bytes(pieces.coalesce(1).mapInArrow(train, "dictionary binary").first()[0])
 
 
 def write(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = SHARD_BYTES, path: str | None = None) -> TokenStore:
@@ -261,7 +302,7 @@ def write(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
         import zstandard
 
         encoder = WordEncoder.at(tokenizer)
-        zstd = zstandard.ZstdCompressor(level=3, dict_data=dictionary_of(dictionary))
+        zstd = zstandard.ZstdCompressor(level=LEVEL, dict_data=dictionary_of(dictionary))
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
@@ -309,7 +350,7 @@ def write(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
             yield shard()
 
     total = frames.agg(F.sum(F.octet_length("frame"))).first()[0] or 0
-    parts = max(1, -(-total // shard_bytes))
+    parts = max(1, -(-total // (SHARDS_PER_TASK * shard_bytes)))
     ordered = frames.repartitionByRange(parts, "doc_id", "crc").sortWithinPartitions("doc_id", "crc")
     path = path or f"{checkpoint_dir(spark).rstrip('/')}/token-store-{uuid.uuid4().hex}"
     ordered.mapInArrow(cut, "part int, seq int, n_docs long, n_tokens long, payload binary").write.parquet(f"{path}/shards")

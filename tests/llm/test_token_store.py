@@ -82,3 +82,20 @@ def test_odd_rows(odd, library):
 
 def test_empty(empty):
     assert token_store.write(empty, FILE).read().collect() == []
+
+
+def test_plain_words_equal_the_library():
+    import random
+
+    from tokenizers import Tokenizer
+
+    rng = random.Random(9)
+    letters = "abcxyzABCXYZ" + "".join(chr(c) for c in range(0xC0, 0x100) if c not in (0xD7, 0xF7))
+    marks = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and c != 39)
+    words = ["".join(rng.choices(letters, k=rng.randint(1, 12))) + "".join(rng.choices(marks, k=rng.choice([0, 0, 1, 2, 3]))) for _ in range(20_000)]
+    words += [*letters, *(f"a{m}" for m in marks), "x<|", "ab<|>", "É" * 50 + "!?"]
+    encoder, library = token_store.WordEncoder(FILE), Tokenizer.from_file(FILE)
+    for word, want in zip(words, library.encode_batch_fast(words, add_special_tokens=False)):
+        assert encoder._plain(word) == np.array(want.ids, "<u2").tobytes(), word
+    for word in ("it's", "a1", "don't", "ªb", "µm", "x×y", "a b", "a\tb", "é", "İ", "<|endoftext|>"):
+        assert encoder._plain(word) is None
