@@ -24,7 +24,7 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a scratch one only when unset (tests).
+    """The cluster's shared checkpoint folder; a scratch one only when unset in local mode (tests).
 
     Reads ``spark.checkpoint.dir`` from the session (runtime or context
     configuration) and makes sure the context uses it for ``checkpoint()``.
@@ -37,6 +37,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it must name a folder that all machines share")
     path = tempfile.mkdtemp(prefix="sylva-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
