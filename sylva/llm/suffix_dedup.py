@@ -260,7 +260,9 @@ def _packed(place: np.ndarray, most: np.ndarray, least: np.ndarray) -> np.ndarra
 
 
 def _anchor_rows(texts: DataFrame, length: int, gram: int) -> DataFrame:
-    """(h, key, at) of every anchor; ``at`` packs its place and its windows' reach."""
+    """(h, key, at) of every anchor; ``at`` packs its place and its windows' reach, a byte each."""
+    if not 0 < gram <= length <= gram + 255:
+        raise ValueError(f"the length must be from {gram} to {gram + 255} bytes with anchors of {gram}")
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

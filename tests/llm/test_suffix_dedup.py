@@ -102,3 +102,8 @@ def test_copies_lose_all_and_near_copies_their_passage(make_docs):
 
 def test_empty(empty):
     assert suffix_dedup.dedup(empty).collect() == []
+
+
+def test_lengths_beyond_the_packed_reach_are_refused(make_docs):
+    with pytest.raises(ValueError, match="the length must be"):
+        suffix_dedup.dedup(make_docs([(1, "a")]), length=400)
