@@ -65,7 +65,8 @@ HEX = re.compile(rf"[0-9a-f]{{{HEX_LENGTH},}}")
 
 #: Shortest candidate, and the runs: as the values of the assign pattern.
 MIN_RUN = ASSIGN_LENGTH
-RUN = re.compile(rf"[A-Za-z0-9+/_.=-]{{{MIN_RUN},}}")
+#: Words that a match of the assign pattern begins with, in lower case.
+LEADS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 #: Rows turned into Python values at a time.
 SLICE = 512
 #: Training strings per label and their characters together, and the confidence of the merging test.
@@ -92,6 +93,11 @@ for _i, _name in enumerate(_NAMES):
     _CODE[ord(_name)] = _i
 for _c, _k in _CLASS.items():
     _CODE[ord(_c)] = _NAMES.index(_k)
+#: Characters of the base's alphabet, by their Latin-1 code.
+_RUN = _CODE < len(_NAMES)
+#: Shapes as numbers: a digit per squeezed class, exact in a float up to SHAPE_LENGTH digits.
+_SHAPE_BASE = len(_NAMES) + 2
+_POWERS = float(_SHAPE_BASE) ** np.arange(SHAPE_LENGTH)
 _SHARED = np.array([-math.log(_SIZE.get(n, 1)) for n in _NAMES] + [0.0])
 
 
@@ -104,6 +110,10 @@ def shape(text: str) -> str:
     return re.sub(r"(.)\1+", r"\1", classes(text), flags=re.DOTALL)
 
 
+def _shape_number(name: str) -> float:
+    return float(sum((_NAMES.find(c) % (len(_NAMES) + 1) + 1) * _SHAPE_BASE**k for k, c in enumerate(name)))
+
+
 def shape_of(column: str) -> Column:
     """``shape`` as a Spark expression."""
     members, names = "".join(m for m, _ in _CLASSES), "".join(k * len(m) for m, k in _CLASSES)
@@ -116,16 +126,22 @@ def shape_of(column: str) -> Column:
 class Runs:
     """Strings side by side, longest first, for scoring position by position."""
 
-    def __init__(self, texts: list[str]):
-        data = [t.encode("latin-1", "replace") for t in texts]
-        self.sizes = np.array([len(d) for d in data], np.int64)
+    def __init__(self, texts: list[str] | pa.StringArray):
+        if isinstance(texts, pa.StringArray):  # runs of the alphabet: a byte per character
+            ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
+            data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+            self.sizes = np.diff(ends).astype(np.int64)
+        else:
+            raw = [t.encode("latin-1", "replace") for t in texts]
+            data = np.frombuffer(b"".join(raw), np.uint8)
+            self.sizes = np.array([len(d) for d in raw], np.int64)
         self.order = np.argsort(-self.sizes, kind="stable")
-        self.codes = _CODE[np.frombuffer(b"".join(data), np.uint8)]
+        self.codes = _CODE[data]
         starts = np.cumsum(self.sizes) - self.sizes
         self.start = starts[self.order]
         self.longest_first = self.sizes[self.order]
         # how many strings still have a character at each position
-        self.alive = len(data) - np.searchsorted(self.longest_first[::-1], np.arange(self.sizes.max(initial=0)), "right")
+        self.alive = len(self.sizes) - np.searchsorted(self.longest_first[::-1], np.arange(self.sizes.max(initial=0)), "right")
 
     def shared(self) -> np.ndarray:
         """Log likelihood of the characters within their classes, per string."""
@@ -133,6 +149,19 @@ class Runs:
         at = np.cumsum(self.sizes)
         return ends[at] - ends[at - self.sizes]
 
+    def shapes(self) -> np.ndarray:
+        """Number of each string's shape; -1 for one of more than ``SHAPE_LENGTH`` classes."""
+        of = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        new = np.ones(len(self.codes), bool)
+        new[1:] = (self.codes[1:] != self.codes[:-1]) | (of[1:] != of[:-1])
+        at = np.flatnonzero(new)
+        of = of[at]
+        count = np.bincount(of, minlength=len(self.sizes))
+        rank = np.arange(len(at)) - (np.cumsum(count) - count)[of]
+        short = rank < SHAPE_LENGTH
+        digits = (self.codes[at[short]] + 1) * _POWERS[rank[short]]
+        return np.where(count <= SHAPE_LENGTH, np.bincount(of[short], digits, len(self.sizes)), -1.0)
+
 
 @dataclass
 class Automaton:
@@ -160,9 +189,10 @@ class Automaton:
         """Log likelihood of lengths: those seen, and a geometric tail for all others."""
         n = sum(self.lengths.values())
         mean = sum(k * v for k, v in self.lengths.items()) / n
+        sizes, place = np.unique(sizes, return_inverse=True)
         tail = math.log(0.05) - np.log(mean + 1) + sizes * math.log(mean / (mean + 1)) if mean else np.full(len(sizes), UNSEEN)
         seen = np.array([self.lengths.get(int(k), 0) for k in sizes]) / n
-        return np.logaddexp(np.log(0.95 * seen + 1e-300), tail)
+        return np.logaddexp(np.log(0.95 * seen + 1e-300), tail)[place]
 
     def score(self, runs: Runs) -> np.ndarray:
         """Mean log likelihood per character (with the length) of each string."""
@@ -189,18 +219,22 @@ class Scorer:
     ordinary: Automaton | None
     shapes: dict[str, float]  # log share of all runs
 
-    def background(self, texts: list[str], runs: Runs) -> np.ndarray:
-        share = np.array([self.shapes.get(shape(t), -np.inf) if len(t) <= 255 else -np.inf for t in texts])
+    def background(self, runs: Runs) -> np.ndarray:
+        number = sorted((_shape_number(name), share) for name, share in self.shapes.items())
+        numbers, shares = np.array([*[n for n, _ in number], np.inf]), np.array([*[s for _, s in number], -np.inf])
+        mine = runs.shapes()
+        at = np.searchsorted(numbers, mine)
+        share = np.where((numbers[at] == mine) & (runs.sizes <= 255), shares[at], -np.inf)
         by_shape = (share - math.log(SHAPE_SPREAD) + runs.shared()) / (runs.sizes + 1)
         return np.maximum(by_shape, self.ordinary.score(runs))
 
-    def secrets(self, texts: list[str], margin: float = MARGIN) -> np.ndarray:
+    def secrets(self, texts: list[str] | pa.StringArray, margin: float = MARGIN) -> np.ndarray:
         """Which runs are likelier as a credential than as an ordinary run."""
-        if not texts or not self.labels or self.ordinary is None:
+        if not len(texts) or not self.labels or self.ordinary is None:
             return np.zeros(len(texts), bool)
         runs = Runs(texts)
         best = np.maximum.reduce([a.score(runs) for a in self.labels])
-        return best - self.background(texts, runs) >= margin
+        return best - self.background(runs) >= margin
 
 
 def infer(strings: list[str], alpha: float = ALPHA) -> Automaton:
@@ -280,28 +314,79 @@ def infer(strings: list[str], alpha: float = ALPHA) -> Automaton:
 # -- scanning -----------------------------------------------------------------
 
 
+def _assigns(text: str) -> Iterator[re.Match]:
+    """Matches of the assign pattern, tried only where one of its words stands."""
+    low = text.lower()
+    if len(low) != len(text):  # a letter that is two in lower case: places differ
+        yield from ASSIGN.finditer(text)
+        return
+    places = []
+    for lead in LEADS:
+        at = low.find(lead)
+        while at >= 0:
+            places.append(at)
+            at = low.find(lead, at + 1)
+    reach = 0
+    for at in sorted(places):
+        if at >= reach and (m := ASSIGN.match(text, at)):
+            yield m
+            reach = m.end()
+
+
+def _edges(inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of each stretch of true values."""
+    edge = np.flatnonzero(np.diff(inside.view(np.int8), prepend=0, append=0))
+    return edge[::2], edge[1::2]
+
+
+def _laid_out(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The texts as one byte per code point, a blank after each; where each begins; which bytes are of the alphabet."""
+    data = np.frombuffer(" ".join([*texts, ""]).encode("latin-1", "replace"), np.uint8)
+    return data, np.cumsum([0, *[len(t) + 1 for t in texts]]), _RUN[data]
+
+
+def _base(texts: list[str], begin: np.ndarray, inside: np.ndarray) -> list[list[tuple[int, int, int, str]]]:
+    """(start, kind, end, credential) of the base matches of each text, in order."""
+    out = []
+    for t in texts:
+        out.append([(m.start(), 0, m.end(), m[2]) for m in _assigns(t) if len(m[2]) >= ASSIGN_LENGTH])
+        out[-1] += [(m.start(), 1, m.end(), m[0]) for m in ACCESS.finditer(t)]
+    start, end = _edges(inside)
+    long = end - start >= HEX_LENGTH  # a hex match lies within one run
+    for a, b in zip(start[long].tolist(), end[long].tolist()):
+        k = int(np.searchsorted(begin, a, "right")) - 1
+        at = int(begin[k])
+        out[k] += [(m.start(), 2, m.end(), m[0]) for m in HEX.finditer(texts[k], a - at, b - at)]
+    return [sorted(spans) for spans in out]
+
+
+def _others(begin: np.ndarray, inside: np.ndarray, base: list[list[tuple[int, int, int, str]]]):
+    """What the base spans leave of the runs, in pieces of ``MIN_RUN`` or more: text, start and end of each, and their bytes' places."""
+    inside = inside.copy()
+    for at, spans in zip(begin.tolist(), base):
+        for a, _, b, _ in spans:
+            inside[at + a : at + b] = False
+    start, end = _edges(inside)
+    long = end - start >= MIN_RUN
+    start, end = start[long], end[long]
+    step = np.zeros(len(inside) + 1, np.int8)
+    step[start] = 1
+    step[end] = -1
+    text = np.searchsorted(begin, start, "right") - 1
+    return text, start - begin[text], end - begin[text], np.cumsum(step[:-1], dtype=np.int8).view(bool)
+
+
 def base_spans(text: str) -> list[tuple[int, int, int, str]]:
-    """(start, kind, end, credential) of the base matches, in order."""
-    out = [(m.start(), 0, m.end(), m[2]) for m in ASSIGN.finditer(text) if len(m[2]) >= ASSIGN_LENGTH]
-    out += [(m.start(), 1, m.end(), m[0]) for m in ACCESS.finditer(text)]
-    out += [(m.start(), 2, m.end(), m[0]) for m in HEX.finditer(text)]
-    return sorted(out)
+    """``_base`` of one text."""
+    _, begin, inside = _laid_out([text])
+    return _base([text], begin, inside)[0]
 
 
 def other_runs(text: str, spans: list[tuple[int, int, int, str]]) -> list[tuple[int, int, str]]:
-    """What the base spans leave of the runs of credential characters, in pieces of ``MIN_RUN`` or more."""
-    out, k, reach = [], 0, 0
-    for m in RUN.finditer(text):
-        at = max(m.start(), reach)
-        while k < len(spans) and spans[k][0] < m.end():
-            if spans[k][0] - at >= MIN_RUN:
-                out.append((at, spans[k][0], text[at : spans[k][0]]))
-            reach = max(reach, spans[k][2])
-            at = max(at, reach)
-            k += 1
-        if m.end() - at >= MIN_RUN:
-            out.append((at, m.end(), text[at : m.end()]))
-    return out
+    """``_others`` of one text."""
+    _, begin, inside = _laid_out([text])
+    _, start, end, _ = _others(begin, inside, [spans])
+    return [(a, b, text[a:b]) for a, b in zip(start.tolist(), end.tolist())]
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -310,37 +395,48 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(at, SLICE)
 
 
-_SPAN = "array<struct<start:int,end:int,kind:int,value:string>>"
+_BASE = "array<struct<start:int,end:int,kind:int,value:string>>"
+_OTHER = "array<struct<start:int,end:int,value:string>>"
 
 
 def read_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The one pass over the texts: doc_id, and the base spans and other runs (kind 3) as ``spans``."""
+    """The one pass over the texts: doc_id, the base spans as ``base`` and the other runs as ``runs``."""
     ship_package(docs.sparkSession)
     id_type = docs.schema[id_col].dataType.simpleString()
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.int32()), ("value", pa.string())]))
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches):
-            rows = []
-            for text in batch.column(1).to_pylist():
-                base = base_spans(text or "")
-                rows.append(
-                    [{"start": a, "end": b, "kind": k, "value": v} for a, k, b, v in base]
-                    + [{"start": a, "end": b, "kind": 3, "value": v} for a, b, v in other_runs(text or "", base)]
-                )
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, kind)], ["doc_id", "spans"])
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            data, begin, inside = _laid_out(texts)
+            base = _base(texts, begin, inside)
+            doc, start, end, kept = _others(begin, inside, base)
+            rows = [[{"start": a, "end": b, "kind": k, "value": v} for a, k, b, v in some] for some in base]
+            value = pa.StringArray.from_buffers(
+                len(start), pa.py_buffer(np.append(0, np.cumsum(end - start)).astype(np.int32)), pa.py_buffer(data[kept])
+            )
+            flat = pa.StructArray.from_arrays([pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32)), value], ["start", "end", "value"])
+            ends = np.searchsorted(doc, np.arange(batch.num_rows + 1)).astype(np.int32)
+            runs = pa.ListArray.from_arrays(pa.array(ends), flat)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, kind), runs], ["doc_id", "base", "runs"])
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(step, f"doc_id {id_type}, spans {_SPAN}")
+    return rows.mapInArrow(step, f"doc_id {id_type}, base {_BASE}, runs {_OTHER}")
+
 
+def _values(found: DataFrame, kind: int) -> DataFrame:
+    """The credentials of a kind, or (kind 3) the other runs."""
+    if kind == len(KINDS):
+        return found.select(F.explode("runs.value").alias("value"))
+    return found.select(F.explode("base").alias("s")).where(F.col("s.kind") == kind).select("s.value")
 
-def _sample(values: DataFrame, kind: int, sample: int) -> list[str]:
-    """Different strings of a kind with the smallest hashes; whole ones, up to ``SAMPLE_CHARACTERS`` together.
+
+def _sample(mine: DataFrame, sample: int) -> list[str]:
+    """Different strings with the smallest hashes; whole ones, up to ``SAMPLE_CHARACTERS`` together.
 
     The number of different strings tells which hashes may be among the
     smallest (with room to spare), so only about ``2 * sample`` rows are moved.
     """
-    mine = values.where(F.col("kind") == kind)
     h = F.xxhash64("value")
     about = mine.agg(F.approx_count_distinct("value", 0.02)).first()[0]
     if about > 2 * sample:
@@ -354,12 +450,11 @@ def _sample(values: DataFrame, kind: int, sample: int) -> list[str]:
     return out
 
 
-def frequent_shapes(values: DataFrame) -> dict[str, float]:
+def frequent_shapes(ordinary: DataFrame) -> dict[str, float]:
     """Shapes of one in ``SHAPE_SHARE`` ordinary runs and ``SHAPE_VALUES`` different values at least: log share.
 
     At most ``SHAPE_SHARE`` of them. Values are told apart by 63 hash buckets.
     """
-    ordinary = values.where(F.col("kind") == len(KINDS))
     n = ordinary.count()
     bucket = F.expr("shiftleft(1L, cast(pmod(xxhash64(value), 63) as int))")
     counted = (
@@ -374,10 +469,13 @@ def frequent_shapes(values: DataFrame) -> dict[str, float]:
 
 def train(found: DataFrame, sample: int = SAMPLE) -> Scorer:
     """An automaton per label that has examples, from at most ``sample`` strings each, and the background."""
-    values = found.select(F.explode("spans").alias("s")).select("s.kind", "s.value")
-    strings = [_sample(values, kind, sample) for kind in range(len(KINDS) + 1)]
+    strings = [_sample(_values(found, kind), sample) for kind in range(len(KINDS) + 1)]
     automata = [infer(some) if some else None for some in strings]
-    return Scorer([a for a in automata[:-1] if a], automata[-1], frequent_shapes(values))
+    return Scorer([a for a in automata[:-1] if a], automata[-1], frequent_shapes(_values(found, len(KINDS))))
+
+
+def _listed(spans: list[tuple[int, int, int]]) -> str:
+    return ",".join(f"{(*KINDS, 'inferred')[kind]}:{start}:{end}" for start, kind, end in spans)
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", margin: float = MARGIN) -> DataFrame:
@@ -387,29 +485,28 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", margin
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = hashlib.sha256(b"").hexdigest()
         for batch in batches:
+            runs = batch.column(2)
+            ends = runs.offsets.to_numpy() - runs.offsets[0].as_py()
+            flat = runs.flatten()
             # each different candidate of the batch is scored once
-            spans = batch.column(1).flatten()
-            value, kind = spans.field("value"), spans.field("kind").to_numpy(zero_copy_only=False)
-            runs = value.filter(pa.array(kind == len(KINDS))).unique().to_pylist()
-            good = set(np.array(runs, dtype=object)[scorer.value.secrets(runs, margin)].tolist()) if runs else set()
-            yield from told(batch, good)
-
-    def told(rows: pa.RecordBatch, good: set[str]) -> Iterator[pa.RecordBatch]:
-        for batch in _slices([rows]):
-            counts, shas, lines, added = [[], [], []], [], [], []
-            for spans in batch.column(1).to_pylist():
-                base = [s for s in spans if s["kind"] < 3]
-                more = [s for s in spans if s["kind"] == 3 and s["value"] in good]
-                for k in range(3):
-                    counts[k].append(sum(s["kind"] == k for s in base))
-                names = (*KINDS, "inferred")
-                listed = lambda some: ",".join(f"{names[s['kind']]}:{s['start']}:{s['end']}" for s in some)
-                shas.append(hashlib.sha256(listed(base).encode()).hexdigest())
-                lines.append(listed(sorted(base + more, key=lambda s: (s["start"], s["kind"]))))
-                added.append(len(more))
+            coded = flat.field("value").dictionary_encode()
+            good = scorer.value.secrets(coded.dictionary, margin)[coded.indices.to_numpy()]
+            counts = np.zeros((len(KINDS), batch.num_rows), np.int64)
+            shas, lines = [none] * batch.num_rows, [""] * batch.num_rows
+            added = np.diff(np.append(0, np.cumsum(good))[ends])
+            base_sizes = np.diff(batch.column(1).offsets.to_numpy())
+            for k in np.flatnonzero(base_sizes + added).tolist():
+                spans = [(s["start"], s["kind"], s["end"]) for s in batch.column(1)[k].as_py()]
+                for _, kind, _ in spans:
+                    counts[kind, k] += 1
+                shas[k] = hashlib.sha256(_listed(spans).encode()).hexdigest()
+                for i in (ends[k] + np.flatnonzero(good[ends[k] : ends[k + 1]])).tolist():
+                    spans.append((flat.field("start")[i].as_py(), len(KINDS), flat.field("end")[i].as_py()))
+                lines[k] = _listed(sorted(spans))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *[pa.array(c, pa.int64()) for c in counts], pa.array(shas, pa.string()), pa.array(lines, pa.string()), pa.array(added, pa.int64())],
+                [batch.column(0), *map(pa.array, counts), pa.array(shas), pa.array(lines), pa.array(added, pa.int64())],
                 ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_inferred"],
             )
 

@@ -88,6 +88,26 @@ def test_every_run_is_a_candidate():
     assert left(f"{'g' * 9}{a}{'h' * 7}{a}{'i' * 8}") == ["g" * 9, "i" * 8]
 
 
+def test_vectorised_runs_equal_plain_ones():
+    rng = random.Random(8)
+    parts = ["token=", "AKIA", "0f" * 16, "é", "😀", " ", "İ", "passwd: ", "abcdefgh", "K", "/+x", "\ud800", "SECRET ='"]
+    for _ in range(400):
+        text = "".join(rng.choice(parts) if rng.random() < 0.6 else rand(rng, "aF9=. ", rng.randint(1, 12)) for _ in range(rng.randint(0, 14)))
+        base = secrets.base_spans(text)
+        assert [f"{('assign', 'access', 'hex')[k]}:{a}:{b}" for a, k, b, _ in base] == slow(text)
+        covered = {i for a, _, b, _ in base for i in range(a, b)}
+        masked = "".join(" " if i in covered else c for i, c in enumerate(text))
+        assert secrets.other_runs(text, base) == [(m.start(), m.end(), m[0]) for m in re.finditer(r"[A-Za-z0-9+/_.=-]{8,}", masked)]
+
+
+def test_shape_numbers_equal_plain_shapes():
+    rng = random.Random(9)
+    some = ["", "A" * 300] + [rand(rng, "09afxyAFXY+/_.=-", rng.randint(1, 30)) for _ in range(500)]
+    for text, got in zip(some, secrets.Runs(some).shapes()):
+        name = secrets.shape(text)
+        assert got == (secrets._shape_number(name) if len(name) <= secrets.SHAPE_LENGTH else -1)
+
+
 def test_letters_only_short_and_dotted_keys_are_found(make_docs):
     rng = random.Random(4)
     letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
