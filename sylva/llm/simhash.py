@@ -26,8 +26,9 @@ each round written to the shared checkpoint folder.
 Defined results: null and wordless texts have fingerprint zero, which links
 like any other; a null id never becomes a component id unless the whole
 component has none; repeated rows get equal results; an empty table gives an
-empty result; other columns are not read by ``components``. ``keep_one`` keeps
-rows without an id (no decision can name them) and one row of each kept id.
+empty result; other columns are not read by ``components``. ``keep_one`` decides by row: of
+a component stays the row with the smallest id (rows without one come last),
+then the smallest SHA-256 of its text; of rows equal in both, one stays.
 """
 
 from __future__ import annotations
@@ -42,7 +43,7 @@ from pyspark.sql import functions as F
 
 from sylva.session import ship_package
 
-from .common import stored, text_of
+from .common import fresh, stored, text_of
 
 SHINGLE = 3
 MAX_BITS = 3
@@ -309,8 +310,11 @@ def _hex(fp: Column) -> Column:
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The documents that stay: of each component the one whose id names it; rows without an id stay."""
-    decided = components(docs, id_col, text_col, **options)
-    stay = decided.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(id_col)).distinct()
-    kept = docs.join(stay, id_col, "left_semi").dropDuplicates([id_col])
-    return kept.unionByName(docs.where(F.col(id_col).isNull())).select(*docs.columns)
+    """The documents that stay, with all their columns: one row of each component."""
+    (row,) = fresh(docs, "row")
+    sha = F.unhex(F.sha2(text_of(text_col).cast("string"), 256))
+    keyed = docs.withColumn(row, F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), sha.alias("sha")))
+    # the operator's ids may be of any type: here they are the rows' names
+    decided = components(keyed, row, text_col, **options)
+    stay = decided.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(row)).distinct()
+    return keyed.join(stay, row, "left_semi").dropDuplicates([row]).select(*docs.columns)
