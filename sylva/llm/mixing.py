@@ -18,7 +18,9 @@ Defined results: null source, language or topic is a value of its own; a null
 or blank text has no tokens, weighs nothing and is drawn as often as its
 cell's other documents; a cell with no tokens at all has factor 1 in its own right (it
 moves no marginal); rows with a null id share one draw per text; repeated rows
-are drawn alike; an empty table gives an empty result; other columns are not
+are drawn alike; targets that contradict one another (a marginal still off by more
+than ``ACCEPT``, relatively, after the last round) raise if they were given, and
+without given ones are told in ``deviation``; an empty table gives an empty result; other columns are not
 read by ``plan_sample`` and come back untouched from ``sample``.
 """
 
@@ -36,6 +38,8 @@ EXPONENTS = {"source": 0.5, "lang": 0.7, "topic": 0.7}
 ROUNDS = 20
 STEP = 4
 TOLERANCE = 1e-4
+#: Largest relative deviation of a marginal with which given targets count as met.
+ACCEPT = 0.01
 #: Cells up to this number are broadcast to the documents, else joined by a shuffle.
 BROADCAST_CELLS = 20_000
 
@@ -64,12 +68,12 @@ def topic_of(text_col: str = "text", topics: list[tuple[str, str]] = TOPICS) ->
     return found
 
 
-def _slim(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _slim(docs: DataFrame, id_col: str, text_col: str, topics: list[tuple[str, str]]) -> DataFrame:
     return docs.select(
         F.col(id_col).alias("doc_id"),
         F.col("source").cast("string").alias("source"),
         F.col("lang").cast("string").alias("lang"),
-        topic_of(text_col).alias("topic"),
+        topic_of(text_col, topics).alias("topic"),
         n_tokens(text_col).alias("n_tokens"),
         draw(id_col, text_col).alias("u"),
     )
@@ -105,16 +109,18 @@ def rake(
     rounds: int = ROUNDS,
     tolerance: float = TOLERANCE,
 ) -> DataFrame:
-    """Cells (source, lang, topic, n_tokens) with their raked share ``weight`` of the tokens.
+    """Cells (source, lang, topic, n_tokens) with their raked share ``weight`` of the tokens, and ``deviation``.
 
     A round scales the weights to the source, language and topic targets in
     turn. Every ``STEP`` rounds the table is stored; raking ends when no
-    marginal of the last round was off by more than ``tolerance``.
+    marginal of the last round was off by more than ``tolerance``. ``deviation``
+    is how far, relatively, the last round's worst marginal was from its target.
     """
     total = float(cells.agg(F.sum("n_tokens")).first()[0] or 0) or 1.0
     raked = with_targets(cells, targets or {}, exponents).withColumn("weight", F.col("n_tokens") / F.lit(total))
-    for _ in range(0, rounds, STEP):
-        for _ in range(STEP):
+    off = 0.0
+    for done in range(0, rounds, STEP):
+        for _ in range(min(STEP, rounds - done)):
             raked = raked.withColumn("off", F.lit(0.0))
             for m in MARGINS:
                 now = F.sum("weight").over(Window.partitionBy(m))
@@ -123,10 +129,12 @@ def rake(
                     {"weight": F.col("weight") * F.col("scale"), "off": F.greatest("off", F.abs(F.col("scale") - 1))}
                 )
         raked = stored(raked, "raked")
-        off = raked.where("weight > 0").agg(F.max("off")).first()[0]
-        if off is None or off <= tolerance:
+        off = raked.where("weight > 0").agg(F.max("off")).first()[0] or 0.0
+        if off <= tolerance:
             break
-    return raked.select(*MARGINS, "n_tokens", "weight")
+    if targets and off > max(ACCEPT, tolerance):
+        raise ValueError(f"the targets are not met together: after {rounds} rounds a marginal is off by {off:.1%}")
+    return raked.select(*MARGINS, "n_tokens", "weight", F.lit(off).alias("deviation"))
 
 
 def probabilities(raked: DataFrame, budget: float = BUDGET) -> DataFrame:
@@ -139,7 +147,7 @@ def probabilities(raked: DataFrame, budget: float = BUDGET) -> DataFrame:
     total, weight = raked.agg(F.sum("n_tokens"), F.sum("weight")).first()
     c = budget * float(total or 0) / (weight or 1.0)
     expected = F.when(F.col("n_tokens") > 0, F.round(F.lit(c) * F.col("weight") / F.col("n_tokens"), 12)).otherwise(1.0)
-    return raked.select(*MARGINS, F.col("n_tokens").alias("cell_tokens"), "weight", expected.alias("probability"))
+    return raked.select(*MARGINS, F.col("n_tokens").alias("cell_tokens"), "weight", expected.alias("probability"), "deviation")
 
 
 def copies(expected: Column, u: Column) -> Column:
@@ -151,40 +159,61 @@ def _cells(slim: DataFrame) -> DataFrame:
     return stored(slim.groupBy(*MARGINS).agg(F.sum("n_tokens").alias("n_tokens")), "cells")
 
 
-def _with_cells(rows: DataFrame, names: list[str], cells: DataFrame) -> DataFrame:
-    """Left join of ``rows`` to the cells on null-safe equality of ``names`` with the margins."""
-    side = cells.select(*[F.col(m).alias(f"__{m}") for m in MARGINS], F.col("weight").alias("__weight"), F.col("probability").alias("__probability"))
+def _with_cells(rows: DataFrame, names: list[str], cells: DataFrame) -> tuple[DataFrame, str, str, str]:
+    """Left join of ``rows`` to the cells on null-safe equality of ``names`` with the margins.
+
+    Also the names of the columns it adds for the cell's weight, probability and deviation.
+    """
+    added = fresh(rows, *[f"cell_{m}" for m in MARGINS], "cell_weight", "cell_probability", "cell_deviation")
+    values = ["weight", "probability", "deviation"]
+    side = cells.select(*[F.col(c).alias(a) for c, a in zip([*MARGINS, *values], added)])
     small = cells.count() <= BROADCAST_CELLS
-    on = [F.col(n).cast("string").eqNullSafe(F.col(f"__{m}")) for n, m in zip(names, MARGINS)]
-    return rows.join(F.broadcast(side) if small else side, on[0] & on[1] & on[2], "left")
+    on = [F.col(n).cast("string").eqNullSafe(F.col(a)) for n, a in zip(names, added)]
+    return rows.join(F.broadcast(side) if small else side, on[0] & on[1] & on[2], "left"), *added[3:]
 
 
-def plan_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", targets=None, budget: float = BUDGET) -> DataFrame:
-    """One row per document: doc_id, source, lang, topic, n_tokens, cell_weight, probability, sampled.
+def plan_sample(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", targets=None, budget: float = BUDGET, topics: list[tuple[str, str]] = TOPICS
+) -> DataFrame:
+    """One row per document: doc_id, source, lang, topic, n_tokens, cell_weight, probability, sampled, deviation.
 
     ``probability`` is the expected number of draws and may exceed 1; ``sampled``
     is the number of copies in the sample, 0 for a document that is left out.
     """
-    slim = stored(_slim(docs, id_col, text_col), "mixing-documents")
+    slim = stored(_slim(docs, id_col, text_col, topics), "mixing-documents")
     cells = stored(probabilities(rake(_cells(slim), targets), budget), "mixing-cells")
-    return _with_cells(slim, list(MARGINS), cells).select(
+    joined, weight, probability, deviation = _with_cells(slim, list(MARGINS), cells)
+    return joined.select(
         "doc_id",
         *MARGINS,
         "n_tokens",
-        F.col("__weight").alias("cell_weight"),
-        F.col("__probability").alias("probability"),
-        copies(F.col("__probability"), F.col("u")).alias("sampled"),
+        F.col(weight).alias("cell_weight"),
+        F.col(probability).alias("probability"),
+        copies(F.col(probability), F.col("u")).alias("sampled"),
+        F.col(deviation).alias("deviation"),
     )
 
 
-def sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", targets=None, budget: float = BUDGET) -> DataFrame:
+def sample(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    targets=None,
+    budget: float = BUDGET,
+    topics: list[tuple[str, str]] = TOPICS,
+    copy_col: str | None = None,
+) -> DataFrame:
     """The sampled documents, each as often as it was drawn, with all their columns.
 
-    Their texts are read twice and never shuffled for few cells.
+    ``copy_col`` names a column to add: the copy's number from 1, which with the
+    id names a row. Their texts are read twice and never shuffled for few cells.
     """
-    slim = _slim(docs, id_col, text_col).select(*MARGINS, "n_tokens")
+    if copy_col and copy_col.lower() in {c.lower() for c in docs.columns}:
+        raise ValueError(f"the documents have a column {copy_col} already")
+    slim = _slim(docs, id_col, text_col, topics).select(*MARGINS, "n_tokens")
     cells = stored(probabilities(rake(_cells(slim), targets), budget), "mixing-cells")
     topic, drawn = fresh(docs, "topic", "drawn")
-    rows = docs.withColumn(topic, topic_of(text_col))
-    joined = _with_cells(rows, ["source", "lang", topic], cells).withColumn(drawn, copies(F.col("__probability"), draw(id_col, text_col)))
-    return joined.where(F.col(drawn) > 0).select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col(drawn))).alias(drawn)).select(*docs.columns)
+    joined, _, probability, _ = _with_cells(docs.withColumn(topic, topic_of(text_col, topics)), ["source", "lang", topic], cells)
+    joined = joined.withColumn(drawn, copies(F.col(probability), draw(id_col, text_col)))
+    numbered = joined.where(F.col(drawn) > 0).select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col(drawn))).alias(drawn))
+    return numbered.withColumnRenamed(drawn, copy_col) if copy_col else numbered.select(*docs.columns)

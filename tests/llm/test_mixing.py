@@ -102,6 +102,35 @@ def test_drawn_copies_meet_the_targets(make_docs):
     assert rare / sum(drawn.values()) == pytest.approx(0.5, abs=0.03)
 
 
+def test_contradicting_targets_are_refused(make_docs):
+    docs = make_docs([(i, "a b c", ("en", "de")[i % 2], ("x", "y")[i % 2]) for i in range(40)])
+    targets = {"source": {"x": 0.9, "y": 0.1}, "lang": {"en": 0.1, "de": 0.9}}
+    with pytest.raises(ValueError, match="not met together"):
+        mixing.plan_sample(docs, targets=targets)
+    # default targets that contradict: told, not raised
+    told = mixing.plan_sample(make_docs([(i, "a b c " * (1 + 8 * (i % 2)), ("en", "de")[i % 2], ("x", "y")[i % 2]) for i in range(40)]))
+    assert all(r.deviation > mixing.ACCEPT for r in told.collect())
+    assert all(r.deviation <= mixing.TOLERANCE for r in mixing.plan_sample(make_docs([(1, "a", "en", "x"), (2, "b", "en", "y")])).collect())
+
+
+def test_given_topics_and_numbered_copies(make_docs):
+    docs = make_docs([(i, ("prose of words", "int main()")[i % 10 == 0], "en", "x") for i in range(200)])
+    topics, targets = [("code", r"\(\)")], {"topic": {"code": 0.5, "prose": 0.5}}
+    plan = mixing.plan_sample(docs, targets=targets, budget=1.0, topics=topics).collect()
+    assert Counter(r.topic for r in plan) == {"code": 20, "prose": 180}
+    got = mixing.sample(docs, targets=targets, budget=1.0, topics=topics, copy_col="copy").collect()
+    assert len({(r.doc_id, r.copy) for r in got}) == len(got) == sum(r.sampled for r in plan)
+    with pytest.raises(ValueError, match="already"):
+        mixing.sample(docs, copy_col="Rank")
+
+
+def test_clashing_names(make_docs):
+    docs = make_docs([(i, "a b", "en", f"s{i % 2}") for i in range(20)])
+    clash = docs.withColumns({c: F.lit(7) for c in ("cell_weight", "cell_probability", "drawn", "cell_source")})
+    got = mixing.sample(clash)
+    assert got.columns == clash.columns and got.where("cell_probability <> 7").count() == 0 and got.count() == mixing.sample(docs).count()
+
+
 def test_source_without_a_target_is_left_out(make_docs):
     rows = [(i, "a b c", "en", ("x", "y")[i % 2]) for i in range(40)]
     got = mixing.plan_sample(make_docs(rows), targets={"source": {"x": 1.0}}).collect()
