@@ -14,7 +14,8 @@ bucket, so the model that executors receive has a fixed size.
 
 Defined results: null and empty texts get the score of the bias alone; long
 texts are used whole, in training and in scoring; labels without a quality or
-a document are left out and repeated labels count once; without any labels
+a document are left out, repeated labels count once and of conflicting ones the
+lower; without any labels
 every score is 0.5; equal texts get equal scores; an empty table gives an empty
 result; other columns are never inputs of a score.
 """
@@ -165,7 +166,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     chosen = (
         labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
         .select(F.col("doc_id").alias("__id"), F.col("quality").cast("int").alias("__label"))
-        .dropDuplicates(["__id"])
+        .groupBy("__id")
+        .agg(F.min("__label").alias("__label"))
         .orderBy(F.xxhash64("__id"), "__id")
         .limit(sample_size)
     )
@@ -181,7 +183,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                     ["id", "label", "ids", "counts"],
                 )
 
-    counted = rows.select("__id", "text", "__label").mapInArrow(count, "id long, label int, ids binary, counts binary")
+    id_type = docs.schema[id_col].dataType.simpleString()
+    counted = rows.select("__id", "text", "__label").mapInArrow(count, f"id {id_type}, label int, ids binary, counts binary")
     got = sorted(counted.collect(), key=lambda r: (r.id, bytes(r.ids)))
     return fit([(r.label, np.frombuffer(r.ids, "<i4"), np.frombuffer(r.counts, "<f4")) for r in got])
 

@@ -22,6 +22,51 @@ def test_features_against_plain_loops():
     assert set(other[1]) <= set(same[1][same[0] == 0]) and set(other[1]) <= set(same[1][same[0] == 1])
 
 
+def test_fit_against_plain_loops():
+    rng = np.random.default_rng(3)
+    rows = [(int(k % 2), np.unique(rng.integers(k % 2, 40, 6)).astype("<i4"), None) for k in range(30)]
+    rows = [(y, ids, rng.integers(1, 4, len(ids)).astype("<f4")) for y, ids, _ in rows]
+    dim, epochs, rate = 3, 2, 0.5
+    got = quality.fit(rows, dim, epochs, rate, seed=9)
+
+    from math import exp
+
+    rng, size = np.random.default_rng(9), 1 << quality.BUCKET_BITS
+    vectors = rng.uniform(-1 / dim, 1 / dim, (size, dim))
+    vectors = {i: [float(x) for x in vectors[i]] for i in range(40)}
+    out = rng.uniform(-1 / dim, 1 / dim, (dim, 2)).tolist()
+    bias, step = [0.0, 0.0], 0
+    for _ in range(epochs):
+        for k in rng.permutation(len(rows)):
+            y, ids, counts = rows[k]
+            lr = rate * (1 - step / (epochs * len(rows)))
+            step += 1
+            share = [float(c) / (float(sum(counts)) + quality.PRIOR) for c in counts]
+            hidden = [sum(w * vectors[i][d] for w, i in zip(share, ids)) for d in range(dim)]
+            logit = [sum(hidden[d] * out[d][c] for d in range(dim)) + bias[c] for c in range(2)]
+            p = [exp(x) / sum(map(exp, logit)) for x in logit]
+            error = [p[c] - (c == y) for c in range(2)]
+            back = [sum(out[d][c] * error[c] for c in range(2)) for d in range(dim)]
+            for c in range(2):
+                bias[c] -= lr * 0.1 * error[c]
+                for d in range(dim):
+                    out[d][c] -= lr * hidden[d] * error[c]
+            for w, i in zip(share, ids):
+                vectors[i] = [v - lr * quality.SPREAD * w * b for v, b in zip(vectors[i], back)]
+    for i in range(40):
+        assert got.weight[i] == pytest.approx(sum(vectors[i][d] * (out[d][1] - out[d][0]) for d in range(dim)), abs=1e-9)
+    assert got.bias == pytest.approx(bias[1] - bias[0], abs=1e-9)
+
+
+def test_conflicting_labels_and_text_ids(shared, odd):
+    labels = shared.createDataFrame([(6, 1), (6, 0), (4, 1), (4, 1), (8, 0)], "doc_id long, quality int")
+    plain = shared.createDataFrame([(6, 0), (4, 1), (8, 0)], "doc_id long, quality int")
+    assert quality.train(odd, labels).bias == quality.train(odd, plain).bias != 0
+    named = odd.withColumn("doc_id", quality.F.concat(quality.F.lit("d"), "doc_id"))
+    given = plain.withColumn("doc_id", quality.F.concat(quality.F.lit("d"), "doc_id"))
+    assert quality.score(named, quality.train(named, given)).schema["doc_id"].dataType.simpleString() == "string"
+
+
 @pytest.fixture(scope="module")
 def trained(shared):
     docs = shared.read.parquet(f"{SF}/documents.parquet")
