@@ -317,4 +317,5 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     # the operator's ids may be of any type: here they are the rows' names
     decided = components(keyed, row, text_col, **options)
     stay = decided.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(row)).distinct()
-    return keyed.join(stay, row, "left_semi").dropDuplicates([row]).select(*docs.columns)
+    # a merge join keeps the partitioning by row, which dropDuplicates then needs no second shuffle for
+    return keyed.join(stay.hint("merge"), row, "left_semi").dropDuplicates([row]).select(*docs.columns)
