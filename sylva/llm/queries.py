@@ -86,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op1_exact_dedup": exact_dedup.ORACLE_SQL,
     "op9_topk": topk.ORACLE_SQL,
+    "op10_suffix_dedup": suffix_dedup.ORACLE_SQL,
     "op11_centroids": centroids.ORACLE_SQL,
     "op12_divergence": divergence.ORACLE_SQL,
     "op13_decontamination": decontam.ORACLE_SQL,

@@ -456,6 +456,35 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
     )
 
 
+#: The contract by a table of all windows (DuckDB; byte strings, so no digest is trusted).
+ORACLE_SQL = """
+WITH docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, encode(coalesce(text, '')) AS b FROM documents
+), windows AS (
+  SELECT rid, s, b[s + 1 : s + 200] AS w
+  FROM (SELECT rid, b, unnest(range(0, octet_length(b) - 199)) AS s FROM docs WHERE octet_length(b) >= 200)
+), hits AS (
+  SELECT rid, s FROM windows WHERE w IN (SELECT w FROM windows GROUP BY w HAVING count(*) > 1)
+), numbered AS (
+  SELECT rid, s, sum(fresh) OVER (PARTITION BY rid ORDER BY s) AS run
+  FROM (SELECT rid, s, CASE WHEN s <= lag(s) OVER (PARTITION BY rid ORDER BY s) + 200 THEN 0 ELSE 1 END AS fresh FROM hits)
+), runs AS (
+  SELECT rid, min(s) AS a, max(s) + 200 AS e FROM numbered GROUP BY rid, run
+), edges AS (
+  SELECT rid, a, e, coalesce(lag(e) OVER (PARTITION BY rid ORDER BY a), 0) AS prev FROM runs
+), pieces AS (
+  SELECT rid, a, e, e - a AS gone, hex(b[prev + 1 : a]) AS kept FROM edges JOIN docs USING (rid)
+  UNION ALL
+  SELECT rid, octet_length(b), octet_length(b), 0, hex(b[coalesce(e, 0) + 1 : octet_length(b)])
+  FROM docs LEFT JOIN (SELECT rid, max(e) AS e FROM runs GROUP BY rid) USING (rid)
+)
+SELECT any_value(doc_id) AS doc_id, CAST(any_value(octet_length(b)) AS BIGINT) AS n_bytes, CAST(sum(gone) AS BIGINT) AS n_removed,
+  CAST(count(*) FILTER (WHERE gone > 0) AS BIGINT) AS n_spans,
+  sha256(unhex(string_agg(kept, '' ORDER BY a, e, gone DESC))) AS kept_sha256
+FROM pieces JOIN docs USING (rid) GROUP BY rid
+"""
+
+
 def _cut(raw: bytes, spans: list[tuple[int, int]]) -> tuple[int, int, str]:
     """Bytes removed, maximal removed runs, and the SHA-256 of what is left."""
     kept, at, runs, removed = hashlib.sha256(), 0, 0, 0
