@@ -402,7 +402,10 @@ def repeated_intervals(docs: DataFrame, text_col: str = "text", length: int = LE
     # like the spans and the cut, these read the texts from the one shuffle of ``single``
     windows = _hot_windows(single.join(places.where("hot"), "id").select("id", "text", "ats"), length)
     where = F.struct("id", "start")
-    shared = windows.groupBy("digest").agg(F.min(where).alias("a"), F.max(where).alias("b")).where("a <> b").select("digest")
+    # stored for the same reason as ``twice``: a digest of very many windows can be split in the join
+    shared = stored(
+        windows.groupBy("digest").agg(F.min(where).alias("a"), F.max(where).alias("b")).where("a <> b").select("digest"), "repeated-windows"
+    )
     return found.unionByName(windows.join(shared, "digest").select("id", "start", (F.col("start") + length).alias("end")))
 
 
