@@ -313,7 +313,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     """The documents that stay, with all their columns: one row of each component."""
     (row,) = fresh(docs, "row")
     sha = F.unhex(F.sha2(text_of(text_col).cast("string"), 256))
-    keyed = docs.withColumn(row, F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), sha.alias("sha")))
+    # null where there is an id, so such rows sort first; nullable like the stored rows, else the join casts its
+    # key and dropDuplicates must shuffle the texts again
+    no_id = F.when(F.col(id_col).isNull(), True)
+    keyed = docs.withColumn(row, F.struct(no_id.alias("no_id"), F.col(id_col).alias("id"), sha.alias("sha")))
     # the operator's ids may be of any type: here they are the rows' names
     decided = components(keyed, row, text_col, **options)
     stay = decided.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(row)).distinct()
