@@ -69,6 +69,8 @@ def _long_inputs(
 # Expanded rows (input rows x split rows per input row) one task should hold
 # in its per-(row, tree) aggregate, relative to an input partition.
 EXPANSION_PER_TASK = 1024
+# Expanded rows one task takes, whatever the size of the input.
+EXPANDED_ROWS_PER_TASK = 4_000_000
 
 
 def partition_by_keys(df: DataFrame, keys: list[str], expansion: int = 1, partitions: int | None = None) -> DataFrame:
@@ -80,11 +82,14 @@ def partition_by_keys(df: DataFrame, keys: list[str], expansion: int = 1, partit
     ``ceil(expansion / EXPANSION_PER_TASK)``, where ``expansion`` is the split
     rows each input row turns into (trees x depth summed over models): the
     per-task aggregate then stays about as large as for a 1024-split model.
-    Nothing of the input is run to find the count; ``partitions`` overrides it.
+    Larger inputs get a partition for every ``EXPANDED_ROWS_PER_TASK`` expanded
+    rows, so that aggregate does not grow with the input; the rows are counted
+    for it. ``partitions`` overrides all this.
     """
     if partitions is None:
         factor = max(1, -(-expansion // EXPANSION_PER_TASK))
         partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) * factor
+        partitions = max(partitions, -(-df.count() * expansion // EXPANDED_ROWS_PER_TASK))
     return df.repartition(partitions, *keys)
 
 

@@ -53,3 +53,15 @@ def test_raw_and_contributions_come_from_one_step(spark):
     for q in (E.q_shap_additivity, E.q_quantized_drift, E.q_type_difference, E.q_top_class_label):
         text = plan(q(spark, SF))
         assert hash_shuffles(text) == 0 and text.count("MapInArrow") == 1
+
+
+def test_partitions_grow_with_the_expanded_rows(spark):
+    from sylva.operators import score as S
+
+    small = spark.range(1000).select(F.col("id").alias("k"))
+    large = spark.range(200_000).select(F.col("id").alias("k"))
+    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert S.partition_by_keys(small, ["k"], 500).rdd.getNumPartitions() == base
+    assert S.partition_by_keys(large, ["k"], 500).rdd.getNumPartitions() == -(-200_000 * 500 // S.EXPANDED_ROWS_PER_TASK) > base
+    assert S.partition_by_keys(large.limit(0), ["k"], 500).rdd.getNumPartitions() == base
+    assert S.partition_by_keys(large, ["k"], 500, 3).rdd.getNumPartitions() == 3
