@@ -22,9 +22,9 @@ result; other columns are not read.
 
 from __future__ import annotations
 
+import codecs
 import hashlib
 import os
-import re
 import struct
 import uuid
 import zlib
@@ -33,6 +33,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -52,8 +53,11 @@ SHARD_BYTES = 8 << 20
 SHARDS_PER_TASK = 2
 #: zstandard level: with a trained dictionary on short arrays higher ones gain little.
 LEVEL = 1
-#: Words whose ids a Python worker remembers, in each of two generations.
-WORD_CACHE = 200_000
+#: Words and parts of words whose ids a Python worker remembers.
+WORD_CACHE = 300_000
+#: Parts that one call of the model encodes, and bytes of text that are encoded together.
+PARTS_PER_CALL = 20_000
+TEXT_BYTES = 8 << 20
 
 MAGIC = b"SYTOKENS"
 _HEADER = struct.Struct("<8sHHI32s")
@@ -64,16 +68,27 @@ _ENTRY = np.dtype([("has_id", "u1"), ("id", "<i8"), ("offset", "<u8"), ("length"
 # -- encoding -----------------------------------------------------------------
 
 #: Letters of Latin-1, then ASCII marks but the apostrophe.
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)")
+_PLAIN = "\\A(?P<letters>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<marks>[!-&(-/:-@\\[-`{-~]*)\\z"
+_LETTERS = "\\A[A-Za-zÀ-ÖØ-öø-ÿ]+\\z"
 #: Byte-level tokenizers write a byte that is no visible Latin-1 character as chr(256 + its rank among those).
-_STAND_IN = {b: 256 + rank for rank, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174))}
+#: Blanks are left alone here: they stand between parts.
+_SEEN = {32, *range(33, 127), *range(161, 173), *range(174, 256)}
+_STAND_IN = "".join(chr(b) if b in _SEEN else chr(256 + b - sum(33 <= v < b for v in _SEEN)) for b in range(256))
+
+
+def _binary(data: bytes | np.ndarray, offsets: np.ndarray) -> pa.LargeBinaryArray:
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype("<i8")), pa.py_buffer(data)])
 
 
 class WordEncoder:
-    """Whole-text encoding through a cache of words.
+    """Whole-text encoding word by word, each different word once.
 
     The tokenizer never joins characters across a blank or a line feed, so a
-    text's ids are its words' ids one after another.
+    text's ids are its words' ids one after another. A plain word, Latin-1
+    letters with any ASCII marks behind them (no apostrophe), is two parts:
+    normalising only lower-cases it (its letters are composed already) and
+    splitting only parts the marks from it, so the model is asked for its parts.
+    Other words are encoded by the whole tokenizer.
     """
 
     _by_path: dict[str, "WordEncoder"] = {}
@@ -81,14 +96,23 @@ class WordEncoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.kind = f"<u{self.width}"
-        self.code = "H" if self.width == 2 else "I"
         self.end = np.array([END_ID], self.kind).tobytes()
-        self.recent: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
+        # the same model over parts with blanks between, and which ids end a part
+        self.parts = Tokenizer(self.tokenizer.model)
+        self.parts.pre_tokenizer = WhitespaceSplit()
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends_part = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        if suffix:
+            self.ends_part[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        # parts and words whose ids are remembered, the last used first
+        self.known = pa.array([], pa.string())
+        self.known_ids = pa.array([], pa.large_binary())
 
     @classmethod
     def at(cls, path: str) -> "WordEncoder":
@@ -96,49 +120,95 @@ class WordEncoder:
             cls._by_path[path] = cls(path)
         return cls._by_path[path]
 
-    def _plain(self, word: str) -> bytes | None:
-        """Ids of Latin-1 letters with any ASCII marks behind them (no apostrophe), from the model itself.
+    def _packed(self, encodings) -> pa.LargeBinaryArray:
+        ids = [e.ids for e in encodings]
+        offsets = np.cumsum([0, *map(len, ids)]) * self.width
+        return _binary(np.fromiter((i for x in ids for i in x), self.kind).tobytes(), offsets)
 
-        Normalising only lower-cases such a word (its letters are composed
-        already), splitting only parts the marks from it, and bytes stand for
-        themselves or for the tokenizer's stand-ins of ``_STAND_IN``.
+    def _part_ids(self, parts: list[str]) -> pa.LargeBinaryArray:
+        """Ids of parts of plain words, all from one call of the model.
+
+        Bytes stand for themselves or for the tokenizer's stand-ins of
+        ``_STAND_IN``. The last id of a part, and no other, ends with the
+        model's suffix; a model that does not tell the parts so is asked part
+        by part.
         """
-        parts = _PLAIN.fullmatch(word)
-        if parts is None:
+        text = " ".join(parts)
+        if not text.isascii():
+            text = codecs.charmap_decode(text.encode(), "strict", _STAND_IN)[0]
+        ids = np.array(self.parts.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int64)
+        ends = np.flatnonzero(self.ends_part[ids]) + 1
+        if len(ends) != len(parts):
+            return self._packed(self.parts.encode_batch_fast(text.split(" "), add_special_tokens=False))
+        return _binary(ids.astype(self.kind).tobytes(), np.concatenate([[0], ends]) * self.width)
+
+    def _new(self, units: pa.StringArray) -> pa.LargeBinaryArray:
+        """Ids of different parts and words that are not remembered."""
+        plain = pc.match_substring_regex(units, _LETTERS)
+        order = pc.array_sort_indices(plain)  # other words first
+        units, others = units.take(order), len(units) - (pc.sum(plain).as_py() or 0)
+        got = [self._packed(self.tokenizer.encode_batch_fast(units.slice(0, others).to_pylist(), add_special_tokens=False))]
+        for at in range(others, len(units), PARTS_PER_CALL):
+            got.append(self._part_ids(units.slice(at, PARTS_PER_CALL).to_pylist()))
+        return pa.concat_arrays(got).take(pc.array_sort_indices(order))
+
+    def _unit_ids(self, units: pa.StringArray) -> pa.LargeBinaryArray:
+        """Ids of different parts and words; those used least recently are forgotten."""
+        place = pc.index_in(units, self.known)
+        missing = units.filter(place.is_null())
+        ids = self.known_ids
+        if len(missing):
+            fresh = pc.cumulative_sum(place.is_null().cast(pa.int64()))  # from 1
+            place = pc.coalesce(place.cast(pa.int64()), pc.add(fresh, len(ids) - 1))
+            ids = pa.concat_arrays([ids, self._new(missing)])
+        ids = ids.take(place)
+        unused = pc.invert(pc.is_in(self.known, units))
+        self.known, self.known_ids = (
+            pa.concat_arrays([new, old.filter(unused).slice(0, max(0, WORD_CACHE - len(new)))])
+            for new, old in ((units, self.known), (ids, self.known_ids))
+        )
+        return ids
+
+    def _word_ids(self, words: pa.StringArray) -> pa.LargeBinaryArray:
+        """Ids of different words."""
+        split = pc.extract_regex(words, _PLAIN)
+        letters, marks = pc.struct_field(split, "letters"), pc.struct_field(split, "marks")
+        units = pc.coalesce(pc.utf8_lower(letters), words).dictionary_encode()
+        marks = marks.fill_null("").dictionary_encode()
+        ids = self._unit_ids(units.dictionary).take(units.indices)
+        behind = [m if not m else self._part_ids([m])[0].as_py() for m in marks.dictionary.to_pylist()]
+        behind = pa.array([m or b"" for m in behind], pa.large_binary()).take(marks.indices)
+        return pc.binary_join_element_wise(ids, behind, pa.scalar(b"", pa.large_binary()))
+
+    def _plain(self, word: str) -> bytes | None:
+        """Ids of one plain word, None for other words."""
+        split = pc.extract_regex(pa.scalar(word), _PLAIN).as_py()
+        if split is None:
             return None
-        letters, marks = parts.groups()
-        if not letters.isascii():
-            letters = letters.lower().encode().decode("latin-1").translate(_STAND_IN)
-        else:
-            letters = letters.lower()
-        tokenize = self.tokenizer.model.tokenize
-        ids = [t.id for t in tokenize(letters)]
-        if marks:
-            ids += [t.id for t in tokenize(marks)]
-        return struct.pack(f"<{len(ids)}{self.code}", *ids)
-
-    def _learn(self, words: list[str]) -> None:
-        """Remember the ids of ``words``; the words used least recently are forgotten."""
-        new = set(words).difference(self.recent)
-        if len(self.recent) + len(new) > WORD_CACHE:
-            self.before, self.recent, new = self.recent, {}, set(words)
-        rest = []
-        for word in new:
-            got = self.before.get(word) or self._plain(word)
-            if got is None:
-                rest.append(word)
-            else:
-                self.recent[word] = got
-        for word, got in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-            self.recent[word] = np.array(got.ids, self.kind).tobytes()
+        return b"".join(self._part_ids([part])[0].as_py() for part in (split["letters"].lower(), split["marks"]) if part)
+
+    def encode_all(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text (null: empty), the end id behind them."""
+        if not len(texts):
+            return []
+        split = pc.split_pattern(pc.replace_substring(texts.cast(pa.string()).fill_null(""), "\n", " "), " ")
+        words = split.flatten().dictionary_encode()
+        ids = self._word_ids(words.dictionary).take(words.indices)
+        places = np.frombuffer(ids.buffers()[1], "<i8")[split.offsets.to_numpy()].tolist()
+        data = memoryview(ids.buffers()[2] or b"")
+        return [b"".join((data[a:b], self.end)) for a, b in zip(places, places[1:])]
 
     def encode(self, text: str) -> bytes:
-        words = text.replace("\n", " ").split(" ")
-        try:
-            return b"".join(map(self.recent.__getitem__, words)) + self.end
-        except KeyError:  # a word that is not remembered
-            self._learn(words)
-        return b"".join(map(self.recent.__getitem__, words)) + self.end
+        return self.encode_all(pa.array([text], pa.string()))[0]
+
+
+def _slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about ``TEXT_BYTES`` of that column; a longer text is one by itself."""
+    ends = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+    cuts = [0, *(np.flatnonzero(np.diff(ends // TEXT_BYTES)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:]):
+        if b > a:
+            yield batch.slice(a, b - a)
 
 
 # -- shards -------------------------------------------------------------------
@@ -280,8 +350,9 @@ def _dictionary(docs: DataFrame, id_col: str, text_col: str, tokenizer: str) ->
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder.at(tokenizer)
         for b in batches:
-            for text in b.column(0).to_pylist():
-                yield pa.RecordBatch.from_arrays([pa.array(pieces_of(encoder.encode(text or ""), encoder.width), pa.binary())], ["piece"])
+            for part in _slices(b, 0):
+                for raw in encoder.encode_all(part.column(0)):
+                    yield pa.RecordBatch.from_arrays([pa.array(pieces_of(raw, encoder.width), pa.binary())], ["piece"])
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         samples = [piece for b in batches for piece in b.column(0).to_pylist()]
@@ -304,9 +375,8 @@ def write(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
         encoder = WordEncoder.at(tokenizer)
         zstd = zstandard.ZstdCompressor(level=LEVEL, dict_data=dictionary_of(dictionary))
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                raw = [encoder.encode(t or "") for t in part.column(1).to_pylist()]
+            for part in _slices(batch, 1):
+                raw = encoder.encode_all(part.column(1))
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),

@@ -3,6 +3,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -99,3 +100,39 @@ def test_plain_words_equal_the_library():
         assert encoder._plain(word) == np.array(want.ids, "<u2").tobytes(), word
     for word in ("it's", "a1", "don't", "ªb", "µm", "x×y", "a b", "a\tb", "é", "İ", "<|endoftext|>"):
         assert encoder._plain(word) is None
+
+
+def test_a_part_is_asked_once_for_all_its_words(library, monkeypatch):
+    encoder = token_store.WordEncoder(FILE)
+    asked, ask = [], encoder._part_ids
+    monkeypatch.setattr(encoder, "_part_ids", lambda parts: asked.extend(parts) or ask(parts))
+    texts = ["Word, word. WORD\nÉté", None, "", "été, wOrD! it's 12 words", "word"]
+    for _ in range(2):  # the second time from memory
+        got = encoder.encode_all(pa.array(texts))
+        assert [np.frombuffer(g, "<u2").tolist() for g in got] == [[*library.encode(t or "", add_special_tokens=False).ids, 2] for t in texts]
+    assert sorted(p for p in asked if p.isalpha()) == ["word", "words", "été"]
+
+
+def test_forgotten_words_and_slices(library, monkeypatch):
+    rng = random.Random(11)
+    bits = ["Word,", "don't", "", "\n", "\t", "Größe.", "ÑANDÚ", "x!!", "!!", "😀", "123", "<|endoftext|>", "İ", "naïve\x85", "µm", "ÿ", "<|", "</w>", "a</w>"]
+    texts = [" ".join(rng.choice(bits) + rng.choice(["", rng.choice("abcÀÿ")]) for _ in range(rng.randint(0, 30))) for _ in range(200)]
+    texts[7], texts[90] = None, "long " * 900
+    want = [[*library.encode(t or "", add_special_tokens=False).ids, 2] for t in texts]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    monkeypatch.setattr(token_store, "PARTS_PER_CALL", 3)
+    for cache, size in ((0, 300), (5, 1000), (30, 1 << 20)):
+        monkeypatch.setattr(token_store, "WORD_CACHE", cache)
+        monkeypatch.setattr(token_store, "TEXT_BYTES", size)
+        encoder = token_store.WordEncoder(FILE)
+        slices = list(token_store._slices(batch, 0))
+        assert sum(s.num_rows for s in slices) == len(texts) and (len(slices) > 1 or size > 1000)
+        got = [g for s in slices for g in encoder.encode_all(s.column(0))]
+        assert [np.frombuffer(g, "<u2").tolist() for g in got] == want
+
+
+def test_a_model_that_does_not_mark_the_ends_of_parts(library):
+    encoder = token_store.WordEncoder(FILE)
+    encoder.ends_part[:] = False
+    text = "Größe und noch ein Wort, zwei!"
+    assert np.frombuffer(encoder.encode(text), "<u2").tolist() == [*library.encode(text, add_special_tokens=False).ids, 2]
