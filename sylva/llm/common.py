@@ -17,15 +17,19 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, rows_together: int | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the cluster's shared checkpoint folder and read it back.
 
     Cuts the lineage: a lost executor afterwards costs a file read, not the
-    work before it. Later readers fetch only the columns they need.
+    work before it. Later readers fetch only the columns they need. With
+    ``rows_together`` a row group has so many rows at most: for rows of
+    megabytes, as writers and readers hold a row group's rows at once. Such
+    row groups have no dictionaries, which each would have to build anew.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    options = {} if rows_together is None else {"parquet.block.row.count.limit": rows_together, "parquet.enable.dictionary": "false"}
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -158,7 +158,7 @@ def build(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", segme
 
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).cast("string").alias("text"))
     schema = f"segment long, length int, terms array<string>, counts array<int>, positions array<int>, docs array<struct<start:int,n_words:int,doc_id:{id_type}>>"
-    written = stored(rows.mapInArrow(step, schema), "positional-index")
+    written = stored(rows.mapInArrow(step, schema), "positional-index", rows_together=1)
     documents = written.select("segment", F.posexplode("docs").alias("place", "d")).select("segment", "place", "d.start", "d.n_words", "d.doc_id")
     return Index(written, documents)
 

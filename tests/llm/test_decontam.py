@@ -3,6 +3,7 @@ import random
 import re
 from collections import Counter
 
+import pyarrow.parquet as pq
 import pytest
 
 from sylva.llm import decontam as D
@@ -55,6 +56,17 @@ def test_whole_tables(shared):
     assert told(D.report(index, D.matches(index, items, block_words=900))) == want
 
 
+def test_a_row_group_holds_one_segment(shared, make_docs):
+    # a segment is megabytes: a row group of all of a task's would be held whole by its writer and its readers
+    docs = [(i, f"words of text {i}") for i in range(12)]
+    index = D.build(make_docs(docs, partitions=1), segment_words=200)
+    files = [pq.ParquetFile(f.removeprefix("file:")).metadata for f in index.segments.inputFiles()]
+    held = [f.row_group(k).num_rows for f in files for k in range(f.num_row_groups)]
+    assert held == [1] * index.segments.count() and len(held) > len(files)
+    items = [(1, "words of text 7"), (2, "of text")]
+    assert told(D.report(index, D.matches(index, bench(shared, items)))) == slow(docs, items)
+
+
 def test_odd_rows(shared, odd):
     rows = [(1, None), (2, ""), (3, " ,.!"), (4, "word"), (4, "MARK ça"), (None, "UNIQUE text of the"), (None, "tenth row"), (5, "word " * 40), (6, "ÇA"), (7, "not there at all"), (6, "ÇA")]
     docs = [(r.doc_id, r.text) for r in odd.collect()]
