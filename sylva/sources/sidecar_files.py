@@ -3,7 +3,9 @@
 Writing stages every file under ``<path>/_temporary/<job>``; the driver's commit
 step moves the staged files to ``<path>/<model_id><suffix>`` when all tasks are
 done, and an aborted job removes its staging folder, so readers never see a
-part of a write. Reading gives one row per file (path, model_id, content).
+part of a write. Only the driver makes that folder: a task that is still running
+when its job is aborted fails and does not make it anew. Reading gives one row
+per file (path, model_id, content).
 
 Files are reached through ``pyarrow.fs`` (local paths and ``file:`` URIs, hdfs,
 s3, gs, abfs), the same way on the driver and on the executors. A file system
@@ -67,6 +69,8 @@ class _Writer(DataSourceWriter):
         if missing:
             raise ValueError(f"sidecar rows need the columns model_id and sidecar; missing: {sorted(missing)}")
         self.path, self.suffix, self.job = path, suffix, uuid.uuid4().hex
+        system, base = file_system(path)
+        system.create_dir(self._staging(base), recursive=True)
 
     def _staging(self, base: str) -> str:
         return posixpath.join(base, "_temporary", self.job)
@@ -79,7 +83,7 @@ class _Writer(DataSourceWriter):
             if not row["model_id"] or "/" in row["model_id"]:
                 raise ValueError(f"a file cannot be named after the model id {row['model_id']!r}")
             name = f"{row['model_id']}{self.suffix}"
-            system.create_dir(folder, recursive=True)
+            system.create_dir(folder, recursive=False)
             with system.open_output_stream(posixpath.join(folder, name)) as out:
                 out.write(bytes(row["sidecar"]))
             files.append((posixpath.join(folder, name), name))
@@ -100,8 +104,14 @@ class _Writer(DataSourceWriter):
         from pyarrow import fs
 
         system, base = file_system(self.path)
-        if system.get_file_info(self._staging(base)).type == fs.FileType.Directory:
-            system.delete_dir(self._staging(base))
+        tries = 10
+        while system.get_file_info(self._staging(base)).type == fs.FileType.Directory:
+            try:
+                system.delete_dir(self._staging(base))
+            except OSError:  # a task that is still running put a file there meanwhile
+                tries -= 1
+                if not tries:
+                    raise
 
 
 class SidecarSource(DataSource):

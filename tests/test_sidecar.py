@@ -110,6 +110,24 @@ def test_data_source_writes_all_or_nothing(spark, tmp_path):
         rows.write.format(SF.NAME).mode("overwrite").save(str(out))
 
 
+def test_a_task_that_outlives_its_job_leaves_no_file(tmp_path):
+    from pyspark.sql import Row
+    from pyspark.sql import types as T
+
+    from sylva.sources import sidecar_files as SF
+
+    schema = T.StructType([T.StructField("model_id", T.StringType()), T.StructField("sidecar", T.BinaryType())])
+    rows = [Row(model_id="a", sidecar=b"one"), Row(model_id="b", sidecar=b"two")]
+    writer = SF._Writer(str(tmp_path / "out"), ".sidecar", schema)
+    writer.abort([])
+    with pytest.raises(OSError):
+        writer.write(iter(rows))
+    assert not [p for p in tmp_path.rglob("*") if p.is_file()]
+    writer = SF._Writer(str(tmp_path / "out"), ".sidecar", schema)
+    writer.commit([writer.write(iter(rows[:1])), writer.write(iter(rows[1:])), writer.write(iter([]))])
+    assert {p.name: p.read_bytes() for p in tmp_path.rglob("*") if p.is_file()} == {"a.sidecar": b"one", "b.sidecar": b"two"}
+
+
 def test_attach_at_load_and_share(spark, tables, orders, tmp_path):
     """A model loaded with a sidecar explains by it; other models may share the file."""
     from sylva.fixtures import model_path
